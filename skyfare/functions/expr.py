@@ -6,15 +6,13 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from skyfare.functions.constants import (
+    DURATION,
     LAYOVER_CHEAPER,
     LAYOVER_DEARER,
     MISSING_TEXT,
     SEGMENT_SEPARATOR,
 )
 
-_DURATION = r"^P(?=.*\d)(?:(\d{1,4})D)?(?:T(?:(\d{1,5})H)?(?:(\d{1,5})M)?)?$"
-
-
 def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
@@ -61,14 +59,25 @@ def segment_list(c: Column | str) -> Column:
 
 
 def duration_minutes(c: Column | str) -> Column:
-    """Minutes of a ``P#DT#H#M`` text with optional parts; NULL when it is not one."""
-    c = _col(c)
-
-    def part(i: int) -> Column:
-        # an absent part is '', which try_cast turns into NULL
-        return F.coalesce(F.regexp_extract(c, _DURATION, i).try_cast("int"), F.lit(0))
+    """Minutes of a ``P#DT#H#M`` text with optional parts; NULL when it is not one.
 
-    return F.when(c.rlike(_DURATION), part(1) * 1440 + part(2) * 60 + part(3))
+    One pattern checks the whole text; the parts are then cut out by position.
+    """
+    c = _col(c)
+    time = F.when(c.contains("T"), F.substring_index(c, "T", -1)).otherwise("")
+
+    def number(present: Column, text: Column) -> Column:
+        return F.when(present, text.try_cast("int")).otherwise(0)
+
+    days = F.substring(F.substring_index(c, "D", 1), 2, 4)
+    hours = F.substring_index(time, "H", 1)
+    minutes = F.substring_index(F.substring_index(time, "M", 1), "H", -1)
+    return F.when(
+        c.rlike(DURATION),
+        number(c.contains("D"), days) * 1440
+        + number(time.contains("H"), hours) * 60
+        + number(time.endswith("M"), minutes),
+    )
 
 
 def layover_label(difference: Column | str) -> Column:

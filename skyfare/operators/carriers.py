@@ -1,13 +1,14 @@
 """Questions about airlines and leg counts."""
 
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skyfare.functions.constants import SEGMENT_COLUMNS
 from skyfare.functions.expr import exact_avg, in_date_range, segment_list
-from skyfare.operators.filters import LEG_FILTERS
+from skyfare.operators.filters import LEG_TESTS
 
 
 def _airline() -> Column:
@@ -29,17 +30,26 @@ def first_route(cells: DataFrame, *order) -> DataFrame:
     )
 
 
-def top_fares(df: DataFrame, legs: int) -> DataFrame:
-    """Dearest itinerary of each airline combination among those with ``legs`` legs.
-
-    Ties go to the first starting airport, then the first destination.
-    """
-    cells = (
-        LEG_FILTERS[legs](df)
-        .where(F.col("base_fare").isNotNull())
+def carrier_routes(df: DataFrame, legs: list[int]) -> DataFrame:
+    """Highest fare per airline combination and route, for some leg counts."""
+    keep = reduce(Column.__or__, [LEG_TESTS[n]() for n in legs])
+    return (
+        df.where(keep & F.col("base_fare").isNotNull())
         .groupBy(_airline(), "starting_airport", "destination_airport")
         .agg(F.max("base_fare").alias("base_fare"))
     )
+
+
+def top_fares(df: DataFrame, *legs: int) -> DataFrame:
+    """Dearest itinerary of each airline combination among those with ``legs`` legs.
+
+    Ties go to the first starting airport, then the first destination. A combination
+    has one leg count, so several counts come out of one pass.
+    """
+    return dearest(carrier_routes(df, legs))
+
+
+def dearest(cells: DataFrame) -> DataFrame:
     return first_route(cells, -F.col("base_fare"))
 
 

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from skyfare.functions.constants import EXTRACT_COLUMNS, SAMPLE_STEP
 from skyfare.operators.position import BUCKET, bucket_end, bucket_totals, with_preceding
+from skyfare.sources.checkpoint import cut_lineage
 
 
 def extract_columns(df: DataFrame) -> DataFrame:
@@ -19,7 +20,8 @@ def drop_index_column(df: DataFrame, name: str = "Unnamed: 0") -> DataFrame:
 
 def systematic_sample(df: DataFrame, key: str = "leg_id", step: int = SAMPLE_STEP) -> DataFrame:
     """Rows 0, step, 2*step, ... in key order."""
-    placed = with_preceding(df, key, {"rows": F.lit(1)})
+    rows = {"rows": F.lit(1)}
+    placed = with_preceding(df, key, rows, bucket_totals(df, key, rows))
     return placed.where(F.col("rows_before") % step == 0).drop("rows_before")
 
 
@@ -32,12 +34,13 @@ def text_bytes(df: DataFrame) -> Column:
 def size_capped_extract(df: DataFrame, budget: int, key: str = "leg_id") -> DataFrame:
     """The first rows in key order, taken while the bytes before a row are within ``budget``.
 
-    A first narrow pass finds the last bucket that can contribute. Its end is a
-    filter on the key of the second pass, so rows far past the cap are not shuffled.
+    The pass over the buckets finds the last one that can contribute. Its end is a
+    literal in the second pass and reaches the scan, so what lies past the cap is
+    not read again.
     """
     weights = {"bytes": text_bytes(df)}
     near = bucket_totals(df, key, weights).where(F.col("bytes_before") <= budget)
-    last = near.agg(F.max("bucket").alias("b")).scalar()
+    last = near.agg(F.max("bucket")).first()[0]
     rows = with_preceding(df.where(F.col(key) < bucket_end(last)), key, weights, near)
     return rows.where(F.col("bytes_before") <= budget).drop("bytes_before")
 
@@ -52,10 +55,11 @@ def size_capped_chunks(
     totals = bucket_totals(df, key, weights)
     # the last chunk starts in a bucket within the budget and ends at most this far on
     within = totals.where(F.col("bytes_before") <= budget)
-    reach = within.agg((F.max("rows_before") + BUCKET + chunk_rows).alias("r")).scalar()
-    near = totals.where(F.col("rows_before") < reach)
-    last = near.agg(F.max("bucket").alias("b")).scalar()
+    reach = within.agg(F.max("rows_before") + BUCKET + chunk_rows).first()[0]
+    near = totals.where(F.col("rows_before") < F.lit(reach).cast("bigint"))
+    last = near.agg(F.max("bucket")).first()[0]
     rows = with_preceding(df.where(F.col(key) < bucket_end(last)), key, weights, near)
+    rows = cut_lineage(rows)  # about the budget in size, used twice
 
     starts = (F.col("rows_before") % chunk_rows == 0) & (F.col("bytes_before") <= budget)
     end = rows.where(starts).agg((F.max("rows_before") + chunk_rows).alias("e")).scalar()

@@ -1,6 +1,6 @@
 """Row filters over itineraries."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skyfare.functions.constants import (
@@ -26,19 +26,24 @@ def on_route(df: DataFrame, start: str, dest: str) -> DataFrame:
     return df.where((F.col("starting_airport") == start) & (F.col("destination_airport") == dest))
 
 
-def one_leg(df: DataFrame) -> DataFrame:
-    return df.where(~F.col("segments_airline_name").contains(SEGMENT_SEPARATOR))
+def is_one_leg() -> Column:
+    return ~F.col("segments_airline_name").contains(SEGMENT_SEPARATOR)
 
 
-def two_legs(df: DataFrame) -> DataFrame:
-    return df.where(F.col("segments_airline_name").rlike(TWO_LEGS))
+def is_two_legs() -> Column:
+    return F.col("segments_airline_name").rlike(TWO_LEGS)
 
 
-def three_legs(df: DataFrame) -> DataFrame:
-    return df.where(F.col("segments_airline_name").rlike(THREE_LEGS))
+def is_three_legs() -> Column:
+    return F.col("segments_airline_name").rlike(THREE_LEGS)
 
 
-LEG_FILTERS = {1: one_leg, 2: two_legs, 3: three_legs}
+LEG_TESTS = {1: is_one_leg, 2: is_two_legs, 3: is_three_legs}
+
+
+def with_legs(df: DataFrame, legs: int) -> DataFrame:
+    """Itineraries of one, two or three legs. Malformed and missing lists drop out."""
+    return df.where(LEG_TESTS[legs]())
 
 
 def airports_in(airports: DataFrame, codes: list[str] | None = None) -> DataFrame:

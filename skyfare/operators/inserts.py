@@ -20,8 +20,8 @@ def unseen_rows(incoming: DataFrame, existing: DataFrame) -> DataFrame:
 
 
 def insert_ignore(incoming: DataFrame, existing: DataFrame) -> DataFrame:
-    """The table after the insert."""
-    return existing.unionByName(unseen_rows(incoming, existing))
+    """The table after the insert. It holds no row twice, so this is the distinct union."""
+    return existing.unionByName(incoming.select(*existing.columns)).distinct()
 
 
 def append_unseen(spark: SparkSession, incoming: DataFrame, path: str) -> None:

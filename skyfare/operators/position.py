@@ -1,51 +1,68 @@
-"""Global positions and running totals without a global window.
+"""Global positions and running totals without a global window over the rows.
 
 A window over the whole table would pull every row into one task. Here the order
-key is cut into nested buckets. Totals are summed per bucket, running totals are
-taken level by level over the bucket totals, and the rows see only their own bucket.
-Every window is partitioned by a bucket of bounded size, and buckets are plain
-functions of the key, so a recomputed partition lands in the same place.
+key is cut into buckets of bounded size. Totals are summed per bucket in one narrow
+pass and stored; running totals are taken over the bucket totals; each row then looks
+only at its own bucket. Buckets are plain functions of the key, so a partition that
+is computed again gives the same rows the same place.
 """
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from skyfare.sources.checkpoint import cut_lineage
+
 # Values of an integral key per bucket; also the fan-out of the levels above.
 BUCKET = 10_000
 LEVELS = 3  # a bigint has under ten million buckets on the third level
 
+# Up to this many groups are small enough for one task.
+SINGLE_WINDOW_GROUPS = 1_000_000
+
 
 def preceding_totals(groups: DataFrame, levels: list[str], weights: list[str]) -> DataFrame:
-    """Totals of all groups that come before each group.
+    """Totals of all groups that come before each group: adds ``<weight>_before``.
 
-    ``groups`` has one row per value of the last level, with non-NULL level columns
-    from coarse to fine; a finer value belongs to one coarser value. Only the
-    coarsest level is windowed as a whole. Adds ``<weight>_before`` per weight.
+    ``groups`` is a stored frame with one row per value of the last level and non-NULL
+    level columns from coarse to fine; a finer value belongs to one coarser value.
+    The groups are counted: few are windowed at once, many level by level, where
+    only the coarsest level is windowed as a whole.
     """
-    *coarser, finest = levels
-    before = [f"{w}_before" for w in weights]
-    if coarser:
-        window = Window.partitionBy(coarser[-1]).orderBy(finest)
-    else:
-        window = Window.orderBy(finest)
+    if groups.count() <= SINGLE_WINDOW_GROUPS:
+        return _running(groups, None, levels[-1], weights)
+    return _by_level(groups, levels, weights)
+
+
+def _running(groups: DataFrame, parent: str | None, key: str, weights: list[str]) -> DataFrame:
+    window = Window.partitionBy(parent).orderBy(key) if parent else Window.orderBy(key)
     window = window.rowsBetween(Window.unboundedPreceding, -1)
-    local = groups.withColumns(
-        {b: F.coalesce(F.sum(w).over(window), F.lit(0)) for b, w in zip(before, weights)}
+    return groups.withColumns(
+        {f"{w}_before": F.coalesce(F.sum(w).over(window), F.lit(0)) for w in weights}
     )
-    if not coarser:
-        return local
 
+
+def _by_level(groups: DataFrame, levels: list[str], weights: list[str]) -> DataFrame:
+    *coarser, finest = levels
+    if not coarser:
+        return _running(groups, None, finest, weights)
+    before = [f"{w}_before" for w in weights]
     parents = groups.groupBy(*coarser).agg(*[F.sum(w).alias(w) for w in weights])
-    parents = preceding_totals(parents, coarser, weights).select(
+    parents = _by_level(parents, coarser, weights).select(
         coarser[-1], *[F.col(b).alias(f"parent_{b}") for b in before]
     )
+    local = _running(groups, coarser[-1], finest, weights)
     return local.join(parents, coarser[-1]).select(
         *groups.columns, *[(F.col(b) + F.col(f"parent_{b}")).alias(b) for b in before]
     )
 
 
-def _bucket(key: str, level: int) -> Column:
-    return F.expr(f"`{key}` div {BUCKET**level}")
+def bucket_of(key: str) -> Column:
+    return F.expr(f"`{key}` div {BUCKET}")
+
+
+def bucket_end(bucket: int | None) -> Column:
+    """First key past a bucket; NULL when there is no bucket."""
+    return F.lit(None if bucket is None else (bucket + 1) * BUCKET).cast("bigint")
 
 
 def bucket_totals(df: DataFrame, key: str, weights: dict[str, Column]) -> DataFrame:
@@ -53,41 +70,31 @@ def bucket_totals(df: DataFrame, key: str, weights: dict[str, Column]) -> DataFr
 
     Reads the key and the weights only. Columns: ``bucket``, ``<w>_before``.
     """
-    groups = df.groupBy(_bucket(key, 1).alias("bucket")).agg(
-        *[F.sum(c).alias(w) for w, c in weights.items()]
-    )
-    coarse = [f"level_{i}" for i in range(LEVELS, 1, -1)]
-    groups = groups.withColumns(
-        {
-            name: F.expr(f"bucket div {BUCKET ** (level - 1)}")
-            for name, level in zip(coarse, range(LEVELS, 1, -1))
-        }
+    groups = cut_lineage(
+        df.groupBy(bucket_of(key).alias("bucket")).agg(
+            *[F.sum(c).alias(w) for w, c in weights.items()]
+        )
     )
-    totals = preceding_totals(groups, [*coarse, "bucket"], list(weights))
+    coarse = {f"level_{i}": F.expr(f"bucket div {BUCKET ** (i - 1)}") for i in range(LEVELS, 1, -1)}
+    totals = preceding_totals(groups.withColumns(coarse), [*coarse, "bucket"], list(weights))
     return totals.select("bucket", *[f"{w}_before" for w in weights])
 
 
 def with_preceding(
-    df: DataFrame, key: str, weights: dict[str, Column], totals: DataFrame | None = None
+    df: DataFrame, key: str, weights: dict[str, Column], totals: DataFrame
 ) -> DataFrame:
     """Add ``<w>_before``: the total weight of all rows with a smaller key.
 
     ``key`` is an integral, non-NULL, unique column; a bucket then holds at most
     ``BUCKET`` rows. Rows whose bucket is not in ``totals`` drop out.
     """
-    totals = bucket_totals(df, key, weights) if totals is None else totals
     window = (
         Window.partitionBy("bucket").orderBy(key).rowsBetween(Window.unboundedPreceding, -1)
     )
-    rows = df.withColumn("bucket", _bucket(key, 1)).withColumns(
+    rows = df.withColumn("bucket", bucket_of(key)).withColumns(
         {f"{w}_local": F.coalesce(F.sum(c).over(window), F.lit(0)) for w, c in weights.items()}
     )
     return rows.join(totals, "bucket").select(
         *df.columns,
         *[(F.col(f"{w}_before") + F.col(f"{w}_local")).alias(f"{w}_before") for w in weights],
     )
-
-
-def bucket_end(bucket: Column) -> Column:
-    """First key past a bucket."""
-    return (bucket + 1) * BUCKET

@@ -7,6 +7,7 @@ from skyfare.functions.expr import duration_minutes, exact_avg
 from skyfare.operators.airports import period_column
 from skyfare.operators.filters import on_route
 from skyfare.operators.position import preceding_totals
+from skyfare.sources.checkpoint import cut_lineage
 
 ROUTE = ["starting_airport", "destination_airport"]
 
@@ -27,12 +28,12 @@ def avg_duration_by_route(df: DataFrame) -> DataFrame:
 def route_popularity(df: DataFrame) -> DataFrame:
     """Routes ranked by remaining seats: the fewer on average, the more popular.
 
-    The rank is one plus the number of routes with a smaller average. It is counted
-    over the distinct averages in nested buckets, so no task ranks all routes.
+    The rank is one plus the number of routes with a smaller average, counted over the
+    distinct averages. Routes without seat information have no rank.
     """
     seats = F.col("average_seats_remaining")
-    routes = df.groupBy(*ROUTE).agg(
-        exact_avg("seats_remaining").alias("average_seats_remaining")
+    routes = cut_lineage(
+        df.groupBy(*ROUTE).agg(exact_avg("seats_remaining").alias("average_seats_remaining"))
     )
     groups = (
         routes.where(seats.isNotNull())

@@ -4,7 +4,7 @@ A full build reads the itinerary table twice, each time into a small stored roll
 from which all ten tables follow:
 
 - ``route_days``: counts, sums and extremes per (start, destination, day)
-- ``carrier_routes``: highest fare per (airline combination, legs, start, destination)
+- ``carrier_routes``: highest fare per (airline combination, start, destination)
 
 Sums of decimals are exact, so a table made from a rollup equals the one made from
 the rows. Rollups are written tables, not cached blocks: a lost executor costs a
@@ -14,8 +14,8 @@ re-read, never a rebuild.
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyfare.functions.expr import exact_avg, fare_text, in_season, ratio
-from skyfare.operators.carriers import first_route
+from skyfare.functions.expr import exact_avg, fare_text, in_season, leg_count, ratio
+from skyfare.operators.carriers import carrier_routes, dearest
 from skyfare.operators.fares import rows_at
 from skyfare.operators.inserts import append_unseen
 
@@ -33,19 +33,6 @@ def route_days(df: DataFrame) -> DataFrame:
     )
 
 
-def carrier_routes(df: DataFrame) -> DataFrame:
-    return (
-        df.where(F.col("num_legs").isin(1, 2, 3) & F.col("base_fare").isNotNull())
-        .groupBy(
-            F.col("segments_airline_name").alias("airline_name"),
-            "num_legs",
-            "starting_airport",
-            "destination_airport",
-        )
-        .agg(F.max("base_fare").alias("base_fare"))
-    )
-
-
 def result_tables(
     days: DataFrame,
     carriers: DataFrame,
@@ -76,7 +63,7 @@ def result_tables(
     distance = ratio(F.sum("distance_sum"), F.sum("distances"))
 
     def top(legs: int) -> DataFrame:
-        return first_route(carriers.where(F.col("num_legs") == legs), -F.col("base_fare"))
+        return dearest(carriers.where(leg_count("airline_name") == legs))
 
     return {
         "average_flight_prices": season.agg(avg_fare.alias("fare")).select(
@@ -129,7 +116,7 @@ def build(
     By default each table is replaced, so a run on other data leaves no stale rows.
     ``ignore_known`` appends only unseen rows to tables that exist already.
     """
-    rollups = {"route_days": route_days(df), "carrier_routes": carrier_routes(df)}
+    rollups = {"route_days": route_days(df), "carrier_routes": carrier_routes(df, [1, 2, 3])}
     for name, rollup in rollups.items():
         rollup.write.mode("overwrite").parquet(f"{root}/rollups/{name}")
     days, carriers = (spark.read.parquet(f"{root}/rollups/{name}") for name in rollups)

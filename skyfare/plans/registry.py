@@ -102,23 +102,23 @@ def filter_season(spark, sf):
     return fi.season(trips, YEAR, SUMMER)
 
 
-def _leg_filter(spark, sf, keep):
-    return keep(itineraries(spark, sf, ["leg_id", AIRLINES, FARE]))
+def _with_legs(spark, sf, legs):
+    return fi.with_legs(itineraries(spark, sf, ["leg_id", AIRLINES, FARE]), legs)
 
 
 @query
 def filter_one_leg(spark, sf):
-    return _leg_filter(spark, sf, fi.one_leg)
+    return _with_legs(spark, sf, 1)
 
 
 @query
 def filter_two_leg(spark, sf):
-    return _leg_filter(spark, sf, fi.two_legs)
+    return _with_legs(spark, sf, 2)
 
 
 @query
 def filter_three_leg(spark, sf):
-    return _leg_filter(spark, sf, fi.three_legs)
+    return _with_legs(spark, sf, 3)
 
 
 @query
@@ -221,8 +221,8 @@ def top_distance_airports(spark, sf):
 # --- carriers ---------------------------------------------------------------
 
 
-def _top(spark, sf, legs):
-    return ca.top_fares(itineraries(spark, sf, CARRIER_COLUMNS, legs=[legs]), legs)
+def _top(spark, sf, *legs):
+    return ca.top_fares(itineraries(spark, sf, CARRIER_COLUMNS, legs=legs), *legs)
 
 
 @query
@@ -331,8 +331,7 @@ def path_weight(spark, sf):
 
 @query
 def route_fare_lookup(spark, sf):
-    both = _top(spark, sf, 2).unionByName(_top(spark, sf, 3))
-    return ro.route_fare_lookup(both, START, DEST)
+    return ro.route_fare_lookup(_top(spark, sf, 2, 3), START, DEST)
 
 
 # --- summaries --------------------------------------------------------------
@@ -383,9 +382,7 @@ def route_request_valid(spark, sf):
 
 @query
 def route_layover_difference(spark, sf):
-    trips = itineraries(spark, sf, CARRIER_COLUMNS, legs=[2, 3])
-    top = ca.top_fares(trips, 2).withColumn("num_legs", F.lit(2))
-    top = top.unionByName(ca.top_fares(trips, 3).withColumn("num_legs", F.lit(3)))
+    top = _top(spark, sf, 2, 3)
     return su.route_layover_difference(_requests(spark, sf), _layovers(spark, sf), top)
 
 

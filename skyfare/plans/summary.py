@@ -3,8 +3,9 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skyfare.functions.expr import layover_label, plain_text
+from skyfare.functions.expr import layover_label, leg_count, plain_text
 from skyfare.operators.routes import ROUTE, route_request_valid
+from skyfare.sources.checkpoint import cut_lineage
 
 BREAK = "<br>"
 
@@ -111,10 +112,11 @@ def route_layover_difference(
     """For each valid requested pair, the differences of its starting airport and the
     dearest fares found on the pair itself.
 
-    ``top_fares`` are the stored two- and three-leg results with ``num_legs``.
+    ``top_fares`` are the two- and three-leg results.
     """
+    layovers = cut_lineage(layovers)  # one row per airport, used twice
     valid = route_request_valid(requests, layovers)
-    legs, fare = F.col("num_legs"), F.col("base_fare")
+    legs, fare = leg_count("airline_name"), F.col("base_fare")
     pair = top_fares.groupBy(*ROUTE).agg(
         F.count_if(legs == 2).alias("one_layover_fares"),
         F.max(F.when(legs == 2, fare)).alias("one_layover_top_fare"),
@@ -154,6 +156,7 @@ def with_endpoints(routes: DataFrame, airports: DataFrame) -> DataFrame:
 
 def route_line(requests: DataFrame, layovers: DataFrame, airports: DataFrame) -> DataFrame:
     """Line and hover text for each valid requested pair."""
+    layovers = cut_lineage(layovers)  # one row per airport, used three times
     start = layovers.select("starting_airport", "one_layover_difference", "two_layover_difference")
     pairs = route_request_valid(requests, layovers).join(start, "starting_airport")
     between = [

@@ -12,9 +12,11 @@ threshold and shuffles otherwise, splitting skewed partitions.
 
 from collections.abc import Iterable
 from datetime import date
+from functools import cache
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from skyfare.functions.constants import SEGMENT_COLUMNS, SEGMENT_SEPARATOR
 from skyfare.functions.expr import in_date_range
@@ -35,27 +37,86 @@ COLUMNS = [
     "num_legs",
 ]
 
-# Segment columns besides the airline name: only the segment explosion asks for them.
-MORE_SEGMENTS = [c for c in SEGMENT_COLUMNS if c != "segments_airline_name"]
-
-_HUB_SECONDS = 6 * 3600  # legs of one itinerary leave this far apart
+_CODE = "concat('N', lpad(cast({} as string), 2, '0'))"
+
+
+def _joined(leg_value: str) -> str:
+    """``leg_value`` of every leg ``t`` as text, in leg order; a NULL keeps its place."""
+    return f"array_join(transform(trip, (t, i) -> {leg_value}), '{SEGMENT_SEPARATOR}', '')"
+
+
+def _clock(second: str) -> str:
+    day = f"date_from_unix_date(cast({second} div 86400 as int))"
+    hour = f"lpad(cast({second} % 86400 div 3600 as string), 2, '0')"
+    minute = f"lpad(cast({second} % 3600 div 60 as string), 2, '0')"
+    return f"concat(cast({day} as string), 'T', {hour}, ':', {minute})"
+
+
+# Legs of one itinerary leave six hours apart, the first at midnight.
+_LEAVES = "(unix_date(cast(o_orderdate as date)) * 86400L + i * 21600)"
+_SECONDS = "cast(t.l_quantity as int) * 300"
+_LANDS = f"({_LEAVES} + {_SECONDS})"
+_HOME = _CODE.format("c_nationkey")
+
+# Requested column -> expression over an order, its customer and the facts of its lines.
+_COLUMNS = {
+    "leg_id": "o_orderkey",
+    "flight_date": "cast(o_orderdate as date)",
+    "starting_airport": _HOME,
+    "destination_airport": _CODE.format("last_nation"),
+    "is_nonstop": "num_legs = 1",
+    "is_refundable": "o_orderstatus = 'F'",
+    "base_fare": "cast(o_totalprice as decimal(18,2))",
+    "total_fare": "cast(cast(o_totalprice as decimal(18,2)) + 4.50 * num_legs as decimal(18,2))",
+    "seats_remaining": "seats",
+    "travel_duration": "concat('PT', minutes div 60, 'H', minutes % 60, 'M')",
+    "total_travel_distance": "if(miles % 10 = 0, null, miles)",
+    "segments_airline_name": _joined("t.n_name"),
+    "num_legs": "num_legs",
+    "segments_departure_time_epoch_seconds": _joined(f"cast({_LEAVES} as string)"),
+    "segments_departure_time_raw": _joined(_clock(_LEAVES)),
+    "segments_arrival_time_epoch_seconds": _joined(f"cast({_LANDS} as string)"),
+    "segments_arrival_time_raw": _joined(_clock(_LANDS)),
+    "segments_departure_airport_code": _joined(
+        f"if(i = 0, {_HOME}, {_CODE.format('get(trip, i - 1).s_nationkey')})"
+    ),
+    "segments_arrival_airport_code": _joined(_CODE.format("t.s_nationkey")),
+    "segments_airline_code": _joined(_CODE.format("t.s_nationkey")),
+    "segments_equipment_description": _joined("t.p_type"),
+    "segments_duration_in_seconds": _joined(f"cast({_SECONDS} as string)"),
+    "segments_distance": _joined("cast(t.p_size as string)"),
+    "segments_cabin_code": _joined("t.l_returnflag"),
+}
+
+# Fact of an order's lines -> its aggregate and the columns made from it.
+_FACTS = {
+    "num_legs": ("cast(count(*) as int)", {"num_legs", "is_nonstop", "total_fare"}),
+    "seats": ("cast(min(l_quantity) as int)", {"seats_remaining"}),
+    "minutes": ("cast(sum(l_quantity) as int) + 30", {"travel_duration"}),
+    "miles": ("cast(sum(p_size) as int)", {"total_travel_distance"}),
+}
+_LISTS = set(SEGMENT_COLUMNS)
+_FROM_PART = {"total_travel_distance", "segments_distance", "segments_equipment_description"}
+_FROM_CUSTOMER = {"starting_airport", "segments_departure_airport_code"}
+
+
+@cache
+def _schema(path: str) -> StructType:
+    """A table's schema, read from its files once per process and not once per query."""
+    return SparkSession.active().read.parquet(path).schema
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def airport_code(nation_key: Column | str) -> Column:
-    return F.concat(F.lit("N"), F.lpad(F.col(nation_key).cast("string"), 2, "0"))
+    path = f"{sf_dir}/{name}.parquet"
+    return spark.read.schema(_schema(path)).parquet(path)
 
 
 def airports(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Airport dimension: iata, long, lat."""
-    key = F.col("n_nationkey")
-    return table(spark, sf_dir, "nation").select(
-        airport_code("n_nationkey").alias("iata"),
-        (key * 2 - 120).cast("double").alias("long"),
-        (key + 25).cast("double").alias("lat"),
+    return table(spark, sf_dir, "nation").selectExpr(
+        f"{_CODE.format('n_nationkey')} as iata",
+        "cast(2 * n_nationkey - 120 as double) as long",
+        "cast(n_nationkey + 25 as double) as lat",
     )
 
 
@@ -77,21 +138,18 @@ def itineraries(
     orders = table(spark, sf_dir, "orders")
     if dates is not None:
         orders = orders.where(in_date_range(F.to_date("o_orderdate"), *dates))
-    trips = _leg_facts(spark, sf_dir, want, legs, None if dates is None else orders)
-
-    if trips.columns == ["l_orderkey"]:
-        df = orders.join(trips, orders.o_orderkey == trips.l_orderkey, "left_semi")
-    else:
-        df = orders.join(trips, orders.o_orderkey == trips.l_orderkey)
-    if {"starting_airport", "segments_departure_airport_code"} & want:
-        customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-        df = df.join(customer, df.o_custkey == customer.c_custkey, "left")
+    trips = _trips(spark, sf_dir, want, legs, None if dates is None else orders)
 
-    made = _columns(df)
-    return df.select([made[c]().alias(c) for c in columns])
+    # with no fact to add, the lines only say which orders are itineraries
+    how = "left_semi" if trips.columns == ["l_orderkey"] else "inner"
+    df = orders.join(trips, F.expr("o_orderkey = l_orderkey"), how)
+    if want & _FROM_CUSTOMER:
+        customer = table(spark, sf_dir, "customer")
+        df = df.join(customer, F.expr("o_custkey = c_custkey"), "left")
+    return df.selectExpr(*[f"{_COLUMNS[c]} as {c}" for c in columns])
 
 
-def _leg_facts(
+def _trips(
     spark: SparkSession,
     sf_dir: str,
     want: set[str],
@@ -103,127 +161,44 @@ def _leg_facts(
     ``orders``, if given, is a selection of orders whose lines are enough.
     """
     lines = table(spark, sf_dir, "lineitem")
-    lists = bool({"segments_airline_name", *MORE_SEGMENTS} & want)
-    suppliers = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
+    suppliers = table(spark, sf_dir, "supplier")
+    of_supplier = F.expr("l_suppkey = s_suppkey")
 
     if legs is not None:
-        counted = (
-            lines.groupBy(F.col("l_orderkey").alias("k"))
-            .agg(F.count("*").alias("n"))
-            .where(F.col("n").isin(sorted(legs)))
-        )
-        lines = lines.join(counted, lines.l_orderkey == counted.k, "left_semi")
+        counts = lines.groupBy(F.col("l_orderkey").alias("k")).agg(F.count("*").alias("n"))
+        kept = counts.where(F.col("n").isin(sorted(legs)))
+        lines = lines.join(kept, F.expr("l_orderkey = k"), "left_semi")
     if orders is not None:
-        lines = lines.join(orders, lines.l_orderkey == orders.o_orderkey, "left_semi")
-
-    facts = {}
-    if {"num_legs", "is_nonstop", "total_fare"} & want:
-        facts["num_legs"] = F.count("*").cast("int")
-    if "seats_remaining" in want:
-        facts["seats"] = F.min("l_quantity").cast("int")
-    if "travel_duration" in want:
-        facts["minutes"] = F.sum("l_quantity").cast("int") + 30
-    if {"total_travel_distance", "segments_distance", "segments_equipment_description"} & want:
-        part = table(spark, sf_dir, "part").select("p_partkey", "p_size", "p_type")
-        lines = lines.join(part, lines.l_partkey == part.p_partkey, "left")
-        if "total_travel_distance" in want:
-            facts["miles"] = F.sum("p_size").cast("int")
-
-    place = [F.col("l_linenumber"), F.col("l_partkey"), F.col("l_suppkey")]
-    if lists:
-        # the nation table has a fixed number of rows, lines may shuffle on the supplier
-        nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-        lines = lines.join(suppliers, lines.l_suppkey == suppliers.s_suppkey, "left")
-        lines = lines.join(nation, lines.s_nationkey == nation.n_nationkey, "left")
-        leg = [*place, F.col("s_nationkey"), F.col("n_name")]
-        if set(MORE_SEGMENTS) & want:
-            leg = [*place, F.col("l_quantity"), F.col("l_returnflag"), *leg[3:]]
-            leg += [F.col(c) for c in ("p_size", "p_type") if c in lines.columns]
-        facts["trip"] = F.array_sort(F.collect_list(F.struct(*leg)))
+        lines = lines.join(orders, F.expr("l_orderkey = o_orderkey"), "left_semi")
+    if want & _FROM_PART:
+        part = table(spark, sf_dir, "part")
+        lines = lines.join(part, F.expr("l_partkey = p_partkey"), "left")
+
+    facts = [F.expr(f"{sql} as {name}") for name, (sql, uses) in _FACTS.items() if uses & want]
+    order = "l_linenumber, l_partkey, l_suppkey"
+    if want & _LISTS:
+        nation = table(spark, sf_dir, "nation")
+        lines = lines.join(suppliers, of_supplier, "left")
+        lines = lines.join(nation, F.expr("s_nationkey = n_nationkey"), "left")
+        leg = order
+        if want & (_LISTS - {"segments_airline_name"}):
+            leg += ", l_quantity, l_returnflag"
+        leg += ", s_nationkey, n_name"
+        if want & _LISTS & _FROM_PART:
+            leg += ", p_size, p_type"
+        # lists gain nothing from partial aggregation: shuffle the legs, not half-made lists
+        lines = lines.repartition("l_orderkey")
+        facts.append(F.expr(f"array_sort(collect_list(struct({leg}))) as trip"))
     elif "destination_airport" in want:
-        facts["last_leg"] = F.max(F.struct(*place))
-
-    keyed = lines.groupBy("l_orderkey")
+        facts.append(F.expr(f"max(struct({order})).l_suppkey as last_supplier"))
     if not facts:
         return lines.select("l_orderkey").distinct()
-    df = keyed.agg(*[f.alias(n) for n, f in facts.items()])
-    if lists:
-        return df.withColumn("last_nation", F.element_at("trip", -1).s_nationkey)
-    if "last_leg" in facts:
+
+    df = lines.groupBy("l_orderkey").agg(*facts)
+    if want & _LISTS:
+        return df.withColumn("last_nation", F.expr("element_at(trip, -1).s_nationkey"))
+    if "destination_airport" in want:
         # one lookup per itinerary, after the legs have been reduced to the last one
-        df = df.withColumn("last_supplier", F.col("last_leg.l_suppkey")).drop("last_leg")
-        df = df.join(suppliers, df.last_supplier == suppliers.s_suppkey, "left")
+        df = df.join(suppliers, F.expr("last_supplier = s_suppkey"), "left")
         return df.withColumnRenamed("s_nationkey", "last_nation")
     return df
-
-
-def _columns(df: DataFrame) -> dict:
-    """Column builders by name; only the requested ones are called."""
-
-    def joined(value) -> Column:
-        """``value(leg, index)`` of every leg as text, in leg order; a NULL keeps its place."""
-        return F.array_join(F.transform("trip", value), SEGMENT_SEPARATOR, "")
-
-    def epoch(i: Column) -> Column:
-        midnight = F.unix_date(F.to_date("o_orderdate")).cast("bigint") * 86400
-        return midnight + i.cast("bigint") * _HUB_SECONDS
-
-    def seconds(leg: Column) -> Column:
-        return leg.l_quantity.cast("int") * 300
-
-    def code(nation: Column) -> Column:
-        return F.concat(F.lit("N"), F.lpad(nation.cast("string"), 2, "0"))
-
-    def clock(second: Column) -> Column:
-        day = F.date_from_unix_date((second / 86400).cast("int"))
-        minute = ((second % 86400) / 60).cast("int")
-        return F.format_string(
-            "%sT%02d:%02d", day.cast("string"), (minute / 60).cast("int"), minute % 60
-        )
-
-    def previous_airport(leg: Column, i: Column) -> Column:
-        before = F.get(F.col("trip"), i - 1).s_nationkey
-        return F.when(i == 0, airport_code("c_nationkey")).otherwise(code(before))
-
-    fare = F.col("o_totalprice").cast("decimal(18,2)")
-    minutes, miles = F.col("minutes"), F.col("miles")
-    return {
-        "leg_id": lambda: F.col("o_orderkey"),
-        "flight_date": lambda: F.to_date("o_orderdate"),
-        "starting_airport": lambda: airport_code("c_nationkey"),
-        "destination_airport": lambda: airport_code("last_nation"),
-        "is_nonstop": lambda: F.col("num_legs") == 1,
-        "is_refundable": lambda: F.col("o_orderstatus") == "F",
-        "base_fare": lambda: fare,
-        "total_fare": lambda: (
-            fare + F.lit("4.50").cast("decimal(3,2)") * F.col("num_legs")
-        ).cast("decimal(18,2)"),
-        "seats_remaining": lambda: F.col("seats"),
-        "travel_duration": lambda: F.concat(
-            F.lit("PT"),
-            (minutes / 60).cast("int").cast("string"),
-            F.lit("H"),
-            (minutes % 60).cast("string"),
-            F.lit("M"),
-        ),
-        "total_travel_distance": lambda: F.when(miles % 10 != 0, miles),
-        "segments_airline_name": lambda: joined(lambda leg: leg.n_name),
-        "num_legs": lambda: F.col("num_legs"),
-        "segments_departure_time_epoch_seconds": lambda: joined(
-            lambda leg, i: epoch(i).cast("string")
-        ),
-        "segments_departure_time_raw": lambda: joined(lambda leg, i: clock(epoch(i))),
-        "segments_arrival_time_epoch_seconds": lambda: joined(
-            lambda leg, i: (epoch(i) + seconds(leg)).cast("string")
-        ),
-        "segments_arrival_time_raw": lambda: joined(
-            lambda leg, i: clock(epoch(i) + seconds(leg))
-        ),
-        "segments_departure_airport_code": lambda: joined(previous_airport),
-        "segments_arrival_airport_code": lambda: joined(lambda leg: code(leg.s_nationkey)),
-        "segments_airline_code": lambda: joined(lambda leg: code(leg.s_nationkey)),
-        "segments_equipment_description": lambda: joined(lambda leg: leg.p_type),
-        "segments_duration_in_seconds": lambda: joined(lambda leg: seconds(leg).cast("string")),
-        "segments_distance": lambda: joined(lambda leg: leg.p_size.cast("string")),
-        "segments_cabin_code": lambda: joined(lambda leg: leg.l_returnflag),
-    }
