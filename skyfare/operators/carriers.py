@@ -7,8 +7,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skyfare.functions.constants import SEGMENT_COLUMNS
-from skyfare.functions.expr import exact_avg, in_date_range, segment_list
-from skyfare.operators.filters import LEG_TESTS
+from skyfare.functions.expr import exact_avg, segment_list
+from skyfare.operators.filters import LEG_TESTS, departing
 
 
 def _airline() -> Column:
@@ -100,7 +100,7 @@ def avg_fare_by_airline(df: DataFrame, first: date, end: date) -> DataFrame:
     An itinerary counts once for each airline that flies a leg of it.
     """
     return (
-        df.where(in_date_range("flight_date", first, end))
+        departing(df, first, end)
         .select(
             F.explode(F.array_distinct(segment_list("segments_airline_name"))).alias(
                 "airline_name"

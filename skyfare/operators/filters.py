@@ -1,5 +1,7 @@
 """Row filters over itineraries."""
 
+from datetime import date, timedelta
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -9,7 +11,7 @@ from skyfare.functions.constants import (
     THREE_LEGS,
     TWO_LEGS,
 )
-from skyfare.functions.expr import in_season
+from skyfare.functions.expr import in_date_range, in_season, month_start
 
 
 def cast_flight_date(df: DataFrame) -> DataFrame:
@@ -17,9 +19,27 @@ def cast_flight_date(df: DataFrame) -> DataFrame:
     return df.withColumn("flight_date", F.col("flight_date").try_cast("date"))
 
 
+def departing(df: DataFrame, first: date, end: date) -> DataFrame:
+    """Flights in ``[first, end)``. Rows without a date drop out.
+
+    The range reaches the scan as it is; on a table partitioned by month it is
+    repeated on the partition column, so other months are not even listed.
+    """
+    keep = in_date_range("flight_date", first, end)
+    if "flight_month" in df.columns:
+        last = end - timedelta(days=1)
+        months = F.col("flight_month").between(
+            first.year * 100 + first.month, last.year * 100 + last.month
+        )
+        keep = months & keep
+    return df.where(keep)
+
+
 def season(df: DataFrame, year: int, months: list[int]) -> DataFrame:
-    """Flights of some months of one year. Rows without a date drop out."""
-    return df.where(in_season("flight_date", year, months))
+    """Flights of some months of one year."""
+    first, last = min(months), max(months)
+    span = departing(df, month_start(year, first), month_start(year, last + 1))
+    return span.where(in_season("flight_date", year, months))
 
 
 def on_route(df: DataFrame, start: str, dest: str) -> DataFrame:

@@ -381,8 +381,8 @@ FROM itineraries GROUP BY {ROUTE}""",
     + """SELECT starting_airport, destination_airport, cnt,
   CAST(cnt AS DOUBLE) / (SELECT max(cnt) FROM paths) AS weight,
   a.long AS start_lon, a.lat AS start_lat, b.long AS end_lon, b.lat AS end_lat
-FROM paths JOIN airports a ON a.iata = starting_airport
-JOIN airports b ON b.iata = destination_airport""",
+FROM paths LEFT JOIN airports a ON a.iata = starting_airport
+LEFT JOIN airports b ON b.iata = destination_airport""",
     "route_fare_lookup": with_(TOPS)
     + f"""SELECT {dbl('base_fare')} FROM (SELECT * FROM top2 UNION ALL SELECT * FROM top3)
 WHERE starting_airport = '{START}' AND destination_airport = '{DEST}'""",
@@ -413,8 +413,8 @@ FROM valid v JOIN layovers l ON l.starting_airport = v.starting_airport""",
   || '<br>Average 2-Layover Basefare Difference' || {BETWEEN} || {text('two_layover_difference')}
     AS hover_text
 FROM valid v JOIN layovers l ON l.starting_airport = v.starting_airport
-JOIN airports a ON a.iata = v.starting_airport
-JOIN airports b ON b.iata = v.destination_airport""",
+LEFT JOIN airports a ON a.iata = v.starting_airport
+LEFT JOIN airports b ON b.iata = v.destination_airport""",
     "mart_insert_ignore": with_(f"\ntop1 AS ({top(ONE)})")
     + f"""SELECT airline_name, starting_airport, destination_airport, {dbl('base_fare')} FROM (
   SELECT * FROM top1

@@ -140,7 +140,7 @@ def route_layover_difference(
 
 
 def with_endpoints(routes: DataFrame, airports: DataFrame) -> DataFrame:
-    """Positions of both ends of each route."""
+    """Positions of both ends of each route; a route to an unknown airport keeps its row."""
     start = airports.select(
         F.col("iata").alias("starting_airport"),
         F.col("long").alias("start_lon"),
@@ -151,7 +151,10 @@ def with_endpoints(routes: DataFrame, airports: DataFrame) -> DataFrame:
         F.col("long").alias("end_lon"),
         F.col("lat").alias("end_lat"),
     )
-    return routes.join(start, "starting_airport").join(end, "destination_airport")
+    located = routes.join(start, "starting_airport", "left").join(
+        end, "destination_airport", "left"
+    )
+    return located.select(*routes.columns, "start_lon", "start_lat", "end_lon", "end_lat")
 
 
 def route_line(requests: DataFrame, layovers: DataFrame, airports: DataFrame) -> DataFrame:

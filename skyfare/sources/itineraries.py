@@ -69,13 +69,14 @@ def write_csv(df: DataFrame, path: str) -> None:
 
 
 def write_lake(df: DataFrame, path: str) -> None:
-    """Parquet partitioned by flight month.
+    """Parquet partitioned by flight month, as a number like 202206.
 
     The rebalance hint sizes the files: small months share a task and a month that
     holds much of the data is split over several.
     """
+    month = F.year("flight_date") * 100 + F.month("flight_date")
     (
-        df.withColumn("flight_month", F.date_format("flight_date", "yyyy-MM"))
+        df.withColumn("flight_month", month)
         .hint("rebalance", F.col("flight_month"))
         .write.mode("overwrite")
         .partitionBy("flight_month")
@@ -84,15 +85,9 @@ def write_lake(df: DataFrame, path: str) -> None:
 
 
 def read_lake(spark: SparkSession, path: str) -> DataFrame:
-    # partition values are read as text, whatever they look like
     return spark.read.parquet(path)
 
 
-def lake_months(df: DataFrame, year: int, months: list[int]) -> DataFrame:
-    """Lake rows of some months; the listing prunes every other directory."""
-    return df.where(F.col("flight_month").isin([f"{year:04d}-{m:02d}" for m in months]))
-
-
 def chunk_union(*chunks: DataFrame) -> DataFrame:
     """Append chunks of one schema, keeping every copy."""
     return reduce(DataFrame.unionByName, chunks)

@@ -186,8 +186,10 @@ def _trips(
         leg += ", s_nationkey, n_name"
         if want & _LISTS & _FROM_PART:
             leg += ", p_size, p_type"
-        # lists gain nothing from partial aggregation: shuffle the legs, not half-made lists
-        lines = lines.repartition("l_orderkey")
+        if legs is None and orders is None:
+            # lists gain nothing from partial aggregation: shuffle the legs, not half-made
+            # lists; a selection above has partitioned its few legs by order already
+            lines = lines.repartition("l_orderkey")
         facts.append(F.expr(f"array_sort(collect_list(struct({leg}))) as trip"))
     elif "destination_airport" in want:
         facts.append(F.expr(f"max(struct({order})).l_suppkey as last_supplier"))
