@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skyfare.functions.constants import SEGMENT_COLUMNS
-from skyfare.functions.expr import exact_avg, segment_list
+from skyfare.functions.expr import exact_avg, leg_count, segment_list
 from skyfare.operators.filters import LEG_TESTS, departing
 
 
@@ -78,19 +78,21 @@ def carrier_dedupe(df: DataFrame) -> DataFrame:
     return first_route(cells)
 
 
-def layover_mean_fares(df: DataFrame) -> DataFrame:
+def carrier_maxima(df: DataFrame) -> DataFrame:
+    """Highest fare per airline combination, without the route it belongs to."""
+    return df.groupBy(_airline()).agg(F.max("base_fare").alias("base_fare"))
+
+
+def layover_mean_fares(dearest_fares: DataFrame) -> DataFrame:
     """Mean over the two-leg and over the three-leg table of dearest fares: one row.
 
-    Only the maxima matter, so both tables come from one pass over the airlines.
+    ``dearest_fares`` has one row per airline combination: the stored result tables, or
+    the maxima alone, which take one pass.
     """
-    best = (
-        df.where(F.col("num_legs").isin(2, 3))
-        .groupBy("segments_airline_name", "num_legs")
-        .agg(F.max("base_fare").alias("fare"))
-    )
-    return best.agg(
-        exact_avg(F.when(F.col("num_legs") == 2, F.col("fare"))).alias("one_layover_mean"),
-        exact_avg(F.when(F.col("num_legs") == 3, F.col("fare"))).alias("two_layover_mean"),
+    legs, fare = leg_count("airline_name"), F.col("base_fare")
+    return dearest_fares.agg(
+        exact_avg(F.when(legs == 2, fare)).alias("one_layover_mean"),
+        exact_avg(F.when(legs == 3, fare)).alias("two_layover_mean"),
     )
 
 

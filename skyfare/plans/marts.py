@@ -11,6 +11,8 @@ the rows. Rollups are written tables, not cached blocks: a lost executor costs a
 re-read, never a rebuild.
 """
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -117,20 +119,30 @@ def build(
     ``ignore_known`` appends only unseen rows to tables that exist already.
     """
     rollups = {"route_days": route_days(df), "carrier_routes": carrier_routes(df, [1, 2, 3])}
-    for name, rollup in rollups.items():
-        rollup.write.mode("overwrite").parquet(f"{root}/rollups/{name}")
-    days, carriers = (spark.read.parquet(f"{root}/rollups/{name}") for name in rollups)
 
+    def store_rollup(name: str) -> None:
+        rollups[name].write.mode("overwrite").parquet(f"{root}/rollups/{name}")
+
+    _together(store_rollup, rollups)
+    days, carriers = (spark.read.parquet(f"{root}/rollups/{name}") for name in rollups)
     tables = result_tables(days, carriers, year, months, route)
-    for name, table in tables.items():
-        path = mart_path(root, name)
+
+    def store(name: str) -> None:
         if ignore_known:
-            append_unseen(spark, table, path)
+            append_unseen(spark, tables[name], mart_path(root, name))
         else:
-            table.write.mode("overwrite").parquet(path)
+            tables[name].write.mode("overwrite").parquet(mart_path(root, name))
+
+    _together(store, tables)
     return read(spark, root, tables)
 
 
+def _together(store, names) -> None:
+    """Submit independent writes at the same time; small ones would leave the cluster idle."""
+    with ThreadPoolExecutor(max_workers=4) as pool:
+        list(pool.map(store, names))
+
+
 def read(spark: SparkSession, root: str, names) -> dict[str, DataFrame]:
     return {name: spark.read.parquet(mart_path(root, name)) for name in names}
 

@@ -18,6 +18,7 @@ from skyfare.operators import routes as ro
 from skyfare.operators import text as tx
 from skyfare.plans import summary as su
 from skyfare.sources import tables
+from skyfare.sources.checkpoint import cut_lineage
 from skyfare.sources.itineraries import chunk_union
 from skyfare.sources.tables import itineraries
 
@@ -251,8 +252,8 @@ def carrier_dedupe(spark, sf):
 
 
 def _means(spark, sf):
-    trips = itineraries(spark, sf, ["num_legs", AIRLINES, FARE], legs=[2, 3])
-    return ca.layover_mean_fares(trips)
+    trips = itineraries(spark, sf, [AIRLINES, FARE], legs=[2, 3])
+    return ca.layover_mean_fares(ca.carrier_maxima(trips))
 
 
 @query
@@ -382,8 +383,9 @@ def route_request_valid(spark, sf):
 
 @query
 def route_layover_difference(spark, sf):
-    top = _top(spark, sf, 2, 3)
-    return su.route_layover_difference(_requests(spark, sf), _layovers(spark, sf), top)
+    top = cut_lineage(_top(spark, sf, 2, 3))  # the stored tables, used for means and pairs
+    layovers = su.airport_layover_difference(_summary(spark, sf), ca.layover_mean_fares(top))
+    return su.route_layover_difference(_requests(spark, sf), layovers, top)
 
 
 @query

@@ -79,8 +79,10 @@ def test_against_brute_force(trips):
 def test_means_are_over_the_maxima(trips):
     df = trips([trip("A||B", 10), trip("A||B", 30), trip("B||A", 50), trip("A||A||A", 7),
                 trip("A", 1000)])
-    assert rows(carriers.layover_mean_fares(df)) == [(40.0, 7.0)]
-    assert rows(carriers.layover_mean_fares(trips([trip("A", 1)]))) == [(None, None)]
+    for tables in (carriers.carrier_maxima(df), carriers.top_fares(df, 2, 3)):
+        assert rows(carriers.layover_mean_fares(tables)) == [(40.0, 7.0)]
+    direct = carriers.carrier_maxima(trips([trip("A", 1)]))
+    assert rows(carriers.layover_mean_fares(direct)) == [(None, None)]
 
 
 def test_airline_counts_once_per_itinerary(trips):
