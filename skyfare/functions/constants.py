@@ -74,6 +74,16 @@ SEGMENT_COLUMNS = {
 
 SEGMENT_SEPARATOR = "||"
 
+# Columns read from the dimension files.
+AIRPORT_COLUMNS = {"iata": "string", "long": "double", "lat": "double"}
+PATH_COLUMNS = {
+    "cnt": "bigint",
+    "start_lon": "double",
+    "start_lat": "double",
+    "end_lon": "double",
+    "end_lat": "double",
+}
+
 # Leg-count patterns over the airline list.
 TWO_LEGS = r"^[^|]*\|{2}[^|]*$"
 THREE_LEGS = r"^([^|]*\|{2}[^|]*){2}$"

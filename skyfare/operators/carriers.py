@@ -3,7 +3,7 @@
 from datetime import date
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skyfare.functions.constants import SEGMENT_COLUMNS
@@ -56,16 +56,20 @@ def dearest(cells: DataFrame) -> DataFrame:
 def carrier_max_fare_join(df: DataFrame) -> DataFrame:
     """Every route on which an airline combination charges its highest fare.
 
-    The arg-max in join form, all ties kept: itineraries meet their airline's maximum
-    on (airline, fare). Equal itineraries are counted before they are shuffled, so a
-    fare shared by very many rows is one row in the join.
+    The rows of the self-join of itineraries with their airline's maximum, all ties
+    kept, from one pass. Equal itineraries are counted before they are shuffled, and
+    the filter on the rank drops all but each task's best before the second shuffle,
+    so neither a shared fare nor a large airline gathers in one task.
     """
-    priced = df.where(F.col("base_fare").isNotNull())
-    cells = priced.groupBy(_airline(), "starting_airport", "destination_airport", "base_fare").agg(
-        F.count("*").alias("num_itineraries")
+    cells = (
+        df.where(
+            F.col("segments_airline_name").isNotNull() & F.col("base_fare").isNotNull()
+        )
+        .groupBy(_airline(), "starting_airport", "destination_airport", "base_fare")
+        .agg(F.count("*").alias("num_itineraries"))
     )
-    best = priced.groupBy(_airline()).agg(F.max("base_fare").alias("base_fare"))
-    return cells.join(best, ["airline_name", "base_fare"])
+    by_fare = Window.partitionBy("airline_name").orderBy(F.col("base_fare").desc())
+    return cells.withColumn("place", F.rank().over(by_fare)).where("place = 1").drop("place")
 
 
 def carrier_dedupe(df: DataFrame) -> DataFrame:

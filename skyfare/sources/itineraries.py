@@ -5,7 +5,12 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyfare.functions.constants import SOURCE_ALIASES, SOURCE_COLUMNS
+from skyfare.functions.constants import (
+    AIRPORT_COLUMNS,
+    PATH_COLUMNS,
+    SOURCE_ALIASES,
+    SOURCE_COLUMNS,
+)
 from skyfare.functions.expr import leg_count
 
 _TYPES = dict(SOURCE_COLUMNS.values())
@@ -63,6 +68,21 @@ def count_rejects(spark: SparkSession, path: str | list[str]) -> DataFrame:
     )
 
 
+def read_airports_csv(spark: SparkSession, path: str) -> DataFrame:
+    """Airport dimension: code and position."""
+    return _read_typed(spark, path, AIRPORT_COLUMNS)
+
+
+def read_paths_csv(spark: SparkSession, path: str) -> DataFrame:
+    """Flight paths: how often each was flown and where it starts and ends."""
+    return _read_typed(spark, path, PATH_COLUMNS)
+
+
+def _read_typed(spark: SparkSession, path: str, columns: dict[str, str]) -> DataFrame:
+    raw = read_raw_csv(spark, path)
+    return raw.select([F.col(c).try_cast(t).alias(c) for c, t in columns.items()])
+
+
 def write_csv(df: DataFrame, path: str) -> None:
     """Header, no index column."""
     df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)

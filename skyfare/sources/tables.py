@@ -101,14 +101,14 @@ _FROM_CUSTOMER = {"starting_airport", "segments_departure_airport_code"}
 
 
 @cache
-def _schema(path: str) -> StructType:
-    """A table's schema, read from its files once per process and not once per query."""
-    return SparkSession.active().read.parquet(path).schema
+def _schema(spark: SparkSession, path: str) -> StructType:
+    """A table's schema, read from its files once per session and not once per query."""
+    return spark.read.parquet(path).schema
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     path = f"{sf_dir}/{name}.parquet"
-    return spark.read.schema(_schema(path)).parquet(path)
+    return spark.read.schema(_schema(spark, path)).parquet(path)
 
 
 def airports(spark: SparkSession, sf_dir: str) -> DataFrame:

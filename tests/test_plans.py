@@ -59,3 +59,8 @@ def test_windows_over_everything_are_only_over_stored_totals(no_broadcast):
         below = single.splitlines()[1:4]
         assert not any("FileScan" in line for line in below), name
         assert "Scan ExistingRDD" in single
+
+
+def test_best_fares_are_picked_before_the_shuffle(no_broadcast):
+    text = plan(QUERIES["carrier_max_fare_join"](no_broadcast, DATA))
+    assert re.search(r"WindowGroupLimit.*Partial", text)

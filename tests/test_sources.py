@@ -6,6 +6,7 @@ import pytest
 from skyfare.functions.constants import EXTRACT_COLUMNS, SOURCE_COLUMNS
 from skyfare.operators import carriers, extract, fares, filters
 from skyfare.operators.inserts import append_unseen, insert_ignore, unseen_rows
+from skyfare.operators.routes import path_weight
 from skyfare.plans.marts import jdbc_column_types
 from skyfare.sources import checkpoint, itineraries, tables
 from tests.conftest import rows
@@ -70,6 +71,20 @@ def test_singular_header_is_known(spark):
     assert itineraries.rename_source(df).columns == ["segments_departure_time_epoch_seconds"]
 
 
+def test_dimension_files(spark, tmp_path):
+    airports = tmp_path / "airports.csv"
+    airports.write_text("iata,airport,lat,long,cnt\nATL,Hartsfield,33.64,-84.43,9\nXXX,?,n/a,1,2\n")
+    assert rows(itineraries.read_airports_csv(spark, str(airports))) == [
+        ("ATL", -84.43, 33.64), ("XXX", 1.0, None)
+    ]
+    paths = tmp_path / "paths.csv"
+    paths.write_text(
+        "start_lat,start_lon,end_lat,end_lon,airline,cnt\n1,2,3,4,AA,40\n5,6,7,8,AA,10\n"
+    )
+    weighted = path_weight(itineraries.read_paths_csv(spark, str(paths)))
+    assert rows(weighted) == [(10, 6.0, 5.0, 8.0, 7.0, 0.25), (40, 2.0, 1.0, 4.0, 3.0, 1.0)]
+
+
 def test_union_keeps_copies(spark):
     a = spark.createDataFrame([(1, "x")], "id int, t string")
     b = spark.createDataFrame([("x", 1)], "t string, id int")
