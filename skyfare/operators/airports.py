@@ -70,21 +70,31 @@ def top_distance_airports(df: DataFrame, n: int = PREVIEW_ROWS) -> DataFrame:
     return avg_distance_by_airport(df).limit(n)
 
 
-def departure_profile(df: DataFrame, year: int, months: list[int]) -> DataFrame:
-    """Everything the airport summary needs from the departure side, in one pass.
+def airport_profile(df: DataFrame, year: int, months: list[int]) -> DataFrame:
+    """Departure and arrival figures of every airport with a flight in the season.
 
-    Season average, all-year cost, flights per day and distance come from a single
-    (airport, day) aggregate. An airport stays only if it has a flight in the season.
+    Each itinerary is counted at its start and at its destination, so season average,
+    all-year cost, flights per day, distance and the extremes of inbound fares come from
+    one pass: an (airport, day) aggregate for departures, one group per airport for
+    arrivals, then one row per airport.
     """
+    ends = df.selectExpr(
+        """stack(2,
+          starting_airport, true, flight_date, leg_id, base_fare, total_travel_distance, null,
+          destination_airport, false, null, null, null, null, base_fare
+        ) as (starting_airport, departs, flight_date, leg_id, fare, miles, inbound)"""
+    )
     daily = (
-        df.where(F.col("starting_airport").isNotNull())
-        .groupBy("starting_airport", "flight_date")
+        ends.where(F.col("starting_airport").isNotNull())
+        .groupBy("starting_airport", "departs", "flight_date")
         .agg(
             F.count("leg_id").alias("n"),
-            F.sum("base_fare").alias("fare"),
-            F.count("base_fare").alias("fares"),
-            F.sum("total_travel_distance").alias("miles"),
-            F.count("total_travel_distance").alias("distances"),
+            F.sum("fare").alias("fare"),
+            F.count("fare").alias("fares"),
+            F.sum("miles").alias("miles"),
+            F.count("miles").alias("distances"),
+            F.min("inbound").alias("min_inbound"),
+            F.max("inbound").alias("max_inbound"),
         )
     )
     summer = in_season("flight_date", year, months)
@@ -96,9 +106,13 @@ def departure_profile(df: DataFrame, year: int, months: list[int]) -> DataFrame:
                 ratio(F.sum(F.when(summer, F.col("fare"))), F.sum(F.when(summer, F.col("fares")))),
                 2,
             ).alias("average_base_fare"),
-            F.round(exact_avg("n")).cast("int").alias("average_flights_per_day"),
+            F.round(exact_avg(F.when(F.col("departs"), F.col("n"))))
+            .cast("int")
+            .alias("average_flights_per_day"),
             F.round(ratio(F.sum("fare"), F.sum("fares")), 2).alias("average_cost"),
             ratio(F.sum("miles"), F.sum("distances")).alias("average_travel_distance"),
+            F.min("min_inbound").alias("min_fare_inbound"),
+            F.max("max_inbound").alias("max_fare_inbound"),
         )
         .where("season_days > 0")
         .drop("season_days")

@@ -18,10 +18,16 @@ def drop_index_column(df: DataFrame, name: str = "Unnamed: 0") -> DataFrame:
     return df.drop(name)
 
 
-def systematic_sample(df: DataFrame, key: str = "leg_id", step: int = SAMPLE_STEP) -> DataFrame:
-    """Rows 0, step, 2*step, ... in key order."""
+def systematic_sample(
+    df: DataFrame, key: str = "leg_id", step: int = SAMPLE_STEP, keys: DataFrame | None = None
+) -> DataFrame:
+    """Rows 0, step, 2*step, ... in key order.
+
+    ``keys`` may name a cheaper frame with the same keys, for the pass that counts them.
+    """
     rows = {"rows": F.lit(1)}
-    placed = with_preceding(df, key, rows, bucket_totals(df, key, rows))
+    totals = bucket_totals(df if keys is None else keys, key, rows)
+    placed = with_preceding(df, key, rows, totals)
     return placed.where(F.col("rows_before") % step == 0).drop("rows_before")
 
 

@@ -63,7 +63,8 @@ def extract_columns(spark, sf):
 
 @query
 def systematic_sample(spark, sf):
-    return ex.systematic_sample(ex.extract_columns(itineraries(spark, sf)))
+    trips = ex.extract_columns(itineraries(spark, sf))
+    return ex.systematic_sample(trips, keys=itineraries(spark, sf, ["leg_id"]))
 
 
 @query
@@ -341,11 +342,10 @@ def route_fare_lookup(spark, sf):
 
 
 def _summary(spark, sf):
-    departing = itineraries(
-        spark, sf, ["leg_id", ORIGIN, "flight_date", FARE, "total_travel_distance"]
+    trips = itineraries(
+        spark, sf, ["leg_id", *ROUTE, "flight_date", FARE, "total_travel_distance"]
     )
-    departures = ap.departure_profile(departing, YEAR, SUMMER)
-    return su.airport_summary(departures, fa.dest_fare_stats(_into(spark, sf)))
+    return ap.airport_profile(trips, YEAR, SUMMER)
 
 
 def _season_airports(spark, sf):

@@ -3,6 +3,7 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from skyfare.functions.constants import MISSING_TEXT
 from skyfare.functions.expr import layover_label, leg_count, plain_text
 from skyfare.operators.routes import ROUTE, route_request_valid
 from skyfare.sources.checkpoint import cut_lineage
@@ -22,9 +23,10 @@ def departures_from_marts(
 
 
 def airport_summary(departures: DataFrame, arrivals: DataFrame) -> DataFrame:
-    """One row per airport with a season average.
+    """One row per airport with a season average, by left joins of stored results.
 
-    The extremes are those of flights into the airport, hence ``inbound``.
+    The extremes are those of flights into the airport, hence ``inbound``. The same
+    frame comes straight from itineraries in ``airports.airport_profile``.
     """
     inbound = (
         arrivals.drop("average_base_fare", "average_base_fare_text")
@@ -68,36 +70,52 @@ def airport_layover_difference(summary: DataFrame, means: DataFrame) -> DataFram
     )
 
 
+def as_text(df: DataFrame) -> DataFrame:
+    """Every column as display text: fractions to the cent, missing values spelled out."""
+
+    def shown(name: str, kind: str) -> Column:
+        if kind == "double" or kind.startswith("decimal"):
+            return plain_text(name).alias(name)
+        return F.coalesce(F.col(name).cast("string"), F.lit(MISSING_TEXT)).alias(name)
+
+    return df.select([shown(name, kind) for name, kind in df.dtypes])
+
+
 def airport_map_points(layovers: DataFrame, airports: DataFrame) -> DataFrame:
     """Map markers: code, position and hover text, by code.
 
     Text and position meet on the code. An airport without a summary keeps its
     marker and has no text.
     """
-
-    def money(column: str) -> list[Column]:
-        return [F.lit("$"), plain_text(column)]
-
-    def layover(name: str) -> list[Column]:
-        return [*money(f"{name}_difference"), F.lit(", "), F.col(f"{name}_label")]
-
-    count = F.col("average_flights_per_day")
-    lines = [
-        ("Airport: ", [F.col("starting_airport")]),
-        ("Avg Basefare: ", money("average_base_fare")),
-        ("Avg Cost of Flight: ", money("average_cost")),
-        ("Avg Amount of Flights per Day: ", [plain_text(count, 0)]),
-        ("Avg Travel Distance: ", [plain_text("average_travel_distance"), F.lit(" Miles")]),
-        ("Min Basefare: ", money("min_fare_inbound")),
-        ("Max Basefare: ", money("max_fare_inbound")),
-        ("Avg Layover Basefare Difference: ", layover("one_layover")),
-        ("Avg 2-Layover Basefare Difference: ", layover("two_layover")),
-    ]
-    parts = []
-    for i, (title, values) in enumerate(lines):
-        parts += [F.lit(BREAK + title if i else title), *values]
-    texts = layovers.select(
-        F.col("starting_airport").alias("iata"), F.concat(*parts).alias("hover_text")
+    hover = BREAK.join(
+        [
+            "Airport: %s",
+            "Avg Basefare: $%s",
+            "Avg Cost of Flight: $%s",
+            "Avg Amount of Flights per Day: %s",
+            "Avg Travel Distance: %s Miles",
+            "Min Basefare: $%s",
+            "Max Basefare: $%s",
+            "Avg Layover Basefare Difference: $%s, %s",
+            "Avg 2-Layover Basefare Difference: $%s, %s",
+        ]
+    )
+    texts = as_text(layovers).select(
+        F.col("starting_airport").alias("iata"),
+        F.format_string(
+            hover,
+            "starting_airport",
+            "average_base_fare",
+            "average_cost",
+            "average_flights_per_day",
+            "average_travel_distance",
+            "min_fare_inbound",
+            "max_fare_inbound",
+            "one_layover_difference",
+            "one_layover_label",
+            "two_layover_difference",
+            "two_layover_label",
+        ).alias("hover_text"),
     )
     return (
         airports.join(texts, "iata", "left")
@@ -162,19 +180,11 @@ def route_line(requests: DataFrame, layovers: DataFrame, airports: DataFrame) ->
     layovers = cut_lineage(layovers)  # one row per airport, used three times
     start = layovers.select("starting_airport", "one_layover_difference", "two_layover_difference")
     pairs = route_request_valid(requests, layovers).join(start, "starting_airport")
-    between = [
-        F.lit(" Between "),
-        F.col("starting_airport"),
-        F.lit(" and "),
-        F.col("destination_airport"),
-        F.lit(": $"),
-    ]
-    text = F.concat(
-        F.lit("Average Layover Basefare Difference"),
-        *between,
+    between = "Layover Basefare Difference Between %1$s and %2$s: $"
+    text = F.format_string(
+        f"Average {between}%3$s{BREAK}Average 2-{between}%4$s",
+        *ROUTE,
         plain_text("one_layover_difference"),
-        F.lit(BREAK + "Average 2-Layover Basefare Difference"),
-        *between,
         plain_text("two_layover_difference"),
     )
     return with_endpoints(pairs, airports).select(

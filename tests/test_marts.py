@@ -49,9 +49,7 @@ def test_summary_from_stored_tables(df, built):
         stored["average_flight_prices"], stored["starting_flights"], stored["travel_distance"]
     )
     from_marts = summary.airport_summary(departures, stored["min_max_flights"])
-    once = summary.airport_summary(
-        airports.departure_profile(df, 2000, [6, 7, 8]), fares.dest_fare_stats(df)
-    )
+    once = airports.airport_profile(df, 2000, [6, 7, 8])
     assert rows(from_marts.select(*once.columns)) == rows(once)
 
 
