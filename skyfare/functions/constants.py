@@ -104,6 +104,24 @@ LAYOVER_DEARER = "Layovers More Expensive"
 # Text shown for a missing number.
 MISSING_TEXT = "nan"
 
+# Hover text of an airport, one line per entry, and of a requested route.
+LINE_BREAK = "<br>"
+AIRPORT_HOVER = [
+    "Airport: %s",
+    "Avg Basefare: $%s",
+    "Avg Cost of Flight: $%s",
+    "Avg Amount of Flights per Day: %s",
+    "Avg Travel Distance: %s Miles",
+    "Min Basefare: $%s",
+    "Max Basefare: $%s",
+    "Avg Layover Basefare Difference: $%s, %s",
+    "Avg 2-Layover Basefare Difference: $%s, %s",
+]
+ROUTE_HOVER = [
+    "Average Layover Basefare Difference Between %1$s and %2$s: $%3$s",
+    "Average 2-Layover Basefare Difference Between %1$s and %2$s: $%4$s",
+]
+
 # Rows shown by a preview.
 PREVIEW_ROWS = 20
 

@@ -33,9 +33,9 @@ def fare_text(c: Column | str) -> Column:
     return F.format_number(_col(c), 2)
 
 
-def plain_text(c: Column | str, scale: int = 2) -> Column:
-    """A number as fixed-point text without commas; missing values are spelled out."""
-    return F.coalesce(_col(c).cast(f"decimal(18,{scale})").cast("string"), F.lit(MISSING_TEXT))
+def plain_text(c: Column | str) -> Column:
+    """A number to two decimals, without commas; missing values are spelled out."""
+    return F.coalesce(_col(c).cast("decimal(18,2)").cast("string"), F.lit(MISSING_TEXT))
 
 
 def leg_count(airlines: Column | str) -> Column:

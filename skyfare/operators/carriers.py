@@ -62,9 +62,7 @@ def carrier_max_fare_join(df: DataFrame) -> DataFrame:
     so neither a shared fare nor a large airline gathers in one task.
     """
     cells = (
-        df.where(
-            F.col("segments_airline_name").isNotNull() & F.col("base_fare").isNotNull()
-        )
+        df.where(F.col("segments_airline_name").isNotNull() & F.col("base_fare").isNotNull())
         .groupBy(_airline(), "starting_airport", "destination_airport", "base_fare")
         .agg(F.count("*").alias("num_itineraries"))
     )

@@ -207,8 +207,9 @@ MONTH = "date_trunc('month', flight_date)"
 SEGMENTS = f"""
 WITH segments AS (
   SELECT o_orderkey AS leg_id,
-         row_number() OVER w - 1 AS i,
-         CAST(epoch(CAST(o_orderdate AS DATE)) AS BIGINT) AS midnight,
+         row_number() OVER w AS segment_no,
+         CAST(epoch(CAST(l_shipdate AS DATE)) AS BIGINT) + l_linenumber * 3600
+           AS departure_epoch,
          CAST(l_quantity AS INTEGER) * 300 AS duration_seconds,
          'N' || lpad(CAST(s_nationkey AS VARCHAR), 2, '0') AS arrival_airport,
          'N' || lpad(CAST(c_nationkey AS VARCHAR), 2, '0') AS home,
@@ -222,14 +223,13 @@ WITH segments AS (
   LEFT JOIN part ON l_partkey = p_partkey
   WINDOW w AS (PARTITION BY o_orderkey ORDER BY {LEG_ORDER}, l_quantity, l_returnflag)
 )
-SELECT leg_id, CAST(i + 1 AS INTEGER) AS segment_no,
-       midnight + i * 21600 AS departure_epoch,
-       strftime(make_timestamp((midnight + i * 21600) * 1000000), '%Y-%m-%dT%H:%M')
-         AS departure_time,
-       midnight + i * 21600 + duration_seconds AS arrival_epoch,
-       strftime(make_timestamp((midnight + i * 21600 + duration_seconds) * 1000000),
+SELECT leg_id, CAST(segment_no AS INTEGER) AS segment_no,
+       departure_epoch,
+       strftime(make_timestamp(departure_epoch * 1000000), '%Y-%m-%dT%H:%M') AS departure_time,
+       departure_epoch + duration_seconds AS arrival_epoch,
+       strftime(make_timestamp((departure_epoch + duration_seconds) * 1000000),
          '%Y-%m-%dT%H:%M') AS arrival_time,
-       coalesce(lag(arrival_airport) OVER (PARTITION BY leg_id ORDER BY i), home)
+       coalesce(lag(arrival_airport) OVER (PARTITION BY leg_id ORDER BY segment_no), home)
          AS departure_airport,
        arrival_airport, airline_name, arrival_airport AS airline_code, equipment,
        duration_seconds, distance, cabin_code

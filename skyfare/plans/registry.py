@@ -44,8 +44,8 @@ def query(f: Query) -> Query:
         df = f(spark, sf_dir)
         return df.select(
             [
-                F.col(f"`{c}`").cast("double").alias(c) if t.startswith("decimal") else F.col(f"`{c}`")
-                for c, t in df.dtypes
+                F.col(c).cast("double").alias(c) if kind.startswith("decimal") else F.col(c)
+                for c, kind in df.dtypes
             ]
         )
 

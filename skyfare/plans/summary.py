@@ -3,13 +3,11 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skyfare.functions.constants import MISSING_TEXT
+from skyfare.functions.constants import AIRPORT_HOVER, LINE_BREAK, MISSING_TEXT, ROUTE_HOVER
 from skyfare.functions.expr import layover_label, leg_count, plain_text
 from skyfare.operators.routes import ROUTE, route_request_valid
 from skyfare.sources.checkpoint import cut_lineage
 
-BREAK = "<br>"
-
 
 def departures_from_marts(
     avg_fares: DataFrame, starting_flights: DataFrame, travel_distance: DataFrame
@@ -87,23 +85,10 @@ def airport_map_points(layovers: DataFrame, airports: DataFrame) -> DataFrame:
     Text and position meet on the code. An airport without a summary keeps its
     marker and has no text.
     """
-    hover = BREAK.join(
-        [
-            "Airport: %s",
-            "Avg Basefare: $%s",
-            "Avg Cost of Flight: $%s",
-            "Avg Amount of Flights per Day: %s",
-            "Avg Travel Distance: %s Miles",
-            "Min Basefare: $%s",
-            "Max Basefare: $%s",
-            "Avg Layover Basefare Difference: $%s, %s",
-            "Avg 2-Layover Basefare Difference: $%s, %s",
-        ]
-    )
     texts = as_text(layovers).select(
         F.col("starting_airport").alias("iata"),
         F.format_string(
-            hover,
+            LINE_BREAK.join(AIRPORT_HOVER),
             "starting_airport",
             "average_base_fare",
             "average_cost",
@@ -180,9 +165,8 @@ def route_line(requests: DataFrame, layovers: DataFrame, airports: DataFrame) ->
     layovers = cut_lineage(layovers)  # one row per airport, used three times
     start = layovers.select("starting_airport", "one_layover_difference", "two_layover_difference")
     pairs = route_request_valid(requests, layovers).join(start, "starting_airport")
-    between = "Layover Basefare Difference Between %1$s and %2$s: $"
     text = F.format_string(
-        f"Average {between}%3$s{BREAK}Average 2-{between}%4$s",
+        LINE_BREAK.join(ROUTE_HOVER),
         *ROUTE,
         plain_text("one_layover_difference"),
         plain_text("two_layover_difference"),

@@ -40,9 +40,9 @@ COLUMNS = [
 _CODE = "concat('N', lpad(cast({} as string), 2, '0'))"
 
 
-def _joined(leg_value: str) -> str:
-    """``leg_value`` of every leg ``t`` as text, in leg order; a NULL keeps its place."""
-    return f"array_join(transform(trip, (t, i) -> {leg_value}), '{SEGMENT_SEPARATOR}', '')"
+def _joined(texts: str) -> str:
+    """An array of texts, one per leg in leg order, as a list; a NULL keeps its place."""
+    return f"array_join({texts}, '{SEGMENT_SEPARATOR}', '')"
 
 
 def _clock(second: str) -> str:
@@ -52,10 +52,26 @@ def _clock(second: str) -> str:
     return f"concat(cast({day} as string), 'T', {hour}, ':', {minute})"
 
 
-# Legs of one itinerary leave six hours apart, the first at midnight.
-_LEAVES = "(unix_date(cast(o_orderdate as date)) * 86400L + i * 21600)"
-_SECONDS = "cast(t.l_quantity as int) * 300"
+# A leg leaves on its ship date, at the hour of its line number.
+_LEAVES = "(unix_date(cast(l_shipdate as date)) * 86400L + l_linenumber * 3600)"
+_SECONDS = "cast(l_quantity as int) * 300"
 _LANDS = f"({_LEAVES} + {_SECONDS})"
+
+# Segment column -> text of one leg, over a line with its supplier, nation and part.
+_LEG_TEXTS = {
+    "segments_airline_name": "n_name",
+    "segments_airline_code": _CODE.format("s_nationkey"),
+    "segments_arrival_airport_code": _CODE.format("s_nationkey"),
+    "segments_departure_time_epoch_seconds": f"cast({_LEAVES} as string)",
+    "segments_departure_time_raw": _clock(_LEAVES),
+    "segments_arrival_time_epoch_seconds": f"cast({_LANDS} as string)",
+    "segments_arrival_time_raw": _clock(_LANDS),
+    "segments_equipment_description": "p_type",
+    "segments_duration_in_seconds": f"cast({_SECONDS} as string)",
+    "segments_distance": "cast(p_size as string)",
+    "segments_cabin_code": "l_returnflag",
+}
+
 _HOME = _CODE.format("c_nationkey")
 
 # Requested column -> expression over an order, its customer and the facts of its lines.
@@ -71,21 +87,12 @@ _COLUMNS = {
     "seats_remaining": "seats",
     "travel_duration": "concat('PT', minutes div 60, 'H', minutes % 60, 'M')",
     "total_travel_distance": "if(miles % 10 = 0, null, miles)",
-    "segments_airline_name": _joined("t.n_name"),
     "num_legs": "num_legs",
-    "segments_departure_time_epoch_seconds": _joined(f"cast({_LEAVES} as string)"),
-    "segments_departure_time_raw": _joined(_clock(_LEAVES)),
-    "segments_arrival_time_epoch_seconds": _joined(f"cast({_LANDS} as string)"),
-    "segments_arrival_time_raw": _joined(_clock(_LANDS)),
+    # a leg departs where the one before it has landed
     "segments_departure_airport_code": _joined(
-        f"if(i = 0, {_HOME}, {_CODE.format('get(trip, i - 1).s_nationkey')})"
+        f"concat(array({_HOME}), slice(trip.segments_arrival_airport_code, 1, size(trip) - 1))"
     ),
-    "segments_arrival_airport_code": _joined(_CODE.format("t.s_nationkey")),
-    "segments_airline_code": _joined(_CODE.format("t.s_nationkey")),
-    "segments_equipment_description": _joined("t.p_type"),
-    "segments_duration_in_seconds": _joined(f"cast({_SECONDS} as string)"),
-    "segments_distance": _joined("cast(t.p_size as string)"),
-    "segments_cabin_code": _joined("t.l_returnflag"),
+    **{c: _joined(f"trip.{c}") for c in _LEG_TEXTS},
 }
 
 # Fact of an order's lines -> its aggregate and the columns made from it.
@@ -180,16 +187,17 @@ def _trips(
         nation = table(spark, sf_dir, "nation")
         lines = lines.join(suppliers, of_supplier, "left")
         lines = lines.join(nation, F.expr("s_nationkey = n_nationkey"), "left")
-        leg = order
-        if want & (_LISTS - {"segments_airline_name"}):
-            leg += ", l_quantity, l_returnflag"
-        leg += ", s_nationkey, n_name"
-        if want & _LISTS & _FROM_PART:
-            leg += ", p_size, p_type"
         if legs is None and orders is None:
             # lists gain nothing from partial aggregation: shuffle the legs, not half-made
             # lists; a selection above has partitioned its few legs by order already
             lines = lines.repartition("l_orderkey")
+        texts = [c for c in _LEG_TEXTS if c in want]
+        if "segments_departure_airport_code" in want:
+            texts = sorted({*texts, "segments_arrival_airport_code"})
+        if want & (_LISTS - {"segments_airline_name"}):
+            order += ", l_quantity, l_returnflag"
+        leg = ", ".join([order, "s_nationkey", *texts])
+        lines = lines.withColumns({c: F.expr(_LEG_TEXTS[c]) for c in texts})
         facts.append(F.expr(f"array_sort(collect_list(struct({leg}))) as trip"))
     elif "destination_airport" in want:
         facts.append(F.expr(f"max(struct({order})).l_suppkey as last_supplier"))
