@@ -73,7 +73,9 @@ def test_singular_header_is_known(spark):
 
 def test_dimension_files(spark, tmp_path):
     airports = tmp_path / "airports.csv"
-    airports.write_text("iata,airport,lat,long,cnt\nATL,Hartsfield,33.64,-84.43,9\nXXX,?,n/a,1,2\n")
+    airports.write_text(
+        "iata,airport,lat,long,cnt\nATL,Hartsfield,33.64,-84.43,9\nXXX,?,n/a,1,2\n"
+    )
     assert rows(itineraries.read_airports_csv(spark, str(airports))) == [
         ("ATL", -84.43, 33.64), ("XXX", 1.0, None)
     ]

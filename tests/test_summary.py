@@ -99,7 +99,8 @@ def test_map_text_belongs_to_its_airport(spark, trips):
 
 
 def test_requested_routes(spark, trips):
-    df, _, layovers = frames(trips, TRIPS + [trip("A", "B", 40, "X||Z"), trip("A", "B", 60, "Z||Z")])
+    more = [trip("A", "B", 40, "X||Z"), trip("A", "B", 60, "Z||Z")]
+    df, _, layovers = frames(trips, TRIPS + more)
     requests = spark.createDataFrame(
         [("A", "B"), ("B", "A"), ("A", "Q"), ("C", "A")],
         "starting_airport string, destination_airport string",
