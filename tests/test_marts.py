@@ -1,8 +1,9 @@
 import pytest
 
+from skyfare.functions.constants import SOURCE_COLUMNS
 from skyfare.operators import airports, carriers, fares
 from skyfare.plans import marts, summary
-from skyfare.sources import tables
+from skyfare.sources import itineraries, tables
 from tests.conftest import rows
 
 DATA = "/root/testdata/sf0.001"
@@ -53,6 +54,21 @@ def test_summary_from_stored_tables(df, built):
     assert rows(from_marts.select(*once.columns)) == rows(once)
 
 
+def test_from_csv_over_the_lake_to_tables(spark, df, built, tmp_path):
+    _, expected = built
+    names = {engine: source for source, (engine, _) in SOURCE_COLUMNS.items()}
+    source = df.drop("num_legs")
+    itineraries.write_csv(source.toDF(*[names[c] for c in source.columns]), f"{tmp_path}/csv")
+    typed = itineraries.read_itineraries_csv(spark, f"{tmp_path}/csv")
+    itineraries.write_lake(typed, f"{tmp_path}/lake")
+    lake = itineraries.read_lake(spark, f"{tmp_path}/lake")
+    assert rows(lake.groupBy("num_legs").count()) == rows(df.groupBy("num_legs").count())
+
+    stored = marts.build(spark, lake, str(tmp_path), **RUN)
+    for name, frame in expected.items():
+        assert marts.differences(frame, stored[name]).count() == 0, name
+
+
 def test_replacing_leaves_no_stale_rows(spark, df, tmp_path):
     root = str(tmp_path)
     marts.build(spark, df, root, **RUN)
