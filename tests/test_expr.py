@@ -1,3 +1,5 @@
+import itertools
+import re
 from datetime import date
 from decimal import Decimal
 
@@ -5,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from skyfare.functions import expr
+from skyfare.functions.constants import THREE_LEGS, TWO_LEGS
 from skyfare.operators import filters
 from tests.conftest import rows
 
@@ -31,6 +34,20 @@ def test_leg_filters_agree_with_leg_count(lists):
         assert rows(filters.with_legs(lists, legs)) == expected
 
 
+def test_leg_filters_against_the_patterns(spark):
+    texts = ["".join(t) for n in range(9) for t in itertools.product("A|", repeat=n)]
+    df = spark.createDataFrame([(t,) for t in texts], "segments_airline_name string")
+    expected = {
+        1: [t for t in texts if "||" not in t],
+        2: [t for t in texts if re.fullmatch(TWO_LEGS, t)],
+        3: [t for t in texts if re.fullmatch(THREE_LEGS, t)],
+    }
+    counts = dict(df.select("*", expr.leg_count("segments_airline_name")).collect())
+    for legs, kept in expected.items():
+        assert rows(filters.with_legs(df, legs)) == sorted((t,) for t in kept)
+        assert sorted(t for t, n in counts.items() if n == legs) == sorted(kept)
+
+
 def test_duration_minutes(spark):
     texts = {
         "PT2H29M": 149, "PT45M": 45, "PT3H": 180, "P1DT2H5M": 1565, "P2D": 2880, "PT0H5M": 5,
