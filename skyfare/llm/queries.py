@@ -17,5 +17,23 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
-QUERIES = {"op9_token_counts": op9_token_counts}
+def op7_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from skyfare.llm.fingerprints import edited_by_next
+
+    return edited_by_next(table(spark, sf_dir, "documents"))
+
+
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from skyfare.llm.quality import judged
+
+    rows = judged(table(spark, sf_dir, "documents"), ["doc_id"])
+    shown = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "distance")
+    return rows.select("doc_id", *[f"quality.{c}" for c in shown])
+
+
+QUERIES = {
+    "op7_document_fingerprints": op7_document_fingerprints,
+    "op9_token_counts": op9_token_counts,
+    "op10_quality_rules": op10_quality_rules,
+}
 ORACLE: dict[str, str] = {}
