@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from skyfare.llm import url_filters
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -17,6 +19,16 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from skyfare.llm.ngram_join import joined
+
+    return joined(table(spark, sf_dir, "documents"))
+
+
+def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filters.judged(table(spark, sf_dir, "pages").select("page_id", "url")).drop("url")
+
+
 def op7_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     from skyfare.llm.fingerprints import edited_by_next
 
@@ -32,8 +44,10 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
+    "op6_url_filters": op6_url_filters,
     "op7_document_fingerprints": op7_document_fingerprints,
     "op9_token_counts": op9_token_counts,
     "op10_quality_rules": op10_quality_rules,
 }
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op6_url_filters": url_filters.ORACLE}
