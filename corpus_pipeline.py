@@ -1,15 +1,68 @@
-"""The corpus pipeline: from raw documents to packed training bins."""
+"""The corpus pipeline: from raw documents to packed training bins.
+
+Every stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written as Parquet and
+reread as the documents of the next. All but the last return the columns of ``documents``.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from skyfare.llm import mixing, ngram_join, packing, quality, secrets
+from skyfare.llm.store import stored
+
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality rules keep."""
+    return quality.judged(docs.select(*COLUMNS)).where("quality.kept").select(*COLUMNS)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of linked documents, the one with the least id."""
+    groups = ngram_join.joined(docs)
+    kept = groups.where("doc_id = component_id").select("doc_id").distinct()
+    return docs.select(*COLUMNS).join(kept, "doc_id", "left_semi").select(*COLUMNS)
+
+
+def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with a mark in place of every secret."""
+    model = secrets.train(secrets.labelled_samples(docs))
+    found = secrets.scanned(docs, model, COLUMNS)
+    clean = found.withColumn("text", secrets.redacted(F.col("text"), F.col("secrets.spans")))
+    return clean.withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
+
+
+def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents drawn to the target weights, each once at most."""
+    drawn = mixing.mixed(docs, mixing.document_levels(), mixing.WEIGHTS, epochs=1, columns=COLUMNS)
+    return drawn.select(*COLUMNS)
+
+
+def packed_bins(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Where each piece of each document is packed."""
+    return packing.packed(docs)
+
+
+STAGES = [
+    ("quality rules", quality_rules),
+    ("n-gram Jaccard join", near_duplicates),
+    ("secret scans", secret_scans),
+    ("mixing sources to target weights", source_mix),
+    ("best-fit packing", packed_bins),
+]
 
-STAGES = []
+#: SQL cannot express robust outliers, Markov models and packing; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of the last stage, from the table ``documents`` of ``sf_dir``."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
+    for number, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
+        if number < len(STAGES) - 1:
+            docs = stored(docs, f"pipeline-{number}")
     return docs

@@ -5,13 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyfare.llm import chat, url_filters
+from skyfare.llm import chat, mixing, url_filters
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    levels = mixing.document_levels()
+    docs = table(spark, sf_dir, "documents")
+    rows = docs.select("doc_id", "text", *[c.alias(n) for n, c in levels.items()], mixing.n_words(F.col("text")).alias("tokens"))
+    columns = ["doc_id", *levels, "tokens"]
+    return mixing.mixed(rows, {n: F.col(n) for n in levels}, mixing.WEIGHTS, columns=columns)
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -26,6 +34,12 @@ def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined(table(spark, sf_dir, "documents"))
 
 
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from skyfare.llm.packing import packed
+
+    return packed(table(spark, sf_dir, "documents"))
+
+
 def op3_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     from skyfare.llm import secrets
 
@@ -80,11 +94,17 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
+    "op2_best_fit_packing": op2_best_fit_packing,
     "op3_secret_scans": op3_secret_scans,
     "op5_chat_formatting": op5_chat_formatting,
     "op6_url_filters": op6_url_filters,
     "op7_document_fingerprints": op7_document_fingerprints,
+    "op8_source_mixing": op8_source_mixing,
     "op9_token_counts": op9_token_counts,
     "op10_quality_rules": op10_quality_rules,
 }
-ORACLE: dict[str, str] = {"op5_chat_formatting": chat.ORACLE, "op6_url_filters": url_filters.ORACLE}
+ORACLE = {
+    "op5_chat_formatting": chat.ORACLE,
+    "op6_url_filters": url_filters.ORACLE,
+    "op8_source_mixing": mixing.ORACLE,
+}
