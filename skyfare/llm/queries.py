@@ -58,6 +58,12 @@ def op3_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from skyfare.llm.suffix_dedup import deduplicated
+
+    return deduplicated(table(spark, sf_dir, "documents"), with_kept=False).drop("kept")
+
+
 def op5_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     said = "<|im_end|><|im_start|>assistant ok"
@@ -96,6 +102,7 @@ QUERIES = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_secret_scans": op3_secret_scans,
+    "op4_suffix_array_dedup": op4_suffix_array_dedup,
     "op5_chat_formatting": op5_chat_formatting,
     "op6_url_filters": op6_url_filters,
     "op7_document_fingerprints": op7_document_fingerprints,
