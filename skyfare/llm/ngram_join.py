@@ -12,10 +12,10 @@ frequent, and the block keeps its occurrences; all others go to the bucket of th
 ``local - 1`` times from a block, where they are counted exactly. Buckets answer each block which of
 its tokens are shared and how often. A document with too few shared tokens has no partner and ends here.
 
-Linked documents are found in rounds. In the first two, the documents of a token's list are
-compared with one of them. Then all pairs of a list that are still in different components are
-compared. Groups of copies, whose texts are mostly linked after the first rounds, are so never
-compared pair by pair, and no link between components is lost.
+The documents of a token's list are first compared with one of them, its centre, and linked documents
+put in components. Then the pairs of a list that are still in different components are compared, but
+for those that cannot be alike by their distances from the centre (see ``_open_pairs``). Groups of
+copies are so not compared pair by pair, and no link between components is lost.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from skyfare.llm.components import components
@@ -224,8 +224,12 @@ def _other_prefixes(tokens: np.ndarray, classes: np.ndarray, count: int) -> list
     return [tokens[second], tokens[third]]
 
 
-def _verified(percent: int):
-    """Keeps pairs that share prefix tokens in every order and then are alike enough."""
+def _verified(percent: int, all_pairs: bool):
+    """(u, v, same, linked): tokens in common of pairs, and whether they are alike enough.
+
+    Pairs that do not share prefix tokens in every order cannot be; they are left out, unless
+    ``all_pairs`` asks for their common tokens as well.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -241,16 +245,16 @@ def _verified(percent: int):
                     known[key] = np.sort(t), _other_prefixes(t, np.frombuffer(classes, np.uint8), count)
                 return known[key]
 
-            us, vs = [], []
+            found = []
             for u, v, n, m, t, s, c, d in zip(*[rows[x] for x in ("u", "v", "un", "vn", "ut", "vt", "uc", "vc")]):
                 (all_u, firsts_u), (all_v, firsts_v) = opened(u, n, t, c), opened(v, m, s, d)
-                if not all(_common(np.sort(x), np.sort(y)) for x, y in zip(firsts_u, firsts_v)):
-                    continue
-                same = _common(all_u, all_v)
-                if 100 * same >= percent * (n + m - same):
-                    us.append(u)
-                    vs.append(v)
-            yield pa.RecordBatch.from_arrays([pa.array(us, pa.int64()), pa.array(vs, pa.int64())], ["u", "v"])
+                passed = all(_common(np.sort(x), np.sort(y)) for x, y in zip(firsts_u, firsts_v))
+                if passed or all_pairs:
+                    same = _common(all_u, all_v)
+                    found.append((u, v, same, passed and 100 * same >= percent * (n + m - same)))
+            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.bool_()]
+            columns = [pa.array(x, t) for x, t in zip(zip(*found) if found else ((),) * 4, kinds)]
+            yield pa.RecordBatch.from_arrays(columns, ["u", "v", "same", "linked"])
 
     return run
 
@@ -261,21 +265,65 @@ def _common(x: np.ndarray, y: np.ndarray) -> int:
     return int((y[at] == x).sum()) if len(y) else 0
 
 
-def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (u, v) of keys that are alike enough."""
+def _compared(pairs: DataFrame, sets: DataFrame, percent: int, all_pairs: bool) -> DataFrame:
+    """``_verified`` of pairs (u, v) of keys."""
     side = sets.select("key", "n", "tokens", "classes")
     u = side.withColumnsRenamed({"key": "u", "n": "un", "tokens": "ut", "classes": "uc"})
     v = side.withColumnsRenamed({"key": "v", "n": "vn", "tokens": "vt", "classes": "vc"})
-    # Sets of too different sizes cannot be alike.
-    sized = pairs.join(u, "u").join(v, "v").where(f"100 * least(un, vn) >= {percent} * greatest(un, vn)")
-    return stored(sized.mapInArrow(_verified(percent), "u long, v long"), "links")
+    run = _verified(percent, all_pairs)
+    both = pairs.join(u, "u").join(v, "v").select("u", "v", "un", "vn", "ut", "vt", "uc", "vc")
+    return stored(both.mapInArrow(run, "u long, v long, same long, linked boolean"), "links")
 
 
-def _star_pairs(lists: DataFrame, least: bool) -> DataFrame:
-    """Every document of a token's list with the one of them that has the least or greatest key."""
-    centre = lists.groupBy("token").agg((F.min if least else F.max)("key").alias("centre"))
-    joined = lists.join(centre, "token").where("key <> centre")
-    return joined.select(F.least("key", "centre").alias("u"), F.greatest("key", "centre").alias("v")).distinct()
+def _open_pairs(lists: DataFrame, centres: DataFrame, stars: DataFrame, found: DataFrame, percent: int) -> DataFrame:
+    """Pairs (u, v) of different components that share a list and can be alike.
+
+    With D the tokens in which a document differs from the centre of the list, x and y differ in
+    |Dx| + |Dy| - 2 |Dx & Dy| tokens. A token that only x has is in Dx and not in Dy, so that with s
+    the rest of D the last term is at most min(sx, sy). As integers, a is D and b is D - 2 s, times
+    100 + percent, each less n times 100 - percent; x and y can be alike only if the b of the one with the smaller
+    s and the a of the other are at most 0 together. Documents that cannot be so with any of their list leave
+    it before pairs are made; the list is summed up for that in steps of s.
+    """
+    away = stars.select(F.col("u").alias("key"), F.col("v").alias("centre"), "same").unionByName(
+        stars.select(F.col("v").alias("key"), F.col("u").alias("centre"), "same")
+    )
+    placed = lists.join(found, lists.key == found.node, "left").select(
+        "token", "key", "n", "own", F.coalesce("component", "key").alias("component")
+    )
+    spread = placed.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
+    spread = spread.where("lo < hi").select("token").join(centres, "token")
+    rows = placed.join(spread, "token").join(away, ["key", "centre"], "left")
+    apart = F.when(F.col("key") == F.col("centre"), 0).otherwise(F.col("n") + F.col("centre_n") - 2 * F.col("same"))
+    rows = rows.withColumn("apart", apart).withColumn("s", F.col("apart") - F.col("own"))
+    less = (100 - percent) * F.col("n")
+    rows = stored(
+        rows.select(
+            "token", "key", "n", "component", "s",
+            F.floor(8 * F.log2(F.col("s") + 1)).cast("int").alias("step"),
+            ((100 + percent) * F.col("apart") - less).alias("a"),
+            ((100 + percent) * (F.col("apart") - 2 * F.col("s")) - less).alias("b"),
+        ),
+        "open-lists",
+    )
+    steps = rows.groupBy("token", "step").agg(F.min("a").alias("a"), F.min("b").alias("b"))
+    order = Window.partitionBy("token").orderBy("step")
+    steps = steps.select(
+        "token",
+        "step",
+        F.min("a").over(order.rowsBetween(Window.currentRow, Window.unboundedFollowing)).alias("a_above"),
+        F.min("b").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("b_below"),
+    )
+    left = rows.join(steps, ["token", "step"]).where("b + a_above <= 0 or a + b_below <= 0").drop("a_above", "b_below", "step")
+    spread = left.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
+    left = stored(left.join(spread.where("lo < hi").select("token"), "token"), "open-lists")
+    names = {c: f"v_{c}" for c in left.columns if c != "token"}
+    across = left.join(left.withColumnsRenamed(names), "token").where(
+        "component <> v_component and key < v_key "
+        f"and 100 * least(n, v_n) >= {percent} * greatest(n, v_n) "
+        "and ((s <= v_s and b + v_a <= 0) or (v_s <= s and v_b + a <= 0))"
+    )
+    return across.select(F.col("key").alias("u"), F.col("v_key").alias("v")).distinct().join(stars, ["u", "v"], "left_anti")
 
 
 def similar_sets(docs: DataFrame, text: str, percent: int, local: int) -> DataFrame:
@@ -284,23 +332,19 @@ def similar_sets(docs: DataFrame, text: str, percent: int, local: int) -> DataFr
     asked = docs.select(text).mapInArrow(_blocks(buckets, local), ROW)
     answers = asked.groupBy("bucket").applyInArrow(_answered, ANSWER)
     sets = stored(answers.groupBy("block").applyInArrow(_kept(percent), SET), "sets")
-    lists = sets.select("key", "n", F.explode("prefix").alias("token"))
-    stars = _star_pairs(lists, True).unionByName(_star_pairs(lists, False)).distinct()
-    links = _links(stars, sets, percent)
+    own = F.col("n") - F.octet_length("classes")
+    lists = sets.select("key", "n", own.alias("own"), F.explode("prefix").alias("token"))
+    # The centre of a list has the fewest tokens of its own: in a group of copies, most likely the original.
+    centre = F.struct((F.col("own") / F.col("n")).alias("share"), "key", "n")
+    centres = lists.groupBy("token").agg(F.min(centre).alias("c"))
+    centres = centres.select("token", F.col("c.key").alias("centre"), F.col("c.n").alias("centre_n"))
+    stars = lists.join(centres, "token").where("key <> centre")
+    stars = stars.select(F.least("key", "centre").alias("u"), F.greatest("key", "centre").alias("v")).distinct()
+    stars = _compared(stars, sets, percent, True)
+    links = stars.where("linked").select("u", "v")
     found = stored(components(links), "components")
-    # Lists that still span components: their documents, and then the pairs across components.
-    placed = lists.join(found, lists.key == found.node, "left").select(
-        "token", "key", "n", F.coalesce("component", "key").alias("component")
-    )
-    open_lists = placed.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
-    left = stored(placed.join(open_lists.select("token"), "token").select("token", "key", "n", "component"), "open-lists")
-    right = left.withColumnsRenamed({"key": "v", "n": "vn", "component": "other"})
-    across = left.join(right, "token").where(
-        f"component <> other and key < v and 100 * least(n, vn) >= {percent} * greatest(n, vn)"
-    )
-    across = across.select(F.col("key").alias("u"), "v").distinct().join(stars, ["u", "v"], "left_anti")
-    more = _links(across, sets, percent)
-    return components(links.unionByName(more))
+    more = _compared(_open_pairs(lists, centres, stars, found, percent), sets, percent, False)
+    return components(links.unionByName(more.where("linked").select("u", "v")))
 
 
 def joined(
