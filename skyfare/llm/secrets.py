@@ -83,8 +83,8 @@ def labelled_samples(docs: DataFrame, key: str = "doc_id", text: str = "text", s
     found = hit.select(F.substr("scanned text", F.col("s.start") + 1, F.col("s.end") - F.col("s.start")).alias("m"))
     random = found.select(F.regexp_extract("m", r"([A-Za-z0-9+/_-]+)$", 1).alias("value"))
     random = random.where(F.col("value").rlike("[0-9]") & (F.length("value") >= 8))
-    few = docs.select(key, text).orderBy(F.xxhash64(key), key).limit(sample_docs)
-    few = _with_base(few, [key], text)
+    few = docs.select(key).where(F.col(key).isNotNull()).distinct().orderBy(F.xxhash64(key), key).limit(sample_docs)
+    few = _with_base(docs.select(key, text).join(F.broadcast(few), key), [key], text)  # sample_docs rows at most
     words = few.select(
         F.explode(_clear_of(_spans(F.col("scanned text"), r"[A-Za-z0-9_]{8,}", 0, 8, 0), spans)).alias("s"), "scanned text"
     )
@@ -92,7 +92,7 @@ def labelled_samples(docs: DataFrame, key: str = "doc_id", text: str = "text", s
     return random.select("value", F.lit(True).alias("random")).unionByName(plain.select("value", F.lit(False).alias("random")))
 
 
-def train(samples: DataFrame, smoothing: float = 0.5) -> list[float]:
+def train(samples: DataFrame, smoothing: float = 0.5, backoff: float = 4.0) -> list[float]:
     """Log-likelihood ratios of all pairs of characters, random over ordinary.
 
     ``samples``: value, random. Pairs are counted where the samples are; only the counts, as many as
@@ -109,12 +109,11 @@ def train(samples: DataFrame, smoothing: float = 0.5) -> list[float]:
         return [-1.0] * (size * size)
 
     def logs(kind: bool) -> list[float]:
-        out = []
-        for a in ALPHABET:
-            row = [counts.get((kind, a + b), 0) + smoothing for b in ALPHABET]
-            total = math.log(sum(row))
-            out += [math.log(c) - total for c in row]
-        return out
+        rows = [[counts.get((kind, a + b), 0) for b in ALPHABET] for a in ALPHABET]
+        seen = [sum(r[i] for r in rows) + smoothing for i in range(size)]
+        plain = [c / sum(seen) for c in seen]
+        # A pair not seen is as likely as its second character.
+        return [math.log((c + backoff * p) / (sum(r) + backoff)) for r in rows for c, p in zip(r, plain)]
 
     return [r - o for r, o in zip(logs(True), logs(False))]
 
@@ -139,7 +138,7 @@ def scanned(
     model: list[float],
     columns: list[str] | None = None,
     text: str = "text",
-    least_ratio: float = 1.0,
+    least_ratio: float = 0.5,
 ) -> DataFrame:
     """``columns`` of ``docs`` (all by default) with a struct ``secrets``.
 
