@@ -36,7 +36,9 @@ from skyfare.llm.words import _BASE, _BYTE, _INVERSE, chunks, mix, powers
 LENGTH, LEAD = 100, 50
 SPAN = LENGTH - LEAD + 1
 #: Anchors of a block in the count, and suffixes that a task holds before it sends them on.
-BLOCK_ANCHORS, HELD = 1_000_000, 100_000
+BLOCK_ANCHORS, HELD = 500_000, 30_000
+#: Bytes of text searched for anchors at a time, and rows of a batch that holds texts.
+SEARCHED, BATCH_ROWS = 1 << 18, 1000
 #: Documents from which splitters are sampled, and suffixes of each.
 SAMPLE_DOCS, SAMPLE_EACH = 2000, 8
 #: Documents without id come after ids below this, in order of a hash of their text.
@@ -137,7 +139,7 @@ def _counted(buckets: int):
         number, size, tokens, places, counts = 0, 0, [], [], []
         for batch in batches:
             ids = batch.column(0).to_numpy()
-            for first, end, data, offsets in chunks(batch.column(1)):
+            for first, end, data, offsets in chunks(batch.column(1), SEARCHED):
                 _, _, _, h, bounds = text_anchors(data, offsets)
                 if not len(h):
                     continue
@@ -200,10 +202,8 @@ def _suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarr
     """(place, bytes, anchors, first starts, last starts) of documents (place, packed, numbers)."""
     opened = zstandard.ZstdDecompressor()
     for batch in batches:
-        for place, packed, numbers in zip(*[c.to_pylist() for c in batch.columns]):
-            if numbers is None:
-                continue
-            text = opened.decompress(packed)
+        for place, packed, numbers in zip(*batch.columns):
+            place, numbers, text = place.as_py(), numbers.as_py(), opened.decompress(packed.as_py())
             data = np.frombuffer(text, np.uint8)
             at, lo, hi, _, _ = text_anchors(data, np.array([0, len(data)]))
             # Rows of one id may have different texts; their numbers are tried on each.
@@ -386,17 +386,24 @@ def _sorted_bucket(table: pa.Table) -> pa.Table:
     return pa.Table.from_batches([_batch(done + edge_rows, FOUND)])
 
 
-def _packed_texts(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """(place, id, n_bytes, packed): texts as compressed bytes, to be dealt by place."""
+def _packed(columns: list[Column], schema: str, rows: DataFrame) -> DataFrame:
+    """Columns and, as ``packed``, the column ``text`` as compressed bytes, to be dealt."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer = zstandard.ZstdCompressor(level=3)
         for batch in batches:
-            packed = [packer.compress((t.as_py() or "").encode()) for t in batch.column(2)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(packed, pa.binary())], ["place", "id", "packed"])
+            for at in range(0, batch.num_rows, BATCH_ROWS):
+                part = batch.slice(at, BATCH_ROWS)
+                packed = [packer.compress((t.as_py() or "").encode()) for t in part.column(part.num_columns - 1)]
+                names = [*part.schema.names[:-1], "packed"]
+                yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(packed, pa.binary())], names)
+
+    return rows.select(*columns, "text").mapInArrow(run, f"{schema}, packed binary")
+
 
+def _packed_texts(docs: DataFrame, key: str, text: str) -> DataFrame:
     rows = docs.select(_place(key, text), F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
-    return rows.mapInArrow(run, "place long, id long, packed binary")
+    return _packed([F.col("place"), F.col("id")], "place long, id long", rows)
 
 
 def _place(key: str, text: str) -> Column:
@@ -415,10 +422,11 @@ def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     numbers = stored(numbers.distinct(), "repeated-anchors")
     few = max(1, numbers.count() // SAMPLE_DOCS)
     sample = numbers.where(F.pmod(F.xxhash64("place"), F.lit(few)) == 0)
-    sample = docs.select(_place(key, text), text).join(F.broadcast(sample), "place")
-    sample = _packed_with_numbers(sample, text).mapInArrow(_sampled, "place long, lead binary")
+    sample = docs.select(_place(key, text), F.col(text).alias("text")).join(F.broadcast(sample), "place")
+    sample = _packed([F.col("place"), F.col("numbers")], "place long, numbers binary", sample)
+    sample = sample.select("place", "packed", "numbers").mapInArrow(_sampled, "place long, lead binary")
     ranked = sorted((bytes(r.lead), r.place) for r in sample.collect())
-    ranges = 4 * buckets
+    ranges = 8 * buckets
     splitters = sorted({ranked[i * len(ranked) // ranges] for i in range(1, ranges)}) if ranked else []
     texts = _packed_texts(docs, key, text).drop("id")
     dealt = texts.join(numbers, "place").select("place", "packed", "numbers").mapInArrow(_dealt(splitters, ranges), PIECE)
@@ -431,23 +439,18 @@ def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     return spans.unionByName(later.select("place", "start", F.lit(LENGTH).cast("long").alias("size")))
 
 
-def _packed_with_numbers(rows: DataFrame, text: str) -> DataFrame:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        packer = zstandard.ZstdCompressor(level=1)
-        for batch in batches:
-            packed = [packer.compress((t.as_py() or "").encode()) for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(packed, pa.binary()), batch.column(2)], ["place", "packed", "numbers"])
-
-    return rows.select("place", text, "numbers").mapInArrow(run, "place long, packed binary, numbers binary")
+RESULT = "id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
 
 
-RESULT = "id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        yield from (batch.slice(at, BATCH_ROWS) for at in range(0, batch.num_rows, BATCH_ROWS))
 
 
 def _cut(with_kept: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         opened = zstandard.ZstdDecompressor()
-        for batch in batches:
+        for batch in _parts(batches):
             spans = batch.column(2)
             bounds = np.concatenate(([0], np.cumsum([0 if s is None else s for s in _lengths(spans)])))
             flat = spans.flatten()
