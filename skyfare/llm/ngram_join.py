@@ -316,14 +316,22 @@ def _open_pairs(lists: DataFrame, centres: DataFrame, stars: DataFrame, found: D
     )
     left = rows.join(steps, ["token", "step"]).where("b + a_above <= 0 or a + b_below <= 0").drop("a_above", "b_below", "step")
     spread = left.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-    left = stored(left.join(spread.where("lo < hi").select("token"), "token"), "open-lists")
+    left = left.join(spread.where("lo < hi").select("token"), "token")
+    # A pair is made once, in the first of the lists that both are still in.
+    shared = left.groupBy("key").agg(F.collect_list("token").alias("tokens"))
+    left = stored(left.join(shared, "key"), "open-lists")
+    # Of the component with most documents of a list only pairs with others are asked for.
+    most = left.groupBy("token", "component").count().groupBy("token").agg(F.max_by("component", "count").alias("most"))
+    others = left.join(most, "token").where("component <> most")
     names = {c: f"v_{c}" for c in left.columns if c != "token"}
-    across = left.join(left.withColumnsRenamed(names), "token").where(
-        "component <> v_component and key < v_key "
+    across = others.join(left.withColumnsRenamed(names), "token").where(
+        "component <> v_component and (key < v_key or v_component = most) "
         f"and 100 * least(n, v_n) >= {percent} * greatest(n, v_n) "
-        "and ((s <= v_s and b + v_a <= 0) or (v_s <= s and v_b + a <= 0))"
+        "and ((s <= v_s and b + v_a <= 0) or (v_s <= s and v_b + a <= 0)) "
+        "and token = array_min(array_intersect(tokens, v_tokens))"
     )
-    return across.select(F.col("key").alias("u"), F.col("v_key").alias("v")).distinct().join(stars, ["u", "v"], "left_anti")
+    pairs = across.select(F.least("key", "v_key").alias("u"), F.greatest("key", "v_key").alias("v"))
+    return pairs.distinct().join(stars, ["u", "v"], "left_anti")
 
 
 def similar_sets(docs: DataFrame, text: str, percent: int, local: int) -> DataFrame:
