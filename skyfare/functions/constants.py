@@ -89,7 +89,7 @@ TWO_LEGS = r"^[^|]*\|{2}[^|]*$"
 THREE_LEGS = r"^([^|]*\|{2}[^|]*){2}$"
 
 # Travel time: days, hours and minutes, each optional, at least one.
-DURATION = r"^P(\d{1,4}D)?(T(\d{1,5}H)?(\d{1,5}M)?)?(?<=[DHM])$"
+DURATION = r"^P(\d+D)?(T(\d+H)?(\d+M)?)?(?<=[DHM])$"
 
 # Airports shown on the map.
 MAP_AIRPORTS = [

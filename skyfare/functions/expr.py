@@ -61,23 +61,22 @@ def segment_list(c: Column | str) -> Column:
 def duration_minutes(c: Column | str) -> Column:
     """Minutes of a ``P#DT#H#M`` text with optional parts; NULL when it is not one.
 
-    One pattern checks the whole text; the parts are then cut out by position.
+    One pattern checks the whole text; the parts are then cut out by position. A number of
+    minutes that no bigint holds is NULL as well.
     """
     c = _col(c)
     time = F.when(c.contains("T"), F.substring_index(c, "T", -1)).otherwise("")
 
-    def number(present: Column, text: Column) -> Column:
-        return F.when(present, text.try_cast("int")).otherwise(0)
-
-    days = F.substring(F.substring_index(c, "D", 1), 2, 4)
-    hours = F.substring_index(time, "H", 1)
-    minutes = F.substring_index(F.substring_index(time, "M", 1), "H", -1)
-    return F.when(
-        c.rlike(DURATION),
-        number(c.contains("D"), days) * 1440
-        + number(time.contains("H"), hours) * 60
-        + number(time.endswith("M"), minutes),
+    def number(present: Column, text: Column, minutes: int) -> Column:
+        value = F.try_multiply(text.try_cast("bigint"), F.lit(minutes).cast("bigint"))
+        return F.when(present, value).otherwise(F.lit(0).cast("bigint"))
+
+    days = number(c.contains("D"), F.substr(F.substring_index(c, "D", 1), F.lit(2)), 1440)
+    hours = number(time.contains("H"), F.substring_index(time, "H", 1), 60)
+    minutes = number(
+        time.endswith("M"), F.substring_index(F.substring_index(time, "M", 1), "H", -1), 1
     )
+    return F.when(c.rlike(DURATION), F.try_add(F.try_add(days, hours), minutes))
 
 
 def layover_label(difference: Column | str) -> Column:

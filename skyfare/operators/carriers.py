@@ -32,7 +32,10 @@ def first_route(cells: DataFrame, *order) -> DataFrame:
 
 def carrier_routes(df: DataFrame, legs: list[int]) -> DataFrame:
     """Highest fare per airline combination and route, for some leg counts."""
-    keep = reduce(Column.__or__, [LEG_TESTS[n]() for n in legs])
+    if "num_legs" in df.columns:
+        keep = F.col("num_legs").isin(list(legs))  # reaches the scan of a stored table
+    else:
+        keep = reduce(Column.__or__, [LEG_TESTS[n]() for n in legs])
     return (
         df.where(keep & F.col("base_fare").isNotNull())
         .groupBy(_airline(), "starting_airport", "destination_airport")
@@ -131,7 +134,9 @@ def legs_histogram(df: DataFrame) -> DataFrame:
 def explode_segments(df: DataFrame) -> DataFrame:
     """One row per leg from the segment columns that are present, numbered from 1."""
     present = [c for c in SEGMENT_COLUMNS if c in df.columns]
-    zipped = F.arrays_zip(*[segment_list(c).alias(c) for c in present])
+    # a missing list is an empty one; an itinerary drops out only when all its lists are missing
+    empty = F.array().cast("array<string>")
+    zipped = F.arrays_zip(*[F.coalesce(segment_list(c), empty).alias(c) for c in present])
     return df.select("leg_id", F.posexplode(zipped).alias("pos", "seg")).select(
         "leg_id",
         (F.col("pos") + 1).alias("segment_no"),

@@ -1,16 +1,22 @@
 """Cutting smaller extracts out of the itinerary table."""
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skyfare.functions.constants import EXTRACT_COLUMNS, SAMPLE_STEP
-from skyfare.operators.position import BUCKET, bucket_end, bucket_totals, with_preceding
-from skyfare.sources.checkpoint import cut_lineage
+from skyfare.operators.position import Positions, with_preceding
 
+#: Order of the rows unless another is given; ties go by the other columns.
+ORDER = ("flight_date", "leg_id")
 
-def extract_columns(df: DataFrame) -> DataFrame:
-    """The extract's columns, as far as the table has them."""
-    return df.select([c for c in EXTRACT_COLUMNS if c in df.columns])
+
+def extract_columns(df: DataFrame, without: tuple[str, ...] = ()) -> DataFrame:
+    """The extract's columns. Those a table is known not to have are named in ``without``."""
+    wanted = [c for c in EXTRACT_COLUMNS if c not in without]
+    missing = [c for c in wanted if c not in df.columns]
+    if missing:
+        raise ValueError(f"no such columns: {', '.join(missing)}")
+    return df.select(wanted)
 
 
 def drop_index_column(df: DataFrame, name: str = "Unnamed: 0") -> DataFrame:
@@ -19,16 +25,19 @@ def drop_index_column(df: DataFrame, name: str = "Unnamed: 0") -> DataFrame:
 
 
 def systematic_sample(
-    df: DataFrame, key: str = "leg_id", step: int = SAMPLE_STEP, keys: DataFrame | None = None
+    df: DataFrame,
+    order: tuple[str, ...] = ORDER,
+    step: int = SAMPLE_STEP,
+    keys: DataFrame | None = None,
 ) -> DataFrame:
-    """Rows 0, step, 2*step, ... in key order.
+    """Rows 0, step, 2*step, ... in the order of some columns, NULL first.
 
-    ``keys`` may name a cheaper frame with the same keys, for the pass that counts them.
+    ``keys`` may be a cheaper frame of the order columns alone, if they tell all rows apart and are not NULL; positions
+    are then taken there, and only sampled rows are looked at as a whole.
     """
-    rows = {"rows": F.lit(1)}
-    totals = bucket_totals(df if keys is None else keys, key, rows)
-    placed = with_preceding(df, key, rows, totals)
-    return placed.where(F.col("rows_before") % step == 0).drop("rows_before")
+    placed = with_preceding(df if keys is None else keys, list(order), {"rows": F.lit(1)}, keys is not None)
+    sample = placed.where(F.col("rows_before") % step == 0).drop("rows_before")
+    return sample if keys is None else df.join(sample.select(*order), list(order), "left_semi")
 
 
 def text_bytes(df: DataFrame) -> Column:
@@ -37,36 +46,30 @@ def text_bytes(df: DataFrame) -> Column:
     return sum(sizes[1:], sizes[0]).cast("bigint")
 
 
-def size_capped_extract(df: DataFrame, budget: int, key: str = "leg_id") -> DataFrame:
-    """The first rows in key order, taken while the bytes before a row are within ``budget``.
+def size_capped_extract(
+    df: DataFrame, budget: int, order: tuple[str, ...] = ORDER, unique: bool = False
+) -> DataFrame:
+    """The first rows in order, taken while the bytes before a row are within ``budget``.
 
-    The pass over the buckets finds the last one that can contribute. Its end is a
-    literal in the second pass and reaches the scan, so what lies past the cap is
-    not read again.
+    Rows of buckets past the cap are left out before any are sorted.
     """
-    weights = {"bytes": text_bytes(df)}
-    near = bucket_totals(df, key, weights).where(F.col("bytes_before") <= budget)
-    last = near.agg(F.max("bucket")).first()[0]
-    rows = with_preceding(df.where(F.col(key) < bucket_end(last)), key, weights, near)
-    return rows.where(F.col("bytes_before") <= budget).drop("bytes_before")
+    positions = Positions(df, list(order), {"bytes": text_bytes(df)}, unique)
+    near = positions.totals().where(F.col("bytes_ahead") <= budget)
+    return positions.rows(near).where(F.col("bytes_before") <= budget).drop("bytes_before")
 
 
 def size_capped_chunks(
-    df: DataFrame, budget: int, chunk_rows: int, key: str = "leg_id"
+    df: DataFrame, budget: int, chunk_rows: int, order: tuple[str, ...] = ORDER, unique: bool = False
 ) -> DataFrame:
     """The same in whole chunks of ``chunk_rows``: a chunk is taken while the bytes
     before it are within ``budget``, so the result runs over by up to one chunk.
     """
-    weights = {"bytes": text_bytes(df), "rows": F.lit(1)}
-    totals = bucket_totals(df, key, weights)
+    positions = Positions(df, list(order), {"bytes": text_bytes(df), "rows": F.lit(1)}, unique)
+    totals = positions.totals()
     # the last chunk starts in a bucket within the budget and ends at most this far on
-    within = totals.where(F.col("bytes_before") <= budget)
-    reach = within.agg(F.max("rows_before") + BUCKET + chunk_rows).first()[0]
-    near = totals.where(F.col("rows_before") < F.lit(reach).cast("bigint"))
-    last = near.agg(F.max("bucket")).first()[0]
-    rows = with_preceding(df.where(F.col(key) < bucket_end(last)), key, weights, near)
-    rows = cut_lineage(rows)  # about the budget in size, used twice
-
-    starts = (F.col("rows_before") % chunk_rows == 0) & (F.col("bytes_before") <= budget)
-    end = rows.where(starts).agg((F.max("rows_before") + chunk_rows).alias("e")).scalar()
-    return rows.where(F.col("rows_before") < end).drop("bytes_before", "rows_before")
+    within = totals.where(F.col("bytes_ahead") <= budget)
+    reach = within.agg(F.max(F.col("rows_ahead") + F.col("rows")) + chunk_rows).scalar()
+    rows = positions.rows(totals.where(F.col("rows_ahead") < reach))
+    chunk = Window.partitionBy(F.floor(F.col("rows_before") / chunk_rows))
+    rows = rows.withColumn("chunk_bytes", F.min("bytes_before").over(chunk))
+    return rows.where(F.col("chunk_bytes") <= budget).drop("bytes_before", "rows_before", "chunk_bytes")

@@ -1,5 +1,6 @@
 """Set-append: adding rows to a table without repeating any."""
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,8 +26,14 @@ def insert_ignore(incoming: DataFrame, existing: DataFrame) -> DataFrame:
 
 
 def append_unseen(spark: SparkSession, incoming: DataFrame, path: str) -> None:
-    """Append to a parquet table the rows it does not hold yet.
+    """Append to a parquet table the rows it does not hold yet; the first run makes the table.
 
     Existing files are only read, so running it again after a failure is safe.
     """
-    unseen_rows(incoming, spark.read.parquet(path)).write.mode("append").parquet(path)
+    try:
+        fresh = unseen_rows(incoming, spark.read.parquet(path))
+    except AnalysisException as error:
+        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        fresh = incoming.distinct()
+    fresh.write.mode("append").parquet(path)

@@ -1,100 +1,73 @@
-"""Global positions and running totals without a global window over the rows.
+"""Global positions and running totals without a window over the rows as a whole.
 
-A window over the whole table would pull every row into one task. Here the order
-key is cut into buckets of bounded size. Totals are summed per bucket in one narrow
-pass and stored; running totals are taken over the bucket totals; each row then looks
-only at its own bucket. Buckets are plain functions of the key, so a partition that
-is computed again gives the same rows the same place.
+Splitters sampled from the keys cut their order into buckets. Totals are summed per bucket, running
+totals are taken over these, and each row then looks at the rows of its own bucket only. Rows are
+ordered by any columns, ties by the other columns, NULL first; rows that are equal in all columns may
+take each other's place. The plan is the same at every size, and nothing runs before it is asked for.
+
+The only window without partitions is over bucket totals, of which there are some ``SPLITTERS`` at
+most. A bucket holds about ``BUCKET_ROWS`` rows, or its share of more rows than that makes.
 """
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from skyfare.sources.checkpoint import cut_lineage
-
-# Values of an integral key per bucket; also the fan-out of the levels above.
-BUCKET = 10_000
-LEVELS = 3  # a bigint has under ten million buckets on the third level
+#: Rows in a bucket on average, as long as that needs no more than SPLITTERS buckets.
+BUCKET_ROWS = 10_000
+SPLITTERS = 2**13 - 1
 
-# Up to this many groups are small enough for one task.
-SINGLE_WINDOW_GROUPS = 1_000_000
 
+class Positions:
+    """Buckets of a frame in the order of ``order``, with weights to be summed up.
 
-def preceding_totals(groups: DataFrame, levels: list[str], weights: list[str]) -> DataFrame:
-    """Totals of all groups that come before each group: adds ``<weight>_before``.
-
-    ``groups`` is a stored frame with one row per value of the last level and non-NULL
-    level columns from coarse to fine; a finer value belongs to one coarser value.
-    The groups are counted: few are windowed at once, many level by level, where
-    only the coarsest level is windowed as a whole.
+    ``unique``: no two rows agree in ``order``, which spares comparing the other columns.
     """
-    if groups.count() <= SINGLE_WINDOW_GROUPS:
-        return _running(groups, None, levels[-1], weights)
-    return _by_level(groups, levels, weights)
-
-
-def _running(groups: DataFrame, parent: str | None, key: str, weights: list[str]) -> DataFrame:
-    window = Window.partitionBy(parent).orderBy(key) if parent else Window.orderBy(key)
-    window = window.rowsBetween(Window.unboundedPreceding, -1)
-    return groups.withColumns(
-        {f"{w}_before": F.coalesce(F.sum(w).over(window), F.lit(0)) for w in weights}
-    )
-
-
-def _by_level(groups: DataFrame, levels: list[str], weights: list[str]) -> DataFrame:
-    *coarser, finest = levels
-    if not coarser:
-        return _running(groups, None, finest, weights)
-    before = [f"{w}_before" for w in weights]
-    parents = groups.groupBy(*coarser).agg(*[F.sum(w).alias(w) for w in weights])
-    parents = _by_level(parents, coarser, weights).select(
-        coarser[-1], *[F.col(b).alias(f"parent_{b}") for b in before]
-    )
-    local = _running(groups, coarser[-1], finest, weights)
-    return local.join(parents, coarser[-1]).select(
-        *groups.columns, *[(F.col(b) + F.col(f"parent_{b}")).alias(b) for b in before]
-    )
-
 
-def bucket_of(key: str) -> Column:
-    return F.expr(f"`{key}` div {BUCKET}")
-
-
-def bucket_end(bucket: int | None) -> Column:
-    """First key past a bucket; NULL when there is no bucket."""
-    return F.lit(None if bucket is None else (bucket + 1) * BUCKET).cast("bigint")
-
-
-def bucket_totals(df: DataFrame, key: str, weights: dict[str, Column]) -> DataFrame:
-    """Weights per bucket of an integral key, with what comes before the bucket.
-
-    Reads the key and the weights only. Columns: ``bucket``, ``<w>_before``.
-    """
-    groups = cut_lineage(
-        df.groupBy(bucket_of(key).alias("bucket")).agg(
-            *[F.sum(c).alias(w) for w, c in weights.items()]
-        )
-    )
-    coarse = {f"level_{i}": F.expr(f"bucket div {BUCKET ** (i - 1)}") for i in range(LEVELS, 1, -1)}
-    totals = preceding_totals(groups.withColumns(coarse), [*coarse, "bucket"], list(weights))
-    return totals.select("bucket", *[f"{w}_before" for w in weights])
+    def __init__(self, df: DataFrame, order: list[str], weights: dict[str, Column], unique: bool):
+        self.df, self.weights = df, weights
+        self.columns = df.columns
+        ties = [] if unique else [c for c in df.columns if c not in order]
+        self.key = F.struct(*[F.col(c) for c in [*order, *ties]])
+        self.splitters = self._splitters()
+
+    def _splitters(self) -> Column:
+        rows = self.df.agg(F.count("*").alias("n"))
+        every = rows.select(F.greatest(F.lit(BUCKET_ROWS), F.ceil(F.col("n") / SPLITTERS))).scalar()
+        # equal keys hash alike, so they are made distinct before they are put together
+        some = self.df.select(self.key.alias("k")).where(F.pmod(F.xxhash64("k"), every) == 0)
+        return some.distinct().agg(F.array_sort(F.collect_list("k"))).scalar()
+
+    def bucketed(self) -> DataFrame:
+        """The rows with ``bucket``, the number of splitters up to their key, by binary search."""
+        rows = self.df.withColumns({"place key": self.key, "bucket": F.lit(0)})
+        step = (SPLITTERS + 1) // 2
+        while step:
+            ahead = F.get(self.splitters, F.col("bucket") + (step - 1)) <= F.col("place key")
+            rows = rows.withColumn("bucket", F.col("bucket") + F.when(ahead, step).otherwise(0))
+            step //= 2
+        return rows
+
+    def totals(self) -> DataFrame:
+        """Weights per bucket and, as ``<w>_ahead``, of all buckets before it."""
+        sums = self.bucketed().groupBy("bucket").agg(*[F.sum(c).alias(w) for w, c in self.weights.items()])
+        before = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+        return sums.select(
+            "*", *[F.coalesce(F.sum(w).over(before), F.lit(0)).alias(f"{w}_ahead") for w in self.weights]
+        ).withColumnRenamed("bucket", "total of")
+
+    def rows(self, totals: DataFrame) -> DataFrame:
+        """The rows of the buckets in ``totals`` with ``<w>_before``, the weight of all rows before."""
+        own = Window.partitionBy("bucket").orderBy("place key").rowsBetween(Window.unboundedPreceding, -1)
+        rows = self.bucketed().join(totals.select("total of", *[f"{w}_ahead" for w in self.weights]), F.expr("bucket = `total of`"))
+        before = {
+            w: F.col(f"{w}_ahead") + F.coalesce(F.sum(c).over(own), F.lit(0)) for w, c in self.weights.items()
+        }
+        return rows.select(*self.columns, *[c.alias(f"{w}_before") for w, c in before.items()])
 
 
 def with_preceding(
-    df: DataFrame, key: str, weights: dict[str, Column], totals: DataFrame
+    df: DataFrame, order: list[str], weights: dict[str, Column], unique: bool = False
 ) -> DataFrame:
-    """Add ``<w>_before``: the total weight of all rows with a smaller key.
-
-    ``key`` is an integral, non-NULL, unique column; a bucket then holds at most
-    ``BUCKET`` rows. Rows whose bucket is not in ``totals`` drop out.
-    """
-    window = (
-        Window.partitionBy("bucket").orderBy(key).rowsBetween(Window.unboundedPreceding, -1)
-    )
-    rows = df.withColumn("bucket", bucket_of(key)).withColumns(
-        {f"{w}_local": F.coalesce(F.sum(c).over(window), F.lit(0)) for w, c in weights.items()}
-    )
-    return rows.join(totals, "bucket").select(
-        *df.columns,
-        *[(F.col(f"{w}_before") + F.col(f"{w}_local")).alias(f"{w}_before") for w in weights],
-    )
+    """Add ``<w>_before``: the total weight of all rows before each in ``order``."""
+    positions = Positions(df, order, weights, unique)
+    return positions.rows(positions.totals())

@@ -6,8 +6,7 @@ from pyspark.sql import functions as F
 from skyfare.functions.expr import duration_minutes, exact_avg
 from skyfare.operators.airports import period_column
 from skyfare.operators.filters import on_route
-from skyfare.operators.position import preceding_totals
-from skyfare.sources.checkpoint import cut_lineage
+from skyfare.operators.position import with_preceding
 
 ROUTE = ["starting_airport", "destination_airport"]
 
@@ -32,16 +31,13 @@ def route_popularity(df: DataFrame) -> DataFrame:
     distinct averages. Routes without seat information have no rank.
     """
     seats = F.col("average_seats_remaining")
-    routes = cut_lineage(
-        df.groupBy(*ROUTE).agg(exact_avg("seats_remaining").alias("average_seats_remaining"))
-    )
+    routes = df.groupBy(*ROUTE).agg(exact_avg("seats_remaining").alias("average_seats_remaining"))
     groups = (
         routes.where(seats.isNotNull())
         .groupBy("average_seats_remaining")
         .agg(F.count("*").alias("routes"))
-        .withColumns({"whole": F.floor(seats), "mill": F.floor(seats * 1000)})
     )
-    ranks = preceding_totals(groups, ["whole", "mill", "average_seats_remaining"], ["routes"])
+    ranks = with_preceding(groups, ["average_seats_remaining"], {"routes": F.col("routes")}, True)
     return routes.join(
         ranks.select(
             "average_seats_remaining", (F.col("routes_before") + 1).alias("popularity_rank")

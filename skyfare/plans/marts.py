@@ -37,12 +37,12 @@ def route_days(df: DataFrame) -> DataFrame:
 
 def result_tables(
     days: DataFrame,
-    carriers: DataFrame,
+    carriers: DataFrame | None,
     year: int,
     months: list[int],
     route: tuple[str, str],
 ) -> dict[str, DataFrame]:
-    """The ten tables from the two rollups."""
+    """The ten tables from the two rollups; without the second, those that need no airlines."""
     avg_fare = ratio(F.sum("fare_sum"), F.sum("fares"))
     season = days.where(in_season("flight_date", year, months)).groupBy("starting_airport")
     pair = days.where(
@@ -67,6 +67,7 @@ def result_tables(
     def top(legs: int) -> DataFrame:
         return dearest(carriers.where(leg_count("airline_name") == legs))
 
+    tops = {} if carriers is None else {f"{n}_leg_flights": top(i) for i, n in enumerate(("one", "two", "three"), 1)}
     return {
         "average_flight_prices": season.agg(avg_fare.alias("fare")).select(
             "starting_airport",
@@ -91,9 +92,7 @@ def result_tables(
             F.bround("fare", 2).alias("average_base_fare"),
             fare_text("fare").alias("average_base_fare_text"),
         ),
-        "one_leg_flights": top(1),
-        "two_leg_flights": top(2),
-        "three_leg_flights": top(3),
+        **tops,
         "travel_distance": days.groupBy("starting_airport")
         .agg(distance.alias("average_travel_distance"))
         .orderBy(F.col("average_travel_distance").desc(), "starting_airport"),

@@ -157,8 +157,13 @@ paths AS (
 )"""
 
 VALID = """
-valid AS (
+requests AS (
   SELECT starting_airport, destination_airport FROM paths
+  UNION ALL SELECT 'X' || starting_airport, destination_airport FROM paths
+  UNION ALL SELECT starting_airport, 'X' || destination_airport FROM paths
+),
+valid AS (
+  SELECT starting_airport, destination_airport FROM requests
   WHERE starting_airport IN (SELECT starting_airport FROM summary)
     AND destination_airport IN (SELECT starting_airport FROM summary)
 )"""
@@ -213,7 +218,7 @@ WITH segments AS (
          CAST(l_quantity AS INTEGER) * 300 AS duration_seconds,
          'N' || lpad(CAST(s_nationkey AS VARCHAR), 2, '0') AS arrival_airport,
          'N' || lpad(CAST(c_nationkey AS VARCHAR), 2, '0') AS home,
-         n_name AS airline_name, p_type AS equipment, p_size AS distance,
+         n_name AS airline_name, CASE WHEN o_orderkey % 7 <> 0 THEN p_type END AS equipment, p_size AS distance,
          l_returnflag AS cabin_code
   FROM orders
   JOIN lineitem ON o_orderkey = l_orderkey
@@ -252,6 +257,15 @@ HOVER = " || ".join(
 )
 BETWEEN = "' Between ' || v.starting_airport || ' and ' || v.destination_airport || ': $'"
 
+INSERT = f"""
+fares AS (
+  SELECT segments_airline_name AS airline_name, {ROUTE}, flight_date,
+         CASE WHEN leg_id % 10 <> 0 THEN CAST(base_fare AS DOUBLE) END AS base_fare
+  FROM itineraries WHERE {ONE}
+),
+existing AS (SELECT DISTINCT * EXCLUDE (flight_date) FROM fares WHERE flight_date < DATE '1999-01-01'),
+incoming AS (SELECT * EXCLUDE (flight_date) FROM fares WHERE flight_date >= DATE '1997-01-01')"""
+
 ORACLE = {
     "extract_columns": with_() + f"SELECT {EXTRACT_OUT} FROM itineraries",
     "systematic_sample": with_(RUNNING)
@@ -262,11 +276,28 @@ ORACLE = {
     + f"""SELECT {EXTRACT_OUT} FROM placed WHERE pos // {CHUNK_ROWS} IN (
   SELECT pos // {CHUNK_ROWS} FROM placed
   WHERE pos % {CHUNK_ROWS} = 0 AND bytes_before <= {BUDGET})""",
-    "chunk_union": with_()
-    + money_rows("itineraries", "leg_id", "flight_date", ROUTE)
-    + f" WHERE flight_date < DATE '{YEAR}-01-01' UNION ALL "
-    + money_rows("itineraries", "leg_id", "flight_date", ROUTE)
-    + f" WHERE flight_date >= DATE '{YEAR}-01-01'",
+    "systematic_sample_text_id": with_(
+        """
+named AS (
+  SELECT *, CASE WHEN leg_id % 50 <> 0 THEN 'id' || (leg_id % 500) END AS text_id FROM itineraries
+),
+placed AS (
+  SELECT *, row_number() OVER (ORDER BY flight_date NULLS FIRST, text_id NULLS FIRST, leg_id) - 1 AS pos
+  FROM named
+)"""
+    )
+    + money_rows("placed", "leg_id", "flight_date", ROUTE, "text_id")
+    + f" WHERE pos % {SAMPLE_STEP} = 0",
+    "chunk_union": with_(
+        """
+dated AS (
+  SELECT * REPLACE (CASE WHEN leg_id % 20 <> 0 THEN flight_date END AS flight_date) FROM itineraries
+)"""
+    )
+    + money_rows("dated", "leg_id", "flight_date", ROUTE)
+    + f" WHERE flight_date < DATE '{YEAR}-01-01' OR flight_date IS NULL UNION ALL "
+    + money_rows("dated", "leg_id", "flight_date", ROUTE)
+    + f" WHERE flight_date >= DATE '{YEAR - 1}-01-01' OR flight_date IS NULL",
     "cast_flight_date": with_() + "SELECT leg_id, flight_date FROM itineraries",
     "drop_index_column": with_() + money_rows("itineraries", "leg_id", "flight_date"),
     "filter_season": with_()
@@ -303,9 +334,9 @@ WHERE min_base_fare = (SELECT min(min_base_fare) FROM stats)""",
     + f"""SELECT destination_airport, {dbl('min_base_fare')}, {dbl('max_base_fare')},
   round_even(fare, 2) AS average_base_fare,
   format('{{:,.2f}}', fare) AS average_base_fare_text FROM stats""",
-    "format_fare": with_()
-    + f"""SELECT leg_id, {dbl('base_fare')},
-  format('{{:,.2f}}', CAST(base_fare AS DOUBLE)) AS base_fare_text FROM itineraries""",
+    "format_fare": with_(STATS)
+    + """SELECT destination_airport, round_even(fare, 2) AS average_base_fare,
+  format('{:,.2f}', fare) AS average_base_fare_text FROM stats""",
     "flights_per_airport_day": with_(DAILY)
     + "SELECT starting_airport, flight_date, n AS num_flights FROM daily",
     "avg_flights_per_day": period_avg(
@@ -332,13 +363,13 @@ FROM itineraries i
 JOIN (SELECT segments_airline_name, max(base_fare) AS best
       FROM itineraries GROUP BY segments_airline_name) m
   ON i.segments_airline_name = m.segments_airline_name AND base_fare = best
-WHERE num_legs <= 3 GROUP BY ALL""",
+GROUP BY ALL""",
     "carrier_dedupe": with_()
     + f"""SELECT airline_name, starting_airport, destination_airport, {dbl('base_fare')} FROM (
   SELECT *, segments_airline_name AS airline_name,
          row_number() OVER (PARTITION BY segments_airline_name
            ORDER BY starting_airport, destination_airport, base_fare, leg_id) AS rn
-  FROM itineraries WHERE num_legs <= 3) WHERE rn = 1""",
+  FROM itineraries) WHERE rn = 1""",
     "layover_mean_fares": with_(TOPS)
     + f"""SELECT (SELECT {avg('base_fare')} FROM top2) AS one_layover_mean,
   (SELECT {avg('base_fare')} FROM top3) AS two_layover_mean""",
@@ -387,6 +418,7 @@ LEFT JOIN airports b ON b.iata = destination_airport""",
     + f"""SELECT {dbl('base_fare')} FROM (SELECT * FROM top2 UNION ALL SELECT * FROM top3)
 WHERE starting_airport = '{START}' AND destination_airport = '{DEST}'""",
     "airport_summary": with_(SUMMARY) + "SELECT * FROM summary",
+    "airport_summary_from_tables": with_(SUMMARY) + "SELECT * FROM summary",
     "airport_layover_difference": with_(LAYOVERS) + "SELECT * FROM layovers",
     "airport_map_points": with_(LAYOVERS, AIRPORTS)
     + f"""SELECT iata, long AS lon, lat, {HOVER} AS hover_text
@@ -415,12 +447,8 @@ FROM valid v JOIN layovers l ON l.starting_airport = v.starting_airport""",
 FROM valid v JOIN layovers l ON l.starting_airport = v.starting_airport
 LEFT JOIN airports a ON a.iata = v.starting_airport
 LEFT JOIN airports b ON b.iata = v.destination_airport""",
-    "mart_insert_ignore": with_(f"\ntop1 AS ({top(ONE)})")
-    + f"""SELECT airline_name, starting_airport, destination_airport, {dbl('base_fare')} FROM (
-  SELECT * FROM top1
-  UNION
-  SELECT segments_airline_name, starting_airport, destination_airport, base_fare
-  FROM itineraries WHERE {ONE})""",
+    "mart_insert_ignore": with_(INSERT) + "SELECT * FROM existing UNION SELECT * FROM incoming",
+    "mart_unseen_rows": with_(INSERT) + "SELECT * FROM incoming EXCEPT SELECT * FROM existing",
     "squares_even": """SELECT CAST(p_size AS BIGINT) * p_size AS square FROM part
 WHERE p_size % 2 = 0""",
     "tokenize_text": "SELECT doc_id, unnest(string_split(text, ' ')) AS word FROM documents",

@@ -7,7 +7,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyfare.functions.constants import SEGMENT_COLUMNS
-from skyfare.functions.expr import fare_text
 from skyfare.operators import airports as ap
 from skyfare.operators import carriers as ca
 from skyfare.operators import extract as ex
@@ -16,9 +15,10 @@ from skyfare.operators import filters as fi
 from skyfare.operators import inserts as ins
 from skyfare.operators import routes as ro
 from skyfare.operators import text as tx
+from skyfare.plans import marts
 from skyfare.plans import summary as su
 from skyfare.sources import tables
-from skyfare.sources.checkpoint import cut_lineage
+from skyfare.sources.checkpoint import stored
 from skyfare.sources.itineraries import chunk_union
 from skyfare.sources.tables import itineraries
 
@@ -56,33 +56,47 @@ def query(f: Query) -> Query:
 # --- scans, projections, filters --------------------------------------------
 
 
+def _extract(spark, sf):
+    return ex.extract_columns(itineraries(spark, sf), without=("search_date",))
+
+
 @query
 def extract_columns(spark, sf):
-    return ex.extract_columns(itineraries(spark, sf))
+    return _extract(spark, sf)
 
 
 @query
 def systematic_sample(spark, sf):
-    trips = ex.extract_columns(itineraries(spark, sf))
-    return ex.systematic_sample(trips, keys=itineraries(spark, sf, ["leg_id"]))
+    keys = itineraries(spark, sf, ["leg_id"])
+    return ex.systematic_sample(_extract(spark, sf), ("leg_id",), keys=keys)
+
+
+@query
+def systematic_sample_text_id(spark, sf):
+    """In the order of a date and of an id that is a text and comes more than once."""
+    trips = itineraries(spark, sf, ["leg_id", "flight_date", *ROUTE, FARE])
+    odd = F.when(F.col("leg_id") % 50 != 0, F.concat(F.lit("id"), F.col("leg_id") % 500))
+    return ex.systematic_sample(trips.withColumn("text_id", odd), ("flight_date", "text_id"))
 
 
 @query
 def size_capped_extract(spark, sf):
-    return ex.size_capped_extract(ex.extract_columns(itineraries(spark, sf)), BUDGET)
+    return ex.size_capped_extract(_extract(spark, sf), BUDGET, ("leg_id",), True)
 
 
 @query
 def size_capped_chunks(spark, sf):
-    return ex.size_capped_chunks(ex.extract_columns(itineraries(spark, sf)), BUDGET, CHUNK_ROWS)
+    return ex.size_capped_chunks(_extract(spark, sf), BUDGET, CHUNK_ROWS, ("leg_id",), True)
 
 
 @query
 def chunk_union(spark, sf, union=chunk_union):
+    """Two chunks with a year in common; flights without a date are in both."""
     trips = itineraries(spark, sf, ["leg_id", "flight_date", *ROUTE, FARE])
-    day = F.col("flight_date")
-    cut = F.lit(date(YEAR, 1, 1))
-    return union(trips.where(day < cut), trips.where(day >= cut))
+    day = F.when(F.col("leg_id") % 20 != 0, F.col("flight_date"))
+    trips = trips.withColumn("flight_date", day)
+    late, early = (F.col("flight_date") >= F.lit(date(y, 1, 1)) for y in (YEAR, YEAR - 1))
+    return union(trips.where(~F.coalesce(late, F.lit(False))), trips.where(F.coalesce(early, F.lit(True))))
 
 
 @query
@@ -105,8 +119,7 @@ def filter_season(spark, sf):
 
 
 def _with_legs(spark, sf, legs):
-    # no filter keeps a longer list, so longer ones are not put together
-    trips = itineraries(spark, sf, ["leg_id", AIRLINES, FARE], legs=[1, 2, 3])
+    trips = itineraries(spark, sf, ["leg_id", AIRLINES, FARE])
     return fi.with_legs(trips, legs)
 
 
@@ -180,8 +193,7 @@ def dest_fare_stats(spark, sf):
 
 @query
 def format_fare(spark, sf):
-    trips = itineraries(spark, sf, ["leg_id", FARE])
-    return trips.withColumn("base_fare_text", fare_text(FARE))
+    return fa.format_fare(_into(spark, sf))
 
 
 # --- airports ---------------------------------------------------------------
@@ -246,12 +258,12 @@ def top_fare_three_leg(spark, sf):
 
 @query
 def carrier_max_fare_join(spark, sf):
-    return ca.carrier_max_fare_join(itineraries(spark, sf, CARRIER_COLUMNS, legs=[1, 2, 3]))
+    return ca.carrier_max_fare_join(itineraries(spark, sf, CARRIER_COLUMNS))
 
 
 @query
 def carrier_dedupe(spark, sf):
-    return ca.carrier_dedupe(itineraries(spark, sf, CARRIER_COLUMNS, legs=[1, 2, 3]))
+    return ca.carrier_dedupe(itineraries(spark, sf, CARRIER_COLUMNS))
 
 
 def _means(spark, sf):
@@ -335,75 +347,111 @@ def path_weight(spark, sf):
 
 @query
 def route_fare_lookup(spark, sf):
-    return ro.route_fare_lookup(_top(spark, sf, 2, 3), START, DEST)
+    return ro.route_fare_lookup(stored(_top(spark, sf, 2, 3), "top-fares"), START, DEST)
 
 
 # --- summaries --------------------------------------------------------------
 
 
-def _summary(spark, sf):
-    trips = itineraries(
-        spark, sf, ["leg_id", *ROUTE, "flight_date", FARE, "total_travel_distance"]
-    )
-    return ap.airport_profile(trips, YEAR, SUMMER)
+SUMMARY_COLUMNS = ["leg_id", *ROUTE, "flight_date", FARE, "total_travel_distance"]
+
+
+def _days(spark, sf):
+    """The stored rollup by route and day: one pass over the facts."""
+    return stored(marts.route_days(itineraries(spark, sf, SUMMARY_COLUMNS)), "route-days")
+
 
+def _tops(spark, sf):
+    """The stored dearest fares of two and three legs: the other pass."""
+    return stored(_top(spark, sf, 2, 3), "top-fares")
 
-def _season_airports(spark, sf):
-    """Airports of the summary, without the rest of it."""
-    return fi.season(itineraries(spark, sf, [ORIGIN, "flight_date"]), YEAR, SUMMER).select(ORIGIN)
+
+def _summary(days):
+    results = marts.result_tables(days, None, YEAR, SUMMER, (START, DEST))
+    departures = su.departures_from_marts(
+        results["average_flight_prices"], results["starting_flights"], results["travel_distance"]
+    )
+    return su.airport_summary(departures, results["min_max_flights"])
 
 
-def _requests(spark, sf):
-    """Every pair of airports with an itinerary between them."""
-    return itineraries(spark, sf, ROUTE).distinct()
+def _requests(days):
+    """Every pair with an itinerary, and pairs of which one airport is not known."""
+    pairs = days.select(*ROUTE).distinct()
+    start, dest = (F.col(c) for c in ROUTE)
+    odd = F.concat(F.lit("X"), start), F.concat(F.lit("X"), dest)
+    return pairs.union(pairs.select(odd[0], dest)).union(pairs.select(start, odd[1])).toDF(*ROUTE)
 
 
-def _layovers(spark, sf):
-    return su.airport_layover_difference(_summary(spark, sf), _means(spark, sf))
+def _layovers(days, top):
+    """One row per airport, stored, since routes look it up at both ends."""
+    rows = su.airport_layover_difference(_summary(days), ca.layover_mean_fares(top))
+    return stored(rows, "layovers")
 
 
 @query
 def airport_summary(spark, sf):
-    return _summary(spark, sf)
+    return ap.airport_profile(itineraries(spark, sf, SUMMARY_COLUMNS), YEAR, SUMMER)
+
+
+@query
+def airport_summary_from_tables(spark, sf):
+    return _summary(_days(spark, sf))
 
 
 @query
 def airport_layover_difference(spark, sf):
-    return _layovers(spark, sf)
+    return _layovers(_days(spark, sf), _tops(spark, sf))
 
 
 @query
 def airport_map_points(spark, sf):
     shown = fi.airports_in(tables.airports(spark, sf), CODES)
-    return su.airport_map_points(_layovers(spark, sf), shown)
+    return su.airport_map_points(_layovers(_days(spark, sf), _tops(spark, sf)), shown)
 
 
 @query
 def route_request_valid(spark, sf):
-    return ro.route_request_valid(_requests(spark, sf), _season_airports(spark, sf).distinct())
+    days = _days(spark, sf)
+    season = fi.season(days, YEAR, SUMMER).select(ORIGIN).distinct()
+    return ro.route_request_valid(_requests(days), season)
 
 
 @query
 def route_layover_difference(spark, sf):
-    top = cut_lineage(_top(spark, sf, 2, 3))  # the stored tables, used for means and pairs
-    layovers = su.airport_layover_difference(_summary(spark, sf), ca.layover_mean_fares(top))
-    return su.route_layover_difference(_requests(spark, sf), layovers, top)
+    days, top = _days(spark, sf), _tops(spark, sf)
+    return su.route_layover_difference(_requests(days), _layovers(days, top), top)
 
 
 @query
 def route_line(spark, sf):
-    return su.route_line(_requests(spark, sf), _layovers(spark, sf), tables.airports(spark, sf))
+    days = _days(spark, sf)
+    layovers = _layovers(days, _tops(spark, sf))
+    return su.route_line(_requests(days), layovers, tables.airports(spark, sf))
 
 
 # --- writes and warm-ups ----------------------------------------------------
 
 
+def _insert(spark, sf):
+    """What a table of one-leg fares holds, and what comes in: part of it again, copies, NULLs."""
+    trips = itineraries(spark, sf, ["leg_id", "flight_date", *CARRIER_COLUMNS], legs=[1])
+    trips = trips.withColumnRenamed(AIRLINES, "airline_name")
+    day = F.col("flight_date")
+    trips = trips.withColumn(FARE, F.when(F.col("leg_id") % 10 != 0, F.col(FARE)))
+    columns = ["airline_name", *ROUTE, FARE]
+    existing = trips.where(day < F.lit(date(1999, 1, 1))).select(*columns).distinct()
+    incoming = trips.where(day >= F.lit(date(1997, 1, 1))).select(*columns)
+    return incoming.unionAll(incoming), existing
+
+
 @query
 def mart_insert_ignore(spark, sf):
-    """The one-leg result table after all one-leg itineraries are inserted into it."""
-    trips = itineraries(spark, sf, CARRIER_COLUMNS, legs=[1])
-    incoming = trips.withColumnRenamed(AIRLINES, "airline_name")
-    return ins.insert_ignore(incoming, ca.top_fares(trips, 1))
+    return ins.insert_ignore(*_insert(spark, sf))
+
+
+@query
+def mart_unseen_rows(spark, sf):
+    return ins.unseen_rows(*_insert(spark, sf))
 
 
 @query

@@ -6,15 +6,18 @@ from pyspark.sql import functions as F
 from skyfare.functions.constants import AIRPORT_HOVER, LINE_BREAK, MISSING_TEXT, ROUTE_HOVER
 from skyfare.functions.expr import layover_label, leg_count, plain_text
 from skyfare.operators.routes import ROUTE, route_request_valid
-from skyfare.sources.checkpoint import cut_lineage
 
 
 def departures_from_marts(
     avg_fares: DataFrame, starting_flights: DataFrame, travel_distance: DataFrame
 ) -> DataFrame:
-    """Departure side of the summary by left joins of three stored results."""
+    """Departure side of the summary by left joins of three stored results.
+
+    Flights without a starting airport are in no airport's summary.
+    """
     return (
         avg_fares.drop("average_base_fare_text")
+        .where(F.col("starting_airport").isNotNull())
         .join(starting_flights, "starting_airport", "left")
         .join(travel_distance, "starting_airport", "left")
     )
@@ -117,7 +120,6 @@ def route_layover_difference(
 
     ``top_fares`` are the two- and three-leg results.
     """
-    layovers = cut_lineage(layovers)  # one row per airport, used twice
     valid = route_request_valid(requests, layovers)
     legs, fare = leg_count("airline_name"), F.col("base_fare")
     pair = top_fares.groupBy(*ROUTE).agg(
@@ -162,7 +164,6 @@ def with_endpoints(routes: DataFrame, airports: DataFrame) -> DataFrame:
 
 def route_line(requests: DataFrame, layovers: DataFrame, airports: DataFrame) -> DataFrame:
     """Line and hover text for each valid requested pair."""
-    layovers = cut_lineage(layovers)  # one row per airport, used three times
     start = layovers.select("starting_airport", "one_layover_difference", "two_layover_difference")
     pairs = route_request_valid(requests, layovers).join(start, "starting_airport")
     text = F.format_string(

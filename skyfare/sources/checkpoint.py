@@ -1,23 +1,35 @@
-"""Cutting the lineage of a small intermediate result that is used more than once."""
+"""Intermediate results that are used more than once, kept as files all executors can reach."""
 
-import tempfile
+import atexit
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_MADE: list[tuple[SparkSession, str]] = []
 
-def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder the cluster names; a temporary one only in local mode."""
+
+def shared_dir(spark: SparkSession) -> str:
+    """``spark.checkpoint.dir`` of the session; a folder of the shared warehouse where it is unset."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-    return tempfile.mkdtemp(prefix="skyfare-")
-
-
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Compute once and store reliably, so later uses read files and survive lost executors."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(checkpoint_dir(df.sparkSession))
-    return df.checkpoint()
+    return (folder or f"{spark.conf.get('spark.sql.warehouse.dir')}/_intermediate").rstrip("/")
+
+
+def stored(df: DataFrame, name: str = "stored") -> DataFrame:
+    """Writes ``df`` once and reads it back, so that later steps and lost executors reread files.
+
+    The files are removed when the program ends, since frames made from them are read lazily.
+    """
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(path)
+    _MADE.append((spark, path))
+    return spark.read.schema(df.schema).parquet(path)
+
+
+@atexit.register
+def _remove() -> None:
+    for spark, path in _MADE:
+        context = spark.sparkContext
+        if context._jsc is not None and not context._jsc.sc().isStopped():
+            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)

@@ -51,7 +51,10 @@ def read_itineraries_csv(
     """Typed itineraries from CSV. ``columns`` are engine names; the scan reads only those."""
     df = rename_source(read_raw_csv(spark, path))
     if columns is not None:
-        df = df.select([c for c in columns if c in df.columns])
+        missing = [c for c in columns if c not in df.columns]
+        if missing:
+            raise ValueError(f"no such columns: {', '.join(missing)}")
+        df = df.select(columns)
     df = type_columns(df)
     return with_num_legs(df) if "segments_airline_name" in df.columns else df
 

@@ -12,11 +12,9 @@ threshold and shuffles otherwise, splitting skewed partitions.
 
 from collections.abc import Iterable
 from datetime import date
-from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from skyfare.functions.constants import SEGMENT_COLUMNS, SEGMENT_SEPARATOR
 from skyfare.functions.expr import in_date_range
@@ -93,6 +91,10 @@ _COLUMNS = {
         f"concat(array({_HOME}), slice(trip.segments_arrival_airport_code, 1, size(trip) - 1))"
     ),
     **{c: _joined(f"trip.{c}") for c in _LEG_TEXTS},
+    # some itineraries do not say what they fly with
+    "segments_equipment_description": (
+        f"if(o_orderkey % 7 = 0, null, {_joined('trip.segments_equipment_description')})"
+    ),
 }
 
 # Fact of an order's lines -> its aggregate and the columns made from it.
@@ -107,15 +109,8 @@ _FROM_PART = {"total_travel_distance", "segments_distance", "segments_equipment_
 _FROM_CUSTOMER = {"starting_airport", "segments_departure_airport_code"}
 
 
-@cache
-def _schema(spark: SparkSession, path: str) -> StructType:
-    """A table's schema, read from its files once per session and not once per query."""
-    return spark.read.parquet(path).schema
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    path = f"{sf_dir}/{name}.parquet"
-    return spark.read.schema(_schema(spark, path)).parquet(path)
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def airports(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -185,8 +180,9 @@ def _trips(
     order = "l_linenumber, l_partkey, l_suppkey"
     if want & _LISTS:
         nation = table(spark, sf_dir, "nation")
-        lines = lines.join(suppliers, of_supplier, "left")
-        lines = lines.join(nation, F.expr("s_nationkey = n_nationkey"), "left")
+        # the small sides first, so that lines meet a supplier key and never one of few nations
+        named = suppliers.join(nation, F.expr("s_nationkey = n_nationkey"), "left")
+        lines = lines.join(named, of_supplier, "left")
         if legs is None and orders is None:
             # lists gain nothing from partial aggregation: shuffle the legs, not half-made
             # lists; a selection above has partitioned its few legs by order already

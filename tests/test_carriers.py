@@ -102,3 +102,12 @@ def test_explode_segments(spark):
     got = carriers.explode_segments(df)
     assert got.columns == ["leg_id", "segment_no", "departure_airport", "airline_name", "distance"]
     assert rows(got) == [(1, 1, "ATL", "A", 100), (1, 2, "DEN", "B", None), (2, 1, "SFO", "C", 7)]
+
+
+def test_explode_segments_with_missing_lists(spark):
+    df = spark.createDataFrame(
+        [("a", "X", "1"), ("b", "X||Y", None), ("c", None, "3||4"), ("d", None, None)],
+        "leg_id string, segments_airline_name string, segments_distance string",
+    )
+    got = rows(carriers.explode_segments(df).select("leg_id", "segment_no", "airline_name", "distance"))
+    assert got == sorted([("a", 1, "X", 1), ("b", 1, "X", None), ("b", 2, "Y", None), ("c", 1, None, 3), ("c", 2, None, 4)], key=repr)

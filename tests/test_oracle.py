@@ -7,9 +7,10 @@ import duckdb
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from skyfare.plans.oracle import ORACLE
+from skyfare.plans.registry import QUERIES
 
 DATA = "/root/testdata/sf0.001"
-QUERIES, ORACLE = queries(), oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -28,6 +29,7 @@ def by_name(columns, records):
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(queries()) and set(ORACLE) <= set(oracle_sql())
 
 
 @pytest.mark.parametrize("name", QUERIES)

@@ -51,14 +51,18 @@ def test_extreme_shares_the_shuffle_with_its_rows(no_broadcast):
     assert "ReusedExchange" in plan(df)
 
 
-def test_windows_over_everything_are_only_over_stored_totals(no_broadcast):
-    """Only global aggregates and windows over checkpointed bucket totals use one partition."""
-    for name in ("systematic_sample", "size_capped_extract", "route_popularity"):
+def test_windows_over_everything_are_only_over_bucket_totals(no_broadcast):
+    """Only aggregates and windows over sums of buckets use one partition."""
+    for name in ("systematic_sample", "size_capped_extract", "size_capped_chunks", "route_popularity"):
         text = plan(QUERIES[name](no_broadcast, DATA))
-        single = text.split("Exchange SinglePartition")[1]
-        below = single.splitlines()[1:4]
-        assert not any("FileScan" in line for line in below), name
-        assert "Scan ExistingRDD" in single
+        for single in text.split("Exchange SinglePartition")[1:]:
+            assert "HashAggregate" in single.splitlines()[1] or "ObjectHashAggregate" in single.splitlines()[1], name
+
+
+def test_summaries_read_the_facts_at_most_twice(spark):
+    """The rollups are read instead; what makes them is one pass each."""
+    for name in ("airport_layover_difference", "airport_map_points", "route_layover_difference", "route_line"):
+        assert "lineitem" not in plan(QUERIES[name](spark, DATA)), name
 
 
 def test_best_fares_are_picked_before_the_shuffle(no_broadcast):

@@ -3,17 +3,15 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from skyfare.functions.constants import EXTRACT_COLUMNS
 from skyfare.operators import extract, position, routes
 from tests.conftest import rows
 
 
-@pytest.fixture(params=["single", "levels"])
+@pytest.fixture(params=[1, 10, 100_000])
 def small_buckets(request, monkeypatch):
-    """Buckets of ten keys, windowed at once or level by level."""
-    monkeypatch.setattr(position, "BUCKET", 10)
-    monkeypatch.setattr(extract, "BUCKET", 10)
-    if request.param == "levels":
-        monkeypatch.setattr(position, "SINGLE_WINDOW_GROUPS", 0)
+    """Buckets of one key, of ten and of all."""
+    monkeypatch.setattr(position, "BUCKET_ROWS", request.param)
 
 
 def keyed(spark, keys):
@@ -31,17 +29,58 @@ def keys():
 
 def test_positions(spark, small_buckets):
     df = keyed(spark, keys())
-    ones = {"rows": F.lit(1)}
-    placed = position.with_preceding(df, "leg_id", ones, position.bucket_totals(df, "leg_id", ones))
+    placed = position.with_preceding(df, ["leg_id"], {"rows": F.lit(1)})
     got = dict(placed.select("leg_id", "rows_before").collect())
     assert got == {k: i for i, k in enumerate(keys())}
 
 
+def test_few_splitters(spark, monkeypatch):
+    monkeypatch.setattr(position, "BUCKET_ROWS", 1)
+    monkeypatch.setattr(position, "SPLITTERS", 7)
+    placed = position.with_preceding(keyed(spark, keys()), ["leg_id"], {"rows": F.lit(1)})
+    assert dict(placed.select("leg_id", "rows_before").collect()) == {k: i for i, k in enumerate(keys())}
+
+
+def test_text_ids_repeats_and_nulls(spark, small_buckets):
+    rng = random.Random(8)
+    ids = ["".join(rng.choice("0123456789abcdef") for _ in range(32)) for _ in range(60)]
+    days = [None, "2022-04-17", "2022-04-18", "2022-05-01"]
+    data = [(rng.choice(ids + [None]), rng.choice(days), rng.choice([1, 2, None])) for _ in range(300)]
+    df = spark.createDataFrame(data, "leg_id string, flight_date string, n int").repartition(5)
+    ordered = sorted(data, key=lambda r: tuple((x is not None, x) for x in (r[1], r[0], r[2])))
+    for step in (1, 5, 7):
+        got = extract.systematic_sample(df, step=step)
+        assert rows(got) == sorted(ordered[::step], key=repr)
+    assert rows(extract.size_capped_extract(df, 1500)) == sorted(capped(ordered, 1500, 1), key=repr)
+    assert rows(extract.size_capped_chunks(df, 1500, 40)) == sorted(capped(ordered, 1500, 40), key=repr)
+
+
+def capped(ordered, budget, chunk):
+    taken, total = [], 0
+    for at in range(0, len(ordered), chunk):
+        if total > budget:
+            break
+        taken += ordered[at : at + chunk]
+        total += sum(len(str(x).encode()) for r in ordered[at : at + chunk] for x in r if x is not None)
+    return taken
+
+
+def test_nothing_runs_before_an_action(spark, small_buckets):
+    df = keyed(spark, keys())
+    before = spark._jsc.sc().dagScheduler().nextJobId()
+    extract.systematic_sample(df, ("leg_id",))
+    extract.size_capped_extract(df, 40, ("leg_id",))
+    extract.size_capped_chunks(df, 40, 5, ("leg_id",))
+    assert spark._jsc.sc().dagScheduler().nextJobId() == before
+
+
 @pytest.mark.parametrize("step", [1, 5, 7])
 def test_systematic_sample(spark, small_buckets, step):
-    got = extract.systematic_sample(keyed(spark, keys()), step=step)
-    assert sorted(r.leg_id for r in got.collect()) == keys()[::step]
-    assert got.columns == ["leg_id", "note"]
+    df = keyed(spark, keys())
+    for narrow in (None, df.select("leg_id")):
+        got = extract.systematic_sample(df, ("leg_id",), step, narrow)
+        assert sorted(r.leg_id for r in got.collect()) == keys()[::step]
+        assert got.columns == ["leg_id", "note"]
 
 
 def expected_prefix(budget, chunk):
@@ -58,13 +97,13 @@ def expected_prefix(budget, chunk):
 
 @pytest.mark.parametrize("budget", [-1, 0, 40, 900, 10**9])
 def test_size_cap(spark, small_buckets, budget):
-    got = extract.size_capped_extract(keyed(spark, keys()), budget)
+    got = extract.size_capped_extract(keyed(spark, keys()), budget, ("leg_id",))
     assert sorted(r.leg_id for r in got.collect()) == expected_prefix(budget, 1)
 
 
 @pytest.mark.parametrize("budget", [-1, 0, 300, 10**9])
 def test_size_cap_in_chunks(spark, small_buckets, budget):
-    got = extract.size_capped_chunks(keyed(spark, keys()), budget, 25)
+    got = extract.size_capped_chunks(keyed(spark, keys()), budget, 25, ("leg_id",), True)
     assert sorted(r.leg_id for r in got.collect()) == expected_prefix(budget, 25)
 
 
@@ -91,4 +130,7 @@ def test_extract_columns_and_stray_index(spark):
     df = spark.createDataFrame([(1, 2, 3)], "`Unnamed: 0` int, leg_id int, other int")
     assert extract.drop_index_column(df).columns == ["leg_id", "other"]
     assert extract.drop_index_column(extract.drop_index_column(df)).columns == ["leg_id", "other"]
-    assert rows(extract.extract_columns(df)) == [(2,)]
+    rest = tuple(c for c in EXTRACT_COLUMNS if c != "leg_id")
+    assert rows(extract.extract_columns(df, without=rest)) == [(2,)]
+    with pytest.raises(ValueError, match="search_date"):
+        extract.extract_columns(df)
