@@ -1,29 +1,10 @@
-"""Intermediate results kept as Parquet in the folder the cluster shares."""
+"""Intermediate results kept in the folder the cluster shares, and the session's shuffle width."""
 
-from __future__ import annotations
+from pyspark.sql import SparkSession
 
-import uuid
+from skyfare.sources.checkpoint import stored
 
-from pyspark.sql import DataFrame, SparkSession
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir`` of the session; a session without it has to be given one."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
-    return folder.rstrip("/")
-
-
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Writes ``df`` once and reads it back, so that later steps and lost executors reread files.
-
-    The files stay until the folder is cleared, since frames made from them are read lazily.
-    """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+__all__ = ["partitions", "stored"]
 
 
 def partitions(spark: SparkSession) -> int:
