@@ -24,6 +24,7 @@ from skyfare.sources.tables import itineraries
 
 # The test tables hold 1995 to 2001, so the season is summer 2000.
 YEAR, SUMMER = 2000, [6, 7, 8]
+SEASON = (date(2000, 6, 1), date(2000, 9, 1))
 PERIOD = (date(2000, 5, 1), date(2000, 9, 1))
 START, DEST = "N05", "N11"
 CODES = [f"N{i:02d}" for i in range(16)]
@@ -148,13 +149,14 @@ def filter_airport_list(spark, sf):
 
 @query
 def avg_fare_season(spark, sf):
-    trips = itineraries(spark, sf, [ORIGIN, "flight_date", FARE])
+    trips = itineraries(spark, sf, [ORIGIN, "flight_date", FARE], dates=SEASON)
     return fa.avg_fare_season(trips, YEAR, SUMMER)
 
 
 @query
 def route_avg_fare(spark, sf):
-    return fa.route_avg_fare(itineraries(spark, sf, [*ROUTE, FARE]), START, DEST)
+    trips = itineraries(spark, sf, [*ROUTE, FARE], start=START)
+    return fa.route_avg_fare(trips, START, DEST)
 
 
 @query

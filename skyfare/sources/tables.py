@@ -128,19 +128,23 @@ def itineraries(
     columns: Iterable[str] | None = None,
     legs: Iterable[int] | None = None,
     dates: tuple[date, date] | None = None,
+    start: str | None = None,
 ) -> DataFrame:
     """One row per order that has lines, with the requested columns.
 
     ``legs`` keeps itineraries with one of these leg counts, ``dates`` those that
-    depart in ``[first, end)``. Both cut the lines down before segment lists are put
-    together, so only lists that are asked for get built.
+    depart in ``[first, end)``, ``start`` those from one airport. All cut the lines down
+    before they are reduced and segment lists are put together.
     """
     columns = list(COLUMNS if columns is None else columns)
     want = set(columns)
     orders = table(spark, sf_dir, "orders")
     if dates is not None:
         orders = orders.where(in_date_range(F.to_date("o_orderdate"), *dates))
-    trips = _trips(spark, sf_dir, want, legs, None if dates is None else orders)
+    if start is not None:
+        home = table(spark, sf_dir, "customer").where(F.expr(_HOME) == start)
+        orders = orders.join(home, F.expr("o_custkey = c_custkey"), "left_semi")
+    trips = _trips(spark, sf_dir, want, legs, None if dates is None and start is None else orders)
 
     # with no fact to add, the lines only say which orders are itineraries
     how = "left_semi" if trips.columns == ["l_orderkey"] else "inner"

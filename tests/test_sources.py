@@ -194,6 +194,10 @@ def test_selected_legs_and_dates(spark):
     span = (date(2000, 5, 1), date(2000, 9, 1))
     some = tables.itineraries(spark, DATA, dates=span)
     assert rows(some) == rows(filters.departing(full, *span))
+    some = tables.itineraries(spark, DATA, start="N05")
+    assert rows(some) == rows(full.where("starting_airport = 'N05'"))
+    some = tables.itineraries(spark, DATA, dates=span, start="N05")
+    assert rows(some) == rows(filters.departing(full, *span).where("starting_airport = 'N05'"))
 
 
 def test_segment_column_alone(spark):
