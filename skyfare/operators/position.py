@@ -14,7 +14,19 @@ from pyspark.sql import functions as F
 
 #: Rows in a bucket on average, as long as that needs no more than SPLITTERS buckets.
 BUCKET_ROWS = 10_000
-SPLITTERS = 2**13 - 1
+SPLITTERS = 2**13
+#: Splitters searched at once.
+LIST = 128
+
+
+def _upto(splitters: str) -> Column:
+    """How many of a sorted array of up to 255 splitters are at most the row's key, by halving."""
+
+    def further(at: Column, step: Column) -> Column:
+        ahead = F.get(splitters, at + step - 1) <= F.col("place key")
+        return at + F.when(ahead, step).otherwise(0)
+
+    return F.aggregate(F.array(*[F.lit(128 >> i) for i in range(8)]), F.lit(0), further)
 
 
 class Positions:
@@ -35,30 +47,36 @@ class Positions:
         every = rows.select(F.greatest(F.lit(BUCKET_ROWS), F.ceil(F.col("n") / SPLITTERS))).scalar()
         # equal keys hash alike, so they are made distinct before they are put together
         some = self.df.select(self.key.alias("k")).where(F.pmod(F.xxhash64("k"), every) == 0)
-        return some.distinct().agg(F.array_sort(F.collect_list("k"))).scalar()
+        some = some.distinct().agg(F.array_sort(F.collect_list("k")).alias("all"), F.count("*").cast("int").alias("n"))
+        lists = F.sequence(F.lit(0), F.floor(F.col("n") / LIST).cast("int"))
+        chunks = F.transform(lists, lambda i: F.slice("all", i * LIST + 1, F.lit(LIST)))
+        firsts = F.filter(F.transform(chunks, lambda c: F.get(c, 0)), lambda k: k.isNotNull())
+        return some.select(F.struct(chunks.alias("lists"), firsts.alias("firsts"))).scalar()
 
     def bucketed(self) -> DataFrame:
-        """The rows with ``bucket``, the number of splitters up to their key, by binary search."""
-        rows = self.df.withColumns({"place key": self.key, "bucket": F.lit(0)})
-        step = (SPLITTERS + 1) // 2
-        while step:
-            ahead = F.get(self.splitters, F.col("bucket") + (step - 1)) <= F.col("place key")
-            rows = rows.withColumn("bucket", F.col("bucket") + F.when(ahead, step).otherwise(0))
-            step //= 2
-        return rows
+        """The rows with ``bucket``, the number of splitters up to their key.
+
+        A binary search among the first splitters of the lists, then one in a list: rows carry these
+        few splitters from one step to the next, and never all of them.
+        """
+        rows = self.df.withColumns({"place key": self.key, "some splitters": self.splitters["firsts"]})
+        rows = rows.withColumn("place list", F.greatest(_upto("some splitters") - 1, F.lit(0)))
+        rows = rows.withColumn("some splitters", F.get(self.splitters["lists"], F.col("place list")))
+        rows = rows.withColumn("place bucket", F.col("place list") * LIST + _upto("some splitters"))
+        return rows.drop("some splitters", "place list")
 
     def totals(self) -> DataFrame:
         """Weights per bucket and, as ``<w>_ahead``, of all buckets before it."""
-        sums = self.bucketed().groupBy("bucket").agg(*[F.sum(c).alias(w) for w, c in self.weights.items()])
-        before = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+        sums = self.bucketed().groupBy("place bucket").agg(*[F.sum(c).alias(w) for w, c in self.weights.items()])
+        before = Window.orderBy("place bucket").rowsBetween(Window.unboundedPreceding, -1)
         return sums.select(
             "*", *[F.coalesce(F.sum(w).over(before), F.lit(0)).alias(f"{w}_ahead") for w in self.weights]
-        ).withColumnRenamed("bucket", "total of")
+        ).withColumnRenamed("place bucket", "total of")
 
     def rows(self, totals: DataFrame) -> DataFrame:
         """The rows of the buckets in ``totals`` with ``<w>_before``, the weight of all rows before."""
-        own = Window.partitionBy("bucket").orderBy("place key").rowsBetween(Window.unboundedPreceding, -1)
-        rows = self.bucketed().join(totals.select("total of", *[f"{w}_ahead" for w in self.weights]), F.expr("bucket = `total of`"))
+        own = Window.partitionBy("place bucket").orderBy("place key").rowsBetween(Window.unboundedPreceding, -1)
+        rows = self.bucketed().join(totals.select("total of", *[f"{w}_ahead" for w in self.weights]), F.expr("`place bucket` = `total of`"))
         before = {
             w: F.col(f"{w}_ahead") + F.coalesce(F.sum(c).over(own), F.lit(0)) for w, c in self.weights.items()
         }
