@@ -21,10 +21,12 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked documents, the one with the least id."""
+    """Of each group of linked documents, the one with the least id; rows without id are kept."""
     groups = ngram_join.joined(docs)
     kept = groups.where("doc_id = component_id").select("doc_id").distinct()
-    return docs.select(*COLUMNS).join(kept, "doc_id", "left_semi").select(*COLUMNS)
+    rows = docs.select(*COLUMNS)
+    named = rows.join(kept, "doc_id", "left_semi").select(*COLUMNS)
+    return named.unionByName(rows.where("doc_id is null"))
 
 
 def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

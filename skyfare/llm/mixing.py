@@ -147,14 +147,14 @@ def mixed(
     columns = [c for c in (docs.columns if columns is None else columns) if c != "epoch"]
     names = list(levels)
     leaves = plan(docs, levels, weights, share, epochs, seed, key, text)
-    leaves = leaves.select(*[F.col(n).alias(f"leaf {n}") for n in names], "whole", "quota", "cut")
+    leaves = leaves.select(*[F.col(n).alias(f"leaf {n}") for n in [*names, "whole", "quota", "cut"]])
     own = [F.coalesce(c.cast("string"), F.lit("")).alias(f"own {n}") for n, c in levels.items()]
     rows = docs.select(*[F.col(f"`{c}`") for c in columns], F.col(key).alias("own key"), *own)
     rows = rows.join(leaves, [F.col(f"own {n}") == F.col(f"leaf {n}") for n in names])
-    rows = rows.withColumn("drawn epoch", F.explode(F.sequence(F.lit(0), F.col("whole"))))
+    rows = rows.withColumn("drawn epoch", F.explode(F.sequence(F.lit(0), F.col("leaf whole"))))
     order = order_key("own key", F.col("drawn epoch"), seed)
-    fits = (F.col("quota") > 0) & (F.col("cut").isNull() | (order <= F.col("cut")))
-    rows = rows.where((F.col("drawn epoch") < F.col("whole")) | fits)
+    fits = (F.col("leaf quota") > 0) & (F.col("leaf cut").isNull() | (order <= F.col("leaf cut")))
+    rows = rows.where((F.col("drawn epoch") < F.col("leaf whole")) | fits)
     return rows.select(*[F.col(f"`{c}`") for c in columns], F.col("drawn epoch").alias("epoch"))
 
 

@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 from skyfare.llm.mixing import n_words
 from skyfare.llm.store import stored
 
+#: Pieces of a shard on average, however short they are.
+SHARD_PIECES = 20_000
 PLACED = "doc_id long, piece int, first_token long, n_tokens long, bin_id string, offset long"
 
 
@@ -31,11 +33,17 @@ def best_fit(items: Iterable[tuple[int, object, object]], capacity: int) -> list
     open_bins: list[tuple[int, int]] = []
     sources: list[int] = []
     clusters: list[int] = []
+    held: list[list[tuple[int, int]]] = []
+    # Open bins with a source or cluster; where all have it, there is nothing to search.
+    with_source: dict[int, int] = {}
+    with_cluster: dict[int, int] = {}
     placed = []
     for size, source, cluster in items:
         s = source_bit.setdefault(source, 1 << len(source_bit))
         c = cluster_bit.setdefault(cluster, 1 << len(cluster_bit))
         at = bisect_left(open_bins, (size, -1))
+        if max(with_source.get(s, 0), with_cluster.get(c, 0)) == len(open_bins):
+            at = len(open_bins)
         while at < len(open_bins) and (sources[open_bins[at][1]] & s or clusters[open_bins[at][1]] & c):
             at += 1
         if at < len(open_bins):
@@ -44,11 +52,21 @@ def best_fit(items: Iterable[tuple[int, object, object]], capacity: int) -> list
             room, b = capacity, len(sources)
             sources.append(0)
             clusters.append(0)
+            held.append([])
         placed.append((b, capacity - room))
         sources[b] |= s
         clusters[b] |= c
+        held[b].append((s, c))
         if room > size:
             insort(open_bins, (room - size, b))
+            changed, by = [(s, c)], 1
+        else:
+            changed, by = held[b][:-1], -1
+        for x, y in changed:
+            if x:
+                with_source[x] = with_source.get(x, 0) + by
+            if y:
+                with_cluster[y] = with_cluster.get(y, 0) + by
     return placed
 
 
@@ -89,8 +107,8 @@ def packed(
 
     A document of more than ``capacity`` tokens gives pieces of that size, which fill bins alone, and a
     rest. No bin holds two pieces of one source or one duplicate cluster (``cluster``, by default
-    copies up to case and white space). Shards hold about ``shard_bins`` bins of tokens each, whatever
-    the size of a source or cluster, and no bin spans shards.
+    copies up to case and white space). Shards hold about ``shard_bins`` bins of tokens each, and
+    SHARD_PIECES pieces at most on average, whatever the size of a source or cluster; no bin spans shards.
 
     A document without tokens (NULL, empty or blank text) gives one row without bin. A NULL source is
     in conflict with nothing, and an id may be NULL. Repeated rows are packed apart, being copies. An
@@ -106,8 +124,10 @@ def packed(
         ),
         "packing-sizes",
     )
-    total = narrow.agg(F.coalesce(F.sum("tokens"), F.lit(0))).first()[0]
-    shards = max(1, -(-total // (capacity * shard_bins)))
+    sums = narrow.agg(
+        F.coalesce(F.sum("tokens"), F.lit(0)), F.coalesce(F.sum(F.ceil(F.col("tokens") / capacity)), F.lit(0))
+    ).first()
+    shards = max(1, -(-sums[0] // (capacity * shard_bins)), -(-sums[1] // SHARD_PIECES))
     pieces = narrow.where("tokens > 0").withColumn(
         "piece", F.explode(F.sequence(F.lit(0), F.floor((F.col("tokens") - 1) / capacity).cast("int")))
     )

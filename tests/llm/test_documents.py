@@ -281,7 +281,8 @@ def test_mixing(spark):
 
     rows = [(r.doc_id, r.text, r.lang, r.source) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
     rows += [(9001, None, "en", "src0"), (9002, "", None, None), (9003, "a b c", None, "src1")]
-    df = spark.createDataFrame([(*r, 5) for r in rows], "doc_id long, text string, lang string, source string, epoch int")
+    names = "doc_id long, text string, lang string, source string, epoch int, whole int, cut string, share int"
+    df = spark.createDataFrame([(*r, 5, 6, "7", 8) for r in rows], names)
     paths = [
         (i, t, (mixing.DOMAINS.get(s, "curated"), lang or "", s or "")) for i, t, lang, s in rows
     ]
@@ -300,6 +301,9 @@ def test_packing(spark, docs):
     r = random.Random(3)
     items = sorted(((r.randint(1, 60), r.choice("abcd"), r.choice([None, 1, 2, 3])) for _ in range(400)), key=lambda x: -x[0])
     assert packing.best_fit(items, 100) == brute.best_fit(items, 100)
+    for hot in (0.5, 0.95, 1.0):
+        some = [(n, "a" if r.random() < hot else s, c) for n, s, c in items]
+        assert packing.best_fit(some, 100) == brute.best_fit(some, 100)
 
     rows = [(i, t, r.choice(["big", "big", "s1", "s2", None])) for i, t in docs[1]] + [(None, "a b", "s1"), (7, "", None)]
     df = spark.createDataFrame([(*x, 0, "") for x in rows], "doc_id long, text string, source string, piece int, shard string")
