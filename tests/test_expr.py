@@ -52,7 +52,8 @@ def test_duration_minutes(spark):
     texts = {
         "PT2H29M": 149, "PT45M": 45, "PT3H": 180, "P1DT2H5M": 1565, "P2D": 2880, "PT0H5M": 5,
         "P": None, "PT": None, "P1DT": None, "2H": None, "PT5M2H": None, "PT2H29M ": None,
-        "": None, "xx": None, "PTHM": None, "P T2H": None, None: None,
+        "": None, "PT100000M": 100000, "P12345D": 12345 * 1440, "P1DT" + "9" * 30 + "H": None,
+        "xx": None, "PTHM": None, "P T2H": None, None: None,
     }
     df = spark.createDataFrame([(t,) for t in texts], "d string")
     assert dict(df.select("d", expr.duration_minutes("d")).collect()) == texts

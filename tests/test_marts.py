@@ -84,6 +84,11 @@ def test_appending_again_adds_nothing(spark, df, built):
     assert {name: rows(frame) for name, frame in again.items()} == before
 
 
+def test_first_build_makes_tables_that_keep_known_rows(spark, df, built, tmp_path):
+    fresh = marts.build(spark, df, str(tmp_path / "new"), ignore_known=True, **RUN)
+    assert {n: rows(f) for n, f in fresh.items()} == {n: rows(f) for n, f in built[1].items()}
+
+
 def test_differences_name_the_side(spark):
     a = spark.createDataFrame([(1,), (1,), (2,)], "x int")
     b = spark.createDataFrame([(1,), (3,)], "x int")

@@ -42,11 +42,10 @@ def test_summary_keeps_airports_with_a_season_flight(trips):
 
 def test_one_pass_equals_the_joined_results(trips):
     df, once, _ = frames(trips, TRIPS)
-    named = df.where("starting_airport is not null")
     departures = summary.departures_from_marts(
-        fares.avg_fare_season(named, 2022, [6, 7, 8]),
-        airports.airport_daily_flights_and_cost(named),
-        airports.avg_distance_by_airport(named),
+        fares.avg_fare_season(df, 2022, [6, 7, 8]),
+        airports.airport_daily_flights_and_cost(df),
+        airports.avg_distance_by_airport(df),
     )
     joined = summary.airport_summary(departures, fares.dest_fare_stats(df))
     assert rows(once) == rows(joined.select(*once.columns))
