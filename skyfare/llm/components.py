@@ -9,8 +9,13 @@ from skyfare.llm.store import stored
 
 
 def _with_least(edges: DataFrame) -> DataFrame:
-    """Edges (u, v) with m, the least of u and its neighbours; sums are made before the shuffle."""
+    """Edges (u, v) with m, the least of u and its neighbours.
+
+    Minima are taken before the shuffle. They are stored, since the join can then be split where
+    a node has a large part of all edges; it could not right after an aggregate.
+    """
     least = edges.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("w"), "m")
+    least = stored(least, "least")
     return edges.join(least, edges.u == least.w).select("u", "v", F.least("u", "m").alias("m"))
 
 

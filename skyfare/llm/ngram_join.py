@@ -375,7 +375,9 @@ def joined(
     found = similar_sets(docs, text, percent, local)
     members = members.join(found, members.key == found.node, "left")
     members = members.select("id", "n", F.coalesce("component", "key").alias("component"))
+    # Stored, so that the join below can be split where a component has a large part of all rows.
     least = members.where("n > 0").groupBy("component").agg(F.min("id").alias("component_id"))
+    least = stored(least, "least")
     named = members.where("n > 0").join(least, "component").select("id", "n", "component_id")
     alone = members.where("n = 0").select("id", "n", F.col("id").alias("component_id"))
     return named.unionByName(alone).select(F.col("id").alias(key), F.col("n").alias("n_shingles"), "component_id")
