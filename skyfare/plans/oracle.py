@@ -449,6 +449,22 @@ LEFT JOIN airports a ON a.iata = v.starting_airport
 LEFT JOIN airports b ON b.iata = v.destination_airport""",
     "mart_insert_ignore": with_(INSERT) + "SELECT * FROM existing UNION SELECT * FROM incoming",
     "mart_unseen_rows": with_(INSERT) + "SELECT * FROM incoming EXCEPT SELECT * FROM existing",
+    "csv_round_trip": with_()
+    + f"""SELECT CAST(leg_id AS VARCHAR) AS leg_id, flight_date, starting_airport, {dbl('base_fare')},
+  is_nonstop, segments_airline_name, num_legs FROM itineraries""",
+    "airport_file_round_trip": f"WITH {AIRPORTS} SELECT * FROM airports",
+    "path_file_round_trip": with_(PATHS, AIRPORTS)
+    + """SELECT cnt, a.long AS start_lon, a.lat AS start_lat, b.long AS end_lon, b.lat AS end_lat
+FROM paths LEFT JOIN airports a ON a.iata = starting_airport
+LEFT JOIN airports b ON b.iata = destination_airport""",
+    "lake_season": with_()
+    + money_rows("itineraries", "leg_id", "flight_date", ROUTE)
+    + f" WHERE {SEASON}",
+    "stored_table_differences": with_(STATS)
+    + f"""SELECT destination_airport, {dbl('max_base_fare')}, 'missing' AS side FROM stats
+WHERE destination_airport = '{DEST}'
+UNION ALL SELECT 'ZZZ', {dbl('max_base_fare')}, 'extra' FROM stats
+WHERE destination_airport = '{DEST}'""",
     "squares_even": """SELECT CAST(p_size AS BIGINT) * p_size AS square FROM part
 WHERE p_size % 2 = 0""",
     "tokenize_text": "SELECT doc_id, unnest(string_split(text, ' ')) AS word FROM documents",

@@ -6,7 +6,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyfare.functions.constants import SEGMENT_COLUMNS
+from skyfare.functions.constants import SEGMENT_COLUMNS, SOURCE_COLUMNS
 from skyfare.operators import airports as ap
 from skyfare.operators import carriers as ca
 from skyfare.operators import extract as ex
@@ -18,7 +18,8 @@ from skyfare.operators import text as tx
 from skyfare.plans import marts
 from skyfare.plans import summary as su
 from skyfare.sources import tables
-from skyfare.sources.checkpoint import stored
+from skyfare.sources import itineraries as csv
+from skyfare.sources.checkpoint import new_folder, stored
 from skyfare.sources.itineraries import chunk_union
 from skyfare.sources.tables import itineraries
 
@@ -456,6 +457,49 @@ def mart_unseen_rows(spark, sf):
     return ins.unseen_rows(*_insert(spark, sf))
 
 
+@query
+def csv_round_trip(spark, sf):
+    """Itineraries written as CSV with the source's header and read back with their types."""
+    trips = itineraries(spark, sf, ["leg_id", "flight_date", *ROUTE, FARE, "is_nonstop", AIRLINES])
+    source = {engine: name for name, (engine, _) in SOURCE_COLUMNS.items()}
+    path = new_folder(spark, "csv")
+    csv.write_csv(trips.withColumnsRenamed(source), path)
+    return csv.read_itineraries_csv(spark, path, ["leg_id", "flight_date", ORIGIN, FARE, "is_nonstop", AIRLINES])
+
+
+@query
+def airport_file_round_trip(spark, sf):
+    path = new_folder(spark, "airports")
+    csv.write_csv(tables.airports(spark, sf), path)
+    return csv.read_airports_csv(spark, path)
+
+
+@query
+def path_file_round_trip(spark, sf):
+    """Flight paths with their positions, as a file of paths and read back."""
+    paths = su.with_endpoints(_paths(spark, sf), tables.airports(spark, sf))
+    path = new_folder(spark, "paths")
+    csv.write_csv(paths.drop(*ROUTE), path)
+    return csv.read_paths_csv(spark, path)
+
+
+@query
+def lake_season(spark, sf):
+    """The season from itineraries stored by month."""
+    path = new_folder(spark, "lake")
+    csv.write_lake(itineraries(spark, sf, ["leg_id", "flight_date", *ROUTE, FARE]), path)
+    return fi.season(csv.read_lake(spark, path), YEAR, SUMMER).drop("flight_month")
+
+
+@query
+def stored_table_differences(spark, sf):
+    """A stored result table that lacks a destination and has one too many, against the result."""
+    expected = fa.max_fare_by_dest(_into(spark, sf))
+    odd = expected.where(F.col(TARGET) == DEST).withColumn(TARGET, F.lit("ZZZ"))
+    found = stored(expected.where(F.col(TARGET) != DEST).unionByName(odd), "max-fares")
+    return marts.differences(expected, found)
+
+
 @query
 def squares_even(spark, sf):
     return tx.squares_even(tables.table(spark, sf, "part"), "p_size")

@@ -14,15 +14,21 @@ def shared_dir(spark: SparkSession) -> str:
     return (folder or f"{spark.conf.get('spark.sql.warehouse.dir')}/_intermediate").rstrip("/")
 
 
+def new_folder(spark: SparkSession, name: str) -> str:
+    """A path of its own in the shared folder, removed when the program ends."""
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    _MADE.append((spark, path))
+    return path
+
+
 def stored(df: DataFrame, name: str = "stored") -> DataFrame:
     """Writes ``df`` once and reads it back, so that later steps and lost executors reread files.
 
     The files are removed when the program ends, since frames made from them are read lazily.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = new_folder(spark, name)
     df.write.option("compression", "zstd").parquet(path)
-    _MADE.append((spark, path))
     return spark.read.schema(df.schema).parquet(path)
 
 
