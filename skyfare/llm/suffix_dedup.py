@@ -37,8 +37,8 @@ LENGTH, LEAD = 100, 50
 SPAN = LENGTH - LEAD + 1
 #: Anchors of a block in the count, and suffixes that a task holds before it sends them on.
 BLOCK_ANCHORS, HELD = 500_000, 30_000
-#: Bytes of text searched for anchors at a time, and rows of a batch that holds texts.
-SEARCHED, BATCH_ROWS = 1 << 18, 1000
+#: Bytes of texts searched for anchors at a time, of one text at most, and rows of a batch of texts.
+SEARCHED, PIECE_BYTES, BATCH_ROWS = 1 << 18, 1 << 20, 1000
 #: Documents from which splitters are sampled, and suffixes of each.
 SAMPLE_DOCS, SAMPLE_EACH = 2000, 8
 #: Documents without id come after ids below this, in order of a hash of their text.
@@ -50,8 +50,7 @@ _INDEX = np.uint64((1 << 24) - 1)
 def anchors(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
     """Anchors of all 100-byte strings of texts: (place, first and last start of its strings, hash, bounds).
 
-    In order; ``bounds`` has where the anchors of each text begin. Texts are shorter than 16 MB together
-    or one by one are cut into overlapping pieces by the caller.
+    In order; ``bounds`` has where the anchors of each text begin. All texts together have less than 16 MB.
     """
     n = len(data) - LEAD + 1
     starts_of = np.diff(offsets) - LENGTH + 1
@@ -84,10 +83,13 @@ def anchors(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
 
 
 def text_anchors(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
-    """``anchors`` for texts of any length."""
-    if len(data) < 1 << 24:
+    """``anchors`` for texts of any length, of long ones in overlapping pieces.
+
+    The strings of an anchor at the border of two pieces come in two runs, each compared by itself.
+    """
+    if len(data) <= PIECE_BYTES:
         return anchors(data, offsets)
-    parts, bounds, step = [], [0], 1 << 22
+    parts, bounds, step = [], [0], PIECE_BYTES
     for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist()):
         count = 0
         for x in range(a, max(b - LENGTH + 1, a), step):

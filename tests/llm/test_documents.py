@@ -115,6 +115,26 @@ def test_suffix_dedup(spark, docs):
     assert deduplicated(empty(spark)).collect() == []
 
 
+@pytest.mark.parametrize("piece", [100, 237, 1000])
+def test_suffix_dedup_of_texts_in_pieces(piece, monkeypatch):
+    from skyfare.llm import suffix_dedup
+    from skyfare.llm.words import joined
+
+    r = random.Random(piece)
+    some = [("".join(r.choice("ab ") for _ in range(r.choice([0, 50, 99, 100, 101, 150, 900, 4000])))) for _ in range(20)]
+    data, offsets = joined(pa.array([*some, "a" * 2500], pa.string()))
+    whole = suffix_dedup.text_anchors(data, offsets)
+    monkeypatch.setattr(suffix_dedup, "PIECE_BYTES", piece)
+    cut = suffix_dedup.text_anchors(data, offsets)
+
+    def anchor_of_string(found):
+        return {s: a for a, lo, hi in zip(*(x.tolist() for x in found[:3])) for s in range(lo, hi + 1)}
+
+    assert anchor_of_string(cut) == anchor_of_string(whole)
+    assert len(anchor_of_string(whole)) == sum(max(0, len(t) - 99) for t in [*some, "a" * 2500])
+    assert cut[4][-1] == len(cut[0]) and (np.diff(cut[4]) >= 0).all()
+
+
 def test_suffix_dedup_compares_across_boundaries(spark, monkeypatch):
     from skyfare.llm import suffix_dedup
 
