@@ -3,6 +3,7 @@
 import atexit
 import uuid
 
+from py4j.protocol import Py4JError
 from pyspark.sql import DataFrame, SparkSession
 
 _MADE: list[tuple[SparkSession, str]] = []
@@ -36,6 +37,10 @@ def stored(df: DataFrame, name: str = "stored") -> DataFrame:
 def _remove() -> None:
     for spark, path in _MADE:
         context = spark.sparkContext
-        if context._jsc is not None and not context._jsc.sc().isStopped():
+        try:
+            if context._jsc is None or context._jsc.sc().isStopped():
+                continue
             folder = spark._jvm.org.apache.hadoop.fs.Path(path)
             folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
+        except (Py4JError, OSError):  # the session's Java side has ended before
+            return
