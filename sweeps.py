@@ -81,7 +81,7 @@ def written(rows: list[dict]) -> None:
         "",
         "Written by `sweeps.py`: `local[N]`, queries over the raw test tables (the itinerary relation is",
         "derived inside each query), no-op sink, seconds. Each session first runs its queries three times",
-        "in turn; warm is the median of the next five rounds, cold the first run. The machine is shared.",
+        "in turn; warm is the median of the next three rounds, cold the first run. The machine is shared.",
         "",
         "| what | config | seconds |",
         "| --- | --- | --- |",
