@@ -3,7 +3,8 @@
 For each language and source a minimum-covariance-determinant estimate is made from all rows by
 concentration steps: distances under the present centre and scatter, the half of the rows that are
 nearest, their centre and scatter. Every step is two aggregates of partial sums, so a group with
-a third of all rows is reduced where its rows are.
+a third of all rows is reduced where its rows are. A group of any size has its own estimate, blended
+with its language's by the number of rows.
 """
 
 from __future__ import annotations
@@ -119,32 +120,49 @@ def _distance(at: Column, centre: Column, precision: Column) -> Column:
     return sum(terms[1:], terms[0])
 
 
-def _inverted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Centre and inverse scatter of each group from its sums; one row for a group."""
-    floor = np.diag(np.square(LEAST_SPREAD))
-    for sums in batches:
-        rows = []
-        for r in sums.itertuples(index=False):
-            centre = np.array(r.ones) / r.n
-            scatter = np.zeros((DIMENSIONS, DIMENSIONS))
-            for (i, j), v in zip(PAIRS, r.twos):
-                scatter[i, j] = scatter[j, i] = v / r.n - centre[i] * centre[j]
-            inverse = np.linalg.inv(scatter + floor)
-            rows.append((r.g1, r.g2, centre.tolist(), [inverse[p] for p in PAIRS]))
-        yield pd.DataFrame(rows, columns=["g1", "g2", "centre", "precision"])
+def _blended(parent_rows: int, scaled: bool):
+    """Estimates of groups, each blended with those of the groups around it.
+
+    A row has the group and, in ``chain``, the own estimates of the group and of all around it, by depth.
+    An estimate counts as often as its group has rows, the blend around it as ``parent_rows`` rows;
+    centre and scatter are those of both together, and scales are averaged.
+    """
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for groups in batches:
+            rows = []
+            for r in groups.itertuples(index=False):
+                centre = scatter = scale = None
+                for own in sorted(r.chain, key=lambda e: -e["depth"]):
+                    at, spread = np.array(own["centre"]), np.zeros((DIMENSIONS, DIMENSIONS))
+                    for (i, j), v in zip(PAIRS, own["scatter"]):
+                        spread[i, j] = spread[j, i] = v
+                    if centre is None:
+                        centre, scatter, scale = at, spread, own["scale"]
+                        continue
+                    share = own["n"] / (own["n"] + parent_rows)
+                    apart = at - centre
+                    scatter = share * spread + (1 - share) * scatter + share * (1 - share) * np.outer(apart, apart)
+                    centre = centre + share * apart
+                    scale = share * own["scale"] + (1 - share) * scale
+                inverse = np.linalg.inv(scatter)
+                rows.append((r.g1, r.g2, centre.tolist(), [inverse[p] for p in PAIRS], *([scale] if scaled else [])))
+            yield pd.DataFrame(rows, columns=[*GROUP, "centre", "precision", *(["scale"] if scaled else [])])
+
+    return run
 
 
 GROUP = ["g1", "g2"]
 MODEL = "g1 string, g2 string, centre array<double>, precision array<double>"
 
 
-def fit(rows: DataFrame, steps: int = 3, least_rows: int = 100) -> DataFrame:
+def fit(rows: DataFrame, steps: int = 3, parent_rows: int = 100) -> DataFrame:
     """Centre, inverse scatter and scale for each group of ``rows`` (g1, g2, at).
 
-    Returns g1, g2, centre, precision, scale: a row for each g1 and g2, estimated from that group
-    if it has ``least_rows`` rows, else from all rows of its g1 if they are as many, else from all
-    rows. ``scale`` is the median squared distance over that of a normal sample, so that distances
-    compare between groups.
+    Returns g1, g2, centre, precision, scale: a row for each g1 and g2, whatever its size. Each group
+    is estimated from its own rows in every step, and blended with its g1, which counts as
+    ``parent_rows`` rows; so is each g1 with the whole table. ``scale`` is the median squared distance
+    over that of a normal sample, so that distances compare between groups.
     """
     nothing = F.lit(None).cast("string")
     levels = [(F.col("g1"), F.col("g2")), (F.col("g1"), nothing), (nothing, nothing)]
@@ -153,30 +171,43 @@ def fit(rows: DataFrame, steps: int = 3, least_rows: int = 100) -> DataFrame:
     wide = rows.select(F.explode(levels).alias("g"), "at").select("g.g1", "g.g2", "at")
     quarters = [F.percentile_approx(F.col("at")[i], F.array(*map(F.lit, (0.25, 0.5, 0.75)))) for i in range(DIMENSIONS)]
     groups = stored(wide.groupBy(*GROUP).agg(F.count("*").alias("n"), F.array(*quarters).alias("q")), "quality-groups")
+    around = groups.select(F.struct(*GROUP).alias("own"), F.explode(levels).alias("g"))
+    around = around.groupBy("own", "g.g1", "g.g2").agg(F.max("g.depth").alias("depth"))
+
+    def blended(estimates: DataFrame, scaled: bool = False) -> DataFrame:
+        """The model of all groups from their own estimates (g1, g2, n, centre, scatter, scale)."""
+        chain = F.collect_list(F.struct("depth", "n", "centre", "scatter", "scale")).alias("chain")
+        chains = _same_group(around, estimates).groupBy("own").agg(chain).select("own.*", "chain")
+        return stored(chains.mapInPandas(_blended(parent_rows, scaled), MODEL + (", scale double" if scaled else "")), "quality-model")
+
     spread = [F.greatest((F.col("q")[i][2] - F.col("q")[i][0]) / 1.349, F.lit(LEAST_SPREAD[i])) for i in range(DIMENSIONS)]
-    model = groups.where((F.col("n") >= least_rows) | F.col("g1").isNull()).select(
+    own = groups.select(
         *GROUP,
+        "n",
         F.array(*[F.col("q")[i][1] for i in range(DIMENSIONS)]).alias("centre"),
-        F.array(*[1 / (spread[i] * spread[i]) if i == j else F.lit(0.0) for i, j in PAIRS]).alias("precision"),
+        F.array(*[spread[i] * spread[i] if i == j else F.lit(0.0) for i, j in PAIRS]).alias("scatter"),
+        F.lit(1.0).alias("scale"),
     )
+    model = blended(own)
     for _ in range(steps):
         far = measured(wide, model)
-        nearest = far.groupBy(*GROUP).agg(F.percentile_approx("far", 0.5, 10_000).alias("most"))
+        nearest = far.groupBy(*GROUP).agg(F.percentile_approx("far", 0.5, 10_000).alias("most"), F.count("*").alias("n"))
         inner = _same_group(far, nearest).where("far <= most")
-        sums = inner.groupBy(*GROUP).agg(
-            F.count("*").alias("n"),
-            F.array(*[F.sum(F.col("at")[i]) for i in range(DIMENSIONS)]).alias("ones"),
-            F.array(*[F.sum(F.col("at")[i] * F.col("at")[j]) for i, j in PAIRS]).alias("twos"),
+        means = inner.groupBy(*GROUP).agg(
+            F.first("n").alias("n"),
+            F.array(*[F.avg(F.col("at")[i]) for i in range(DIMENSIONS)]).alias("centre"),
+            F.array(*[F.avg(F.col("at")[i] * F.col("at")[j]) for i, j in PAIRS]).alias("twos"),
         )
-        model = stored(sums.mapInPandas(_inverted, MODEL), "quality-model")
+        scatter = [
+            F.col("twos")[k] - F.col("centre")[i] * F.col("centre")[j] + F.lit(LEAST_SPREAD[i] ** 2 if i == j else 0.0)
+            for k, (i, j) in enumerate(PAIRS)
+        ]
+        own = stored(means.select(*GROUP, "n", "centre", F.array(*scatter).alias("scatter"), F.lit(1.0).alias("scale")), "quality-own")
+        model = blended(own)
     scale = measured(wide, model).groupBy(*GROUP).agg(
         F.greatest(F.percentile_approx("far", 0.5, 10_000) / CHI2_MEDIAN, F.lit(1.0)).alias("scale")
     )
-    model = _same_group(model, scale)
-    asked = groups.where(F.col("g2").isNotNull()).select(F.struct(*GROUP).alias("own"), F.explode(levels).alias("g"))
-    found = _same_group(asked.select("own", "g.depth", "g.g1", "g.g2"), model)
-    best = found.groupBy("own").agg(F.min_by(F.struct("centre", "precision", "scale"), "depth").alias("best"))
-    return stored(best.select("own.*", "best.*"), "quality-model")
+    return blended(_same_group(own.drop("scale"), scale), scaled=True).where(F.col("g2").isNotNull())
 
 
 def _same_group(left: DataFrame, right: DataFrame) -> DataFrame:
