@@ -1,8 +1,8 @@
 """Secret scans in DataFrame functions: fixed patterns, and Markov models of random strings.
 
 Two models of character pairs, one of random strings and one of ordinary identifiers, are trained
-from labelled samples. A long run of identifier characters that no fixed pattern covers is a secret if
-its log-likelihood ratio between the two is high enough.
+from labelled samples. What fixed patterns leave of a long run of identifier characters is a secret if
+its log-likelihood ratio between the two is high enough; else the stretches of it are for which it is.
 """
 
 from __future__ import annotations
@@ -20,8 +20,12 @@ KINDS = (*BASE, "markov")
 WORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-"
-#: Runs that the models judge.
+#: Runs that the models judge, and their least length.
 CANDIDATE = r"[A-Za-z0-9+/_-]{16,}"
+LEAST = 16
+MARKS_FROM = ALPHABET.index("+")
+#: Log-likelihood ratio that a stretch of a run needs, and by how much its sum may fall within, as at two usual pairs.
+EVIDENCE, DROP = 10.0, 20.0
 SPAN = "struct<start:int,kind:int,end:int>"
 
 
@@ -118,19 +122,79 @@ def train(samples: DataFrame, smoothing: float = 0.5, backoff: float = 4.0) -> l
     return [r - o for r, o in zip(logs(True), logs(False))]
 
 
-def _ratio(value: Column, model: list[float]) -> Column:
-    """Mean log-likelihood ratio of a run of characters of the alphabet."""
+def _rests(run: Column, others: Column) -> Column:
+    """The parts of a span that ``others``, by start, leave uncovered."""
+    zero = F.struct(run["start"].alias("at"), F.array().cast(f"array<{SPAN}>").alias("out"))
+
+    def part(start: Column, end: Column) -> Column:
+        return F.array(F.struct(start.alias("start"), run["kind"].alias("kind"), end.alias("end")))
+
+    def step(state: Column, o: Column) -> Column:
+        out = F.when(o["start"] > state["at"], F.concat(state["out"], part(state["at"], o["start"])))
+        return F.struct(F.greatest(state["at"], o["end"]).alias("at"), out.otherwise(state["out"]).alias("out"))
+
+    def last(state: Column) -> Column:
+        return F.when(state["at"] < run["end"], F.concat(state["out"], part(state["at"], run["end"]))).otherwise(state["out"])
+
+    inside = F.filter(others, lambda o: (o["start"] < run["end"]) & (run["start"] < o["end"]))
+    return F.aggregate(inside, zero, step, last)
+
+
+STRETCH = "struct<start:int,end:int>"
+
+
+def _stretches(value: Column, model: list[float], least_ratio: float) -> Column:
+    """(start, end) of what is random in a run of characters of the alphabet.
+
+    The whole run if its mean log-likelihood ratio is ``least_ratio`` or more. Else the stretches in
+    which the ratios exceed that by EVIDENCE in sum: the sum starts again at 0 where it falls to 0 or
+    by DROP from its height, where a stretch ends. Stretches are widened to the letters and digits
+    next to them, and those of LEAST characters or more then are found.
+    """
     size = len(ALPHABET)
     table = F.split(F.lit(",".join(f"{x:.6f}" for x in model)), ",").cast("array<double>")
-    zero = F.struct(F.lit(-1).alias("last"), F.lit(0.0).alias("sum"))
+    none = F.array().cast(f"array<{STRETCH}>")
+    zero = F.struct(
+        F.lit(-1).alias("last"), F.lit(0).alias("at"), F.lit(0.0).alias("total"), F.lit(0.0).alias("sum"),
+        F.lit(0).alias("start"), F.lit(0.0).alias("top"), F.lit(0).alias("end"), none.alias("out"),
+    )
+
+    def closed(state: Column) -> Column:
+        enough = state["top"] >= EVIDENCE
+        found = F.array(F.struct(state["start"].alias("start"), state["end"].alias("end")))
+        return F.when(enough, F.concat(state["out"], found)).otherwise(state["out"])
 
     def step(state: Column, c: Column) -> Column:
         code = F.instr(F.lit(ALPHABET), c) - 1
-        gain = F.when(state["last"] < 0, F.lit(0.0)).otherwise(F.get(table, state["last"] * size + code))
-        return F.struct(code.alias("last"), (state["sum"] + gain).alias("sum"))
-
-    total = F.aggregate(F.split(value, ""), zero, step, lambda s: s["sum"])
-    return total / F.greatest(F.length(value) - 1, F.lit(1))
+        first = state["last"] < 0
+        gain = F.when(first, F.lit(0.0)).otherwise(F.get(table, state["last"] * size + code) - least_ratio)
+        # Identifiers of the samples have no marks within, so pairs with one tell nothing of a stretch.
+        plain = (state["last"] < MARKS_FROM) & (code < MARKS_FROM)
+        now = state["sum"] + F.when(plain, gain).otherwise(F.lit(0.0))
+        ends = (now <= 0) | (now <= state["top"] - DROP)
+        higher = ~ends & (now > state["top"])
+        at = state["at"] + 1
+        return F.struct(
+            code.alias("last"),
+            at.alias("at"),
+            (state["total"] + gain).alias("total"),
+            F.when(ends, F.lit(0.0)).otherwise(now).alias("sum"),
+            F.when(ends, state["at"]).otherwise(state["start"]).alias("start"),
+            F.when(ends, F.lit(0.0)).when(higher, now).otherwise(state["top"]).alias("top"),
+            F.when(ends, at).when(higher, at).otherwise(state["end"]).alias("end"),
+            F.when(ends, closed(state)).otherwise(state["out"]).alias("out"),
+        )
+
+    def widened(s: Column) -> Column:
+        before = F.regexp_extract(F.substr(value, F.lit(1), s["start"]), "[A-Za-z0-9]*$", 0)
+        after = F.regexp_extract(F.substr(value, s["end"] + 1, F.length(value)), "^[A-Za-z0-9]*", 0)
+        return F.struct((s["start"] - F.length(before)).alias("start"), (s["end"] + F.length(after)).alias("end"))
+
+    whole = F.array(F.struct(F.lit(0).alias("start"), F.length(value).alias("end")))
+    found = F.aggregate(
+        F.split(value, ""), zero, step, lambda s: F.when(s["total"] >= 0, whole).otherwise(closed(s))
+    )
+    return F.filter(F.array_distinct(F.transform(found, widened)), lambda s: s["end"] - s["start"] >= LEAST)
 
 
 def scanned(
@@ -144,18 +208,26 @@ def scanned(
 
     Fields: base and spans, arrays of (start, kind, end) in code points, end exclusive, by start
     and kind, where kind numbers KINDS. base: the fixed patterns, leftmost and non-overlapping within a kind.
-    spans: those and the candidates clear of them whose mean log-likelihood ratio is ``least_ratio``
-    or more. NULL and empty texts have no spans; rows of equal content stay; an empty table gives an
+    spans: those and, in the candidates less what those cover, the parts that are random (see
+    ``_stretches``), such as a secret in a path or next to an access key. NULL and empty texts have no spans; rows of equal content stay; an empty table gives an
     empty result. A column called ``secrets`` is replaced.
     """
     columns = [c for c in (docs.columns if columns is None else columns) if c != "secrets"]
     rows = _with_base(docs, [F.col(f"`{c}`") for c in columns], text)
     body = F.col("scanned text")
     markov = len(BASE)
-    runs = _clear_of(_spans(body, CANDIDATE, 0, 16, markov), F.col("base spans"))
-    judged = F.filter(
-        runs, lambda s: _ratio(F.substr(body, s["start"] + 1, s["end"] - s["start"]), model) >= least_ratio
-    )
+    runs = _spans(body, CANDIDATE, 0, LEAST, markov)
+    rests = F.flatten(F.transform(runs, lambda s: _rests(s, F.col("base spans"))))
+    rests = F.filter(rests, lambda s: s["end"] - s["start"] >= LEAST)
+
+    def random_parts(s: Column) -> Column:
+        found = _stretches(F.substr(body, s["start"] + 1, s["end"] - s["start"]), model, least_ratio)
+        return F.transform(
+            found,
+            lambda x: F.struct((s["start"] + x["start"]).alias("start"), F.lit(markov).alias("kind"), (s["start"] + x["end"]).alias("end")),
+        )
+
+    judged = F.flatten(F.transform(rests, random_parts))
     more = F.when(body.rlike(CANDIDATE), judged).otherwise(F.array().cast(f"array<{SPAN}>"))
     rows = rows.withColumn("more spans", more)
     spans = F.array_sort(F.concat("base spans", "more spans"))
