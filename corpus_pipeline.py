@@ -21,12 +21,17 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked documents, the one with the least id; rows without id are kept."""
-    groups = ngram_join.joined(docs)
-    kept = groups.where("doc_id = component_id").select("doc_id").distinct()
-    rows = docs.select(*COLUMNS)
-    named = rows.join(kept, "doc_id", "left_semi").select(*COLUMNS)
-    return named.unionByName(rows.where("doc_id is null"))
+    """Of each group of linked documents, one row: of least id, or any if none has an id.
+
+    Rows without words are linked with nothing and stay.
+    """
+    rows = stored(docs.select(*COLUMNS, F.monotonically_increasing_id().alias("row")), "numbered")
+    groups = ngram_join.grouped(rows, {"doc_id": F.col("doc_id"), "row": F.col("row")})
+    groups = stored(groups, "groups")
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row"))
+    kept = groups.where("component is not null").groupBy("component").agg(first.alias("first")).select("first.row")
+    kept = kept.unionByName(groups.where("component is null").select("row"))
+    return rows.join(kept, "row", "left_semi").select(*COLUMNS)
 
 
 def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -25,7 +25,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skyfare.llm.components import components
@@ -55,10 +55,12 @@ def _sets(texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]
 
 
 def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """All columns but the last, a text, and its key and number of shingles."""
     for batch in batches:
-        found = [(keys, np.diff(bounds)) for _, bounds, keys in _sets(batch.column(1))]
+        found = [(keys, np.diff(bounds)) for _, bounds, keys in _sets(batch.column(batch.num_columns - 1))]
         keys, counts = (np.concatenate(x) if found else np.zeros(0, np.int64) for x in (zip(*found) if found else ((), ())))
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys), pa.array(counts)], ["id", "key", "n"])
+        names = [*batch.schema.names[:-1], "key", "n"]
+        yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(keys), pa.array(counts)], names)
 
 
 ROW = "bucket int, kind int, block long, a binary, b binary, c binary"
@@ -355,6 +357,21 @@ def similar_sets(docs: DataFrame, text: str, percent: int, local: int) -> DataFr
     return components(links.unionByName(more.where("linked").select("u", "v")))
 
 
+def grouped(docs: DataFrame, columns: dict[str, Column], text: str = "text", percent: int = 80, local: int = 8) -> DataFrame:
+    """``columns`` (not key, node, n or component) of every row, with n, its shingles, and component.
+
+    Rows have one component if links (see ``joined``) connect them, whatever ids they have. It is
+    NULL where there are no shingles.
+    """
+    members = docs.select(*[c.alias(name) for name, c in columns.items()], F.col(text).alias("member text"))
+    kinds = [f"`{c}` {t}" for c, t in members.dtypes[:-1]]
+    members = stored(members.mapInArrow(_members, ", ".join([*kinds, "key long, n long"])), "members")
+    found = similar_sets(docs, text, percent, local)
+    members = members.join(found, members.key == found.node, "left")
+    component = F.when(F.col("n") > 0, F.coalesce("component", "key")).alias("component")
+    return members.select(*columns, "n", component)
+
+
 def joined(
     docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = 80, local: int = 8
 ) -> DataFrame:
@@ -370,11 +387,7 @@ def joined(
     ``local``: how often a block has to hold a token for it to count as frequent; it changes the
     order of tokens and so the work, not the result.
     """
-    members = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
-    members = stored(members.mapInArrow(_members, "id long, key long, n long"), "members")
-    found = similar_sets(docs, text, percent, local)
-    members = members.join(found, members.key == found.node, "left")
-    members = members.select("id", "n", F.coalesce("component", "key").alias("component"))
+    members = grouped(docs, {"id": F.col(key).cast("long")}, text, percent, local)
     # Stored, so that the join below can be split where a component has a large part of all rows.
     least = members.where("n > 0").groupBy("component").agg(F.min("id").alias("component_id"))
     least = stored(least, "least")
