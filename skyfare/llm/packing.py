@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skyfare.llm.mixing import n_words
+from skyfare.llm.ngram_join import grouped
 from skyfare.llm.store import stored
 
 #: Pieces of a shard on average, however short they are.
@@ -89,11 +90,6 @@ def _shard_packed(capacity: int):
     return run
 
 
-def copies_cluster(text: Column) -> Column:
-    """The cluster of a text: texts that differ only in case and white space."""
-    return F.md5(F.regexp_replace(F.lower(text), r"[\x20\x09-\x0D]+", " "))
-
-
 def packed(
     docs: DataFrame,
     capacity: int = 2048,
@@ -107,7 +103,7 @@ def packed(
 
     A document of more than ``capacity`` tokens gives pieces of that size, which fill bins alone, and a
     rest. No bin holds two pieces of one source or one duplicate cluster (``cluster``, by default
-    copies up to case and white space). Shards hold about ``shard_bins`` bins of tokens each, and
+    documents that ``ngram_join.grouped`` links as near copies). Shards hold about ``shard_bins`` bins of tokens each, and
     SHARD_PIECES pieces at most on average, whatever the size of a source or cluster; no bin spans shards.
 
     A document without tokens (NULL, empty or blank text) gives one row without bin. A NULL source is
@@ -115,15 +111,16 @@ def packed(
     empty table gives an empty result. Other columns are left out.
     """
     body = F.coalesce(F.col(text), F.lit(""))
-    narrow = stored(
-        docs.select(
-            F.col(key).cast("long").alias("doc_id"),
-            F.col(source).cast("string").alias("source"),
-            (copies_cluster(body) if cluster is None else cluster.cast("string")).alias("cluster"),
-            n_words(body).alias("tokens"),
-        ),
-        "packing-sizes",
-    )
+    columns = {
+        "doc_id": F.col(key).cast("long"),
+        "source": F.col(source).cast("string"),
+        "tokens": n_words(body),
+    }
+    if cluster is None:
+        rows = grouped(docs, columns, text).withColumn("cluster", F.col("component").cast("string"))
+    else:
+        rows = docs.select(*[c.alias(n) for n, c in columns.items()], cluster.cast("string").alias("cluster"))
+    narrow = stored(rows.select(*columns, "cluster"), "packing-sizes")
     sums = narrow.agg(
         F.coalesce(F.sum("tokens"), F.lit(0)), F.coalesce(F.sum(F.ceil(F.col("tokens") / capacity)), F.lit(0))
     ).first()
