@@ -1,6 +1,6 @@
 """Best-fit packing of documents into bins, with conflicts of sources and of duplicate clusters.
 
-Documents are dealt into shards of bounded size by a hash of their id. A shard keeps its open bins
+Documents are dealt into shards of bounded size by a hash of a row key. A shard keeps its open bins
 by the room left in them, with a bitmap of the sources and one of the duplicate clusters that each bin
 holds. The largest piece goes first; the search goes on from the tightest bin that has room to the
 next, until one holds neither the piece's source nor its cluster.
@@ -120,7 +120,8 @@ def packed(
         rows = grouped(docs, columns, text).withColumn("cluster", F.col("component").cast("string"))
     else:
         rows = docs.select(*[c.alias(n) for n, c in columns.items()], cluster.cast("string").alias("cluster"))
-    narrow = stored(rows.select(*columns, "cluster"), "packing-sizes")
+    # The stored row key deals out copies and rows without id as well as any.
+    narrow = stored(rows.select(*columns, "cluster", F.monotonically_increasing_id().alias("row")), "packing-sizes")
     sums = narrow.agg(
         F.coalesce(F.sum("tokens"), F.lit(0)), F.coalesce(F.sum(F.ceil(F.col("tokens") / capacity)), F.lit(0))
     ).first()
@@ -130,7 +131,7 @@ def packed(
     )
     first = F.col("piece").cast("long") * capacity
     pieces = pieces.select(
-        F.pmod(F.xxhash64("doc_id", "cluster", "piece"), F.lit(shards)).alias("shard"),
+        F.pmod(F.xxhash64("row", "piece"), F.lit(shards)).alias("shard"),
         "doc_id",
         "piece",
         first.alias("first_token"),
