@@ -98,6 +98,73 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", *[f"quality.{c}" for c in shown])
 
 
+def damaged(rows: DataFrame) -> DataFrame:
+    """``conversations`` with the faults that op11 is to find; NULLs are one blank."""
+    shown = {c: F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn", "role", "text")}
+    kind = F.crc32(F.concat(shown["conv_id"], F.lit(":"), shown["turn"]).cast("binary")) % 20
+    text = F.when(kind == 1, "").when(kind == 2, F.regexp_replace(shown["text"], "[.!?]", "")).otherwise(shown["text"])
+    role = F.when(kind == 4, "user").otherwise(shown["role"])
+    copies = F.when(kind == 0, 0).when(kind == 3, 2).otherwise(1)
+    rows = rows.select("conv_id", "turn", role.alias("role"), text.alias("text"), copies.alias("copies"))
+    return rows.select("conv_id", "turn", "role", "text", F.explode(F.array_repeat(F.lit(0), F.col("copies"))).alias("copy")).drop("copy")
+
+
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from skyfare.llm import turn_repair
+
+    rows = table(spark, sf_dir, "conversations")
+    turns, told = turn_repair.repaired(damaged(rows))
+    ids = rows.select("conv_id").distinct()
+    told = ids.join(told, F.col("conv_id").eqNullSafe(F.col("conv")), "left").drop("conv")
+    out = told.join(turn_repair.hashed(turns), F.col("conv_id").eqNullSafe(F.col("conv")), "left")
+    counts = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+    return out.select(
+        "conv_id",
+        *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in counts],
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"),
+    )
+
+
+def op12_simhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from skyfare.llm.gray_index import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def made_periodic(docs: DataFrame) -> DataFrame:
+    """(doc_id, text) of ``documents``, of which every tenth or so repeats some of its words to its end."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.regexp_extract_all("text", F.lit(mixing.WORD), F.lit(0))
+    rows = docs.select("doc_id", "text", F.when(h % 10 == 0, words).alias("words"), F.floor(h / 10).alias("g"))
+    n = F.size("words")
+    rows = rows.withColumn("a", F.when(n > 0, F.col("g") % n).cast("int"))
+    rows = rows.withColumn("p", (1 + F.floor((n - F.col("a")) / (3 + F.col("g") % 8))).cast("int"))
+    again = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.get("words", F.when(i < F.col("a"), i).otherwise(F.col("a") + (i - F.col("a")) % F.col("p"))))
+    return rows.select("doc_id", F.when(F.col("a").isNotNull(), F.array_join(again, " ")).otherwise(F.col("text")).alias("text"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from skyfare.llm.periodic_runs import with_runs
+
+    rows = with_runs(made_periodic(table(spark, sf_dir, "documents")), ["doc_id"])
+    runs = F.col("periodic.runs")
+    # Runs are in order of start and period, so the first of the greatest exponent stays.
+    greatest = F.aggregate(
+        runs, F.get(runs, 0), lambda best, r: F.when(r["length"] * best["period"] > best["length"] * r["period"], r).otherwise(best)
+    )
+    lines = F.transform(runs, lambda r: F.concat(F.concat_ws(",", *[r[c].cast("string") for c in ("start", "length", "period")]), F.lit("\n")))
+    rows = rows.withColumn("greatest", greatest)
+    return rows.select(
+        "doc_id",
+        F.size(runs).cast("long").alias("n_runs"),
+        *[F.col(f"greatest.{c}").alias(c) for c in ("start", "length", "period")],
+        F.expr("1000 * greatest.length div greatest.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("periodic.collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op2_best_fit_packing": op2_best_fit_packing,
@@ -109,6 +176,9 @@ QUERIES = {
     "op8_source_mixing": op8_source_mixing,
     "op9_token_counts": op9_token_counts,
     "op10_quality_rules": op10_quality_rules,
+    "op11_conversation_repair": op11_conversation_repair,
+    "op12_simhash_near_duplicates": op12_simhash_near_duplicates,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 ORACLE = {
     "op5_chat_formatting": chat.ORACLE,
