@@ -91,6 +91,9 @@ THREE_LEGS = r"^([^|]*\|{2}[^|]*){2}$"
 # Travel time: days, hours and minutes, each optional, at least one.
 DURATION = r"^P(\d+D)?(T(\d+H)?(\d+M)?)?(?<=[DHM])$"
 
+# Offset from UTC at the end of a date and time.
+TIME_OFFSET = r"[T ].*?(Z|[+-]\d{2}:?\d{2})$"
+
 # Airports shown on the map.
 MAP_AIRPORTS = [
     "ATL", "BOS", "CLT", "DEN", "DFW", "DTW", "EWR", "IAD",

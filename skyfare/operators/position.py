@@ -1,91 +1,68 @@
 """Global positions and running totals without a window over the rows as a whole.
 
-Splitters sampled from the keys cut their order into buckets. Totals are summed per bucket, running
-totals are taken over these, and each row then looks at the rows of its own bucket only. Rows are
-ordered by any columns, ties by the other columns, NULL first; rows that are equal in all columns may
-take each other's place. The plan is the same at every size, and nothing runs before it is asked for.
+Rows are dealt out by ranges of their order and sorted within them, which Spark does, and stored with their place. Totals
+are summed per range, running totals are taken over these, and a row then looks at the rows of its own range
+only. Rows are ordered by any columns, ties by the other columns, NULL first; rows that are equal in all
+columns may take each other's place.
 
-The only window without partitions is over bucket totals, of which there are some ``SPLITTERS`` at
-most. A bucket holds about ``BUCKET_ROWS`` rows, or its share of more rows than that makes.
+The only window without partitions is over totals of ranges, of which there are as many as the session
+has shuffle partitions.
 """
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Rows in a bucket on average, as long as that needs no more than SPLITTERS buckets.
-BUCKET_ROWS = 10_000
-SPLITTERS = 2**13
-#: Splitters searched at once.
-LIST = 128
+from skyfare.sources.checkpoint import stored
 
-
-def _upto(splitters: str) -> Column:
-    """How many of a sorted array of up to 255 splitters are at most the row's key, by halving."""
-
-    def further(at: Column, step: Column) -> Column:
-        ahead = F.get(splitters, at + step - 1) <= F.col("place key")
-        return at + F.when(ahead, step).otherwise(0)
-
-    return F.aggregate(F.array(*[F.lit(128 >> i) for i in range(8)]), F.lit(0), further)
+#: A place is the number of its range and, in the lower bits, that of the row in it.
+PLACE_BITS = 33
 
 
 class Positions:
-    """Buckets of a frame in the order of ``order``, with weights to be summed up.
+    """A frame in the order of ``order``, with weights to be summed up.
 
     ``unique``: no two rows agree in ``order``, which spares comparing the other columns.
     """
 
     def __init__(self, df: DataFrame, order: list[str], weights: dict[str, Column], unique: bool):
-        self.df, self.weights = df, weights
-        self.columns = df.columns
+        self.columns, self.weights = df.columns, weights
         ties = [] if unique else [c for c in df.columns if c not in order]
-        self.key = F.struct(*[F.col(c) for c in [*order, *ties]])
-        self.splitters = self._splitters()
-
-    def _splitters(self) -> Column:
-        rows = self.df.agg(F.count("*").alias("n"))
-        every = rows.select(F.greatest(F.lit(BUCKET_ROWS), F.ceil(F.col("n") / SPLITTERS))).scalar()
-        # equal keys hash alike, so they are made distinct before they are put together
-        some = self.df.select(self.key.alias("k")).where(F.pmod(F.xxhash64("k"), every) == 0)
-        some = some.distinct().agg(F.array_sort(F.collect_list("k")).alias("all"), F.count("*").cast("int").alias("n"))
-        lists = F.sequence(F.lit(0), F.floor(F.col("n") / LIST).cast("int"))
-        chunks = F.transform(lists, lambda i: F.slice("all", i * LIST + 1, F.lit(LIST)))
-        firsts = F.filter(F.transform(chunks, lambda c: F.get(c, 0)), lambda k: k.isNotNull())
-        return some.select(F.struct(chunks.alias("lists"), firsts.alias("firsts"))).scalar()
-
-    def bucketed(self) -> DataFrame:
-        """The rows with ``bucket``, the number of splitters up to their key.
-
-        A binary search among the first splitters of the lists, then one in a list: rows carry these
-        few splitters from one step to the next, and never all of them.
-        """
-        rows = self.df.withColumns({"place key": self.key, "some splitters": self.splitters["firsts"]})
-        rows = rows.withColumn("place list", F.greatest(_upto("some splitters") - 1, F.lit(0)))
-        rows = rows.withColumn("some splitters", F.get(self.splitters["lists"], F.col("place list")))
-        rows = rows.withColumn("place bucket", F.col("place list") * LIST + _upto("some splitters"))
-        return rows.drop("some splitters", "place list")
+        keys = [F.col(c) for c in [*order, *ties]]
+        width = max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+        # Rows that are equal in all columns are still dealt to several ranges.
+        rows = df if unique else df.withColumn("row of task", F.monotonically_increasing_id())
+        keys += [] if unique else [F.col("row of task")]
+        rows = rows.repartitionByRange(width, *keys).sortWithinPartitions(*keys).drop("row of task")
+        self.rows_placed = stored(rows.withColumn("row place", F.monotonically_increasing_id()), "places")
+
+    def _ranged(self) -> DataFrame:
+        return self.rows_placed.withColumn("row range", F.shiftright("row place", PLACE_BITS))
 
     def totals(self) -> DataFrame:
-        """Weights per bucket and, as ``<w>_ahead``, of all buckets before it."""
-        sums = self.bucketed().groupBy("place bucket").agg(*[F.sum(c).alias(w) for w, c in self.weights.items()])
-        before = Window.orderBy("place bucket").rowsBetween(Window.unboundedPreceding, -1)
+        """Weights per range and, as ``<w>_ahead``, of all ranges before it."""
+        sums = self._ranged().groupBy("row range").agg(*[F.sum(c).alias(w) for w, c in self.weights.items()])
+        before = Window.orderBy("row range").rowsBetween(Window.unboundedPreceding, -1)
         return sums.select(
             "*", *[F.coalesce(F.sum(w).over(before), F.lit(0)).alias(f"{w}_ahead") for w in self.weights]
-        ).withColumnRenamed("place bucket", "total of")
+        ).withColumnRenamed("row range", "total of")
 
     def rows(self, totals: DataFrame) -> DataFrame:
-        """The rows of the buckets in ``totals`` with ``<w>_before``, the weight of all rows before."""
-        own = Window.partitionBy("place bucket").orderBy("place key").rowsBetween(Window.unboundedPreceding, -1)
-        rows = self.bucketed().join(totals.select("total of", *[f"{w}_ahead" for w in self.weights]), F.expr("`place bucket` = `total of`"))
-        before = {
-            w: F.col(f"{w}_ahead") + F.coalesce(F.sum(c).over(own), F.lit(0)) for w, c in self.weights.items()
-        }
+        """The rows of the ranges in ``totals`` with ``<w>_before``, the weight of all rows before."""
+        own = Window.partitionBy("row range").orderBy("row place").rowsBetween(Window.unboundedPreceding, -1)
+        rows = self._ranged().join(totals.select("total of", *[f"{w}_ahead" for w in self.weights]), F.expr("`row range` = `total of`"))
+
+        def within(name: str, weight: Column) -> Column:
+            if name == "rows":  # a row's place says how many are before it
+                return F.col("row place").bitwiseAND(F.lit((1 << PLACE_BITS) - 1))
+            return F.coalesce(F.sum(weight).over(own), F.lit(0))
+
+        before = {w: F.col(f"{w}_ahead") + within(w, c) for w, c in self.weights.items()}
         return rows.select(*self.columns, *[c.alias(f"{w}_before") for w, c in before.items()])
 
 
 def with_preceding(
     df: DataFrame, order: list[str], weights: dict[str, Column], unique: bool = False
 ) -> DataFrame:
-    """Add ``<w>_before``: the total weight of all rows before each in ``order``."""
+    """Add ``<w>_before``: the total weight of all rows before each in ``order``. The weight ``rows`` is one for each."""
     positions = Positions(df, order, weights, unique)
     return positions.rows(positions.totals())

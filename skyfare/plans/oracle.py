@@ -11,7 +11,7 @@ from skyfare.functions.constants import (
     PREVIEW_ROWS,
     SAMPLE_STEP,
 )
-from skyfare.plans.registry import BUDGET, CHUNK_ROWS, CODES, DEST, PERIOD, START, YEAR
+from skyfare.plans.registry import BUDGET, CHUNK_ROWS, CODES, DEST, PERIOD, ROLLING_MONTHS, START, TOP, YEAR
 
 LEG_ORDER = "l_linenumber, l_partkey, l_suppkey"
 
@@ -240,6 +240,56 @@ SELECT leg_id, CAST(segment_no AS INTEGER) AS segment_no,
        duration_seconds, distance, cabin_code
 FROM segments"""
 
+# The times of segments with the offsets that the query gives them.
+TIMES = f"""
+WITH legs AS (
+  SELECT o_orderkey AS leg_id, row_number() OVER w AS segment_no,
+         CAST(epoch(CAST(l_shipdate AS DATE)) AS BIGINT) + l_linenumber * 3600 AS leaves,
+         CAST(l_quantity AS INTEGER) * 300 AS seconds
+  FROM orders JOIN lineitem ON o_orderkey = l_orderkey
+  WINDOW w AS (PARTITION BY o_orderkey ORDER BY {LEG_ORDER}, l_quantity, l_returnflag)
+),
+clocks AS (
+  SELECT leg_id, segment_no, side, z, CASE WHEN z % 11 <> 0 THEN clock + 30 END AS clock,
+         CASE WHEN z % 11 = 0 OR z % 7 = 6 THEN NULL WHEN z % 3 = 0 THEN 330 WHEN z % 3 = 1 THEN -240 ELSE 0 END AS ahead
+  FROM (SELECT leg_id, segment_no, 'd' AS side, leaves AS clock, leg_id + segment_no - 1 AS z FROM legs
+        UNION ALL SELECT leg_id, segment_no, 'a', leaves + seconds, leg_id + segment_no FROM legs)
+),
+times AS (
+  SELECT leg_id, segment_no, side, ahead, clock - 60 * coalesce(ahead, 0) AS utc, make_timestamp(clock * 1000000) AS local FROM clocks
+),
+segments AS (
+  SELECT d.leg_id, CAST(d.segment_no AS INTEGER) AS segment_no,
+         d.local AS departure_local, CAST(d.ahead AS INTEGER) AS departure_offset_minutes,
+         make_timestamp(d.utc * 1000000) AS departure_utc, d.utc AS departure_epoch,
+         a.local AS arrival_local, CAST(a.ahead AS INTEGER) AS arrival_offset_minutes,
+         make_timestamp(a.utc * 1000000) AS arrival_utc, a.utc AS arrival_epoch,
+         CAST(floor((n.utc - a.utc) / 60) AS BIGINT) AS layover_minutes,
+         CAST(n.local AS DATE) > CAST(a.local AS DATE) AS overnight_stop
+  FROM times d JOIN times a ON a.leg_id = d.leg_id AND a.segment_no = d.segment_no AND a.side = 'a'
+  LEFT JOIN times n ON n.leg_id = d.leg_id AND n.segment_no = d.segment_no + 1 AND n.side = 'd'
+  WHERE d.side = 'd'
+)"""
+
+TOP_DESTINATIONS = """
+  SELECT CAST({} AS DATE) AS period_start, destination_airport, count(*) AS num_flights, {} AS average_base_fare
+  FROM itineraries GROUP BY ALL"""
+MONTH_START = "date_trunc('month', flight_date)"
+SEASON_START = "date_trunc('quarter', flight_date + INTERVAL 1 MONTH) - INTERVAL 1 MONTH"
+
+
+def top_destinations(start: str, measure: str) -> str:
+    cells = TOP_DESTINATIONS.format(start, avg("base_fare"))
+    return with_(f"cells AS ({cells})") + f"""SELECT * FROM (
+  SELECT *, CAST(rank() OVER (PARTITION BY period_start ORDER BY {measure} DESC) AS INTEGER) AS place
+  FROM cells WHERE {measure} IS NOT NULL
+) WHERE place <= {TOP}"""
+
+
+# Which records the damaged files have, by layout.
+MARKED = """
+marked AS (SELECT *, leg_id % 40 AS m, CASE WHEN leg_id // 40 % 2 = 0 THEN 'a' ELSE 'b' END AS layout FROM itineraries)"""
+
 HOVER = " || ".join(
     [
         "'Airport: ' || starting_airport",
@@ -380,10 +430,29 @@ FROM (SELECT DISTINCT leg_id, base_fare,
       FROM itineraries
       WHERE flight_date >= DATE '{PERIOD[0]}' AND flight_date < DATE '{PERIOD[1]}')
 GROUP BY airline_name""",
+    "avg_fare_by_airline_rolling": with_(
+        f"""
+months AS (
+  SELECT airline_name, year(flight_date) * 12 + month(flight_date) - 1 AS m, count(*) AS n, sum(base_fare) AS s, count(base_fare) AS c
+  FROM (SELECT DISTINCT leg_id, flight_date, base_fare, unnest(string_split(segments_airline_name, '||')) AS airline_name FROM itineraries)
+  GROUP BY ALL
+),
+periods AS (
+  SELECT airline_name, m + k - {ROLLING_MONTHS - 1} AS first, CAST(sum(n) AS BIGINT) AS num_itineraries, CAST(sum(s) AS DOUBLE) / nullif(sum(c), 0) AS average_base_fare
+  FROM months, range({ROLLING_MONTHS}) t(k) GROUP BY ALL
+)"""
+    )
+    + f"""SELECT airline_name, make_date(first // 12, first % 12 + 1, 1) AS period_start,
+  make_date((first + {ROLLING_MONTHS}) // 12, (first + {ROLLING_MONTHS}) % 12 + 1, 1) AS period_end, num_itineraries, average_base_fare FROM periods""",
     "legs_histogram": with_()
     + """SELECT CAST(len(string_split(segments_airline_name, '||')) AS INTEGER) AS num_legs,
   count(*) AS num_itineraries FROM itineraries GROUP BY ALL""",
     "explode_segments": SEGMENTS,
+    "segment_times": TIMES + " SELECT * FROM segments",
+    "itinerary_layovers": TIMES
+    + """ SELECT leg_id, count(layover_minutes) AS stops, max(layover_minutes) AS longest_layover,
+  CAST(sum(layover_minutes) AS BIGINT) AS layover_minutes, count(*) FILTER (overnight_stop) AS overnight_stops
+FROM segments GROUP BY leg_id""",
     "flights_between": with_(PATHS) + "SELECT * FROM paths",
     "avg_duration_by_route": with_()
     + f"SELECT {ROUTE}, {avg('minutes')} AS average_minutes FROM itineraries GROUP BY {ROUTE}",
@@ -402,6 +471,9 @@ FROM (SELECT {ROUTE}, {avg('seats_remaining')} AS average_seats_remaining
   CAST(month(flight_date) AS INTEGER) AS month, destination_airport,
   count(*) AS num_flights, {avg('base_fare')} AS average_base_fare
 FROM itineraries GROUP BY ALL""",
+    "most_popular_by_month": top_destinations(MONTH_START, "num_flights"),
+    "most_popular_by_season": top_destinations(SEASON_START, "num_flights"),
+    "most_expensive_by_season": top_destinations(SEASON_START, "average_base_fare"),
     "route_direct_vs_layover": with_()
     + f"""SELECT {ROUTE}, {avg('base_fare', 'num_legs = 1')} AS direct_average,
   {avg('base_fare', 'num_legs > 1')} AS layover_average,
@@ -452,6 +524,21 @@ LEFT JOIN airports b ON b.iata = v.destination_airport""",
     "csv_round_trip": with_()
     + f"""SELECT CAST(leg_id AS VARCHAR) AS leg_id, flight_date, starting_airport, {dbl('base_fare')},
   is_nonstop, segments_airline_name, num_legs FROM itineraries""",
+    "csv_two_layouts": with_()
+    + f"""SELECT CAST(leg_id AS VARCHAR) AS leg_id, CASE WHEN year(flight_date) < {YEAR} THEN flight_date END AS flight_date,
+  starting_airport, destination_airport, {dbl('base_fare')}, CASE WHEN year(flight_date) >= {YEAR} THEN is_nonstop END AS is_nonstop
+FROM itineraries""",
+    "csv_accepted": with_(MARKED)
+    + f"""SELECT CAST(leg_id AS VARCHAR) AS leg_id, CASE WHEN layout = 'a' THEN flight_date END AS flight_date,
+  starting_airport, destination_airport, {dbl('base_fare')}, CASE WHEN layout = 'b' THEN is_nonstop END AS is_nonstop
+FROM marked WHERE m NOT IN (3, 11, 13, 17) AND NOT (m = 7 AND layout = 'a')""",
+    "csv_quarantine": with_(MARKED)
+    + """SELECT layout, reason, column_name, count(*) AS num_problems FROM (
+  SELECT layout, 'bad cell' AS reason, 'base_fare' AS column_name FROM marked WHERE m = 3
+  UNION ALL SELECT layout, 'bad cell', 'flight_date' FROM marked WHERE m IN (3, 7) AND layout = 'a'
+  UNION ALL SELECT layout, CASE m WHEN 11 THEN 'short record' WHEN 13 THEN 'long record' ELSE 'broken quote' END, NULL
+  FROM marked WHERE m IN (11, 13, 17)
+) GROUP BY ALL""",
     "airport_file_round_trip": f"WITH {AIRPORTS} SELECT * FROM airports",
     "path_file_round_trip": with_(PATHS, AIRPORTS)
     + """SELECT cnt, a.long AS start_lon, a.lat AS start_lat, b.long AS end_lon, b.lat AS end_lat

@@ -13,12 +13,15 @@ from skyfare.operators import extract as ex
 from skyfare.operators import fares as fa
 from skyfare.operators import filters as fi
 from skyfare.operators import inserts as ins
+from skyfare.operators import periods as pe
 from skyfare.operators import routes as ro
+from skyfare.operators import segments as se
 from skyfare.operators import text as tx
 from skyfare.plans import marts
 from skyfare.plans import summary as su
 from skyfare.sources import tables
 from skyfare.sources import itineraries as csv
+from skyfare.sources import quarantine as qu
 from skyfare.sources.checkpoint import new_folder, stored
 from skyfare.sources.itineraries import chunk_union
 from skyfare.sources.tables import itineraries
@@ -30,6 +33,7 @@ PERIOD = (date(2000, 5, 1), date(2000, 9, 1))
 START, DEST = "N05", "N11"
 CODES = [f"N{i:02d}" for i in range(16)]
 BUDGET, CHUNK_ROWS = 200_000, 1_000
+TOP, ROLLING_MONTHS = 3, 4
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -285,6 +289,13 @@ def avg_fare_by_airline_period(spark, sf):
     return ca.avg_fare_by_airline(trips, *PERIOD)
 
 
+@query
+def avg_fare_by_airline_rolling(spark, sf):
+    """Every period of four months: one pass over the facts makes the rollup by month, which is stored."""
+    trips = itineraries(spark, sf, ["flight_date", AIRLINES, FARE])
+    return pe.avg_fare_by_airline_rolling(stored(pe.airline_months(trips), "airline-months"), ROLLING_MONTHS)
+
+
 @query
 def legs_histogram(spark, sf):
     return ca.legs_histogram(itineraries(spark, sf, ["num_legs"]))
@@ -295,6 +306,33 @@ def explode_segments(spark, sf):
     return ca.explode_segments(itineraries(spark, sf, ["leg_id", *SEGMENT_COLUMNS]))
 
 
+def _timed_list(column: str, shift: int):
+    """A list of times of which some have an offset, some have none, and some are missing."""
+    mark = F.col("leg_id") + shift
+
+    def timed(text, i):
+        z = mark + i
+        offset = F.when(z % 7 == 6, "").when(z % 3 == 0, "+05:30").when(z % 3 == 1, "-04:00").otherwise("Z")
+        return F.when(z % 11 == 0, "").otherwise(F.concat(text, F.lit(":30.000"), offset))
+
+    return F.array_join(F.transform(F.split(column, r"\|\|"), timed), "||").alias(column)
+
+
+def _segment_times(spark, sf):
+    lists = itineraries(spark, sf, ["leg_id", se.DEPARTURES, se.ARRIVALS])
+    return se.segment_times(lists.select("leg_id", _timed_list(se.DEPARTURES, 0), _timed_list(se.ARRIVALS, 1)))
+
+
+@query
+def segment_times(spark, sf):
+    return _segment_times(spark, sf)
+
+
+@query
+def itinerary_layovers(spark, sf):
+    return se.layovers(_segment_times(spark, sf))
+
+
 # --- routes -----------------------------------------------------------------
 
 
@@ -337,6 +375,21 @@ def popularity_by_season(spark, sf):
     return ro.popularity_by_season(itineraries(spark, sf, ["flight_date", TARGET, FARE]))
 
 
+@query
+def most_popular_by_month(spark, sf):
+    return pe.most_popular(itineraries(spark, sf, ["flight_date", TARGET, FARE]), TOP, "month")
+
+
+@query
+def most_popular_by_season(spark, sf):
+    return pe.most_popular(itineraries(spark, sf, ["flight_date", TARGET, FARE]), TOP, "season")
+
+
+@query
+def most_expensive_by_season(spark, sf):
+    return pe.most_expensive(itineraries(spark, sf, ["flight_date", TARGET, FARE]), TOP, "season")
+
+
 @query
 def route_direct_vs_layover(spark, sf):
     return ro.route_direct_vs_layover(itineraries(spark, sf, [*ROUTE, "num_legs", FARE]))
@@ -467,6 +520,55 @@ def csv_round_trip(spark, sf):
     return csv.read_itineraries_csv(spark, path, ["leg_id", "flight_date", ORIGIN, FARE, "is_nonstop", AIRLINES])
 
 
+@query
+def csv_two_layouts(spark, sf):
+    """Two sets of files whose headers differ in order, and of which each lacks a column of the other."""
+    trips = itineraries(spark, sf, ["leg_id", "flight_date", *ROUTE, FARE, "is_nonstop"])
+    late = F.col("flight_date") >= F.lit(date(YEAR, 1, 1))
+    source = {engine: name for name, (engine, _) in SOURCE_COLUMNS.items()}
+    old, new = trips.where(~late).drop("is_nonstop"), trips.where(late).select(FARE, TARGET, "is_nonstop", "leg_id", ORIGIN, F.lit("x").alias("note"))
+    path = new_folder(spark, "layouts")
+    csv.write_csv(old.withColumnsRenamed(source), f"{path}/old")
+    csv.write_csv(new.withColumnsRenamed(source), f"{path}/new")
+    return csv.read_itineraries_csv(spark, [f"{path}/old", f"{path}/new"], ["leg_id", "flight_date", *ROUTE, FARE, "is_nonstop"])
+
+
+def _damaged_files(spark, sf):
+    """Files of two layouts, of whose records some are too short, too long or badly quoted, and some cells do not parse."""
+    trips = itineraries(spark, sf, ["leg_id", "flight_date", *ROUTE, FARE, "is_nonstop"])
+    path, mark = new_folder(spark, "damaged"), F.col("leg_id") % 40
+    fare = F.when(mark == 3, "n/a").otherwise(F.col(FARE).cast("string"))
+    day = F.when(mark.isin(3, 7), "2000-13-45").otherwise(F.col("flight_date").cast("string"))
+    cells = {"legId": F.col("leg_id"), "flightDate": day, "startingAirport": F.col(ORIGIN), "destinationAirport": F.col(TARGET),
+             "baseFare": fare, "isNonStop": F.col("is_nonstop")}
+    first = F.floor(F.col("leg_id") / 40) % 2 == 0
+    headers = {"a": ["legId", "flightDate", "startingAirport", "destinationAirport", "baseFare"],
+               "b": ["baseFare", "destinationAirport", "legId", "isNonStop", "startingAirport"]}
+    for name, header in headers.items():
+        texts = [F.coalesce(cells[c].cast("string"), F.lit("")) for c in header]
+        line = F.concat_ws(",", *texts)
+        line = F.when(mark == 11, F.concat_ws(",", *texts[:-1])).when(mark == 13, F.concat(line, F.lit(",zz"))).when(
+            mark == 17, F.concat(texts[0], F.lit(',"'), F.concat_ws(",", *texts[1:]))).otherwise(line)
+        rows = trips.where(first if name == "a" else ~first).select(line.alias(",".join(header)))
+        # written as they are: neither separator nor quote is in a line
+        rows.write.options(header=True, sep="\u0001", quote="\u0002", escape="\u0002").csv(f"{path}/{name}")
+    return [f"{path}/{name}" for name in headers]
+
+
+@query
+def csv_accepted(spark, sf):
+    """What a checked reading of damaged files accepts; accepted and refused records are written in one pass."""
+    return qu.ingest(spark, _damaged_files(spark, sf), new_folder(spark, "ingested"))[0]
+
+
+@query
+def csv_quarantine(spark, sf):
+    """Why records of damaged files are refused, by layout, reason and column."""
+    refused = qu.ingest(spark, _damaged_files(spark, sf), new_folder(spark, "ingested"))[1]
+    layout = F.regexp_extract("source_file", "/([ab])/[^/]*$", 1).alias("layout")
+    return qu.refusals(refused).groupBy(layout, "reason", "column_name").agg(F.sum("num_problems").alias("num_problems"))
+
+
 @query
 def airport_file_round_trip(spark, sf):
     path = new_folder(spark, "airports")

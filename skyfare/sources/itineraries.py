@@ -12,13 +12,18 @@ from skyfare.functions.constants import (
     SOURCE_COLUMNS,
 )
 from skyfare.functions.expr import leg_count
+from skyfare.sources.layouts import read_by_header
 
 _TYPES = dict(SOURCE_COLUMNS.values())
 
 
 def read_raw_csv(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """CSV with a header, every column a string; nothing is inferred from the rows."""
-    return spark.read.csv(path, header=True, quote='"', escape='"')
+    """CSV with headers, every column a string; nothing is inferred from the rows.
+
+    Each file is read by its own header: files may have other column orders, and may lack columns or
+    have more. A file without any column of the source is an error.
+    """
+    return read_by_header(spark, path, SOURCE_ALIASES, set(SOURCE_COLUMNS))
 
 
 def rename_source(raw: DataFrame) -> DataFrame:
@@ -82,7 +87,10 @@ def read_paths_csv(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _read_typed(spark: SparkSession, path: str, columns: dict[str, str]) -> DataFrame:
-    raw = read_raw_csv(spark, path)
+    raw = read_by_header(spark, path, known=set(columns))
+    missing = [c for c in columns if c not in raw.columns]
+    if missing:
+        raise ValueError(f"no such columns: {', '.join(missing)}")
     return raw.select([F.col(c).try_cast(t).alias(c) for c, t in columns.items()])
 
 

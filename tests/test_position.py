@@ -8,10 +8,13 @@ from skyfare.operators import extract, position, routes
 from tests.conftest import rows
 
 
-@pytest.fixture(params=[1, 10, 100_000])
-def small_buckets(request, monkeypatch):
-    """Buckets of one key, of ten and of all."""
-    monkeypatch.setattr(position, "BUCKET_ROWS", request.param)
+@pytest.fixture(params=[1, 4, 40])
+def ranges(request, spark):
+    """One range, a few, and many of a few rows."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(request.param))
+    yield request.param
+    spark.conf.set("spark.sql.shuffle.partitions", before)
 
 
 def keyed(spark, keys):
@@ -27,21 +30,22 @@ def keys():
     return sorted(dense | sparse | {-5, -14, 0})
 
 
-def test_positions(spark, small_buckets):
+def test_positions(spark, ranges):
     df = keyed(spark, keys())
     placed = position.with_preceding(df, ["leg_id"], {"rows": F.lit(1)})
     got = dict(placed.select("leg_id", "rows_before").collect())
     assert got == {k: i for i, k in enumerate(keys())}
 
 
-def test_few_splitters(spark, monkeypatch):
-    monkeypatch.setattr(position, "BUCKET_ROWS", 1)
-    monkeypatch.setattr(position, "SPLITTERS", 7)
-    placed = position.with_preceding(keyed(spark, keys()), ["leg_id"], {"rows": F.lit(1)})
-    assert dict(placed.select("leg_id", "rows_before").collect()) == {k: i for i, k in enumerate(keys())}
+def test_equal_rows_are_dealt_to_several_ranges(spark):
+    df = spark.range(4000).selectExpr("cast(null as string) as note", "7 as leg_id")
+    placed = position.Positions(df, ["leg_id"], {"rows": F.lit(1)}, False)
+    assert placed.totals().count() > 1
+    got = sorted(r.rows_before for r in placed.rows(placed.totals()).collect())
+    assert got == list(range(4000))
 
 
-def test_text_ids_repeats_and_nulls(spark, small_buckets):
+def test_text_ids_repeats_and_nulls(spark, ranges):
     rng = random.Random(8)
     ids = ["".join(rng.choice("0123456789abcdef") for _ in range(32)) for _ in range(60)]
     days = [None, "2022-04-17", "2022-04-18", "2022-05-01"]
@@ -65,17 +69,8 @@ def capped(ordered, budget, chunk):
     return taken
 
 
-def test_nothing_runs_before_an_action(spark, small_buckets):
-    df = keyed(spark, keys())
-    before = spark._jsc.sc().dagScheduler().nextJobId()
-    extract.systematic_sample(df, ("leg_id",))
-    extract.size_capped_extract(df, 40, ("leg_id",))
-    extract.size_capped_chunks(df, 40, 5, ("leg_id",))
-    assert spark._jsc.sc().dagScheduler().nextJobId() == before
-
-
 @pytest.mark.parametrize("step", [1, 5, 7])
-def test_systematic_sample(spark, small_buckets, step):
+def test_systematic_sample(spark, ranges, step):
     df = keyed(spark, keys())
     for narrow in (None, df.select("leg_id")):
         got = extract.systematic_sample(df, ("leg_id",), step, narrow)
@@ -96,18 +91,18 @@ def expected_prefix(budget, chunk):
 
 
 @pytest.mark.parametrize("budget", [-1, 0, 40, 900, 10**9])
-def test_size_cap(spark, small_buckets, budget):
+def test_size_cap(spark, ranges, budget):
     got = extract.size_capped_extract(keyed(spark, keys()), budget, ("leg_id",))
     assert sorted(r.leg_id for r in got.collect()) == expected_prefix(budget, 1)
 
 
 @pytest.mark.parametrize("budget", [-1, 0, 300, 10**9])
-def test_size_cap_in_chunks(spark, small_buckets, budget):
+def test_size_cap_in_chunks(spark, ranges, budget):
     got = extract.size_capped_chunks(keyed(spark, keys()), budget, 25, ("leg_id",), True)
     assert sorted(r.leg_id for r in got.collect()) == expected_prefix(budget, 25)
 
 
-def test_popularity_rank(spark, small_buckets):
+def test_popularity_rank(spark, ranges):
     rng = random.Random(5)
     data = [(f"S{i}", "D", rng.choice([1, 2, 2, 2, 5])) for i in range(60) for _ in range(3)]
     data += [("NONE", "D", None)]
