@@ -51,19 +51,19 @@ def segment_times(df: DataFrame) -> DataFrame:
     """
     empty = F.array().cast("array<string>")
     zipped = F.arrays_zip(
-        F.transform(F.coalesce(segment_list(DEPARTURES), empty), time_at).alias("departs"),
-        F.transform(F.coalesce(segment_list(ARRIVALS), empty), time_at).alias("arrives"),
+        F.coalesce(segment_list(DEPARTURES), empty).alias("departs"), F.coalesce(segment_list(ARRIVALS), empty).alias("arrives")
     )
-    rows = df.select("leg_id", zipped.alias("segments"))
-    rows = rows.select("leg_id", "segments", F.posexplode("segments").alias("pos", "segment"))
-    follows = F.get("segments", F.col("pos") + 1)["departs"]
-    lands = F.col("segment.arrives")
+    rows = df.select("leg_id", zipped.alias("texts"))
+    rows = rows.select("leg_id", "texts", F.posexplode("texts").alias("pos", "text"))
+    # Texts are parsed when they are rows, in compiled code; the next segment's departure comes along as text.
+    rows = rows.select("leg_id", "pos", "text.departs", "text.arrives", F.get("texts", F.col("pos") + 1)["departs"].alias("follows"))
+    rows = rows.select("leg_id", "pos", *[time_at(F.col(c)).alias(c) for c in ("departs", "arrives", "follows")])
     return rows.select(
         "leg_id",
         (F.col("pos") + 1).alias("segment_no"),
-        *[F.col(f"segment.{side}.{f}").alias(f"{name}_{f}") for side, name in (("departs", "departure"), ("arrives", "arrival")) for f in ("local", "offset_minutes", "utc", "epoch")],
-        F.floor((follows["epoch"] - lands["epoch"]) / 60).alias("layover_minutes"),
-        (follows["local"].cast("date") > lands["local"].cast("date")).alias("overnight_stop"),
+        *[F.col(f"{side}.{f}").alias(f"{name}_{f}") for side, name in (("departs", "departure"), ("arrives", "arrival")) for f in ("local", "offset_minutes", "utc", "epoch")],
+        F.floor((F.col("follows.epoch") - F.col("arrives.epoch")) / 60).alias("layover_minutes"),
+        (F.col("follows.local").cast("date") > F.col("arrives.local").cast("date")).alias("overnight_stop"),
     )
 
 
