@@ -1,7 +1,8 @@
 """Suffix-array deduplication of byte strings of 100 and more that repeat in the corpus.
 
 A byte goes if it lies in a 100-byte string that also starts earlier: in a document of smaller id, or
-earlier in the same. Sorting every suffix would move a hundred times the corpus, so a sparse
+earlier in the same. Rows are told apart by their place, which is the id, and their tie, a hash of the text,
+which also is their order. Sorting every suffix would move a hundred times the corpus, so a sparse
 suffix array is sorted that still decides every string. In each 100-byte string the 50-byte substring
 of least hash, the leftmost of equals, is its anchor. Equal strings have their anchors at the same
 place, and the strings of one anchor start next to each other. So a suffix is kept for each anchor, with
@@ -118,7 +119,7 @@ def _batch(rows: list[tuple], schema: str) -> pa.RecordBatch:
 def _counted(buckets: int):
     """Blocks of anchors: hashes for the buckets that count them, and what the block knows itself."""
 
-    def rows(number: int, tokens: np.ndarray, places: list[int], counts: list[int]) -> Iterator[tuple]:
+    def rows(number: int, tokens: np.ndarray, places: list[int], ties: list[int], counts: list[int]) -> Iterator[tuple]:
         block = TaskContext.get().partitionId() << 32 | number
         order = np.argsort(tokens, kind="stable")
         ranked = tokens[order]
@@ -135,25 +136,26 @@ def _counted(buckets: int):
                 if a < b:
                     own = b"" if index is None else index[a:b].astype(np.uint32).tobytes()
                     yield bucket, kind, block, pack(some[a:b]), own
-        yield block % buckets, DOCS, block, np.array(places, np.int64).tobytes(), np.array(counts, np.int64).tobytes()
+        yield block % buckets, DOCS, block, np.array([places, ties], np.int64).tobytes(), np.array(counts, np.int64).tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number, size, tokens, places, counts = 0, 0, [], [], []
+        number, size, tokens, places, ties, counts = 0, 0, [], [], [], []
         for batch in batches:
-            ids = batch.column(0).to_numpy()
-            for first, end, data, offsets in chunks(batch.column(1), SEARCHED):
+            place, tie = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            for first, end, data, offsets in chunks(batch.column(2), SEARCHED):
                 _, _, _, h, bounds = text_anchors(data, offsets)
                 if not len(h):
                     continue
                 tokens.append(mix(h ^ _SALT) >> np.uint64(64 - TOKEN_BITS))
-                places += ids[first:end].tolist()
+                places += place[first:end].tolist()
+                ties += tie[first:end].tolist()
                 counts += np.diff(bounds).tolist()
                 size += len(h)
                 if size >= BLOCK_ANCHORS:
-                    yield _batch(list(rows(number, np.concatenate(tokens), places, counts)), ROW)
-                    number, size, tokens, places, counts = number + 1, 0, [], [], []
+                    yield _batch(list(rows(number, np.concatenate(tokens), places, ties, counts)), ROW)
+                    number, size, tokens, places, ties, counts = number + 1, 0, [], [], [], []
         if tokens:
-            yield _batch(list(rows(number, np.concatenate(tokens), places, counts)), ROW)
+            yield _batch(list(rows(number, np.concatenate(tokens), places, ties, counts)), ROW)
 
     return run
 
@@ -183,6 +185,9 @@ def _answered(table: pa.Table) -> pa.Table:
     return pa.Table.from_batches([_batch(out, ANSWER)])
 
 
+NUMBERS = "place long, tie long, numbers binary"
+
+
 def _by_document(table: pa.Table) -> pa.Table:
     """The repeated anchors of each document of a block, by their number in it."""
     kinds = table.column("kind").to_numpy()
@@ -192,35 +197,37 @@ def _by_document(table: pa.Table) -> pa.Table:
     if found:
         found = np.unique(np.concatenate(found)).astype(np.int64)
         docs = int(np.flatnonzero(kinds == DOCS)[0])
-        places = np.frombuffer(a[docs].as_py(), np.int64)
+        places, ties = np.frombuffer(a[docs].as_py(), np.int64).reshape(2, -1)
         bounds = np.concatenate(([0], np.cumsum(np.frombuffer(b[docs].as_py(), np.int64))))
         cut = np.searchsorted(found, bounds)
         for d in np.flatnonzero(np.diff(cut)).tolist():
-            out.append((places[d], (found[cut[d] : cut[d + 1]] - bounds[d]).astype(np.uint32).tobytes()))
-    return pa.Table.from_batches([_batch(out, "place long, numbers binary")])
+            out.append((places[d], ties[d], (found[cut[d] : cut[d + 1]] - bounds[d]).astype(np.uint32).tobytes()))
+    return pa.Table.from_batches([_batch(out, NUMBERS)])
+
+
+#: A row: its place and its tie.
+Row = tuple[int, int]
 
 
-def _suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """(place, bytes, anchors, first starts, last starts) of documents (place, packed, numbers)."""
+def _suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[Row, bytes, np.ndarray, np.ndarray, np.ndarray]]:
+    """(row, bytes, anchors, first starts, last starts) of documents (place, tie, packed, numbers)."""
     opened = zstandard.ZstdDecompressor()
     for batch in batches:
-        for place, packed, numbers in zip(*batch.columns):
-            place, numbers, text = place.as_py(), numbers.as_py(), opened.decompress(packed.as_py())
+        for place, tie, packed, numbers in zip(*batch.columns):
+            text = opened.decompress(packed.as_py())
             data = np.frombuffer(text, np.uint8)
             at, lo, hi, _, _ = text_anchors(data, np.array([0, len(data)]))
-            # Rows of one id may have different texts; their numbers are tried on each.
-            own = np.frombuffer(numbers, np.uint32)
-            own = own[own < len(at)]
-            yield place, text, at[own], lo[own], hi[own]
+            own = np.frombuffer(numbers.as_py(), np.uint32)
+            yield (place.as_py(), tie.as_py()), text, at[own], lo[own], hi[own]
 
 
 def _sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for place, text, at, _, _ in _suffixes(batches):
+    for row, text, at, _, _ in _suffixes(batches):
         some = at[np.unique(np.linspace(0, len(at) - 1, SAMPLE_EACH).astype(int))] if len(at) else at
-        yield _batch([(place, text[i : i + LEAD]) for i in some.tolist()], "place long, lead binary")
+        yield _batch([(*row, text[i : i + LEAD]) for i in some.tolist()], "place long, tie long, lead binary")
 
 
-PIECE = "bucket int, place long, start long, size long, anchor int, piece binary"
+PIECE = "bucket int, place long, tie long, start long, size long, anchor int, piece binary"
 
 
 def _merged(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -234,34 +241,34 @@ def _merged(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return starts[fresh], ends[last]
 
 
-def _dealt(splitters: list[tuple[bytes, int]], buckets: int):
+def _dealt(splitters: list[tuple[bytes, int, int]], buckets: int):
     """Suffixes with their bucket, and the intervals of those that repeat one the task holds."""
 
-    def flush(held: dict, gone: dict[int, list[tuple[int, int]]]) -> pa.RecordBatch:
+    def flush(held: dict, gone: dict[Row, list[tuple[int, int]]]) -> pa.RecordBatch:
         rows = []
-        for (piece, anchor), (place, start) in held.items():
-            bucket = bisect_right(splitters, (piece[anchor : anchor + LEAD], place))
-            rows.append((bucket, place, start, len(piece), anchor, piece))
-        for place, spans in gone.items():
+        for (piece, anchor), (place, tie, start) in held.items():
+            bucket = bisect_right(splitters, (piece[anchor : anchor + LEAD], place, tie))
+            rows.append((bucket, place, tie, start, len(piece), anchor, piece))
+        for (place, tie), spans in gone.items():
             lo, hi = _merged(*np.array(spans, np.int64).T)
-            rows += [(place % buckets, place, s, e - s, 0, None) for s, e in zip(lo.tolist(), hi.tolist())]
+            rows += [((place ^ tie) % buckets, place, tie, s, e - s, 0, None) for s, e in zip(lo.tolist(), hi.tolist())]
         held.clear()
         gone.clear()
         return _batch(rows, PIECE)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[tuple[bytes, int], tuple[int, int]] = {}
-        gone: dict[int, list[tuple[int, int]]] = {}
+        held: dict[tuple[bytes, int], tuple[int, int, int]] = {}
+        gone: dict[Row, list[tuple[int, int]]] = {}
         lost = 0
-        for place, text, at, lo, hi in _suffixes(batches):
+        for row, text, at, lo, hi in _suffixes(batches):
             for a, s, e in zip(at.tolist(), lo.tolist(), (hi + LENGTH).tolist()):
                 piece = (text[s:e], a - s)
-                mine = (place, s)
+                mine = (*row, s)
                 first = held.setdefault(piece, mine)
                 if first != mine:
                     if mine < first:
                         held[piece], first, mine = mine, mine, first
-                    gone.setdefault(mine[0], []).append((mine[1], mine[1] + e - s))
+                    gone.setdefault(mine[:2], []).append((mine[2], mine[2] + e - s))
                     lost += 1
                 if len(held) + lost >= HELD:
                     yield flush(held, gone)
@@ -295,15 +302,20 @@ def multikey(n: int, word: Callable[[int, np.ndarray], np.ndarray], words: int,
     return order, label, active
 
 
-FOUND = "place long, start long, size long, string binary"
+FOUND = "place long, tie long, start long, size long, string binary"
+
+
+def _ordered(x: np.ndarray) -> np.ndarray:
+    """Signed numbers as unsigned ones of the same order."""
+    return x.view(np.uint64) ^ np.uint64(1 << 63)
 
 
 def _sorted_bucket(table: pa.Table) -> pa.Table:
     """Intervals of a bucket that repeat an earlier string, and the strings of its first and last anchor."""
     table = table.combine_chunks()
-    out_place, out_start, out_size = ([] for _ in range(3))
+    out_place, out_tie, out_start, out_size = ([] for _ in range(4))
     own = np.array(table.column("piece").is_null())
-    for column, to in (("place", out_place), ("start", out_start), ("size", out_size)):
+    for column, to in (("place", out_place), ("tie", out_tie), ("start", out_start), ("size", out_size)):
         to.append(table.column(column).to_numpy()[own])
     rows = table.filter(pa.array(~own))
     edge_rows: list[tuple] = []
@@ -317,7 +329,7 @@ def _sorted_bucket(table: pa.Table) -> pa.Table:
         view = np.ndarray((len(data) - 7,), ">u8", data, 0, (1,))
         size = np.diff(begin)
         begin = begin[:-1]
-        place, start, anchor = (rows.column(c).to_numpy().astype(np.int64) for c in ("place", "start", "anchor"))
+        place, tie, start, anchor = (rows.column(c).to_numpy().astype(np.int64) for c in ("place", "tie", "start", "anchor"))
 
         def lead(k: int, r: np.ndarray) -> np.ndarray:
             return view[begin[r] + anchor[r] + min(8 * k, LEAD - 8)].astype(np.uint64)
@@ -328,18 +340,19 @@ def _sorted_bucket(table: pa.Table) -> pa.Table:
             return view[begin[r] + np.minimum(8 * (k - 1), size[r] - 8)].astype(np.uint64)
 
         def where(k: int, r: np.ndarray) -> np.ndarray:
-            return (start if k else place)[r].astype(np.uint64)
+            return _ordered((place, tie, start)[k][r])
 
         order, label, active = multikey(n, lead, (LEAD + 7) // 8)
         leads = label.copy()
         order, label, active = multikey(n, rest, 1 + (2 * LENGTH + 7) // 8, (order, label, active))
         pieces_of = label.copy()
-        order, _, _ = multikey(n, where, 2, (order, label, active))
+        order, _, _ = multikey(n, where, 3, (order, label, active))
         # A piece equal to an earlier one goes as a whole.
         first = order[pieces_of]
-        later = (place[order] != place[first]) | (start[order] != start[first])
+        later = (place[order] != place[first]) | (tie[order] != tie[first]) | (start[order] != start[first])
         gone = order[later]
         out_place.append(place[gone])
+        out_tie.append(tie[gone])
         out_start.append(start[gone])
         out_size.append(size[gone])
         # Different pieces of one anchor are compared string by string.
@@ -354,37 +367,40 @@ def _sorted_bucket(table: pa.Table) -> pa.Table:
         j = np.arange(len(r)) - np.repeat(np.cumsum(strings) - strings, strings)
         group = np.repeat(chosen_runs, strings)
         on_edge = np.repeat(chosen_edge, strings)
-        base, s_place, s_start = begin[r] + j, place[r], start[r] + j
+        base, s_place, s_tie, s_start = begin[r] + j, place[r], tie[r], start[r] + j
         tag = (group << 8 | (anchor[r] - j)).astype(np.uint64)
 
         def string(k: int, x: np.ndarray) -> np.ndarray:
             return tag[x] if k == 0 else view[base[x] + min(8 * (k - 1), LENGTH - 8)].astype(np.uint64)
 
         def string_where(k: int, x: np.ndarray) -> np.ndarray:
-            return (s_start if k else s_place)[x].astype(np.uint64)
+            return _ordered((s_place, s_tie, s_start)[k][x])
 
         m = len(r)
         order, label, active = multikey(m, string, 1 + (LENGTH + 7) // 8)
         equal = label.copy()
-        order, _, _ = multikey(m, string_where, 2, (order, label, active))
+        order, _, _ = multikey(m, string_where, 3, (order, label, active))
         first = order[equal] if m else order
-        later = (s_place[order] != s_place[first]) | (s_start[order] != s_start[first])
+        later = (s_place[order] != s_place[first]) | (s_tie[order] != s_tie[first]) | (s_start[order] != s_start[first])
         gone = order[later]
         out_place.append(s_place[gone])
+        out_tie.append(s_tie[gone])
         out_start.append(s_start[gone])
         out_size.append(np.full(len(gone), LENGTH))
         keep = order[(equal == np.arange(m)) & on_edge[order]] if m else order
         raw = memoryview(data)
-        edge_rows = [(p, s, LENGTH, bytes(raw[b : b + LENGTH])) for p, s, b in zip(s_place[keep].tolist(), s_start[keep].tolist(), base[keep].tolist())]
-    places, starts, sizes = (np.concatenate(x).astype(np.int64) for x in (out_place, out_start, out_size))
+        found = zip(s_place[keep].tolist(), s_tie[keep].tolist(), s_start[keep].tolist(), base[keep].tolist())
+        edge_rows = [(p, t, s, LENGTH, bytes(raw[b : b + LENGTH])) for p, t, s, b in found]
+    places, ties, starts, sizes = (np.concatenate(x).astype(np.int64) for x in (out_place, out_tie, out_start, out_size))
     # Intervals of one document that touch are one.
-    by = np.lexsort((starts, places))
+    by = np.lexsort((starts, ties, places))
     done = []
-    places, starts, sizes = places[by], starts[by], sizes[by]
-    cuts = np.flatnonzero(np.concatenate(([True], places[1:] != places[:-1]))).tolist() if len(places) else []
+    places, ties, starts, sizes = places[by], ties[by], starts[by], sizes[by]
+    fresh = np.concatenate(([True], (places[1:] != places[:-1]) | (ties[1:] != ties[:-1])))
+    cuts = np.flatnonzero(fresh).tolist() if len(places) else []
     for a, b in zip(cuts, [*cuts[1:], len(places)]):
         lo, hi = _merged(starts[a:b], starts[a:b] + sizes[a:b])
-        done += [(places[a], s, e - s, None) for s, e in zip(lo.tolist(), hi.tolist())]
+        done += [(places[a], ties[a], s, e - s, None) for s, e in zip(lo.tolist(), hi.tolist())]
     return pa.Table.from_batches([_batch(done + edge_rows, FOUND)])
 
 
@@ -403,42 +419,48 @@ def _packed(columns: list[Column], schema: str, rows: DataFrame) -> DataFrame:
     return rows.select(*columns, "text").mapInArrow(run, f"{schema}, packed binary")
 
 
-def _packed_texts(docs: DataFrame, key: str, text: str) -> DataFrame:
-    rows = docs.select(_place(key, text), F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
-    return _packed([F.col("place"), F.col("id")], "place long, id long", rows)
+def _row(key: str, text: str) -> list[Column]:
+    """Place and tie of rows. Rows of one id and one text are one and the same."""
+    tie = F.xxhash64(F.coalesce(F.col(text), F.lit(""))).bitwiseAND(F.lit((1 << 63) - 1))
+    unnamed = F.lit(NO_ID) + tie.bitwiseAND(F.lit(NO_ID - 1))
+    return [F.coalesce(F.col(key).cast("long"), unnamed).alias("place"), tie.alias("tie")]
 
 
-def _place(key: str, text: str) -> Column:
-    unnamed = F.lit(NO_ID) + F.xxhash64(F.col(text)).bitwiseAND(F.lit(NO_ID - 1))
-    return F.coalesce(F.col(key).cast("long"), unnamed).alias("place")
+def _packed_texts(docs: DataFrame, key: str, text: str) -> DataFrame:
+    rows = docs.select(*_row(key, text), F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
+    return _packed([F.col("place"), F.col("tie"), F.col("id")], "place long, tie long, id long", rows)
 
 
 def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(place, start, size): intervals of bytes that repeat an earlier string, possibly overlapping."""
+    """(place, tie, start, size): intervals of bytes that repeat an earlier string, possibly overlapping."""
     spark = docs.sparkSession
     buckets = partitions(spark)
-    asked = docs.select(_place(key, text), text).mapInArrow(_counted(buckets), ROW)
+    asked = docs.select(*_row(key, text), text).mapInArrow(_counted(buckets), ROW)
     answers = asked.groupBy("bucket").applyInArrow(_answered, ANSWER)
-    numbers = answers.groupBy("block").applyInArrow(_by_document, "place long, numbers binary")
+    numbers = answers.groupBy("block").applyInArrow(_by_document, NUMBERS)
     # Rows of one id and text have equal numbers, of which one is enough.
     numbers = stored(numbers.distinct(), "repeated-anchors")
     few = max(1, numbers.count() // SAMPLE_DOCS)
-    sample = numbers.where(F.pmod(F.xxhash64("place"), F.lit(few)) == 0)
-    sample = docs.select(_place(key, text), F.col(text).alias("text")).join(F.broadcast(sample), "place")
-    sample = _packed([F.col("place"), F.col("numbers")], "place long, numbers binary", sample)
-    sample = sample.select("place", "packed", "numbers").mapInArrow(_sampled, "place long, lead binary")
-    ranked = sorted((bytes(r.lead), r.place) for r in sample.collect())
+    sample = numbers.where(F.pmod(F.xxhash64("place", "tie"), F.lit(few)) == 0)
+    # Some SAMPLE_DOCS rows, of which each is read once, however often it comes.
+    found = docs.select(*_row(key, text), F.col(text).alias("text")).join(F.broadcast(sample), ["place", "tie"])
+    found = found.groupBy("place", "tie").agg(F.any_value("numbers").alias("numbers"), F.any_value("text").alias("text"))
+    found = _packed([F.col("place"), F.col("tie"), F.col("numbers")], NUMBERS, found)
+    found = found.select("place", "tie", "packed", "numbers").mapInArrow(_sampled, "place long, tie long, lead binary")
+    ranked = sorted((bytes(r.lead), r.place, r.tie) for r in found.collect())
     ranges = 8 * buckets
     splitters = sorted({ranked[i * len(ranked) // ranges] for i in range(1, ranges)}) if ranked else []
     texts = _packed_texts(docs, key, text).drop("id")
-    dealt = texts.join(numbers, "place").select("place", "packed", "numbers").mapInArrow(_dealt(splitters, ranges), PIECE)
+    texts = texts.join(numbers, ["place", "tie"]).select("place", "tie", "packed", "numbers")
+    dealt = texts.mapInArrow(_dealt(splitters, ranges), PIECE)
     found = stored(dealt.groupBy("bucket").applyInArrow(_sorted_bucket, FOUND), "repeated-spans")
     # Strings of the first and last anchors of buckets, compared across boundaries.
-    edges = found.where("string is not null").select("place", "start", "string")
-    firsts = edges.groupBy("string").agg(F.min(F.struct("place", "start")).alias("first"), F.count("*").alias("n"))
-    later = edges.join(firsts.where("n > 1"), "string").where(F.struct("place", "start") > F.col("first"))
-    spans = found.where("string is null").select("place", "start", "size")
-    return spans.unionByName(later.select("place", "start", F.lit(LENGTH).cast("long").alias("size")))
+    edges = found.where("string is not null").select("place", "tie", "start", "string")
+    at = F.struct("place", "tie", "start")
+    firsts = edges.groupBy("string").agg(F.min(at).alias("first"), F.count("*").alias("n"))
+    later = edges.join(firsts.where("n > 1"), "string").where(at > F.col("first"))
+    spans = found.where("string is null").select("place", "tie", "start", "size")
+    return spans.unionByName(later.select("place", "tie", "start", F.lit(LENGTH).cast("long").alias("size")))
 
 
 RESULT = "id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
@@ -491,9 +513,9 @@ def deduplicated(docs: DataFrame, key: str = "doc_id", text: str = "text", with_
     the remaining bytes (NULL unless ``with_kept``), n_spans the number of maximal removed runs.
 
     NULL and empty texts have no bytes. Rows without id come after all others, in order of a hash
-    of their text. Rows of equal id have equal places: of equal texts under one id none is earlier, and
-    none is removed for the other. An empty table gives an empty result. Other columns are left out; the id keeps its name.
+    of their text. Rows of equal id with different texts are documents of their own, in order of a hash of their text; of equal
+    texts under one id none is earlier, and none is removed for the other. An empty table gives an empty result. Other columns are left out; the id keeps its name.
     """
-    spans = repeated_spans(docs, key, text).groupBy("place").agg(F.collect_list(F.struct("start", "size")).alias("spans"))
-    rows = _packed_texts(docs, key, text).join(spans, "place", "left").select("id", "packed", "spans")
+    spans = repeated_spans(docs, key, text).groupBy("place", "tie").agg(F.collect_list(F.struct("start", "size")).alias("spans"))
+    rows = _packed_texts(docs, key, text).join(spans, ["place", "tie"], "left").select("id", "packed", "spans")
     return rows.mapInArrow(_cut(with_kept), RESULT).withColumnRenamed("id", key)
