@@ -23,9 +23,15 @@ def n_words(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def order_key(key: str, epoch: Column, seed: int) -> Column:
+def text_tie(text: Column) -> Column:
+    """Sixteen hex digits that order rows of one id."""
+    return F.lpad(F.hex(F.xxhash64(F.coalesce(text, F.lit("")))), 16, "0")
+
+
+def order_key(key: str, tie: Column, epoch: Column, seed: int) -> Column:
+    """Seeded order of the rows of an epoch; only rows of one id and one text are equal in it."""
     ident = F.coalesce(F.col(key).cast("string"), F.lit("null"))
-    return F.md5(F.concat_ws(":", F.lit(str(seed)), epoch.cast("string"), ident))
+    return F.concat(F.md5(F.concat_ws(":", F.lit(str(seed)), epoch.cast("string"), ident)), tie)
 
 
 def _weight(column: Column, weights: dict[str, int]) -> Column:
@@ -94,10 +100,13 @@ def plan(
     key: str = "doc_id",
     text: str = "text",
 ) -> DataFrame:
-    """What each leaf gives: the levels, ``whole`` epochs and ``cut``, the last key of the epoch after."""
+    """What each leaf gives: the levels, ``whole`` epochs, and of the epoch after them the rows before ``stop`` in order.
+
+    Rows that are equal in the order meet in ``stop`` as well; ``copies`` of them fit.
+    """
     names = list(levels)
     narrow = stored(
-        docs.select(key, *[F.coalesce(c.cast("string"), F.lit("")).alias(n) for n, c in levels.items()], n_words(F.col(text)).alias("tokens")),
+        docs.select(key, *[F.coalesce(c.cast("string"), F.lit("")).alias(n) for n, c in levels.items()], n_words(F.col(text)).alias("tokens"), text_tie(F.col(text)).alias("tie")),
         "mixing-tokens",
     )
     leaves = stored(narrow.groupBy(*names).agg(F.sum("tokens").alias("supply")), "mixing-leaves")
@@ -107,19 +116,34 @@ def plan(
     leaves = leaves.select(*names, whole.alias("whole"), (F.col("share") - whole * F.col("supply")).alias("quota"))
     leaves = stored(leaves, "mixing-shares")
     # Sums of groups of keys first; only the group that holds the end of the prefix is looked into.
-    keyed = narrow.join(leaves.where("quota > 0"), names).withColumn("order", order_key(key, F.col("whole"), seed))
+    keyed = narrow.join(leaves.where("quota > 0"), names).withColumn("order", order_key(key, F.col("tie"), F.col("whole"), seed))
     keyed = keyed.withColumn("part", F.substring("order", 1, GROUP_DIGITS))
     sums = keyed.groupBy(*names, "part").agg(F.sum("tokens").alias("tokens"), F.first("quota").alias("quota"))
     run = Window.partitionBy(*names).orderBy("part").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     sums = sums.withColumn("upto", F.sum("tokens").over(run)).where("upto > quota")
     ends = sums.groupBy(*names).agg(F.min("part").alias("part"), F.min_by(F.col("upto") - F.col("tokens"), "part").alias("before"))
-    edge = keyed.join(ends, [*names, "part"])
-    run = Window.partitionBy(*names).orderBy("order").rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    edge = edge.withColumn("upto", F.col("before") + F.sum("tokens").over(run)).where("upto <= quota")
-    last = edge.groupBy(*names).agg(F.max("order").alias("last"))
-    # No document of the last group may fit; then the prefix ends before that group.
-    ends = ends.join(last, names, "left").select(*names, F.coalesce("last", "part").alias("cut"))
-    return stored(leaves.join(ends, names, "left"), "mixing-plan")
+    # Equal rows are one before they are put in order.
+    edge = keyed.join(ends, [*names, "part"]).groupBy(*names, "order").agg(
+        F.first("before").alias("before"), F.first("quota").alias("quota"), F.first("tokens").alias("each"), F.sum("tokens").alias("tokens")
+    )
+    run = Window.partitionBy(*names).orderBy("order").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    edge = edge.withColumn("upto", F.col("before") + F.sum("tokens").over(run)).where("upto > quota")
+    fitting = F.expr("(quota - (upto - tokens)) div each").alias("copies")
+    stops = edge.groupBy(*names).agg(F.min_by(F.struct("order", fitting), "order").alias("stop"))
+    stops = stops.select(*names, F.col("stop.order").alias("stop"), F.col("stop.copies").alias("copies"))
+    return stored(leaves.join(stops, names, "left"), "mixing-plan")
+
+
+def _first_copies(rows: DataFrame, leaf: list[str], copies: str) -> DataFrame:
+    """Of the rows of each leaf as many as ``copies`` says, counted by the parts in which they are stored."""
+    rows = stored(rows.withColumn("stored row", F.monotonically_increasing_id()), "mixing-copies")
+    rows = rows.withColumn("stored part", F.shiftright("stored row", 33))
+    sums = rows.groupBy(*leaf, "stored part").agg(F.count("*").alias("stored rows"))
+    run = Window.partitionBy(*leaf).orderBy("stored part").rowsBetween(Window.unboundedPreceding, -1)
+    sums = sums.withColumn("rows ahead", F.coalesce(F.sum("stored rows").over(run), F.lit(0)))
+    within = Window.partitionBy(*leaf, "stored part").orderBy("stored row")
+    rows = rows.join(sums, [*leaf, "stored part"]).withColumn("place in part", F.row_number().over(within))
+    return rows.where(F.col("rows ahead") + F.col("place in part") <= F.col(copies))
 
 
 def mixed(
@@ -138,24 +162,30 @@ def mixed(
     ``levels`` names the levels of the tree, top first, with the value of a row at each; ``weights``
     gives the integer weight of values by level, 1 where none is given. The budget is ``share`` of all
     tokens, which are words. At most ``epochs`` epochs are drawn of a leaf. The prefix of an epoch is the
-    longest whose tokens fit, in order of a seeded hash of epoch and id.
+    longest whose tokens fit, in order of a seeded hash of epoch and id, then of a hash of the text.
 
-    NULL levels count as empty ones; NULL texts have no tokens. Rows of equal id are taken or left
-    together, also those without id. An empty table gives an empty result. A column called ``epoch``
+    NULL levels count as empty ones; NULL texts have no tokens. Rows without id are in the order as if they had one
+    in common; of rows equal in id and text, as many are taken as fit. An empty table gives an empty result. A column called ``epoch``
     is replaced. The plan has a row for each leaf, of which there are as many as the tree has.
     """
     columns = [c for c in (docs.columns if columns is None else columns) if c != "epoch"]
     names = list(levels)
     leaves = plan(docs, levels, weights, share, epochs, seed, key, text)
-    leaves = leaves.select(*[F.col(n).alias(f"leaf {n}") for n in [*names, "whole", "quota", "cut"]])
+    leaves = leaves.select(*[F.col(n).alias(f"leaf {n}") for n in [*names, "whole", "quota", "stop", "copies"]])
     own = [F.coalesce(c.cast("string"), F.lit("")).alias(f"own {n}") for n, c in levels.items()]
-    rows = docs.select(*[F.col(f"`{c}`") for c in columns], F.col(key).alias("own key"), *own)
+    rows = docs.select(*[F.col(f"`{c}`") for c in columns], F.col(key).alias("own key"), text_tie(F.col(text)).alias("own tie"), *own)
     rows = rows.join(leaves, [F.col(f"own {n}") == F.col(f"leaf {n}") for n in names])
     rows = rows.withColumn("drawn epoch", F.explode(F.sequence(F.lit(0), F.col("leaf whole"))))
-    order = order_key("own key", F.col("drawn epoch"), seed)
-    fits = (F.col("leaf quota") > 0) & (F.col("leaf cut").isNull() | (order <= F.col("leaf cut")))
-    rows = rows.where((F.col("drawn epoch") < F.col("leaf whole")) | fits)
-    return rows.select(*[F.col(f"`{c}`") for c in columns], F.col("drawn epoch").alias("epoch"))
+    rows = rows.withColumn("own order", order_key("own key", F.col("own tie"), F.col("drawn epoch"), seed))
+    partial = (F.col("drawn epoch") == F.col("leaf whole")) & (F.col("leaf quota") > 0)
+    fits = F.col("leaf stop").isNull() | (F.col("own order") < F.col("leaf stop"))
+    shown = [*[F.col(f"`{c}`") for c in columns], F.col("drawn epoch").alias("epoch")]
+    drawn = rows.where((F.col("drawn epoch") < F.col("leaf whole")) | (partial & fits)).select(*shown)
+    if leaves.where(F.col("leaf copies") > 0).isEmpty():
+        return drawn
+    some = rows.where(partial & (F.col("own order") == F.col("leaf stop")) & (F.col("leaf copies") > 0))
+    some = _first_copies(some, [f"leaf {n}" for n in names], "leaf copies")
+    return drawn.unionByName(some.select(*shown))
 
 
 DOMAINS = {"src0": "crawl", **{f"src{i}": "web" for i in range(1, 10)}}

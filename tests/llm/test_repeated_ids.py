@@ -46,3 +46,35 @@ def test_repeated_strings_of_rows_with_one_id(spark, some):
     ]
     got = [tuple(x)[:5] for x in deduplicated(df.repartition(3)).collect()]
     assert sorted(got, key=repr) == sorted(expected, key=repr)
+
+
+def drawn(spark, rows, share=0.6, epochs=1):
+    """(rows drawn, tokens of all, tokens of the rows drawn, largest row) with one leaf."""
+    from skyfare.llm.mixing import mixed
+
+    df = spark.createDataFrame(rows, "doc_id long, text string, epoch string").repartition(3)
+    out = [tuple(r) for r in mixed(df, {"a": F.lit("x"), "b": F.lit("y")}, {}, share, epochs).collect()]
+    words = [len(brute.WORD.findall(t or "")) for _, t, _ in rows]
+    return out, sum(words), sum(len(brute.WORD.findall(r[1] or "")) for r in out), max(words)
+
+
+@pytest.mark.parametrize("share", [0.0, 0.3, 0.6, 1.0])
+@pytest.mark.parametrize("kind", ["no ids", "one id", "equal rows", "mixed"])
+def test_budgets_are_met_without_ids(spark, kind, share):
+    r = random.Random(len(kind))
+    if kind == "equal rows":
+        rows = [(None, "a b c", "e")] * 100
+    else:
+        rows = [({"no ids": None, "one id": 7, "mixed": r.choice([None, 7, i])}[kind], prose(r, r.randint(0, 30)), "e") for i in range(100)]
+        rows += rows[:20] + [(None, None, "e"), (None, "", "e")]
+    out, total, got, largest = drawn(spark, rows, share)
+    budget = int(total * share)
+    assert budget - largest < got <= budget
+    assert all(out.count(x) <= rows.count((*x[:2], "e")) for x in set(out))
+
+
+def test_epochs_without_ids(spark):
+    rows = [(None, f"w{i % 10} x", "e") for i in range(50)]
+    out, total, got, largest = drawn(spark, rows, 2.5, 3)
+    assert int(total * 2.5) - largest < got <= int(total * 2.5)
+    assert sum(e == 0 for *_, e in out) == sum(e == 1 for *_, e in out) == 50
