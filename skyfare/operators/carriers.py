@@ -30,15 +30,15 @@ def first_route(cells: DataFrame, *order) -> DataFrame:
     )
 
 
-def carrier_routes(df: DataFrame, legs: list[int]) -> DataFrame:
-    """Highest fare per airline combination and route, for some leg counts."""
+def carrier_routes(df: DataFrame, legs: list[int], *by: str) -> DataFrame:
+    """Highest fare per airline combination and route (and further columns), for some leg counts."""
     if "num_legs" in df.columns:
         keep = F.col("num_legs").isin(list(legs))  # reaches the scan of a stored table
     else:
         keep = reduce(Column.__or__, [LEG_TESTS[n]() for n in legs])
     return (
         df.where(keep & F.col("base_fare").isNotNull())
-        .groupBy(_airline(), "starting_airport", "destination_airport")
+        .groupBy(_airline(), "starting_airport", "destination_airport", *by)
         .agg(F.max("base_fare").alias("base_fare"))
     )
 

@@ -4,22 +4,35 @@ A full build reads the itinerary table twice, each time into a small stored roll
 from which all ten tables follow:
 
 - ``route_days``: counts, sums and extremes per (start, destination, day)
-- ``carrier_routes``: highest fare per (airline combination, start, destination)
+- ``carrier_routes``: highest fare per (airline combination, start, destination, month)
 
 Sums of decimals are exact, so a table made from a rollup equals the one made from
 the rows. Rollups are written tables, not cached blocks: a lost executor costs a
 re-read, never a rebuild.
+
+Both rollups are kept by month, so ``update`` reads the itineraries of changed months only. A build or an
+update writes a folder of its own and becomes current at its end, in one step (``sources.versions``).
 """
 
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyfare.functions.expr import exact_avg, fare_text, in_season, leg_count, ratio
 from skyfare.operators.carriers import carrier_routes, dearest
 from skyfare.operators.fares import rows_at
-from skyfare.operators.inserts import append_unseen
+from skyfare.operators.inserts import insert_ignore
+from skyfare.sources import versions
+
+#: Month of flights without a date.
+NO_MONTH = 0
+
+
+def flight_month() -> Column:
+    """A number like 202206."""
+    return F.coalesce(F.year("flight_date") * 100 + F.month("flight_date"), F.lit(NO_MONTH)).alias("flight_month")
 
 
 def route_days(df: DataFrame) -> DataFrame:
@@ -99,8 +112,29 @@ def result_tables(
     }
 
 
-def mart_path(root: str, name: str) -> str:
-    return f"{root}/marts/{name}"
+def mart_path(folder: str, name: str) -> str:
+    return f"{folder}/marts/{name}"
+
+
+def _rollups(df: DataFrame) -> dict[str, DataFrame]:
+    months = df.withColumn("flight_month", flight_month())
+    carriers = carrier_routes(months, [1, 2, 3], "flight_month")
+    return {"route_days": route_days(df).withColumn("flight_month", flight_month()), "carrier_routes": carriers}
+
+
+def _published(
+    spark: SparkSession, root: str, rollups: dict[str, DataFrame], year: int, months: list[int], route: tuple[str, str], ignore_known: bool
+) -> dict[str, DataFrame]:
+    """Writes rollups and the tables made of them, and makes them current."""
+    before, folder = versions.current(spark, root), versions.new_folder(root)
+    _together(lambda name: rollups[name].write.partitionBy("flight_month").parquet(f"{folder}/rollups/{name}"), rollups)
+    days, carriers = (spark.read.schema(rollups[n].schema).parquet(f"{folder}/rollups/{n}") for n in ("route_days", "carrier_routes"))
+    tables = result_tables(days, carriers, year, months, route)
+    if ignore_known and before:
+        tables = {n: insert_ignore(t, spark.read.schema(t.schema).parquet(mart_path(before, n))) for n, t in tables.items()}
+    _together(lambda name: tables[name].write.parquet(mart_path(folder, name)), tables)
+    versions.publish(spark, root, folder)
+    return read(spark, root, tables)
 
 
 def build(
@@ -115,25 +149,41 @@ def build(
     """Write rollups and result tables under ``root`` and return the stored tables.
 
     By default each table is replaced, so a run on other data leaves no stale rows.
-    ``ignore_known`` appends only unseen rows to tables that exist already.
+    ``ignore_known`` keeps the rows of tables that exist already and adds unseen ones. Readers see the tables of the
+    last build until all of this one's are written, and go on to if it fails.
     """
-    rollups = {"route_days": route_days(df), "carrier_routes": carrier_routes(df, [1, 2, 3])}
+    return _published(spark, root, _rollups(df), year, months, route, ignore_known)
 
-    def store_rollup(name: str) -> None:
-        rollups[name].write.mode("overwrite").parquet(f"{root}/rollups/{name}")
 
-    _together(store_rollup, rollups)
-    days, carriers = (spark.read.parquet(f"{root}/rollups/{name}") for name in rollups)
-    tables = result_tables(days, carriers, year, months, route)
-
-    def store(name: str) -> None:
-        if ignore_known:
-            append_unseen(spark, tables[name], mart_path(root, name))
-        else:
-            tables[name].write.mode("overwrite").parquet(mart_path(root, name))
+def update(
+    spark: SparkSession,
+    df: DataFrame,
+    root: str,
+    changed: list[int],
+    year: int,
+    months: list[int],
+    route: tuple[str, str],
+) -> dict[str, DataFrame]:
+    """The tables of a full build after the itineraries of some months (like 202206; NO_MONTH without a date) have changed.
 
-    _together(store, tables)
-    return read(spark, root, tables)
+    Only itineraries of ``changed`` months are read from ``df``; on the lake, that is their partitions. Other
+    months come from the rollups of the current build.
+    """
+    folder = versions.current(spark, root)
+    if folder is None:
+        raise ValueError(f"nothing is built in {root}")
+    dated = [m for m in changed if m != NO_MONTH]
+    if "flight_month" in df.columns:
+        keep = F.col("flight_month").isin(dated)
+        keep = keep | F.col("flight_month").isNull() if NO_MONTH in changed else keep
+    else:
+        keep = flight_month().isin(list(changed))
+    fresh = _rollups(df.where(keep).drop("flight_month"))
+    merged = {}
+    for name, rows in fresh.items():
+        known = spark.read.schema(rows.schema).parquet(f"{folder}/rollups/{name}")
+        merged[name] = known.where(~F.col("flight_month").isin(list(changed))).unionByName(rows)
+    return _published(spark, root, merged, year, months, route, False)
 
 
 def _together(store, names) -> None:
@@ -142,8 +192,33 @@ def _together(store, names) -> None:
         list(pool.map(store, names))
 
 
+def _current(spark: SparkSession, root: str) -> str:
+    folder = versions.current(spark, root)
+    if folder is None:
+        raise ValueError(f"nothing is built in {root}")
+    return folder
+
+
 def read(spark: SparkSession, root: str, names) -> dict[str, DataFrame]:
-    return {name: spark.read.parquet(mart_path(root, name)) for name in names}
+    """Tables of the current build."""
+    folder = _current(spark, root)
+    return {name: spark.read.parquet(mart_path(folder, name)) for name in names}
+
+
+def read_rollup(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """``route_days`` or ``carrier_routes`` of the current build."""
+    return spark.read.parquet(f"{_current(spark, root)}/rollups/{name}")
+
+
+def melted(tables: dict[str, DataFrame]) -> DataFrame:
+    """All numbers of some tables: table_name, row_key (the row's texts), column_name, value."""
+    parts = []
+    for name, df in tables.items():
+        keys = [F.coalesce(F.col(c), F.lit("")) for c, t in df.dtypes if t == "string" and not c.endswith("_text")]
+        numbers = [F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("value")) for c, t in df.dtypes if t != "string"]
+        rows = df.select(F.lit(name).alias("table_name"), F.concat_ws("|", *keys).alias("row_key"), F.explode(F.array(*numbers)).alias("n"))
+        parts.append(rows.select("table_name", "row_key", "n.*"))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def differences(expected: DataFrame, stored: DataFrame) -> DataFrame:

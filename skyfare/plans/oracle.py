@@ -556,3 +556,24 @@ WHERE destination_airport = '{DEST}'""",
 WHERE p_size % 2 = 0""",
     "tokenize_text": "SELECT doc_id, unnest(string_split(text, ' ')) AS word FROM documents",
 }
+
+# The ten result tables: the query that each is, its texts and its numbers.
+_RESULTS = {
+    "average_flight_prices": ("avg_fare_season", "starting_airport", ["average_base_fare"]),
+    "route_average": ("route_avg_fare", "''", ["average_base_fare"]),
+    "starting_flights": ("airport_daily_flights_and_cost", "starting_airport", ["average_flights_per_day", "average_cost"]),
+    "max_airport_base_fare": ("dest_max_fare", "destination_airport", ["max_base_fare"]),
+    "min_airport_base_fare": ("dest_min_fare", "destination_airport", ["min_base_fare"]),
+    "min_max_flights": ("dest_fare_stats", "destination_airport", ["min_base_fare", "max_base_fare", "average_base_fare"]),
+    **{
+        f"{n}_leg_flights": (f"top_fare_{n}_leg", "airline_name || '|' || starting_airport || '|' || destination_airport", ["base_fare"])
+        for n in ("one", "two", "three")
+    },
+    "travel_distance": ("avg_distance_by_airport", "starting_airport", ["average_travel_distance"]),
+}
+ORACLE["mart_build"] = " UNION ALL ".join(
+    f"SELECT '{table}' AS table_name, {key} AS row_key, '{c}' AS column_name, CAST({c} AS DOUBLE) AS value FROM ({ORACLE[query]})"
+    for table, (query, key, columns) in _RESULTS.items()
+    for c in columns
+)
+ORACLE["mart_update"] = ORACLE["mart_build"]

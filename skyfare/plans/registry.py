@@ -22,6 +22,7 @@ from skyfare.plans import summary as su
 from skyfare.sources import tables
 from skyfare.sources import itineraries as csv
 from skyfare.sources import quarantine as qu
+from skyfare.sources import versions
 from skyfare.sources.checkpoint import new_folder, stored
 from skyfare.sources.itineraries import chunk_union
 from skyfare.sources.tables import itineraries
@@ -403,7 +404,7 @@ def path_weight(spark, sf):
 
 @query
 def route_fare_lookup(spark, sf):
-    return ro.route_fare_lookup(stored(_top(spark, sf, 2, 3), "top-fares"), START, DEST)
+    return ro.route_fare_lookup(_tops(spark, sf), START, DEST)
 
 
 # --- summaries --------------------------------------------------------------
@@ -412,18 +413,35 @@ def route_fare_lookup(spark, sf):
 SUMMARY_COLUMNS = ["leg_id", *ROUTE, "flight_date", FARE, "total_travel_distance"]
 
 
+#: Folder of the stored build by application and data.
+_BUILT: dict[tuple[str, str], str] = {}
+RUN = {"year": YEAR, "months": SUMMER, "route": (START, DEST)}
+BUILD_COLUMNS = [*SUMMARY_COLUMNS, AIRLINES]
+
+
+def _built(spark, sf):
+    """The stored tables of a build over ``sf``, which the first query that asks for them makes: two passes over the facts."""
+    key = spark.sparkContext.applicationId, sf
+    if key not in _BUILT or versions.current(spark, _BUILT[key]) is None:
+        _BUILT[key] = new_folder(spark, "build")
+        marts.build(spark, itineraries(spark, sf, BUILD_COLUMNS), _BUILT[key], **RUN)
+    return _BUILT[key]
+
+
 def _days(spark, sf):
-    """The stored rollup by route and day: one pass over the facts."""
-    return stored(marts.route_days(itineraries(spark, sf, SUMMARY_COLUMNS)), "route-days")
+    """The stored rollup by route and day."""
+    return marts.read_rollup(spark, _built(spark, sf), "route_days").drop("flight_month")
 
 
 def _tops(spark, sf):
-    """The stored dearest fares of two and three legs: the other pass."""
-    return stored(_top(spark, sf, 2, 3), "top-fares")
+    """The stored dearest fares of two and three legs."""
+    tables = marts.read(spark, _built(spark, sf), ("two_leg_flights", "three_leg_flights"))
+    return tables["two_leg_flights"].unionByName(tables["three_leg_flights"])
 
 
-def _summary(days):
-    results = marts.result_tables(days, None, YEAR, SUMMER, (START, DEST))
+def _summary(spark, sf):
+    names = ("average_flight_prices", "starting_flights", "travel_distance", "min_max_flights")
+    results = marts.read(spark, _built(spark, sf), names)
     departures = su.departures_from_marts(
         results["average_flight_prices"], results["starting_flights"], results["travel_distance"]
     )
@@ -438,10 +456,26 @@ def _requests(days):
     return pairs.union(pairs.select(odd[0], dest)).union(pairs.select(start, odd[1])).toDF(*ROUTE)
 
 
-def _layovers(days, top):
-    """One row per airport, stored, since routes look it up at both ends."""
-    rows = su.airport_layover_difference(_summary(days), ca.layover_mean_fares(top))
-    return stored(rows, "layovers")
+def _layovers(spark, sf):
+    """One row per airport, from stored tables of a row per airport or airline combination."""
+    return su.airport_layover_difference(_summary(spark, sf), ca.layover_mean_fares(_tops(spark, sf)))
+
+
+@query
+def mart_build(spark, sf):
+    """All numbers of the ten result tables, as a build stores them."""
+    root = new_folder(spark, "marts")
+    return marts.melted(marts.build(spark, itineraries(spark, sf, BUILD_COLUMNS), root, **RUN))
+
+
+@query
+def mart_update(spark, sf):
+    """The same, from a build without the flights of one summer and an update with them."""
+    trips, root = itineraries(spark, sf, BUILD_COLUMNS), new_folder(spark, "marts")
+    day = F.col("flight_date")
+    less = trips.where((day < F.lit(SEASON[0])) | (day >= F.lit(SEASON[1])))
+    marts.build(spark, less, root, **RUN)
+    return marts.melted(marts.update(spark, trips, root, [YEAR * 100 + m for m in SUMMER], **RUN))
 
 
 @query
@@ -451,18 +485,18 @@ def airport_summary(spark, sf):
 
 @query
 def airport_summary_from_tables(spark, sf):
-    return _summary(_days(spark, sf))
+    return _summary(spark, sf)
 
 
 @query
 def airport_layover_difference(spark, sf):
-    return _layovers(_days(spark, sf), _tops(spark, sf))
+    return _layovers(spark, sf)
 
 
 @query
 def airport_map_points(spark, sf):
     shown = fi.airports_in(tables.airports(spark, sf), CODES)
-    return su.airport_map_points(_layovers(_days(spark, sf), _tops(spark, sf)), shown)
+    return su.airport_map_points(_layovers(spark, sf), shown)
 
 
 @query
@@ -474,15 +508,13 @@ def route_request_valid(spark, sf):
 
 @query
 def route_layover_difference(spark, sf):
-    days, top = _days(spark, sf), _tops(spark, sf)
-    return su.route_layover_difference(_requests(days), _layovers(days, top), top)
+    requests = _requests(_days(spark, sf))
+    return su.route_layover_difference(requests, _layovers(spark, sf), _tops(spark, sf))
 
 
 @query
 def route_line(spark, sf):
-    days = _days(spark, sf)
-    layovers = _layovers(days, _tops(spark, sf))
-    return su.route_line(_requests(days), layovers, tables.airports(spark, sf))
+    return su.route_line(_requests(_days(spark, sf)), _layovers(spark, sf), tables.airports(spark, sf))
 
 
 # --- writes and warm-ups ----------------------------------------------------

@@ -16,6 +16,8 @@ from urllib.parse import unquote
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from skyfare.sources.files import first_line
+
 #: First lines read at the same time.
 READERS = 16
 
@@ -25,20 +27,6 @@ def csv_files(spark: SparkSession, path: str | list[str]) -> list[str]:
     return sorted(unquote(f) for f in spark.read.text(path).inputFiles())
 
 
-def first_line(spark: SparkSession, file: str) -> str | None:
-    """The first line of a file, plain or compressed; None for an empty one."""
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    path = jvm.org.apache.hadoop.fs.Path(file)
-    stream = path.getFileSystem(conf).open(path)
-    try:
-        codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(path)
-        text = stream if codec is None else codec.createInputStream(stream)
-        line = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(text, "UTF-8")).readLine()
-    finally:
-        stream.close()
-    return line
-
-
 def parsed_header(line: str, renamed: Mapping[str, str] = {}) -> tuple[str, ...]:
     """Column names of a header line. A column without name, such as a stray index, is named by its place."""
     cells = next(csv.reader([line.removeprefix("﻿")]))
