@@ -24,8 +24,12 @@ from skyfare.functions.expr import exact_avg, fare_text, in_season, leg_count, r
 from skyfare.operators.carriers import carrier_routes, dearest
 from skyfare.operators.fares import rows_at
 from skyfare.operators.inserts import insert_ignore
+from skyfare.operators.routes import ROUTE
 from skyfare.sources import versions
+from skyfare.sources.lookup import lookup, write_lookup
 
+#: Folders of the fares by route.
+ROUTE_BUCKETS = 64
 #: Month of flights without a date.
 NO_MONTH = 0
 
@@ -133,6 +137,8 @@ def _published(
     if ignore_known and before:
         tables = {n: insert_ignore(t, spark.read.schema(t.schema).parquet(mart_path(before, n))) for n, t in tables.items()}
     _together(lambda name: tables[name].write.parquet(mart_path(folder, name)), tables)
+    two, three = (spark.read.schema(tables[n].schema).parquet(mart_path(folder, n)) for n in ("two_leg_flights", "three_leg_flights"))
+    write_lookup(two.unionByName(three), f"{folder}/lookups/route_fares", ROUTE, ROUTE_BUCKETS)
     versions.publish(spark, root, folder)
     return read(spark, root, tables)
 
@@ -210,6 +216,12 @@ def read_rollup(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{_current(spark, root)}/rollups/{name}")
 
 
+def route_fares(spark: SparkSession, root: str, start: str | None, dest: str | None) -> DataFrame:
+    """The dearest fares of one pair with one and two layovers, from one folder of the current build."""
+    values = dict(zip(ROUTE, (start, dest)))
+    return lookup(spark, f"{_current(spark, root)}/lookups/route_fares", ROUTE_BUCKETS, **values)
+
+
 def melted(tables: dict[str, DataFrame]) -> DataFrame:
     """All numbers of some tables: table_name, row_key (the row's texts), column_name, value."""
     parts = []

@@ -11,7 +11,7 @@ from skyfare.functions.constants import (
     PREVIEW_ROWS,
     SAMPLE_STEP,
 )
-from skyfare.plans.registry import BUDGET, CHUNK_ROWS, CODES, DEST, PERIOD, ROLLING_MONTHS, START, TOP, YEAR
+from skyfare.plans.registry import BUDGET, CHUNK_ROWS, CODES, DEST, PERIOD, ROLLING_MONTHS, START, SUMMER, TOP, YEAR
 
 LEG_ORDER = "l_linenumber, l_partkey, l_suppkey"
 
@@ -524,6 +524,17 @@ LEFT JOIN airports b ON b.iata = v.destination_airport""",
     "csv_round_trip": with_()
     + f"""SELECT CAST(leg_id AS VARCHAR) AS leg_id, flight_date, starting_airport, {dbl('base_fare')},
   is_nonstop, segments_airline_name, num_legs FROM itineraries""",
+    "mart_insert_by_month": with_(
+        """
+rows AS (SELECT CASE WHEN leg_id % 30 <> 0 THEN flight_date END AS flight_date, starting_airport, destination_airport,
+           CAST(CASE WHEN leg_id % 10 <> 0 THEN base_fare END AS DOUBLE) AS base_fare FROM itineraries)"""
+    )
+    + "SELECT DISTINCT * FROM rows",
+    "rollup_differences": with_()
+    + f"""SELECT flight_date, CASE WHEN month(flight_date) = {SUMMER[0]} THEN starting_airport ELSE 'ZZZ' END AS starting_airport,
+  destination_airport, count(*) AS itineraries, CASE WHEN month(flight_date) = {SUMMER[0]} THEN 'missing' ELSE 'extra' END AS side
+FROM itineraries WHERE year(flight_date) = {YEAR} AND month(flight_date) IN ({SUMMER[0]}, {SUMMER[1]}) AND starting_airport = '{START}'
+GROUP BY ALL""",
     "csv_two_layouts": with_()
     + f"""SELECT CAST(leg_id AS VARCHAR) AS leg_id, CASE WHEN year(flight_date) < {YEAR} THEN flight_date END AS flight_date,
   starting_airport, destination_airport, {dbl('base_fare')}, CASE WHEN year(flight_date) >= {YEAR} THEN is_nonstop END AS is_nonstop

@@ -17,6 +17,7 @@ from skyfare.operators import periods as pe
 from skyfare.operators import routes as ro
 from skyfare.operators import segments as se
 from skyfare.operators import text as tx
+from skyfare.plans import comparison as co
 from skyfare.plans import marts
 from skyfare.plans import summary as su
 from skyfare.sources import tables
@@ -404,7 +405,7 @@ def path_weight(spark, sf):
 
 @query
 def route_fare_lookup(spark, sf):
-    return ro.route_fare_lookup(_tops(spark, sf), START, DEST)
+    return marts.route_fares(spark, _built(spark, sf), START, DEST).select(FARE)
 
 
 # --- summaries --------------------------------------------------------------
@@ -542,6 +543,30 @@ def mart_unseen_rows(spark, sf):
     return ins.unseen_rows(*_insert(spark, sf))
 
 
+@query
+def mart_insert_by_month(spark, sf):
+    """A table kept by month after two appends, the second with rows that are known, copies and NULLs."""
+    trips = itineraries(spark, sf, ["leg_id", "flight_date", *ROUTE, FARE])
+    day = F.when(F.col("leg_id") % 30 != 0, F.col("flight_date"))
+    rows = trips.select(day.alias("flight_date"), *ROUTE, F.when(F.col("leg_id") % 10 != 0, F.col(FARE)).alias(FARE))
+    path = new_folder(spark, "by-month")
+    ins.append_by_month(spark, rows.where(F.col("flight_date") < F.lit(date(1999, 1, 1))), path)
+    late = rows.where(F.coalesce(F.col("flight_date") >= F.lit(date(1997, 1, 1)), F.lit(True)))
+    ins.append_by_month(spark, late.unionAll(late), path)
+    return ins.read_by_month(spark, path)
+
+
+@query
+def rollup_differences(spark, sf):
+    """A stored rollup by month, of which one month lacks a route and another has one too many, against the rollup."""
+    days = stored(_days(spark, sf).withColumn("flight_month", marts.flight_month()), "route-days")
+    june, july = (F.col("flight_month") == YEAR * 100 + m for m in SUMMER[:2])
+    odd = days.where(july & (F.col(ORIGIN) == START)).withColumn(ORIGIN, F.lit("ZZZ"))
+    found = stored(days.where(~(june & (F.col(ORIGIN) == START))).unionByName(odd), "odd-days")
+    out = co.differences_by_part(days, found, ["flight_month"])
+    return out.select("flight_date", *ROUTE, "itineraries", "side")
+
+
 @query
 def csv_round_trip(spark, sf):
     """Itineraries written as CSV with the source's header and read back with their types."""
