@@ -1,20 +1,25 @@
 """Quality rules: fixed rules on word statistics, then robust multivariate outliers.
 
-For each language and source a minimum-covariance-determinant estimate is made from all rows by
-concentration steps: distances under the present centre and scatter, the half of the rows that are
-nearest, their centre and scatter. Every step is two aggregates of partial sums, so a group with
-a third of all rows is reduced where its rows are. A group of any size has its own estimate, blended
-with its language's by the number of rows.
+For each language and source a minimum-covariance-determinant estimate is made from all rows. From
+several starts concentration steps are taken: distances under the present centre and scatter, the half of the rows that
+are nearest, their centre and scatter, as long as the determinant falls; the least of all is the group's. Its
+scatter is made consistent with a normal sample, and blended with that of the group's language by the number of rows.
+
+Every step is two aggregates of partial sums: counts of distances by narrow classes, which tell where half of
+the rows are reached, and moments of the rows up to there. So a group with a third of all rows is reduced where its
+rows are, and results do not depend on how rows are dealt out.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skyfare.llm.store import stored
@@ -24,8 +29,10 @@ COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_lines", "n_rep
 #: Spread below which a statistic is not told apart from its centre, one for each entry of ``vector``.
 LEAST_SPREAD = (0.05, 0.04, 0.2, 0.12, 0.05, 0.05)
 DIMENSIONS = len(LEAST_SPREAD)
-#: Median of a chi-square variable with DIMENSIONS degrees of freedom.
-CHI2_MEDIAN = 5.348
+#: Classes of distances in a doubling; classes of a statistic in its least spread.
+CLASSES, FINE = 32, 8
+#: Share of a normal sample that is rejected. Statistics of clean texts have longer tails.
+TAIL = 1e-7
 PAIRS = [(i, j) for i in range(DIMENSIONS) for j in range(i, DIMENSIONS)]
 
 _SYMBOL = np.zeros(256, bool)
@@ -120,34 +127,78 @@ def _distance(at: Column, centre: Column, precision: Column) -> Column:
     return sum(terms[1:], terms[0])
 
 
-def _blended(parent_rows: int, scaled: bool):
-    """Estimates of groups, each blended with those of the groups around it.
+def chi2_share(x: float, degrees: int) -> float:
+    """Share of a chi-square variable up to ``x``; ``degrees`` is even."""
+    terms = [1.0]
+    for i in range(1, degrees // 2):
+        terms.append(terms[-1] * x / 2 / i)
+    return 1.0 - math.exp(-x / 2) * sum(terms)
 
-    A row has the group and, in ``chain``, the own estimates of the group and of all around it, by depth.
-    An estimate counts as often as its group has rows, the blend around it as ``parent_rows`` rows;
-    centre and scatter are those of both together, and scales are averaged.
+
+def chi2_quantile(tail: float, degrees: int) -> float:
+    """Where all but ``tail`` of a chi-square variable is below."""
+    low, high = 0.0, 1e4
+    for _ in range(100):
+        middle = (low + high) / 2
+        low, high = (middle, high) if 1.0 - chi2_share(middle, degrees) > tail else (low, middle)
+    return low
+
+
+def consistency(share: float) -> float:
+    """By how much the scatter of the nearest ``share`` of a normal sample is too small."""
+    if share >= 1.0:
+        return 1.0
+    return share / chi2_share(chi2_quantile(1.0 - share, DIMENSIONS), DIMENSIONS + 2)
+
+
+_FLOOR = np.diag(np.square(LEAST_SPREAD))
+
+
+def _square(values) -> np.ndarray:
+    out = np.zeros((DIMENSIONS, DIMENSIONS))
+    for (i, j), v in zip(PAIRS, values):
+        out[i, j] = out[j, i] = v
+    return out
+
+
+STATE = "g string, start int, n long, m long, centre array<double>, scatter array<double>, precision array<double>, determinant double"
+
+
+def _estimated(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Estimates from scatters (g, start, n, m, centre, scatter); LEAST_SPREAD is added before they are inverted."""
+    for groups in batches:
+        rows = []
+        for r in groups.itertuples(index=False):
+            scatter = _square(r.scatter) + _FLOOR
+            inverse = np.linalg.inv(scatter)
+            rows.append((r.g, r.start, r.n, r.m, r.centre, r.scatter, [inverse[p] for p in PAIRS], np.linalg.det(scatter)))
+        yield pd.DataFrame(rows, columns=[c.split(" ")[0] for c in STATE.split(", ")])
+
+
+def _blended(parent_rows: int):
+    """Models of groups (g1, g2), each blended with those around it, once.
+
+    ``chain`` has the estimates of the group and of all around it, by depth. An estimate counts as often as its group
+    has rows, the blend around it as ``parent_rows`` rows; centre and scatter are those of both together.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for groups in batches:
             rows = []
             for r in groups.itertuples(index=False):
-                centre = scatter = scale = None
+                centre = scatter = None
                 for own in sorted(r.chain, key=lambda e: -e["depth"]):
-                    at, spread = np.array(own["centre"]), np.zeros((DIMENSIONS, DIMENSIONS))
-                    for (i, j), v in zip(PAIRS, own["scatter"]):
-                        spread[i, j] = spread[j, i] = v
+                    at, spread = np.array(own["centre"]), consistency(own["m"] / own["n"]) * _square(own["scatter"]) + _FLOOR
                     if centre is None:
-                        centre, scatter, scale = at, spread, own["scale"]
+                        centre, scatter = at, spread
                         continue
                     share = own["n"] / (own["n"] + parent_rows)
                     apart = at - centre
                     scatter = share * spread + (1 - share) * scatter + share * (1 - share) * np.outer(apart, apart)
                     centre = centre + share * apart
-                    scale = share * own["scale"] + (1 - share) * scale
                 inverse = np.linalg.inv(scatter)
-                rows.append((r.g1, r.g2, centre.tolist(), [inverse[p] for p in PAIRS], *([scale] if scaled else [])))
-            yield pd.DataFrame(rows, columns=[*GROUP, "centre", "precision", *(["scale"] if scaled else [])])
+                rows.append((r.g1, r.g2, centre.tolist(), [inverse[p] for p in PAIRS]))
+            yield pd.DataFrame(rows, columns=[*GROUP, "centre", "precision"])
 
     return run
 
@@ -156,73 +207,104 @@ GROUP = ["g1", "g2"]
 MODEL = "g1 string, g2 string, centre array<double>, precision array<double>"
 
 
-def fit(rows: DataFrame, steps: int = 3, parent_rows: int = 100) -> DataFrame:
-    """Centre, inverse scatter and scale for each group of ``rows`` (g1, g2, at).
+def _levels() -> Column:
+    """The group of a row and those around it, by depth, each named by one text."""
+    own = F.concat(F.lit("2:"), F.length("g1").cast("string"), F.lit(":"), F.col("g1"), F.col("g2"))
+    named = (own, F.concat(F.lit("1:"), F.col("g1")), F.lit("0"))
+    return F.array(*[F.struct(F.lit(i).alias("depth"), g.alias("g")) for i, g in enumerate(named)])
 
-    Returns g1, g2, centre, precision, scale: a row for each g1 and g2, whatever its size. Each group
-    is estimated from its own rows in every step, and blended with its g1, which counts as
-    ``parent_rows`` rows; so is each g1 with the whole table. ``scale`` is the median squared distance
-    over that of a normal sample, so that distances compare between groups.
-    """
-    nothing = F.lit(None).cast("string")
-    levels = [(F.col("g1"), F.col("g2")), (F.col("g1"), nothing), (nothing, nothing)]
-    levels = F.array(*[F.struct(F.lit(i).alias("depth"), a.alias("g1"), b.alias("g2")) for i, (a, b) in enumerate(levels)])
-    rows = stored(rows.select("g1", "g2", "at"), "quality-vectors")
-    wide = rows.select(F.explode(levels).alias("g"), "at").select("g.g1", "g.g2", "at")
-    quarters = [F.percentile_approx(F.col("at")[i], F.array(*map(F.lit, (0.25, 0.5, 0.75)))) for i in range(DIMENSIONS)]
-    groups = stored(wide.groupBy(*GROUP).agg(F.count("*").alias("n"), F.array(*quarters).alias("q")), "quality-groups")
-    around = groups.select(F.struct(*GROUP).alias("own"), F.explode(levels).alias("g"))
-    around = around.groupBy("own", "g.g1", "g.g2").agg(F.max("g.depth").alias("depth"))
-
-    def blended(estimates: DataFrame, scaled: bool = False) -> DataFrame:
-        """The model of all groups from their own estimates (g1, g2, n, centre, scatter, scale)."""
-        chain = F.collect_list(F.struct("depth", "n", "centre", "scatter", "scale")).alias("chain")
-        chains = _same_group(around, estimates).groupBy("own").agg(chain).select("own.*", "chain")
-        return stored(chains.mapInPandas(_blended(parent_rows, scaled), MODEL + (", scale double" if scaled else "")), "quality-model")
-
-    spread = [F.greatest((F.col("q")[i][2] - F.col("q")[i][0]) / 1.349, F.lit(LEAST_SPREAD[i])) for i in range(DIMENSIONS)]
-    own = groups.select(
-        *GROUP,
-        "n",
-        F.array(*[F.col("q")[i][1] for i in range(DIMENSIONS)]).alias("centre"),
-        F.array(*[spread[i] * spread[i] if i == j else F.lit(0.0) for i, j in PAIRS]).alias("scatter"),
-        F.lit(1.0).alias("scale"),
-    )
-    model = blended(own)
-    for _ in range(steps):
-        far = measured(wide, model)
-        nearest = far.groupBy(*GROUP).agg(F.percentile_approx("far", 0.5, 10_000).alias("most"), F.count("*").alias("n"))
-        inner = _same_group(far, nearest).where("far <= most")
-        means = inner.groupBy(*GROUP).agg(
-            F.first("n").alias("n"),
-            F.array(*[F.avg(F.col("at")[i]) for i in range(DIMENSIONS)]).alias("centre"),
-            F.array(*[F.avg(F.col("at")[i] * F.col("at")[j]) for i, j in PAIRS]).alias("twos"),
-        )
-        scatter = [
-            F.col("twos")[k] - F.col("centre")[i] * F.col("centre")[j] + F.lit(LEAST_SPREAD[i] ** 2 if i == j else 0.0)
-            for k, (i, j) in enumerate(PAIRS)
-        ]
-        own = stored(means.select(*GROUP, "n", "centre", F.array(*scatter).alias("scatter"), F.lit(1.0).alias("scale")), "quality-own")
-        model = blended(own)
-    scale = measured(wide, model).groupBy(*GROUP).agg(
-        F.greatest(F.percentile_approx("far", 0.5, 10_000) / CHI2_MEDIAN, F.lit(1.0)).alias("scale")
-    )
-    return blended(_same_group(own.drop("scale"), scale), scaled=True).where(F.col("g2").isNotNull())
 
+def _moments(at: Column) -> list[Column]:
+    """Centre and scatter of vectors, as aggregates."""
+    means = F.array(*[F.avg(at[i]) for i in range(DIMENSIONS)])
+    return [means.alias("centre"), F.array(*[F.avg(at[i] * at[j]) for i, j in PAIRS]).alias("twos")]
 
-def _same_group(left: DataFrame, right: DataFrame) -> DataFrame:
-    right = right.withColumnsRenamed({"g1": "r1", "g2": "r2"})
-    return left.join(right, left.g1.eqNullSafe(right.r1) & left.g2.eqNullSafe(right.r2)).drop("r1", "r2")
 
+def _scatter() -> Column:
+    """Of ``twos`` and ``centre``."""
+    return F.array(*[F.col("twos")[k] - F.col("centre")[i] * F.col("centre")[j] for k, (i, j) in enumerate(PAIRS)]).alias("scatter")
 
-def measured(rows: DataFrame, model: DataFrame) -> DataFrame:
-    """Squared distances of rows (g1, g2, at) under the model of their group."""
-    return _same_group(rows, model).withColumn("far", _distance(F.col("at"), F.col("centre"), F.col("precision")))
 
-
-def _group(docs: DataFrame, by: tuple[str, str]) -> list[Column]:
-    # A NULL language or source is a group of its own; NULL in the model stands for "all".
-    return [F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("")).alias(g) for c, g in zip(by, GROUP)]
+def _starts(wide: DataFrame) -> DataFrame:
+    """(g, start, n, m, centre, scatter): moments of all rows; medians with quartiles; medians with directions from them."""
+    moments = wide.groupBy("g").agg(F.count("*").alias("n"), *_moments(F.col("at")))
+    moments = stored(moments.select("g", "n", "centre", _scatter()), "quality-moments")
+    # Quartiles come from counts of narrow classes of each statistic.
+    widths = [x / FINE for x in LEAST_SPREAD]
+    classes = F.array(*[F.floor(F.col("at")[i] / widths[i]) for i in range(DIMENSIONS)])
+    counts = wide.select("g", F.posexplode(classes).alias("i", "class")).groupBy("g", "i", "class").count()
+    by = Window.partitionBy("g", "i")
+    counts = counts.withColumn("upto", F.sum("count").over(by.orderBy("class"))).withColumn("n", F.sum("count").over(by))
+    width = F.get(F.array(*map(F.lit, widths)), F.col("i"))
+    quarters = counts.groupBy("g", "i").agg(
+        *[((F.min(F.when(4 * F.col("upto") >= q * F.col("n"), F.col("class"))) + 0.5) * F.first(width)).alias(f"q{q}") for q in (1, 2, 3)]
+    )
+    spread = F.greatest((F.col("q3") - F.col("q1")) / 1.349, F.get(F.array(*map(F.lit, LEAST_SPREAD)), F.col("i")))
+    quarters = quarters.groupBy("g").agg(F.array_sort(F.collect_list(F.struct("i", F.col("q2").alias("middle"), spread.alias("spread")))).alias("q"))
+    quarters = quarters.select("g", F.transform("q", lambda x: x["middle"]).alias("centre"), F.transform("q", lambda x: x["spread"]).alias("spread"))
+    quarters = stored(quarters.join(moments.select("g", "n"), "g"), "quality-quarters")
+    plain = F.array(*[F.col("spread")[i] * F.col("spread")[i] if i == j else F.lit(0.0) for i, j in PAIRS])
+    away = [(F.col("at")[i] - F.col("centre")[i]) / F.col("spread")[i] for i in range(DIMENSIONS)]
+    square = sum([a * a for a in away[1:]], away[0] * away[0])
+    signs = wide.join(quarters, "g").select("g", "n", "centre", "spread", F.array(*away).alias("away"), square.alias("square"))
+    ones = [F.avg(F.col("away")[i] * F.col("away")[j] / F.greatest("square", F.lit(1e-12))) for i, j in PAIRS]
+    signs = signs.groupBy("g").agg(F.first("n").alias("n"), F.first("centre").alias("centre"), F.first("spread").alias("spread"), F.array(*ones).alias("ones"))
+    turned = F.array(*[DIMENSIONS * F.col("ones")[k] * F.col("spread")[i] * F.col("spread")[j] for k, (i, j) in enumerate(PAIRS)])
+    named = [(moments, F.col("scatter")), (quarters, plain), (signs, turned)]
+    starts = [
+        df.select("g", F.lit(i).alias("start"), "n", F.col("n").alias("m"), "centre", scatter.alias("scatter")) for i, (df, scatter) in enumerate(named)
+    ]
+    return starts[0].unionByName(starts[1]).unionByName(starts[2])
+
+
+def _concentrated(wide: DataFrame, state: DataFrame) -> DataFrame:
+    """One step: centre and scatter of the half of a group's rows that is nearest by each state, whole classes of distance."""
+    models = state.select("g", "start", "n", "centre", "precision")
+    far = wide.join(models, "g").withColumn("far", _distance(F.col("at"), F.col("centre"), F.col("precision")))
+    far = far.select("g", "start", "n", "at", F.floor(CLASSES * F.log2(F.col("far") + 1e-9)).alias("class"))
+    counts = far.groupBy("g", "start", "class").agg(F.count("*").alias("rows"), F.first("n").alias("n"))
+    upto = F.sum("rows").over(Window.partitionBy("g", "start").orderBy("class"))
+    edges = counts.withColumn("upto", upto).groupBy("g", "start").agg(F.min(F.when(2 * F.col("upto") >= F.col("n"), F.col("class"))).alias("edge"))
+    inner = far.join(edges, ["g", "start"]).where(F.col("class") <= F.col("edge"))
+    moments = inner.groupBy("g", "start").agg(F.first("n").alias("n"), F.count("*").alias("m"), *_moments(F.col("at")))
+    return moments.select("g", "start", "n", "m", "centre", _scatter()).mapInPandas(_estimated, STATE)
+
+
+def fit(rows: DataFrame, parent_rows: int = 100, most_steps: int = 30) -> DataFrame:
+    """Centre and inverse scatter for each group of ``rows`` (g1, g2, at).
+
+    Returns g1, g2, centre, precision: a row for each g1 and g2, whatever its size. Each group, each g1 and the whole
+    table have an estimate from all their rows: of three starts, steps are taken from each until its determinant does not fall
+    any more (``most_steps`` at most), and the least determinant is kept. LEAST_SPREAD, added to each scatter, makes that of
+    a few rows invertible and keeps the rule that a step does not raise the determinant. At the end a group is
+    blended with its g1, which counts as ``parent_rows`` rows, as is g1 with the whole table.
+    """
+    rows = stored(rows.select("g1", "g2", "at"), "quality-vectors")
+    wide = rows.select(F.explode(_levels()).alias("level"), "at").select("level.g", "at")
+    state = stored(_starts(wide).mapInPandas(_estimated, STATE).withColumn("determinant", F.lit(math.inf)), "quality-starts")
+    found = []
+    for _ in range(most_steps):
+        before = state.select("g", "start", F.col("determinant").alias("before"))
+        now = _concentrated(wide, state).join(before, ["g", "start"]).where(F.col("determinant") < F.col("before") * (1 - 1e-9))
+        state = stored(now.drop("before"), "quality-steps")
+        if state.isEmpty():
+            break
+        found.append(state)
+    if not found:
+        return rows.sparkSession.createDataFrame([], MODEL)
+    every = reduce(DataFrame.unionByName, found)
+    best = every.groupBy("g").agg(F.min(F.struct("determinant", "start", "n", "m", "centre", "scatter")).alias("b")).select("g", "b.*")
+    around = rows.select("g1", "g2").distinct().select("g1", "g2", F.explode(_levels()).alias("level")).select("g1", "g2", "level.*")
+    chain = F.collect_list(F.struct("depth", "n", "m", "centre", "scatter")).alias("chain")
+    chains = around.join(best, "g").groupBy("g1", "g2").agg(chain)
+    return stored(chains.mapInPandas(_blended(parent_rows), MODEL), "quality-model")
+
+
+def _free(name: str, columns: list[str]) -> str:
+    """``name``, or a longer one that no column has."""
+    while any(c.lower() == name.lower() for c in columns):
+        name += "_"
+    return name
 
 
 def judged(
@@ -230,7 +312,7 @@ def judged(
     columns: list[str] | None = None,
     by: tuple[str, str] = ("lang", "source"),
     text: str = "text",
-    most: float = 45.0,
+    tail: float = TAIL,
     least_words: int = 50,
     most_repeated: int = 50,
     model: DataFrame | None = None,
@@ -238,8 +320,8 @@ def judged(
     """``columns`` of ``docs`` (all by default) with a struct ``quality``: counts, base_failed, distance, kept.
 
     base_failed: fewer than ``least_words`` words, or over ``most_repeated`` percent of the words in
-    repeated windows of three words. kept: not base_failed, and a squared robust distance of at
-    most ``most`` under the estimate of the row's group (see ``fit``), which come from all rows that
+    repeated windows of three words. kept: not base_failed, and a squared robust distance under the estimate of
+    the row's group (see ``fit``) that all but ``tail`` of a normal sample are below. Estimates come from all rows that
     are not base_failed. Rows of a group without estimate are kept.
 
     NULL and empty texts have no words and fail. A NULL language or source forms a group. Repeated
@@ -247,19 +329,26 @@ def judged(
     replaced.
     """
     columns = [c for c in (docs.columns if columns is None else columns) if c != "quality"]
-    counts, s = "quality counts", F.col("quality counts")
+    counts = _free("quality counts", columns)
+    of = [_free(f"quality {g}", columns) for g in GROUP]
+    # A NULL language or source is a group of its own.
+    group = [F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("")) for c in by]
+    named = [F.col(f"`{c}`") for c in columns]
+    # Texts are counted once; what follows reads the counts.
+    rows = stored(with_counts(docs, [*named, *[g.alias(n) for g, n in zip(group, of)]], text, counts), "quality-counts")
+    s = F.col(f"`{counts}`")
     failed = base_failed(s, least_words, most_repeated)
-    # A NULL language or source is a group of its own; NULL in the steps of fit stands for "all".
-    group = [F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("")).alias(g) for c, g in zip(by, GROUP)]
     if model is None:
-        model = fit(with_counts(docs, group, text, counts).where(~failed).select(*GROUP, F.array(*vector(s)).alias("at")))
-    rows = with_counts(docs, [*columns, *[g.alias(f"quality {n}") for g, n in zip(group, GROUP)]], text, counts)
-    rows = rows.join(model, [rows[f"quality {g}"] == model[g] for g in GROUP], "left")
-    measure = _distance(F.array(*vector(s)), model["centre"], model["precision"]) / model["scale"]
+        passed = rows.where(~failed)
+        model = fit(passed.select(*[F.col(f"`{n}`").alias(g) for n, g in zip(of, GROUP)], F.array(*vector(s)).alias("at")))
+    model = model.select(*[F.col(g).alias(_free(f"model {g}", rows.columns)) for g in GROUP], F.struct("centre", "precision").alias(_free("model", rows.columns)))
+    rows = rows.join(model, [F.col(f"`{n}`") == F.col(f"`{m}`") for n, m in zip(of, model.columns)], "left")
+    fitted = F.col(f"`{model.columns[-1]}`")
+    measure = _distance(F.array(*vector(s)), fitted["centre"], fitted["precision"])
     quality = F.struct(
         *[s[c].alias(c) for c in COUNTS],
         failed.alias("base_failed"),
         measure.alias("distance"),
-        (~failed & F.coalesce(measure <= most, F.lit(True))).alias("kept"),
+        (~failed & F.coalesce(measure <= chi2_quantile(tail, DIMENSIONS), F.lit(True))).alias("kept"),
     )
-    return rows.select(*[rows[f"`{c}`"] for c in columns], quality.alias("quality"))
+    return rows.select(*named, quality.alias("quality"))

@@ -97,46 +97,93 @@ def vector(s):
     return [np.log(chars / words), *np.sqrt([s[2] / chars, s[3] / max(s[4], 1), s[5] / words, s[6] / chars, s[7] / chars])]
 
 
-def quality(docs, floor, steps=3, least_rows=100, most=45.0):
-    """{doc_id: (base_failed, kept)} of (doc_id, text, lang, source)."""
-    stats = {i: statistics(t) for i, t, _, _ in docs}
-    failed = {i: s[0] < 50 or 100 * s[5] > 50 * s[0] for i, s in stats.items()}
-    groups = {}
-    for i, _, lang, source in docs:
-        if not failed[i]:
-            for g in ((lang, source), (lang, None), (None, None)):
-                groups.setdefault(g, []).append(vector(stats[i]))
+def chi2_below(x, degrees, steps=20_000):
+    """Share of a chi-square variable below ``x``, by adding up its density."""
+    if x <= 0:
+        return 0.0
+    edges = np.linspace(0, x, steps + 1)
+    middle = (edges[1:] + edges[:-1]) / 2
+    half = degrees // 2
+    density = middle ** (half - 1) * np.exp(-middle / 2) / (2**half * float(np.prod(np.arange(1, half))))
+    return float(density.sum() * x / steps)
+
+
+def chi2_at(share, degrees):
+    low, high = 0.0, 200.0
+    for _ in range(60):
+        middle = (low + high) / 2
+        low, high = (middle, high) if chi2_below(middle, degrees) < share else (low, middle)
+    return low
+
+
+def least_determinant(x, floor):
+    """(centre, scatter, share) of the half of the rows ``x`` whose scatter, with the floor, has the least determinant."""
+    n, dims = x.shape
+    scatter = lambda y: (y - y.mean(0)).T @ (y - y.mean(0)) / len(y)
+    classes = np.floor(x / (floor / 8))
+    q1, q2, q3 = ((np.sort(classes, axis=0)[-(-n * k // 4) - 1] + 0.5) * floor / 8 for k in (1, 2, 3))
+    spread = np.maximum((q3 - q1) / 1.349, floor)
+    away = (x - q2) / spread
+    length = np.maximum((away**2).sum(1), 1e-12)
+    turned = (away[:, :, None] * away[:, None, :] / length[:, None, None]).mean(0) * dims * np.outer(spread, spread)
+    best = None
+    for centre, s in ((x.mean(0), scatter(x)), (q2, np.diag(spread**2)), (q2, turned)):
+        least = np.inf
+        while True:
+            far = np.einsum("ni,ij,nj->n", x - centre, np.linalg.inv(s + np.diag(floor**2)), x - centre)
+            where = np.floor(32 * np.log2(far + 1e-9))
+            inner = x[where <= np.sort(where)[-(-n // 2) - 1]]
+            now = inner.mean(0), scatter(inner)
+            value = np.linalg.det(now[1] + np.diag(floor**2))
+            if value >= least * (1 - 1e-9):
+                break
+            least, (centre, s) = value, now
+            if best is None or least < best[0]:
+                best = least, centre, s, len(inner) / n
+    return best[1:]
+
+
+def outliers(at, groups, floor, parent_rows=100, tail=1e-7):
+    """{id: squared robust distance <= cut-off} of {id: vector} and {id: (lang, source)}."""
     floor = np.array(floor)
-
-    def rank(values, share):
-        return np.sort(values)[int(np.ceil(share * len(values))) - 1]
-
+    members = {}
+    for i, v in at.items():
+        for depth in range(3):
+            members.setdefault(groups[i][:depth], []).append(v)
+    dims = len(floor)
     models = {}
-    for g, rows in groups.items():
-        x = np.array(rows)
-        if len(x) < least_rows and g != (None, None):
-            continue
-        low, centre, high = (np.array([rank(x[:, i], p) for i in range(x.shape[1])]) for p in (0.25, 0.5, 0.75))
-        precision = np.diag(1 / np.maximum((high - low) / 1.349, floor) ** 2)
-        for _ in range(steps):
-            far = np.einsum("ni,ij,nj->n", x - centre, precision, x - centre)
-            inner = x[far <= rank(far, 0.5)]
-            centre = inner.mean(0)
-            precision = np.linalg.inv((inner - centre).T @ (inner - centre) / len(inner) + np.diag(floor**2))
-        far = np.einsum("ni,ij,nj->n", x - centre, precision, x - centre)
-        models[g] = centre, precision, max(rank(far, 0.5) / 5.348, 1.0)
+    for g in sorted(members, key=len):
+        centre, s, share = least_determinant(np.array(members[g]), floor)
+        factor = 1.0 if share >= 1 else share / chi2_below(chi2_at(share, dims), dims + 2)
+        s = factor * s + np.diag(floor**2)
+        if g:
+            a, b = models[g[:-1]]
+            w = len(members[g]) / (len(members[g]) + parent_rows)
+            s = w * s + (1 - w) * b + w * (1 - w) * np.outer(centre - a, centre - a)
+            centre = w * centre + (1 - w) * a
+        models[g] = centre, s
+    half = dims // 2
+    low, high = 0.0, 500.0
+    for _ in range(80):
+        x = (low + high) / 2
+        above = np.exp(-x / 2) * sum((x / 2) ** i / float(np.prod(np.arange(1, i + 1))) for i in range(half))
+        low, high = (x, high) if above > tail else (low, x)
     out = {}
-    for i, _, lang, source in docs:
-        if failed[i]:
-            out[i] = True, False
-            continue
-        g = next(g for g in ((lang, source), (lang, None), (None, None)) if g in models)
-        centre, precision, scale = models[g]
-        d = np.array(vector(stats[i])) - centre
-        out[i] = False, bool(d @ precision @ d / scale <= most)
+    for i, v in at.items():
+        centre, s = models[groups[i]]
+        out[i] = bool((v - centre) @ np.linalg.inv(s) @ (v - centre) <= low)
     return out
 
 
+def quality(docs, floor, **options):
+    """{doc_id: (base_failed, kept)} of (doc_id, text, lang, source)."""
+    stats = {i: statistics(t) for i, t, _, _ in docs}
+    failed = {i: s[0] < 50 or 100 * s[5] > 50 * s[0] for i, s in stats.items()}
+    at = {i: np.array(vector(s)) for i, s in stats.items() if not failed[i]}
+    fine = outliers(at, {i: (lang, source) for i, _, lang, source in docs}, floor, **options)
+    return {i: (f, fine.get(i, False)) for i, f in failed.items()}
+
+
 def water_filled(budget, children):
     """{name: share} of {name: (weight, room)}, by raising the level until a child is full, again and again."""
     share = {c: 0 for c in children}

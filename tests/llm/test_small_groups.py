@@ -4,59 +4,11 @@ import os
 import random
 import sys
 
-import numpy as np
-
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 import brute  # noqa: E402
 
 
-def judged(docs, floor, steps=3, parent_rows=100, most=45.0):
-    """{doc_id: kept} of (doc_id, text, lang, source) that pass the fixed rules."""
-    at = {i: np.array(brute.vector(brute.statistics(t))) for i, t, _, _ in docs}
-    members = {}
-    for i, _, lang, source in docs:
-        for g in ((), (lang,), (lang, source)):
-            members.setdefault(g, []).append(at[i])
-    members = {g: np.array(x) for g, x in members.items()}
-    floor = np.array(floor)
-
-    def rank(values, share):
-        return np.sort(values, axis=0)[int(np.ceil(share * len(values))) - 1]
-
-    def far(x, model):
-        return np.einsum("ni,ij,nj->n", x - model[0], np.linalg.inv(model[1]), x - model[0])
-
-    def blended(own):
-        out = {}
-        for g in sorted(own, key=len):
-            centre, scatter, scale = own[g]
-            if g:
-                a, b, c = out[g[:-1]]
-                w = len(members[g]) / (len(members[g]) + parent_rows)
-                scatter = w * scatter + (1 - w) * b + w * (1 - w) * np.outer(centre - a, centre - a)
-                centre, scale = w * centre + (1 - w) * a, w * scale + (1 - w) * c
-            out[g] = centre, scatter, scale
-        return out
-
-    own = {
-        g: (rank(x, 0.5), np.diag(np.maximum((rank(x, 0.75) - rank(x, 0.25)) / 1.349, floor) ** 2), 1.0)
-        for g, x in members.items()
-    }
-    for _ in range(steps):
-        model = blended(own)
-        for g, x in members.items():
-            d = far(x, model[g])
-            inner = x[d <= rank(d, 0.5)]
-            own[g] = inner.mean(0), np.cov(inner.T, bias=True) + np.diag(floor**2), 1.0
-    model = blended(own)
-    own = {g: (*own[g][:2], max(rank(far(x, model[g]), 0.5) / 5.348, 1.0)) for g, x in members.items()}
-    model = blended(own)
-    return {
-        i: bool(far(at[i][None], model[lang, source])[0] / model[lang, source][2] <= most) for i, _, lang, source in docs
-    }
-
-
 def documents(small):
     """200 plain documents of two sources, ``small`` clean ones in capitals of a third, and one of junk in a fourth."""
     r = random.Random(small)
@@ -77,6 +29,46 @@ def test_small_sources_are_judged_by_their_own_rows(spark):
         rows = documents(small)
         df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").repartition(3)
         got = {x.doc_id: x.quality.kept for x in quality.judged(df, ["doc_id"]).collect()}
-        assert got == judged(rows, quality.LEAST_SPREAD)
+        assert got == {i: kept for i, (_, kept) in brute.quality(rows, quality.LEAST_SPREAD).items()}
         assert all(got[1000 + i] for i in range(small)), small
         assert not got[5000]
+
+
+def test_estimates_do_not_depend_on_how_rows_are_dealt(spark):
+    from skyfare.llm import quality
+
+    rows = documents(40)
+    names = "doc_id long, text string, lang string, source string, `quality counts` int, `quality g1` int, centre int, g1 string, model int"
+    df = spark.createDataFrame([(*r, 1, 2, 3, "g", 4) for r in rows], names)
+    got = []
+    for dealt in (df.repartition(1), df.repartition(7).orderBy("text")):
+        out = quality.judged(dealt)
+        assert set(out.columns) == {*df.columns, "quality"}
+        got.append({x.doc_id: (x.quality.kept, round(x.quality.distance, 9)) for x in out.collect()})
+        assert all(tuple(x)[4:9] == (1, 2, 3, "g", 4) for x in out.collect())
+    assert got[0] == got[1]
+
+
+def test_chi_square():
+    from skyfare.llm import quality
+
+    for share in (0.1, 0.5, 0.9):
+        assert abs(quality.chi2_quantile(1 - share, 6) - brute.chi2_at(share, 6)) < 1e-3
+        assert abs(quality.chi2_share(5.0 * share, 8) - brute.chi2_below(5.0 * share, 8)) < 1e-6
+    assert quality.consistency(1.0) == 1.0 and 1.7 < quality.consistency(0.5) < 1.9
+
+
+def test_a_step_never_raises_the_determinant(spark):
+    """From starts spoiled by a third of odd rows, the estimate is that of the others."""
+    import numpy as np
+
+    from skyfare.llm import quality
+
+    r = np.random.default_rng(2)
+    good = r.normal(0, 0.3, (200, quality.DIMENSIONS))
+    odd = r.normal(4, 0.1, (90, quality.DIMENSIONS))
+    rows = [("a", "b", x.tolist()) for x in np.vstack([good, odd])]
+    model = quality.fit(spark.createDataFrame(rows, "g1 string, g2 string, at array<double>").repartition(3), parent_rows=0).collect()
+    assert len(model) == 1 and np.abs(np.array(model[0].centre)).max() < 0.15
+    centre, s, _ = brute.least_determinant(np.vstack([good, odd]), np.array(quality.LEAST_SPREAD))
+    assert np.allclose(model[0].centre, centre)
