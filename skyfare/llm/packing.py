@@ -1,6 +1,7 @@
 """Best-fit packing of documents into bins, with conflicts of sources and of duplicate clusters.
 
-Documents are dealt into shards of bounded size by a hash of a row key. A shard keeps its open bins
+Documents are dealt into shards of bounded size by a hash of their id, their text and, of equal rows, a number, so
+bins do not depend on how the table is partitioned. A shard keeps its open bins
 by the room left in them, with a bitmap of the sources and one of the duplicate clusters that each bin
 holds. The largest piece goes first; the search goes on from the tightest bin that has room to the
 next, until one holds neither the piece's source nor its cluster.
@@ -74,7 +75,7 @@ def best_fit(items: Iterable[tuple[int, object, object]], capacity: int) -> list
 def _shard_packed(capacity: int):
     def run(table: pa.Table) -> pa.Table:
         rows = table.to_pylist()
-        rows.sort(key=lambda r: (-r["n_tokens"], r["doc_id"] is None, r["doc_id"] or 0, r["piece"], r["source"] or "", r["cluster"] or ""))
+        rows.sort(key=lambda r: (-r["n_tokens"], r["doc_id"] is None, r["doc_id"] or 0, r["piece"], r["source"] or "", r["cluster"] or "", r["tie"], r["copy"]))
         found = best_fit(((r["n_tokens"], r["source"], r["cluster"]) for r in rows), capacity)
         return pa.table(
             {
@@ -90,6 +91,11 @@ def _shard_packed(capacity: int):
     return run
 
 
+def shard_of(shards: int) -> Column:
+    """The shard of a piece of a row."""
+    return F.pmod(F.xxhash64(F.coalesce("doc_id", F.lit(-1)), "tie", "copy", "piece"), F.lit(shards))
+
+
 def packed(
     docs: DataFrame,
     capacity: int = 2048,
@@ -107,21 +113,24 @@ def packed(
     SHARD_PIECES pieces at most on average, whatever the size of a source or cluster; no bin spans shards.
 
     A document without tokens (NULL, empty or blank text) gives one row without bin. A NULL source is
-    in conflict with nothing, and an id may be NULL. Repeated rows are packed apart, being copies. An
-    empty table gives an empty result. Other columns are left out.
+    in conflict with nothing, and an id may be NULL. Repeated rows are packed apart, being copies. The bins of a
+    table are the same however its rows are dealt out and ordered. An empty table gives an empty result. Other columns are left out.
     """
     body = F.coalesce(F.col(text), F.lit(""))
     columns = {
         "doc_id": F.col(key).cast("long"),
         "source": F.col(source).cast("string"),
         "tokens": n_words(body),
+        "tie": F.xxhash64(body),
     }
     if cluster is None:
         rows = grouped(docs, columns, text).withColumn("cluster", F.col("component").cast("string"))
     else:
         rows = docs.select(*[c.alias(n) for n, c in columns.items()], cluster.cast("string").alias("cluster"))
-    # The stored row key deals out copies and rows without id as well as any.
-    narrow = stored(rows.select(*columns, "cluster", F.monotonically_increasing_id().alias("row")), "packing-sizes")
+    # Rows that are equal in all that matters are counted before they are numbered; any of them may have any number.
+    narrow = rows.groupBy(*columns, "cluster").count()
+    narrow = narrow.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("count")))).drop("count")
+    narrow = stored(narrow, "packing-sizes")
     sums = narrow.agg(
         F.coalesce(F.sum("tokens"), F.lit(0)), F.coalesce(F.sum(F.ceil(F.col("tokens") / capacity)), F.lit(0))
     ).first()
@@ -131,7 +140,9 @@ def packed(
     )
     first = F.col("piece").cast("long") * capacity
     pieces = pieces.select(
-        F.pmod(F.xxhash64("row", "piece"), F.lit(shards)).alias("shard"),
+        shard_of(shards).alias("shard"),
+        "tie",
+        "copy",
         "doc_id",
         "piece",
         first.alias("first_token"),
