@@ -254,13 +254,17 @@ def near_links(fingerprints: DataFrame, most: int = 4, group_rows: int = 2_000_0
     is left or all but LAST_BITS bits agree, when a group has 2 ** LAST_BITS members at most. That takes five turns.
     """
     spark = fingerprints.sparkSession
-    rows, masks, found = fingerprints.select("fingerprint", F.lit(0).cast("long").alias("mask")), [0], []
+    fingerprints = fingerprints.select("fingerprint")
+    rows, masks, found = fingerprints, [0], []
     while True:
         # ``most + 1`` masks below each, of which there are a few thousand at most, whatever the data.
-        further = [(_signed(m), [_signed(x) for x in _blocks(m, most)]) for m in masks]
-        finer = spark.createDataFrame(further, "mask long, finer array<long>")
-        masks = [x for m in masks for x in _blocks(m, most)]
-        rows = rows.join(F.broadcast(finer), "mask").select("fingerprint", F.explode("finer").alias("mask"))
+        below = {m: _blocks(m, most) for m in masks}
+        if rows is fingerprints:
+            rows = rows.select("fingerprint", F.explode(F.array(*[F.lit(_signed(x)) for x in below[0]])).alias("mask"))
+        else:
+            finer = spark.createDataFrame([(_signed(m), [_signed(x) for x in more]) for m, more in below.items()], "mask long, finer array<long>")
+            rows = rows.join(F.broadcast(finer), "mask").select("fingerprint", F.explode("finer").alias("mask"))
+        masks = [x for more in below.values() for x in more]
         rows = rows.withColumn("bits", F.col("fingerprint").bitwiseAND(F.col("mask")))
         large = stored(rows.groupBy("mask", "bits").count().where(F.col("count") > group_rows).select("mask", "bits"), "large-groups")
         none = large.isEmpty() or BITS - max(m.bit_count() for m in masks) <= LAST_BITS
