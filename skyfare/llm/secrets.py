@@ -1,8 +1,8 @@
 """Secret scans in DataFrame functions: fixed patterns, and Markov models of random strings.
 
 Two models of character pairs, one of random strings and one of ordinary identifiers, are trained
-from labelled samples. What fixed patterns leave of a long run of identifier characters is a secret if
-its log-likelihood ratio between the two is high enough; else the stretches of it are for which it is.
+from labelled samples. Of what fixed patterns leave of a long run of identifier characters, the stretches are
+secrets whose log-likelihood ratio between the two is high enough.
 """
 
 from __future__ import annotations
@@ -25,7 +25,12 @@ CANDIDATE = r"[A-Za-z0-9+/_-]{16,}"
 LEAST = 16
 MARKS_FROM = ALPHABET.index("+")
 #: Log-likelihood ratio that a stretch of a run needs, and by how much its sum may fall within, as at two usual pairs.
-EVIDENCE, DROP = 10.0, 20.0
+EVIDENCE, DROP = 6.0, 16.0
+#: Kinds of characters: lower case, upper case, digits, marks; and how often one follows another in identifiers in general.
+KINDS_OF = ("abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789", "+/_-")
+FOLLOWS = ((0.85, 0.07, 0.05, 0.03), (0.45, 0.45, 0.05, 0.05), (0.15, 0.10, 0.65, 0.10), (0.60, 0.20, 0.15, 0.05))
+#: Most weight of the pairs seen in ordinary samples, and of how many samples of a character half of that is given.
+SEEN, HALF = 0.7, 200
 SPAN = "struct<start:int,kind:int,end:int>"
 
 
@@ -69,9 +74,16 @@ def _clear_of(spans: Column, others: Column) -> Column:
     return F.filter(spans, lambda s: ~F.exists(others, lambda o: (s["start"] < o["end"]) & (o["start"] < s["end"])))
 
 
-def _with_base(docs: DataFrame, columns: list[str], text: str) -> DataFrame:
-    rows = docs.select(*columns, F.coalesce(F.col(text), F.lit("")).alias("scanned text"))
-    return rows.withColumn("base spans", base_spans(F.col("scanned text")))
+def _free(name: str, columns: list[str]) -> str:
+    """``name``, or a longer one that no column has."""
+    while any(c.lower() == name.lower() for c in columns):
+        name += "_"
+    return name
+
+
+def _with_base(docs: DataFrame, columns: list[Column], text: str, scanned: str = "scanned text", base: str = "base spans") -> DataFrame:
+    rows = docs.select(*columns, F.coalesce(F.col(text), F.lit("")).alias(scanned))
+    return rows.withColumn(base, base_spans(F.col(f"`{scanned}`")))
 
 
 def labelled_samples(docs: DataFrame, key: str = "doc_id", text: str = "text", sample_docs: int = 2000) -> DataFrame:
@@ -79,29 +91,36 @@ def labelled_samples(docs: DataFrame, key: str = "doc_id", text: str = "text", s
 
     Random strings: what all texts have under the fixed patterns for access keys, hex runs and
     values of assignments with a digit. Ordinary identifiers: words of eight letters, digits or underscores and more
-    that no fixed pattern touches, from the ``sample_docs`` documents of least hashed id.
+    that no fixed pattern touches, from the ``sample_docs`` texts of least hashed id and text.
     """
-    rows = _with_base(docs, [key], text)
+    rows = _with_base(docs, [], text)
     spans = F.col("base spans")
     hit = rows.where(F.size(spans) > 0).select("scanned text", F.explode(spans).alias("s"))
     found = hit.select(F.substr("scanned text", F.col("s.start") + 1, F.col("s.end") - F.col("s.start")).alias("m"))
     random = found.select(F.regexp_extract("m", r"([A-Za-z0-9+/_-]+)$", 1).alias("value"))
     random = random.where(F.col("value").rlike("[0-9]") & (F.length("value") >= 8))
-    few = docs.select(key).where(F.col(key).isNotNull()).distinct().orderBy(F.xxhash64(key), key).limit(sample_docs)
-    few = _with_base(docs.select(key, text).join(F.broadcast(few), key), [key], text)  # sample_docs rows at most
+    order = F.xxhash64(key, text)
+    # the hashes first, so that no text is moved to find the least of them: sample_docs numbers
+    least = docs.where(F.length(text) > 0).select(order.alias("h")).distinct().orderBy("h").limit(sample_docs)
+    few = docs.select(order.alias("h"), F.col(text).alias("sampled")).join(F.broadcast(least), "h")
+    few = _with_base(few.groupBy("h").agg(F.any_value("sampled").alias("sampled")), [], "sampled")
     words = few.select(
         F.explode(_clear_of(_spans(F.col("scanned text"), r"[A-Za-z0-9_]{8,}", 0, 8, 0), spans)).alias("s"), "scanned text"
     )
     plain = words.select(F.substr("scanned text", F.col("s.start") + 1, F.col("s.end") - F.col("s.start")).alias("value"))
+    # Digits among letters of both cases are taken for neither.
+    plain = plain.where(~(F.col("value").rlike("[0-9]") & F.col("value").rlike("[A-Z]") & F.col("value").rlike("[a-z]")))
     return random.select("value", F.lit(True).alias("random")).unionByName(plain.select("value", F.lit(False).alias("random")))
 
 
-def train(samples: DataFrame, smoothing: float = 0.5, backoff: float = 4.0) -> list[float]:
+def train(samples: DataFrame, smoothing: float = 0.5, backoff: float = 4.0, prior: float = 2000.0) -> list[float]:
     """Log-likelihood ratios of all pairs of characters, random over ordinary.
 
     ``samples``: value, random. Pairs are counted where the samples are; only the counts, as many as
-    there are pairs of characters, come to the driver. Without samples of both kinds all ratios
-    are so that nothing is found.
+    there are pairs of characters, come to the driver. The random model starts from ``prior`` pairs of evenly spread
+    characters, so it is that of even strings where there are no random samples. The ordinary model mixes the pairs
+    seen with how kinds of characters follow one another, as seen and in general, so that words of another language
+    are not random. Without ordinary samples no pair tells anything, and nothing is found.
     """
     pairs = samples.where(F.length("value") > 1).select(
         "random", F.explode(F.sequence(F.lit(1), F.length("value") - 1)).alias("i"), "value"
@@ -109,17 +128,37 @@ def train(samples: DataFrame, smoothing: float = 0.5, backoff: float = 4.0) -> l
     pairs = pairs.select("random", F.substr("value", F.col("i"), F.lit(2)).alias("pair"))
     counts = {(r["random"], r["pair"]): r["count"] for r in pairs.groupBy("random", "pair").count().collect()}
     size = len(ALPHABET)
-    if len({k for k, _ in counts}) < 2:
-        return [-1.0] * (size * size)
-
-    def logs(kind: bool) -> list[float]:
-        rows = [[counts.get((kind, a + b), 0) for b in ALPHABET] for a in ALPHABET]
-        seen = [sum(r[i] for r in rows) + smoothing for i in range(size)]
-        plain = [c / sum(seen) for c in seen]
-        # A pair not seen is as likely as its second character.
-        return [math.log((c + backoff * p) / (sum(r) + backoff)) for r in rows for c, p in zip(r, plain)]
-
-    return [r - o for r, o in zip(logs(True), logs(False))]
+    if not any(not kind for kind, _ in counts):
+        return [0.0] * (size * size)
+
+    even = prior / size**2
+    rows = [[counts.get((True, a + b), 0) + even for b in ALPHABET] for a in ALPHABET]
+    seen = [sum(r[i] for r in rows) + smoothing for i in range(size)]
+    # A pair not seen is as likely as its second character.
+    random = [[(c + backoff * p / sum(seen)) / (sum(r) + backoff) for c, p in zip(r, seen)] for r in rows]
+
+    rows = [[counts.get((False, a + b), 0) for b in ALPHABET] for a in ALPHABET]
+    kind = [next(k for k, letters in enumerate(KINDS_OF) if c in letters) for c in ALPHABET]
+    changes = [[0.0] * len(KINDS_OF) for _ in KINDS_OF]
+    for i, r in enumerate(rows):
+        for j, c in enumerate(r):
+            changes[kind[i]][kind[j]] += c
+
+    every = sum(map(sum, changes))
+    share = [sum(c[m] for c in changes) / every for m in range(len(KINDS_OF))]
+
+    def ordinary(i: int, j: int) -> float:
+        k, m, n = kind[i], kind[j], sum(rows[i])
+        total = sum(changes[k])
+        known = total / (total + HALF)
+        # Kinds that are rare in the samples are rare after one another, too.
+        learned = known * changes[k][m] / max(total, 1) + (1 - known) * share[m]
+        taken = (1 + known) / 4
+        general = (taken * FOLLOWS[k][m] + (1 - taken) * learned) / len(KINDS_OF[m])
+        weight = SEEN * n / (n + HALF)
+        return weight * (rows[i][j] / n if n else 0.0) + (1 - weight) * general
+
+    return [math.log(random[i][j] / ordinary(i, j)) for i in range(size) for j in range(size)]
 
 
 def _rests(run: Column, others: Column) -> Column:
@@ -146,16 +185,15 @@ STRETCH = "struct<start:int,end:int>"
 def _stretches(value: Column, model: list[float], least_ratio: float) -> Column:
     """(start, end) of what is random in a run of characters of the alphabet.
 
-    The whole run if its mean log-likelihood ratio is ``least_ratio`` or more. Else the stretches in
-    which the ratios exceed that by EVIDENCE in sum: the sum starts again at 0 where it falls to 0 or
-    by DROP from its height, where a stretch ends. Stretches are widened to the letters and digits
-    next to them, and those of LEAST characters or more then are found.
+    These are the stretches in which log-likelihood ratios exceed ``least_ratio`` by EVIDENCE in sum: the
+    sum starts again at 0 where it falls to 0 or by DROP from its height, where a stretch ends. Stretches are
+    widened to the letters and digits next to them, and those of LEAST characters or more then are found.
     """
     size = len(ALPHABET)
     table = F.split(F.lit(",".join(f"{x:.6f}" for x in model)), ",").cast("array<double>")
     none = F.array().cast(f"array<{STRETCH}>")
     zero = F.struct(
-        F.lit(-1).alias("last"), F.lit(0).alias("at"), F.lit(0.0).alias("total"), F.lit(0.0).alias("sum"),
+        F.lit(-1).alias("last"), F.lit(0).alias("at"), F.lit(0.0).alias("sum"),
         F.lit(0).alias("start"), F.lit(0.0).alias("top"), F.lit(0).alias("end"), none.alias("out"),
     )
 
@@ -177,7 +215,6 @@ def _stretches(value: Column, model: list[float], least_ratio: float) -> Column:
         return F.struct(
             code.alias("last"),
             at.alias("at"),
-            (state["total"] + gain).alias("total"),
             F.when(ends, F.lit(0.0)).otherwise(now).alias("sum"),
             F.when(ends, state["at"]).otherwise(state["start"]).alias("start"),
             F.when(ends, F.lit(0.0)).when(higher, now).otherwise(state["top"]).alias("top"),
@@ -190,10 +227,7 @@ def _stretches(value: Column, model: list[float], least_ratio: float) -> Column:
         after = F.regexp_extract(F.substr(value, s["end"] + 1, F.length(value)), "^[A-Za-z0-9]*", 0)
         return F.struct((s["start"] - F.length(before)).alias("start"), (s["end"] + F.length(after)).alias("end"))
 
-    whole = F.array(F.struct(F.lit(0).alias("start"), F.length(value).alias("end")))
-    found = F.aggregate(
-        F.split(value, ""), zero, step, lambda s: F.when(s["total"] >= 0, whole).otherwise(closed(s))
-    )
+    found = F.aggregate(F.split(value, ""), zero, step, closed)
     return F.filter(F.array_distinct(F.transform(found, widened)), lambda s: s["end"] - s["start"] >= LEAST)
 
 
@@ -202,7 +236,7 @@ def scanned(
     model: list[float],
     columns: list[str] | None = None,
     text: str = "text",
-    least_ratio: float = 0.5,
+    least_ratio: float = 0.2,
 ) -> DataFrame:
     """``columns`` of ``docs`` (all by default) with a struct ``secrets``.
 
@@ -213,11 +247,12 @@ def scanned(
     empty result. A column called ``secrets`` is replaced.
     """
     columns = [c for c in (docs.columns if columns is None else columns) if c != "secrets"]
-    rows = _with_base(docs, [F.col(f"`{c}`") for c in columns], text)
-    body = F.col("scanned text")
+    scanned, base, more_spans = (_free(n, columns) for n in ("scanned text", "base spans", "more spans"))
+    rows = _with_base(docs, [F.col(f"`{c}`") for c in columns], text, scanned, base)
+    body, known = F.col(f"`{scanned}`"), F.col(f"`{base}`")
     markov = len(BASE)
     runs = _spans(body, CANDIDATE, 0, LEAST, markov)
-    rests = F.flatten(F.transform(runs, lambda s: _rests(s, F.col("base spans"))))
+    rests = F.flatten(F.transform(runs, lambda s: _rests(s, known)))
     rests = F.filter(rests, lambda s: s["end"] - s["start"] >= LEAST)
 
     def random_parts(s: Column) -> Column:
@@ -229,9 +264,9 @@ def scanned(
 
     judged = F.flatten(F.transform(rests, random_parts))
     more = F.when(body.rlike(CANDIDATE), judged).otherwise(F.array().cast(f"array<{SPAN}>"))
-    rows = rows.withColumn("more spans", more)
-    spans = F.array_sort(F.concat("base spans", "more spans"))
-    secrets = F.struct(F.col("base spans").alias("base"), spans.alias("spans"))
+    rows = rows.withColumn(more_spans, more)
+    spans = F.array_sort(F.concat(known, F.col(f"`{more_spans}`")))
+    secrets = F.struct(known.alias("base"), spans.alias("spans"))
     return rows.select(*[F.col(f"`{c}`") for c in columns], secrets.alias("secrets"))
 
 
