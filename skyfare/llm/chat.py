@@ -99,17 +99,28 @@ def read_back(formatted: DataFrame) -> DataFrame:
 
 
 def logged(rows: DataFrame) -> DataFrame:
-    """The event log of finished rows (conv_id, turn, role, text): answers are streamed in two deltas."""
+    """The event log of finished rows (conv_id, turn, role, text), as a service would have kept it.
+
+    An answer was streamed in part, then regenerated and streamed in two deltas. Other messages of even turns were
+    sent as a draft and edited; the rest were sent once.
+    """
     tied = Window.partitionBy("conv_id", "turn").orderBy("role", "text")
     text = F.coalesce("text", F.lit(""))
     half = F.floor(F.length(text) / 2).cast("int")
-    parts = F.when(
-        F.col("role") == "assistant",
-        F.array(
-            F.struct(F.lit("delta").alias("kind"), F.substr(text, F.lit(1), half).alias("text")),
-            F.struct(F.lit("delta").alias("kind"), F.substr(text, half + 1, F.length(text)).alias("text")),
-        ),
-    ).otherwise(F.array(F.struct(F.lit("message").alias("kind"), text.alias("text"))))
+
+    def event(kind: str, value: Column) -> Column:
+        return F.struct(F.lit(kind).alias("kind"), value.alias("text"))
+
+    draft = F.concat(F.lit("draft: "), F.reverse(text))
+    answer = F.array(
+        event("delta", draft), event("regenerate", F.lit("")),
+        event("delta", F.substr(text, F.lit(1), half)), event("delta", F.substr(text, half + 1, F.length(text))),
+    )
+    parts = (
+        F.when(F.col("role") == "assistant", answer)
+        .when(F.col("turn") % 2 == 0, F.array(event("message", draft), event("edit", text)))
+        .otherwise(F.array(event("message", text)))
+    )
     rows = rows.select("conv_id", "role", F.struct("turn", F.row_number().over(tied).alias("tie")).alias("message"), parts.alias("parts"))
     return rows.select("conv_id", "message", "role", F.posexplode("parts").alias("seq", "part")).select(
         "conv_id", "message", "seq", "part.kind", "role", "part.text"

@@ -104,3 +104,16 @@ def test_native_operators_run_no_python(spark, capsys):
     for name in ("op3_secret_scans", "op5_chat_formatting", "op8_source_mixing"):
         QUERIES[name](spark, SF).explain()
         assert not any(word in capsys.readouterr().out for word in ("Python", "Pandas", "Arrow")), name
+
+
+def test_logs_have_all_kinds_of_events(spark):
+    from skyfare.llm import chat
+
+    rows = spark.createDataFrame(
+        [(1, 0, "user", "ab"), (1, 1, "assistant", "cde"), (1, 2, "user", None), (1, 3, "tool", "x"), (None, None, None, None)],
+        "conv_id long, turn long, role string, text string",
+    )
+    log = chat.logged(rows)
+    assert {r.kind for r in log.collect()} == {"message", "edit", "delta", "regenerate"}
+    got = {(r.conv_id, r.message.turn): (r.role, r.text) for r in chat.folded(log.orderBy("kind")).collect()}
+    assert got == {(1, 0): ("user", "ab"), (1, 1): ("assistant", "cde"), (1, 2): ("user", ""), (1, 3): ("tool", "x"), (None, None): ("", "")}
