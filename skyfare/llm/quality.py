@@ -265,7 +265,8 @@ def _concentrated(wide: DataFrame, state: DataFrame) -> DataFrame:
     counts = far.groupBy("g", "start", "class").agg(F.count("*").alias("rows"), F.first("n").alias("n"))
     upto = F.sum("rows").over(Window.partitionBy("g", "start").orderBy("class"))
     edges = counts.withColumn("upto", upto).groupBy("g", "start").agg(F.min(F.when(2 * F.col("upto") >= F.col("n"), F.col("class"))).alias("edge"))
-    inner = far.join(edges, ["g", "start"]).where(F.col("class") <= F.col("edge"))
+    # Stored, its size is known before the join, and rows need not be moved to meet it.
+    inner = far.join(stored(edges, "quality-edges"), ["g", "start"]).where(F.col("class") <= F.col("edge"))
     moments = inner.groupBy("g", "start").agg(F.first("n").alias("n"), F.count("*").alias("m"), *_moments(F.col("at")))
     return moments.select("g", "start", "n", "m", "centre", _scatter()).mapInPandas(_estimated, STATE)
 
