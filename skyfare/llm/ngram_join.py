@@ -2,20 +2,22 @@
 
 A document is the set of its five-word shingles, hashed to 48 bits. Two documents whose sets are
 at least 80 percent alike share a token among the first ``n - ceil(0.8 n) + 1`` tokens of each, in
-whichever order all tokens are put. Three orders are used. All put tokens found in one document
+whichever order all tokens are put. Of the smaller one ``n - ceil(1.6 n / 1.8) + 1`` tokens do, its short
+prefix. Three orders are used. All put tokens found in one document
 only first, which need not be moved at all; the first two go on from rare to frequent tokens, with
 different orders among equals, and the third goes on in a hashed order.
 
 How often a token occurs is counted over all documents without moving a frequent one often. A task
 puts its documents together in blocks. A token found ``local`` times or more in any block is
-frequent, and the block keeps its occurrences; all others go to the bucket of their hash, at most
-``local - 1`` times from a block, where they are counted exactly. Buckets answer each block which of
+frequent, and the block keeps its occurrences and sends their number; all others go to the bucket of their
+hash, at most ``local - 1`` times from a block, where tokens are counted exactly. Buckets answer each block which of
 its tokens are shared and how often. A document with too few shared tokens has no partner and ends here.
 
 The documents of a token's list are first compared with one of them, its centre, and linked documents
-put in components. Then the pairs of a list that are still in different components are compared, but
-for those that cannot be alike by their distances from the centre (see ``_open_pairs``). Groups of
-copies are so not compared pair by pair, and no link between components is lost.
+put in components. Then the pairs of a list that are still in different components are compared, if the
+list is of the smaller one's short prefix, but for those that cannot be alike by their places in the list, by their
+distances from the centre or by parities of their tokens (see ``_open_pairs``). Groups of copies are so not compared pair by pair, nor are
+texts made from one form, whose common tokens are the most frequent ones, and no link between components is lost.
 """
 
 from __future__ import annotations
@@ -35,8 +37,8 @@ from skyfare.llm.words import chunks, mix, shingle_hashes
 
 #: Tokens and documents that a task puts in one block.
 BLOCK_TOKENS, BLOCK_DOCS = 1_500_000, 60_000
-#: Class of frequent tokens; other tokens have the bit length of their count.
-FREQUENT = 255
+#: Words of 64 parities that sum up the shared tokens of a set.
+WORDS = 8
 _ORDER_SALTS = (np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814F))
 
 
@@ -45,6 +47,11 @@ def required(n: np.ndarray, percent: int) -> np.ndarray:
     return (n * percent + 99) // 100
 
 
+def required_together(n: np.ndarray, m: np.ndarray, percent: int) -> np.ndarray:
+    """Tokens that sets of ``n`` and ``m`` tokens have in common if they are at least ``percent`` alike."""
+    return ((n + m) * percent + 99 + percent) // (100 + percent)
+
+
 def _sets(texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """(tokens, bounds, keys) of runs of texts; texts with equal sets have equal keys."""
     for _, _, data, offsets in chunks(texts):
@@ -65,7 +72,7 @@ def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 ROW = "bucket int, kind int, block long, a binary, b binary, c binary"
 #: Kinds of rows: tokens of a block for a bucket; frequent tokens of a block for itself; frequent
-#: tokens for a bucket to know; documents of a block.
+#: tokens and their counts in a block for a bucket to add; documents of a block.
 TOKENS, OWN, KNOWN, DOCS = range(4)
 
 
@@ -81,9 +88,9 @@ def _blocks(buckets: int, local: int):
         often = np.repeat(counts >= local, counts)
         if often.any():
             yield block % buckets, OWN, block, pack(tokens[often]), index[often].tobytes(), b""
-            known = tokens[starts[counts >= local]]
+            known, times = tokens[starts[counts >= local]], counts[counts >= local].astype(np.int32)
             for bucket, a, b in _spans(known, buckets):
-                yield bucket, KNOWN, block, pack(known[a:b]), b"", b""
+                yield bucket, KNOWN, block, pack(known[a:b]), times[a:b].tobytes(), b""
         tokens, index = tokens[~often], index[~often]
         for bucket, a, b in _spans(tokens, buckets):
             yield bucket, TOKENS, block, pack(tokens[a:b]), index[a:b].tobytes(), b""
@@ -137,31 +144,33 @@ def _answered(table: pa.Table) -> pa.Table:
     a, b, c = (table.column(x) for x in "abc")
     out: list[tuple] = []
     for i in np.flatnonzero(kinds == OWN).tolist():
-        n = len(b[i].as_py()) // 2
-        out.append((blocks[i], TOKENS, a[i].as_py(), b[i].as_py(), bytes([FREQUENT]) * n))
-    at = np.flatnonzero(kinds == TOKENS).tolist()
+        out.append((blocks[i], OWN, a[i].as_py(), b[i].as_py(), b""))
+    at = np.flatnonzero((kinds == TOKENS) | (kinds == KNOWN)).tolist()
     if at:
         parts = [unpack(a[i].as_py()) for i in at]
         tokens = np.concatenate(parts)
+        times = np.ones(len(tokens), np.int64)
+        first = 0
+        for i, part in zip(at, parts):
+            if kinds[i] == KNOWN:
+                times[first : first + len(part)] = np.frombuffer(b[i].as_py(), np.int32)
+            first += len(part)
         order = np.argsort(tokens)
         ranked = tokens[order]
-        fresh = np.concatenate(([True], ranked[1:] != ranked[:-1]))
-        starts = np.flatnonzero(fresh)
-        counts = np.diff(np.append(starts, len(ranked)))
-        classes = np.minimum(np.frexp(counts.astype(np.float64))[1], FREQUENT - 1)
+        starts = np.flatnonzero(np.concatenate(([True], ranked[1:] != ranked[:-1])))
+        counts = np.add.reduceat(times[order], starts)
+        classes = np.frexp(counts.astype(np.float64))[1]
         classes[counts < 2] = 0
-        known = np.flatnonzero(kinds == KNOWN).tolist()
-        if known:
-            frequent = np.unique(np.concatenate([unpack(a[i].as_py()) for i in known]))
-            classes[np.isin(ranked[starts], frequent, assume_unique=True)] = FREQUENT
         grade = np.empty(len(tokens), np.uint8)
-        grade[order] = np.repeat(classes, counts).astype(np.uint8)
+        grade[order] = np.repeat(classes, np.diff(np.append(starts, len(ranked)))).astype(np.uint8)
         first = 0
         for i, part in zip(at, parts):
             own = grade[first : first + len(part)]
             first += len(part)
             shared = own > 0
-            if shared.any():
+            if kinds[i] == KNOWN:
+                out.append((blocks[i], KNOWN, a[i].as_py(), b"", own.tobytes()))
+            elif shared.any():
                 index = np.frombuffer(b[i].as_py(), np.uint16)
                 out.append((blocks[i], TOKENS, pack(part[shared]), index[shared].tobytes(), own[shared].tobytes()))
     at = np.flatnonzero(kinds == DOCS)
@@ -180,11 +189,15 @@ def _answered(table: pa.Table) -> pa.Table:
     return pa.Table.from_arrays(columns, [x.split(" ")[0] for x in ANSWER.split(", ")])
 
 
-SET = "key long, n int, tokens binary, classes binary, prefix array<long>"
+SET = "key long, n int, tokens binary, classes binary, prefix array<long>, short int, parities array<long>"
 
 
 def _kept(percent: int):
-    """The documents of a block that can have a partner, with their shared tokens in the first order."""
+    """The documents of a block that can have a partner, with their shared tokens in the first order.
+
+    ``prefix`` are the shared tokens that a partner has one of, ``short`` how many of them do for larger partners.
+    ``parities`` tell of each class of tokens whether their number is odd.
+    """
 
     def run(table: pa.Table) -> pa.Table:
         kinds = table.column("kind").to_numpy()
@@ -196,13 +209,26 @@ def _kept(percent: int):
             keys[at] = np.frombuffer(a[i].as_py(), np.int64)
             sizes[at] = np.frombuffer(c[i].as_py(), np.int32)
         rows: list[tuple] = []
-        at = np.flatnonzero(kinds == TOKENS).tolist()
+        at = np.flatnonzero((kinds == TOKENS) | (kinds == OWN)).tolist()
         if at:
-            tokens = np.concatenate([unpack(a[i].as_py()) for i in at])
+            told = np.flatnonzero(kinds == KNOWN).tolist()
+            if told:
+                known = np.concatenate([unpack(a[i].as_py()) for i in told])
+                ranks = np.concatenate([np.frombuffer(c[i].as_py(), np.uint8) for i in told])
+                order = np.argsort(known)
+                known, ranks = known[order], ranks[order]
+            parts = [unpack(a[i].as_py()) for i in at]
             index = np.concatenate([np.frombuffer(b[i].as_py(), np.uint16) for i in at])
-            grade = np.concatenate([np.frombuffer(c[i].as_py(), np.uint8) for i in at])
+            grade = np.concatenate(
+                [
+                    ranks[np.searchsorted(known, part)] if kinds[i] == OWN else np.frombuffer(c[i].as_py(), np.uint8)
+                    for i, part in zip(at, parts)
+                ]
+            )
+            tokens = np.concatenate(parts)
             shared = np.bincount(index, minlength=len(sizes))
             spare = shared - required(sizes, percent)
+            short = np.maximum(shared - required_together(sizes, sizes, percent) + 1, 0)
             wanted = ((sizes > 0) & (spare >= 0))[index]
             tokens, index, grade = tokens[wanted], index[wanted], grade[wanted]
             order = np.lexsort((tokens, grade, index))
@@ -211,18 +237,23 @@ def _kept(percent: int):
             for s, e in zip(starts, np.append(starts[1:], len(index)) if len(index) else []):
                 doc = index[s]
                 first = tokens[s : s + spare[doc] + 1].view(np.int64)
-                rows.append((keys[doc], sizes[doc], narrow(tokens[s:e]), grade[s:e].tobytes(), first))
-        kinds = [pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.list_(pa.int64())]
-        columns = [pa.array(x, t) for x, t in zip(zip(*rows) if rows else ((),) * 5, kinds)]
-        return pa.Table.from_arrays(columns, ["key", "n", "tokens", "classes", "prefix"])
+                rows.append((keys[doc], sizes[doc], narrow(tokens[s:e]), grade[s:e].tobytes(), first, short[doc], _parities(tokens[s:e])))
+        kinds = [pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.list_(pa.int64()), pa.int32(), pa.list_(pa.int64())]
+        columns = [pa.array(x, t) for x, t in zip(zip(*rows) if rows else ((),) * 7, kinds)]
+        return pa.Table.from_arrays(columns, ["key", "n", "tokens", "classes", "prefix", "short", "parities"])
 
     return run
 
 
-def _other_prefixes(tokens: np.ndarray, classes: np.ndarray, count: int) -> list[np.ndarray]:
-    """The first ``count`` shared tokens in the second and the third order."""
-    second = np.lexsort((mix(tokens ^ _ORDER_SALTS[0]), classes))[:count]
-    third = np.argsort(mix(tokens ^ _ORDER_SALTS[1]))[:count]
+def _parities(tokens: np.ndarray) -> np.ndarray:
+    odd = np.bincount((tokens % np.uint64(64 * WORDS)).astype(np.int64), minlength=64 * WORDS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
+def _other_orders(tokens: np.ndarray, classes: np.ndarray) -> list[np.ndarray]:
+    """The shared tokens in the second and the third order."""
+    second = np.lexsort((mix(tokens ^ _ORDER_SALTS[0]), classes))
+    third = np.argsort(mix(tokens ^ _ORDER_SALTS[1]))
     return [tokens[second], tokens[third]]
 
 
@@ -230,7 +261,7 @@ def _verified(percent: int, all_pairs: bool):
     """(u, v, same, linked): tokens in common of pairs, and whether they are alike enough.
 
     Pairs that do not share prefix tokens in every order cannot be; they are left out, unless
-    ``all_pairs`` asks for their common tokens as well.
+    ``all_pairs`` asks for their common tokens as well. The prefixes are those that the two sizes ask for.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -238,19 +269,20 @@ def _verified(percent: int, all_pairs: bool):
             rows = batch.to_pydict()
             known: dict[int, tuple] = {}
 
-            def opened(key: int, n: int, tokens: bytes, classes: bytes) -> tuple:
+            def opened(key: int, tokens: bytes, classes: bytes) -> tuple:
                 if key not in known:
                     if len(known) > 200:
                         known.clear()
                     t = widen(tokens)
-                    count = len(t) - int(required(np.array(n), percent)) + 1
-                    known[key] = np.sort(t), _other_prefixes(t, np.frombuffer(classes, np.uint8), count)
+                    known[key] = np.sort(t), _other_orders(t, np.frombuffer(classes, np.uint8))
                 return known[key]
 
             found = []
             for u, v, n, m, t, s, c, d in zip(*[rows[x] for x in ("u", "v", "un", "vn", "ut", "vt", "uc", "vc")]):
-                (all_u, firsts_u), (all_v, firsts_v) = opened(u, n, t, c), opened(v, m, s, d)
-                passed = all(_common(np.sort(x), np.sort(y)) for x, y in zip(firsts_u, firsts_v))
+                (all_u, orders_u), (all_v, orders_v) = opened(u, t, c), opened(v, s, d)
+                asked = required_together(n, m, percent)
+                i, j = max(len(all_u) - asked + 1, 0), max(len(all_v) - asked + 1, 0)
+                passed = all(_common(x[:i], np.sort(y[:j])) for x, y in zip(orders_u, orders_v))
                 if passed or all_pairs:
                     same = _common(all_u, all_v)
                     found.append((u, v, same, passed and 100 * same >= percent * (n + m - same)))
@@ -277,8 +309,14 @@ def _compared(pairs: DataFrame, sets: DataFrame, percent: int, all_pairs: bool)
     return stored(both.mapInArrow(run, "u long, v long, same long, linked boolean"), "links")
 
 
-def _open_pairs(lists: DataFrame, centres: DataFrame, stars: DataFrame, found: DataFrame, percent: int) -> DataFrame:
-    """Pairs (u, v) of different components that share a list and can be alike.
+def _open_pairs(
+    sets: DataFrame, lists: DataFrame, centres: DataFrame, stars: DataFrame, found: DataFrame, percent: int
+) -> DataFrame:
+    """Pairs (u, v) of different components that share a list, of the smaller's short prefix, and can be alike.
+
+    Of two documents of one size, the one of lower key counts as the smaller. At a token which ``at`` shared tokens
+    of one precede, two sets have in common at most the lesser number before and the lesser number from there on.
+    Each parity in which their shared tokens differ, and each token of one document only, is a token that just one has.
 
     With D the tokens in which a document differs from the centre of the list, x and y differ in
     |Dx| + |Dy| - 2 |Dx & Dy| tokens. A token that only x has is in Dx and not in Dy, so that with s
@@ -291,17 +329,19 @@ def _open_pairs(lists: DataFrame, centres: DataFrame, stars: DataFrame, found: D
         stars.select(F.col("v").alias("key"), F.col("u").alias("centre"), "same")
     )
     placed = lists.join(found, lists.key == found.node, "left").select(
-        "token", "key", "n", "own", F.coalesce("component", "key").alias("component")
+        "token", "key", "n", "own", "at", "short", F.coalesce("component", "key").alias("component")
     )
-    spread = placed.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-    spread = spread.where("lo < hi").select("token").join(centres, "token")
+    open_list = [F.min("component").alias("lo"), F.max("component").alias("hi"), F.max("short").alias("asked")]
+    spread = placed.groupBy("token").agg(*open_list).where("lo < hi and asked")
+    spread = spread.select("token").join(centres, "token")
     rows = placed.join(spread, "token").join(away, ["key", "centre"], "left")
     apart = F.when(F.col("key") == F.col("centre"), 0).otherwise(F.col("n") + F.col("centre_n") - 2 * F.col("same"))
     rows = rows.withColumn("apart", apart).withColumn("s", F.col("apart") - F.col("own"))
     less = (100 - percent) * F.col("n")
     rows = stored(
         rows.select(
-            "token", "key", "n", "component", "s",
+            "token", "key", "n", "own", "component", "s", "at", "short",
+            (F.col("n") - F.col("own") - F.col("at")).alias("rest"),
             F.floor(8 * F.log2(F.col("s") + 1)).cast("int").alias("step"),
             ((100 + percent) * F.col("apart") - less).alias("a"),
             ((100 + percent) * (F.col("apart") - 2 * F.col("s")) - less).alias("b"),
@@ -317,21 +357,32 @@ def _open_pairs(lists: DataFrame, centres: DataFrame, stars: DataFrame, found: D
         F.min("b").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("b_below"),
     )
     left = rows.join(steps, ["token", "step"]).where("b + a_above <= 0 or a + b_below <= 0").drop("a_above", "b_below", "step")
-    spread = left.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-    left = left.join(spread.where("lo < hi").select("token"), "token")
-    # A pair is made once, in the first of the lists that both are still in.
-    shared = left.groupBy("key").agg(F.collect_list("token").alias("tokens"))
-    left = stored(left.join(shared, "key"), "open-lists")
+    spread = left.groupBy("token").agg(*open_list).where("lo < hi and asked")
+    left = left.join(spread.select("token"), "token")
+    # A pair is made once, in the first of the lists that ask for it.
+    shared = left.groupBy("key").agg(
+        F.collect_list("token").alias("tokens"), F.collect_list(F.when(F.col("short"), F.col("token"))).alias("shorts")
+    )
+    words = [F.get("parities", i).alias(f"w{i}") for i in range(WORDS)]
+    left = stored(left.join(shared, "key").join(sets.select("key", *words), "key"), "open-lists")
     # Of the component with most documents of a list only pairs with others are asked for.
     most = left.groupBy("token", "component").count().groupBy("token").agg(F.max_by("component", "count").alias("most"))
-    others = left.join(most, "token").where("component <> most")
-    names = {c: f"v_{c}" for c in left.columns if c != "token"}
-    across = others.join(left.withColumnsRenamed(names), "token").where(
-        "component <> v_component and (key < v_key or v_component = most) "
-        f"and 100 * least(n, v_n) >= {percent} * greatest(n, v_n) "
+    left = left.join(most, "token")
+    columns = ["key", "n", "own", "component", "s", "at", "rest", "a", "b", *[f"w{i}" for i in range(WORDS)]]
+    larger = left.select("token", "most", *[F.col(c).alias(f"v_{c}") for c in [*columns, "tokens"]])
+    smaller = left.where("short").select("token", *columns, "shorts", (F.col("component") == F.col("most")).alias("in_most"))
+    odd = " + ".join(f"bit_count(w{i} ^ v_w{i})" for i in range(WORDS))
+    can_be = (
+        "component <> v_component and struct(n, key) < struct(v_n, v_key) "
+        f"and 100 * n >= {percent} * v_n "
         "and ((s <= v_s and b + v_a <= 0) or (v_s <= s and v_b + a <= 0)) "
-        "and token = array_min(array_intersect(tokens, v_tokens))"
+        f"and {100 + percent} * (least(at, v_at) + least(rest, v_rest)) >= {percent} * (n + v_n) "
+        f"and {100 + percent} * (own + v_own + {odd}) <= {100 - percent} * (n + v_n) "
+        "and token = array_min(array_intersect(shorts, v_tokens))"
     )
+    outside = larger.where("v_component <> most")
+    across = smaller.where("not in_most").join(larger, "token").where(can_be).select("key", "v_key")
+    across = across.unionByName(smaller.where("in_most").join(outside, "token").where(can_be).select("key", "v_key"))
     pairs = across.select(F.least("key", "v_key").alias("u"), F.greatest("key", "v_key").alias("v"))
     return pairs.distinct().join(stars, ["u", "v"], "left_anti")
 
@@ -343,17 +394,19 @@ def similar_sets(docs: DataFrame, text: str, percent: int, local: int) -> DataFr
     answers = asked.groupBy("bucket").applyInArrow(_answered, ANSWER)
     sets = stored(answers.groupBy("block").applyInArrow(_kept(percent), SET), "sets")
     own = F.col("n") - F.octet_length("classes")
-    lists = sets.select("key", "n", own.alias("own"), F.explode("prefix").alias("token"))
+    lists = sets.select("key", "n", own.alias("own"), "short", F.posexplode("prefix").alias("at", "token"))
+    lists = lists.withColumn("short", F.col("at") < F.col("short"))
     # The centre of a list has the fewest tokens of its own: in a group of copies, most likely the original.
     centre = F.struct((F.col("own") / F.col("n")).alias("share"), "key", "n")
-    centres = lists.groupBy("token").agg(F.min(centre).alias("c"))
+    # A list that is in no short prefix asks for no pairs.
+    centres = lists.groupBy("token").agg(F.min(centre).alias("c"), F.max("short").alias("asked")).where("asked")
     centres = centres.select("token", F.col("c.key").alias("centre"), F.col("c.n").alias("centre_n"))
     stars = lists.join(centres, "token").where("key <> centre")
     stars = stars.select(F.least("key", "centre").alias("u"), F.greatest("key", "centre").alias("v")).distinct()
     stars = _compared(stars, sets, percent, True)
     links = stars.where("linked").select("u", "v")
     found = stored(components(links), "components")
-    more = _compared(_open_pairs(lists, centres, stars, found, percent), sets, percent, False)
+    more = _compared(_open_pairs(sets, lists, centres, stars, found, percent), sets, percent, False)
     return components(links.unionByName(more.where("linked").select("u", "v")))
 
 
