@@ -93,28 +93,34 @@ def fingerprinted(docs: DataFrame, text: str = "text", name: str = "fingerprint"
     return docs.withColumn(name, run(F.col(text)))
 
 
-def _routes(rows: DataFrame) -> tuple[np.ndarray, dict[int, int]]:
-    """Splitters of the places, and to which bucket the highest place of another bucket goes as well.
+def _routes(rows: DataFrame) -> tuple[np.ndarray, dict[tuple[int, int], int]]:
+    """Splitters of the places, and to which bucket the first row of another bucket goes as well.
 
-    Both are at most as long as the session's shuffle width.
+    Both are at most as long as the session's shuffle width. A place with many rows is found several times.
     """
     buckets = partitions(rows.sparkSession)
     shares = [i / buckets for i in range(1, buckets)]
     found = rows.approxQuantile("place", shares, 1 / (4 * buckets)) if shares else []
-    splitters = np.unique(np.array(found, dtype=np.float64).astype(np.int64))
-    heads = _bucketed(rows.select("place"), splitters, {}).groupBy("bucket").agg(F.max("place").alias("head"))
-    heads = sorted((r.bucket, r.head) for r in heads.collect())
+    splitters = np.sort(np.array(found, dtype=np.float64).astype(np.int64))
+    heads = _bucketed(rows.select("place", "hash"), splitters, {}).groupBy("bucket")
+    heads = sorted((r.bucket, (r.head.place, r.head.hash)) for r in heads.agg(F.max(F.struct("place", "hash")).alias("head")).collect())
     used = [b for b, _ in heads]
     return splitters, {head: used[(i + 1) % len(used)] for i, (_, head) in enumerate(heads)}
 
 
-def _bucketed(rows: DataFrame, splitters: np.ndarray, also: dict[int, int]) -> DataFrame:
+def _bucketed(rows: DataFrame, splitters: np.ndarray, also: dict[tuple[int, int], int]) -> DataFrame:
+    """``rows`` with ``bucket``, ascending by place; a place that is a splitter r times has r buckets, by hash."""
+
     @F.pandas_udf("array<int>")
-    def buckets(places: pd.Series) -> pd.Series:
-        own = np.searchsorted(splitters, places.to_numpy(), "right").tolist()
-        return pd.Series([[b, also[p]] if p in also else [b] for b, p in zip(own, places.tolist())])
+    def buckets(places: pd.Series, hashes: pd.Series) -> pd.Series:
+        low = np.searchsorted(splitters, places.to_numpy(), "left")
+        times = np.searchsorted(splitters, places.to_numpy(), "right") - low
+        share = (hashes.to_numpy().astype(np.float64) / 2.0**64 + 0.5) * times
+        own = (low + np.minimum(times, 1 + share.astype(np.int64))).tolist()
+        keys = zip(places.tolist(), hashes.tolist())
+        return pd.Series([[b, also[k]] if k in also else [b] for b, k in zip(own, keys)])
 
-    return rows.select("*", F.posexplode(buckets("place")).alias("copy", "bucket"))
+    return rows.select("*", F.posexplode(buckets("place", "hash")).alias("copy", "bucket"))
 
 
 def edited_by_next(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -124,20 +130,21 @@ def edited_by_next(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     code points (rounded down) of a text gives way to as many from the start of the next text.
     Returns doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next.
 
-    NULL texts are empty; NULL ids come last, repeated ids in the order of their texts. A table with
+    NULL texts are empty; NULL ids come last, rows of one id in the order of a hash of their texts. A table with
     one row has itself as next; an empty one gives an empty result. Other columns are left out.
 
     Rows are dealt once, into ranges of ids between sampled splitters, and each range reads on into
-    the next by one row: the first of every range is sent to the range before it as well.
+    the next by one row: the first of every range is sent to the range before it as well. Rows of one id,
+    or without, are dealt to several ranges if there are many; only rows of one id and text stay together.
     """
     rows = docs.select(
         F.col(key).cast("long").alias("doc_id"),
         F.coalesce(F.col(key).cast("long"), F.lit(NO_ID)).alias("place"),
         F.coalesce(F.col(text), F.lit("")).alias("text"),
-    )
+    ).withColumn("hash", F.xxhash64("text"))
     splitters, also = _routes(rows)
-    ranged = _bucketed(rows, splitters, also).repartition(partitions(docs.sparkSession), "bucket")
-    ordered = ranged.sortWithinPartitions("bucket", "copy", F.col("place").desc(), "text")
+    ranged = _bucketed(rows, splitters, also).repartitionById(partitions(docs.sparkSession), F.col("bucket"))
+    ordered = ranged.sortWithinPartitions("bucket", "copy", F.col("place").desc(), F.col("hash").desc(), "text")
     schema = (
         "doc_id long, n_chars long, edited_sha256 string, fingerprint string, "
         "edited_fingerprint string, near_edited double, near_next double"
