@@ -16,14 +16,19 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules keep."""
+    """Documents that the quality rules keep.
+
+    NULL, empty and short texts go, having too few words. Repeated rows are judged alike; a NULL id is no
+    reason to go, and a NULL language or source is a group like any other. Columns beyond COLUMNS are left out.
+    """
     return quality.judged(docs.select(*COLUMNS)).where("quality.kept").select(*COLUMNS)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of linked documents, one row: of least id, or any if none has an id.
 
-    Rows without words are linked with nothing and stay.
+    Rows without words, NULL texts included, are linked with nothing and stay, each of them. Repeated rows are
+    copies, whatever their ids. Columns beyond COLUMNS are left out, as by all stages.
     """
     rows = stored(docs.select(*COLUMNS, F.monotonically_increasing_id().alias("row")), "numbered")
     groups = ngram_join.grouped(rows, {"doc_id": F.col("doc_id"), "row": F.col("row")})
@@ -35,7 +40,10 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, with a mark in place of every secret."""
+    """All documents, with a mark in place of every secret, and the length of the text that is left.
+
+    No row goes, and none changes but by its secrets; a NULL text stays NULL and has no length.
+    """
     model = secrets.train(secrets.labelled_samples(docs))
     found = secrets.scanned(docs, model, COLUMNS)
     clean = found.withColumn("text", secrets.redacted(F.col("text"), F.col("secrets.spans")))
@@ -43,13 +51,21 @@ def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents drawn to the target weights, each once at most."""
+    """Documents drawn to the target weights, each row once at most.
+
+    NULL, empty and blank texts have no tokens. Rows without id, or of one id, are drawn in the order of a hash of their
+    text, of equal rows as many as fit. A NULL language or source is one of its own.
+    """
     drawn = mixing.mixed(docs, mixing.document_levels(), mixing.WEIGHTS, epochs=1, columns=COLUMNS)
     return drawn.select(*COLUMNS)
 
 
 def packed_bins(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Where each piece of each document is packed."""
+    """Where each piece of each document is packed: rows of ``packing.PLACED``.
+
+    A document without words has one row without bin. A NULL source is in conflict with nothing; repeated rows are
+    copies and lie in different bins.
+    """
     return packing.packed(docs)
 
 
