@@ -214,10 +214,20 @@ def _levels() -> Column:
     return F.array(*[F.struct(F.lit(i).alias("depth"), g.alias("g")) for i, g in enumerate(named)])
 
 
-def _moments(at: Column) -> list[Column]:
+def _flat(values: Column, name: str, n: int) -> list[Column]:
+    """The elements of an array as columns that are never NULL, which keeps the code made from long sums of them short."""
+    return [F.coalesce(values[i], F.lit(0.0)).alias(f"{name}{i}") for i in range(n)]
+
+
+def _known(name: str, n: int) -> list[Column]:
+    return [F.coalesce(F.col(f"{name}{i}"), F.lit(0.0)) for i in range(n)]
+
+
+def _moments(at: list[Column]) -> list[Column]:
     """Centre and scatter of vectors, as aggregates."""
-    means = F.array(*[F.avg(at[i]) for i in range(DIMENSIONS)])
-    return [means.alias("centre"), F.array(*[F.avg(at[i] * at[j]) for i, j in PAIRS]).alias("twos")]
+    rows = F.count("*")
+    means = F.array(*[F.sum(x) / rows for x in at])
+    return [means.alias("centre"), F.array(*[F.sum(at[i] * at[j]) / rows for i, j in PAIRS]).alias("twos")]
 
 
 def _scatter() -> Column:
@@ -227,11 +237,11 @@ def _scatter() -> Column:
 
 def _starts(wide: DataFrame) -> DataFrame:
     """(g, start, n, m, centre, scatter): moments of all rows; medians with quartiles; medians with directions from them."""
-    moments = wide.groupBy("g").agg(F.count("*").alias("n"), *_moments(F.col("at")))
+    moments = wide.groupBy("g").agg(F.count("*").alias("n"), *_moments(_known("a", DIMENSIONS)))
     moments = stored(moments.select("g", "n", "centre", _scatter()), "quality-moments")
     # Quartiles come from counts of narrow classes of each statistic.
     widths = [x / FINE for x in LEAST_SPREAD]
-    classes = F.array(*[F.floor(F.col("at")[i] / widths[i]) for i in range(DIMENSIONS)])
+    classes = F.array(*[F.floor(F.col(f"a{i}") / widths[i]) for i in range(DIMENSIONS)])
     counts = wide.select("g", F.posexplode(classes).alias("i", "class")).groupBy("g", "i", "class").count()
     by = Window.partitionBy("g", "i")
     counts = counts.withColumn("upto", F.sum("count").over(by.orderBy("class"))).withColumn("n", F.sum("count").over(by))
@@ -244,10 +254,11 @@ def _starts(wide: DataFrame) -> DataFrame:
     quarters = quarters.select("g", F.transform("q", lambda x: x["middle"]).alias("centre"), F.transform("q", lambda x: x["spread"]).alias("spread"))
     quarters = stored(quarters.join(moments.select("g", "n"), "g"), "quality-quarters")
     plain = F.array(*[F.col("spread")[i] * F.col("spread")[i] if i == j else F.lit(0.0) for i, j in PAIRS])
-    away = [(F.col("at")[i] - F.col("centre")[i]) / F.col("spread")[i] for i in range(DIMENSIONS)]
-    square = sum([a * a for a in away[1:]], away[0] * away[0])
-    signs = wide.join(quarters, "g").select("g", "n", "centre", "spread", F.array(*away).alias("away"), square.alias("square"))
-    ones = [F.avg(F.col("away")[i] * F.col("away")[j] / F.greatest("square", F.lit(1e-12))) for i, j in PAIRS]
+    away = [(F.col(f"a{i}") - F.col("centre")[i]) / F.col("spread")[i] for i in range(DIMENSIONS)]
+    signs = wide.join(quarters, "g").select("g", "n", "centre", "spread", *[a.alias(f"away{i}") for i, a in enumerate(away)])
+    away = _known("away", DIMENSIONS)
+    square = F.greatest(sum([a * a for a in away[1:]], away[0] * away[0]), F.lit(1e-12))
+    ones = [F.sum(away[i] * away[j] / square) / F.count("*") for i, j in PAIRS]
     signs = signs.groupBy("g").agg(F.first("n").alias("n"), F.first("centre").alias("centre"), F.first("spread").alias("spread"), F.array(*ones).alias("ones"))
     turned = F.array(*[DIMENSIONS * F.col("ones")[k] * F.col("spread")[i] * F.col("spread")[j] for k, (i, j) in enumerate(PAIRS)])
     named = [(moments, F.col("scatter")), (quarters, plain), (signs, turned)]
@@ -259,15 +270,16 @@ def _starts(wide: DataFrame) -> DataFrame:
 
 def _concentrated(wide: DataFrame, state: DataFrame) -> DataFrame:
     """One step: centre and scatter of the half of a group's rows that is nearest by each state, whole classes of distance."""
-    models = state.select("g", "start", "n", "centre", "precision")
-    far = wide.join(models, "g").withColumn("far", _distance(F.col("at"), F.col("centre"), F.col("precision")))
-    far = far.select("g", "start", "n", "at", F.floor(CLASSES * F.log2(F.col("far") + 1e-9)).alias("class"))
+    models = state.select("g", "start", "n", *_flat(F.col("centre"), "c", DIMENSIONS), *_flat(F.col("precision"), "p", len(PAIRS)))
+    measure = _distance(_known("a", DIMENSIONS), _known("c", DIMENSIONS), _known("p", len(PAIRS)))
+    far = wide.join(models, "g").withColumn("far", measure)
+    far = far.select("g", "start", "n", *[f"a{i}" for i in range(DIMENSIONS)], F.floor(CLASSES * F.log2(F.col("far") + 1e-9)).alias("class"))
     counts = far.groupBy("g", "start", "class").agg(F.count("*").alias("rows"), F.first("n").alias("n"))
     upto = F.sum("rows").over(Window.partitionBy("g", "start").orderBy("class"))
     edges = counts.withColumn("upto", upto).groupBy("g", "start").agg(F.min(F.when(2 * F.col("upto") >= F.col("n"), F.col("class"))).alias("edge"))
     # Stored, its size is known before the join, and rows need not be moved to meet it.
     inner = far.join(stored(edges, "quality-edges"), ["g", "start"]).where(F.col("class") <= F.col("edge"))
-    moments = inner.groupBy("g", "start").agg(F.first("n").alias("n"), F.count("*").alias("m"), *_moments(F.col("at")))
+    moments = inner.groupBy("g", "start").agg(F.first("n").alias("n"), F.count("*").alias("m"), *_moments(_known("a", DIMENSIONS)))
     return moments.select("g", "start", "n", "m", "centre", _scatter()).mapInPandas(_estimated, STATE)
 
 
@@ -280,8 +292,10 @@ def fit(rows: DataFrame, parent_rows: int = 100, most_steps: int = 30) -> DataFr
     a few rows invertible and keeps the rule that a step does not raise the determinant. At the end a group is
     blended with its g1, which counts as ``parent_rows`` rows, as is g1 with the whole table.
     """
-    rows = stored(rows.select("g1", "g2", "at"), "quality-vectors")
-    wide = rows.select(F.explode(_levels()).alias("level"), "at").select("level.g", "at")
+    at = _flat(F.col("at"), "a", DIMENSIONS)
+    rows = stored(rows.select("g1", "g2", *at), "quality-vectors")
+    names = [f"a{i}" for i in range(DIMENSIONS)]
+    wide = rows.select(F.explode(_levels()).alias("level"), *names).select("level.g", *names)
     state = stored(_starts(wide).mapInPandas(_estimated, STATE).withColumn("determinant", F.lit(math.inf)), "quality-starts")
     found = []
     for _ in range(most_steps):
