@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from skyfare.functions.constants import SEGMENT_COLUMNS, SEGMENT_SEPARATOR
 from skyfare.functions.expr import in_date_range
+from skyfare.sources.checkpoint import stored
 
 COLUMNS = [
     "leg_id",
@@ -87,13 +88,11 @@ _COLUMNS = {
     "total_travel_distance": "if(miles % 10 = 0, null, miles)",
     "num_legs": "num_legs",
     # a leg departs where the one before it has landed
-    "segments_departure_airport_code": _joined(
-        f"concat(array({_HOME}), slice(trip.segments_arrival_airport_code, 1, size(trip) - 1))"
-    ),
-    **{c: _joined(f"trip.{c}") for c in _LEG_TEXTS},
+    "segments_departure_airport_code": _joined(f"concat(array({_HOME}), stops)"),
+    **{c: c for c in _LEG_TEXTS},
     # some itineraries do not say what they fly with
     "segments_equipment_description": (
-        f"if(o_orderkey % 7 = 0, null, {_joined('trip.segments_equipment_description')})"
+        "if(o_orderkey % 7 = 0, null, segments_equipment_description)"
     ),
 }
 
@@ -148,13 +147,32 @@ def itineraries(
 
     # with no fact to add, the lines only say which orders are itineraries
     how = "left_semi" if trips.columns == ["l_orderkey"] else "inner"
+    # lists are wide: unless legs select few, orders meet their customers before they get them
+    first = bool(want & _LISTS) and legs is None
+    if first:
+        orders = _with_customer(spark, sf_dir, want, orders)
     df = orders.join(trips, F.expr("o_orderkey = l_orderkey"), how)
-    if want & _FROM_CUSTOMER:
-        customer = table(spark, sf_dir, "customer")
-        df = df.join(customer, F.expr("o_custkey = c_custkey"), "left")
+    if not first:
+        df = _with_customer(spark, sf_dir, want, df)
     return df.selectExpr(*[f"{_COLUMNS[c]} as {c}" for c in columns])
 
 
+def _with_customer(spark: SparkSession, sf_dir: str, want: set[str], orders: DataFrame) -> DataFrame:
+    if not want & _FROM_CUSTOMER:
+        return orders
+    return orders.join(table(spark, sf_dir, "customer"), F.expr("o_custkey = c_custkey"), "left")
+
+
+def _named_suppliers(spark: SparkSession, suppliers: DataFrame, nation: DataFrame) -> DataFrame:
+    """Suppliers with their nation's key and name, stored.
+
+    The small sides meet first, so that lines meet a supplier key and never one of few nations. Spark takes a join to be
+    as large as the product of its sides; a table has a known size, and lines are not shuffled for one under the threshold.
+    """
+    named = suppliers.join(nation, F.expr("s_nationkey = n_nationkey"), "left")
+    return stored(named.select("s_suppkey", "s_nationkey", "n_name"), "named-suppliers")
+
+
 def _trips(
     spark: SparkSession,
     sf_dir: str,
@@ -183,10 +201,7 @@ def _trips(
     facts = [F.expr(f"{sql} as {name}") for name, (sql, uses) in _FACTS.items() if uses & want]
     order = "l_linenumber, l_partkey, l_suppkey"
     if want & _LISTS:
-        nation = table(spark, sf_dir, "nation")
-        # the small sides first, so that lines meet a supplier key and never one of few nations
-        named = suppliers.join(nation, F.expr("s_nationkey = n_nationkey"), "left")
-        lines = lines.join(named, of_supplier, "left")
+        lines = lines.join(_named_suppliers(spark, suppliers, table(spark, sf_dir, "nation")), of_supplier, "left")
         if legs is None and orders is None:
             # lists gain nothing from partial aggregation: shuffle the legs, not half-made
             # lists; a selection above has partitioned its few legs by order already
@@ -206,7 +221,12 @@ def _trips(
 
     df = lines.groupBy("l_orderkey").agg(*facts)
     if want & _LISTS:
-        return df.withColumn("last_nation", F.expr("element_at(trip, -1).s_nationkey"))
+        # lists are put together here, and the legs let go: the joins to come move the texts only
+        lists = {c: F.expr(_joined(f"trip.{c}")) for c in _LEG_TEXTS if c in want}
+        df = df.withColumns({"last_nation": F.expr("element_at(trip, -1).s_nationkey"), **lists})
+        if "segments_departure_airport_code" in want:
+            df = df.withColumn("stops", F.expr("slice(trip.segments_arrival_airport_code, 1, size(trip) - 1)"))
+        return df.drop("trip")
     if "destination_airport" in want:
         # one lookup per itinerary, after the legs have been reduced to the last one
         df = df.join(suppliers, F.expr("last_supplier = s_suppkey"), "left")
